@@ -3,7 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+DERIVED = (
+    "to_date(transaction_time) AS transaction_date",
+    "quantity * unit_price AS subtotal",
+    "quantity * unit_price - coalesce(discount_amount, CAST(0 AS DECIMAL(10,2))) AS net_amount",
+    "year(transaction_time) AS transaction_year",
+    "month(transaction_time) AS transaction_month",
+    "dayofmonth(transaction_time) AS transaction_day",
+    "dayofweek(transaction_time) AS transaction_weekday",
+    "date_format(transaction_time, 'yyyy-MM') AS year_month",
+)
+
+MONEY = {
+    "amount": "try_cast(subtotal AS DECIMAL(18,2))",
+    "sales_amount": "try_cast(net_amount AS DECIMAL(18,2))",
+    "discount_percentage": (
+        "try_cast(try_divide(discount_amount * 100, subtotal) AS DECIMAL(5,2))"
+    ),
+    "unit_price": "CAST(unit_price AS DECIMAL(18,2))",
+    "discount_amount": "CAST(discount_amount AS DECIMAL(18,2))",
+}
 
 
 def derive_sales(sales: DataFrame) -> DataFrame:
@@ -11,20 +31,7 @@ def derive_sales(sales: DataFrame) -> DataFrame:
 
     A sale without a discount counts as discounted by 0 in ``net_amount``.
     """
-    when, subtotal = F.col("transaction_time"), F.col("quantity") * F.col("unit_price")
-    discount = F.coalesce(F.col("discount_amount"), F.lit(0).cast("decimal(10,2)"))
-    return sales.withColumns(
-        {
-            "transaction_date": F.to_date(when),
-            "subtotal": subtotal,
-            "net_amount": subtotal - discount,
-            "transaction_year": F.year(when),
-            "transaction_month": F.month(when),
-            "transaction_day": F.dayofmonth(when),
-            "transaction_weekday": F.dayofweek(when),
-            "year_month": F.date_format(when, "yyyy-MM"),
-        }
-    )
+    return sales.selectExpr("*", *DERIVED)
 
 
 def conform_amounts(sales: DataFrame) -> DataFrame:
@@ -33,14 +40,6 @@ def conform_amounts(sales: DataFrame) -> DataFrame:
     ``amount`` is before discount and ``sales_amount`` after it. A share of a
     zero amount, or one too large for its column, is NULL.
     """
-    money = "decimal(18,2)"
-    share = F.try_divide(F.col("discount_amount") * 100, F.col("subtotal"))
-    return sales.withColumns(
-        {
-            "amount": F.col("subtotal").try_cast(money),
-            "sales_amount": F.col("net_amount").try_cast(money),
-            "discount_percentage": share.try_cast("decimal(5,2)"),
-            "unit_price": F.col("unit_price").cast(money),
-            "discount_amount": F.col("discount_amount").cast(money),
-        }
-    ).drop("subtotal", "net_amount")
+    replaced = {"subtotal", "net_amount", *MONEY}
+    kept = [name for name in sales.columns if name not in replaced]
+    return sales.selectExpr(*kept, *[f"{value} AS {name}" for name, value in MONEY.items()])

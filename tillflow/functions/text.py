@@ -4,32 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def text_columns(df: DataFrame, keep_ids: bool = True) -> list[str]:
-    """Names of the string columns, without identifiers unless asked for."""
-    return [
-        field.name
-        for field in df.schema.fields
-        if isinstance(field.dataType, T.StringType)
-        and not (keep_ids and field.name.endswith("_id"))
-    ]
+def is_text(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.StringType)
 
 
 def standardise(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
     """Upper-case and trim all descriptive text; identifiers stay as they are."""
     skipped = set(skip)
-    names = [name for name in text_columns(df) if name not in skipped]
-    return df.withColumns({name: F.trim(F.upper(F.col(name))) for name in names})
 
+    def upper(field: T.StructField) -> str:
+        name = field.name
+        if not is_text(field) or name.endswith("_id") or name in skipped:
+            return f"`{name}`"
+        return f"trim(upper(`{name}`)) AS `{name}`"
 
-def without_null_text(value: Column) -> Column:
-    """Trimmed text, with the word NULL in any case read as a missing value."""
-    trimmed = F.trim(value)
-    return F.when(F.upper(trimmed) != "NULL", trimmed)
+    return df.selectExpr(*[upper(field) for field in df.schema.fields])
+
+
+def without_null_text(name: str) -> str:
+    """SQL for trimmed text, with the word NULL in any case read as missing."""
+    return f"CASE WHEN upper(trim(`{name}`)) <> 'NULL' THEN trim(`{name}`) END"
 
 
 def cleanse(
@@ -38,12 +36,15 @@ def cleanse(
     """Trim, read NULL words as NULL, lower-case e-mails, drop phone hyphens."""
     emails, phones = set(emails), set(phones)
 
-    def clean(name: str) -> Column:
-        value = without_null_text(F.col(name))
+    def clean(field: T.StructField) -> str:
+        name = field.name
+        if not is_text(field):
+            return f"`{name}`"
+        value = without_null_text(name)
         if name in emails:
-            value = F.lower(value)
+            value = f"lower({value})"
         if name in phones:
-            value = F.regexp_replace(value, "-", "")
-        return value
+            value = f"replace({value}, '-', '')"
+        return f"{value} AS `{name}`"
 
-    return df.withColumns({name: clean(name) for name in text_columns(df, keep_ids=False)})
+    return df.selectExpr(*[clean(field) for field in df.schema.fields])

@@ -4,36 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tillflow.schemas import COLUMN_ALIASES, MASTER_TYPES, SALES_TYPES
 
 
-def typed_columns(types: Mapping[str, str]) -> list[Column]:
-    return [F.col(name).try_cast(kind).alias(name) for name, kind in types.items()]
+def typed_columns(types: Mapping[str, str]) -> list[str]:
+    """One SQL expression per column, for ``selectExpr``."""
+    return [
+        name if kind == "string" else f"try_cast({name} AS {kind}) AS {name}"
+        for name, kind in types.items()
+    ]
 
 
 def typed_sales(bronze: DataFrame) -> DataFrame:
     """The eight sale columns of bronze in their real types."""
-    return bronze.select(*typed_columns(SALES_TYPES))
+    return bronze.selectExpr(*typed_columns(SALES_TYPES))
 
 
 def typed_master(bronze: DataFrame, master: str) -> DataFrame:
     """The columns of one master that silver uses, in their real types."""
-    return with_current_names(bronze, master).select(*typed_columns(MASTER_TYPES[master]))
+    return with_current_names(bronze, master).selectExpr(*typed_columns(MASTER_TYPES[master]))
 
 
 def with_current_names(df: DataFrame, feed: str) -> DataFrame:
     """Old column names replaced by the names in use."""
+    aliases = COLUMN_ALIASES.get(feed)
+    if not aliases:
+        return df
+    present = set(df.columns)
     renames = {
-        old: new
-        for old, new in COLUMN_ALIASES.get(feed, {}).items()
-        if old in df.columns and new not in df.columns
+        old: new for old, new in aliases.items() if old in present and new not in present
     }
     return df.withColumnsRenamed(renames) if renames else df
 
 
 def all_text(df: DataFrame) -> DataFrame:
     """Every column as text, in one projection."""
-    return df.select(*[F.col(f"`{name}`").cast("string").alias(name) for name in df.columns])
+    return df.selectExpr(*[f"CAST(`{name}` AS STRING) AS `{name}`" for name in df.columns])

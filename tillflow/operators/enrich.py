@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tillflow.operators.masters import BROADCAST_BYTES, attach
 
@@ -40,7 +39,7 @@ def enrich(
     columns; a guest sale (no customer) is not flagged.
     """
     hot, sizes = hot or {}, sizes or {}
-    flags = []
+    flags: dict[str, str] = {}
     for master, key, on, columns in STEPS:
         if master not in masters or on not in sales.columns:
             continue
@@ -50,9 +49,9 @@ def enrich(
             on=on, hot=hot.get(master), size_of=sizes.get(master), limit=limit, found=found,
         )
         if found:
-            unknown = ~F.col(found) & F.col(on).isNotNull()
-            flags.append((found, F.when(unknown, F.lit(f"E006:{on}"))))
+            flags[found] = f"CASE WHEN NOT {found} AND {on} IS NOT NULL THEN 'E006:{on}' END"
     if not flags:
         return sales
-    warnings = F.array_compact(F.array(*[flag for _, flag in flags]))
-    return sales.withColumn("missing_masters", warnings).drop(*[name for name, _ in flags])
+    warnings = f"array_compact(array({', '.join(flags.values())})) AS missing_masters"
+    kept = [name for name in sales.columns if name not in flags]
+    return sales.selectExpr(*kept, warnings)

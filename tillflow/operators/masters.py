@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.sources.tables import planned_bytes
+
 # Largest side that may be sent to every executor, as estimated by the planner.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Tasks over which the rows without a key are spread.
@@ -16,11 +18,6 @@ HOT_ROWS = 5_000_000
 HOT_KEYS = 1_000
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """The planner's size estimate of a DataFrame."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return planned_bytes(df) <= limit
 
@@ -31,13 +28,13 @@ def current_rows(master: DataFrame, key: str, latest_by: Iterable[str] = ()) ->
     Keeps a master with repeated keys from multiplying sales. Copies of a key
     are combined before the shuffle. Rows without a key match no sale and go.
     """
-    order = list(latest_by) + [c for c in master.columns if c not in latest_by]
-    newest = F.max(F.struct(*order)).alias("newest")
-    keyed = master.where(F.col(key).isNotNull())
+    columns = master.columns
+    order = [*latest_by, *[name for name in columns if name not in latest_by]]
     return (
-        keyed.groupBy(F.col(key).alias("_key"))
-        .agg(newest)
-        .select(*[F.col(f"newest.{name}").alias(name) for name in master.columns])
+        master.where(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("_key"))
+        .agg(F.expr(f"max(struct({', '.join(order)})) AS _newest"))
+        .selectExpr(*[f"_newest.{name}" for name in columns])
     )
 
 
@@ -85,51 +82,40 @@ def attach(
     the master, for masters whose own plan hides their size behind lookups.
     """
     on = on or key
-    picked = {"_key": F.col(key), **{new: F.col(old) for old, new in columns.items()}}
+    taken = [f"{key} AS _key", *[f"{old} AS {new}" for old, new in columns.items()]]
+    added = list(columns.values())
     if found:
-        picked[found] = F.lit(True)
-    side = master.select(*[col.alias(name) for name, col in picked.items()])
-    added = [name for name in picked if name != "_key"]
-    kept = list(sales.columns)
+        taken.append(f"true AS {found}")
+        added.append(f"coalesce({found}, false) AS {found}")
+    side = master.selectExpr(*taken)
+    kept = sales.columns
 
     if fits_broadcast(side if size_of is None else size_of, limit):
-        joined = sales.join(F.broadcast(side), F.col(on) == F.col("_key"), "left")
+        joined = sales.join(F.broadcast(side), F.expr(f"{on} = _key"), "left")
     else:
         left, right = _split_keys(sales, side, on, spread_by, hot)
-        match = (F.col(on) == F.col("_key")) & (F.col("_slot") == F.col("_part"))
-        joined = left.join(right, match, "left")
-    result = joined.select(*kept, *added)
-    if found:
-        result = result.withColumn(found, F.coalesce(F.col(found), F.lit(False)))
-    return result
+        joined = left.join(right, F.expr(f"{on} = _key AND _slot = _part"), "left")
+    return joined.selectExpr(*kept, *added)
 
 
 def _split_keys(
     sales: DataFrame, side: DataFrame, on: str, spread_by: str, hot: DataFrame | None
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides with a second join column that divides keyless and hot rows."""
-    missing = F.col(on).isNull()
-    draw = F.xxhash64(F.col(spread_by))
-    right = side.where(F.col("_key").isNotNull())
+    slot = f"CASE WHEN {on} IS NULL THEN pmod(xxhash64({spread_by}), {GUEST_SLOTS})"
+    right = side.where("_key IS NOT NULL")
     if hot is None:
-        # The array keeps the planner from folding the one part into a filter.
-        slot = F.when(missing, F.pmod(draw, F.lit(GUEST_SLOTS)).cast("int")).otherwise(0)
-        parts: Column = F.array(F.lit(0))
+        # An exploded part, unlike a constant, is not folded into a filter.
         return (
-            sales.withColumn("_slot", slot),
-            right.withColumn("_part", F.explode(parts)),
+            sales.selectExpr("*", f"CAST({slot} ELSE 0 END AS INT) AS _slot"),
+            right.selectExpr("*", "explode(array(0)) AS _part"),
         )
     listed = F.broadcast(hot)
-    left = sales.join(listed, F.col(on) == F.col("_hot_key"), "left")
-    slot = (
-        F.when(missing, F.pmod(draw, F.lit(GUEST_SLOTS)))
-        .when(F.col("_parts").isNotNull(), F.pmod(draw, F.col("_parts")))
-        .otherwise(0)
-        .cast("int")
-    )
-    right = right.join(listed, F.col("_key") == F.col("_hot_key"), "left")
-    parts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    left = sales.join(listed, F.expr(f"{on} = _hot_key"), "left")
+    right = right.join(listed, F.expr("_key = _hot_key"), "left")
+    slot += f" WHEN _parts IS NOT NULL THEN pmod(xxhash64({spread_by}), _parts) ELSE 0 END"
+    parts = "explode(sequence(0, coalesce(_parts, 1) - 1)) AS _part"
     return (
-        left.withColumn("_slot", slot).drop("_hot_key", "_parts"),
-        right.withColumn("_part", F.explode(parts)).drop("_hot_key", "_parts"),
+        left.selectExpr(*sales.columns, f"CAST({slot} AS INT) AS _slot"),
+        right.selectExpr(*side.columns, parts),
     )

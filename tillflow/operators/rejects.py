@@ -1,16 +1,15 @@
 """Accepted and rejected sales.
 
-Rows stay the raw text they are in bronze; the rules look at the cleansed text.
 Every bronze row ends in exactly one of the two. A row is rejected for all its
 reasons at once; of several rows with one transaction id the best stays: rows
-without another fault first, then the earliest, then the least by all columns.
+without another fault first, then the earliest, then the least by all values.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.functions.lineage import moment
@@ -38,71 +37,80 @@ RULES = {
 COPIES_PER_TASK = 100_000
 
 RAW = FEED_COLUMNS["pos_transactions"]
+# Which of several usable copies of a sale stays.
+ORDER = ["transaction_time", *[name for name in RAW if name != "transaction_time"]]
 
 
-def _text(name: str) -> Column:
-    return without_null_text(F.col(name))
+def _value(name: str) -> str:
+    """SQL for a raw column cleansed and in its type."""
+    text, kind = without_null_text(name), SALES_TYPES[name]
+    return text if kind == "string" else f"try_cast({text} AS {kind})"
 
 
-def _value(name: str) -> Column:
-    return _text(name).try_cast(SALES_TYPES[name])
+def _usable(as_of: datetime, of: str = "") -> str:
+    """SQL over typed sales: no fault, leaving repeated ids aside."""
+    return (
+        f"coalesce({of}transaction_id IS NOT NULL AND {of}product_id IS NOT NULL"
+        f" AND {of}store_id IS NOT NULL AND {of}quantity > 0 AND {of}unit_price >= 0"
+        f" AND {of}transaction_time <= {_moment(as_of)}, false)"
+    )
+
 
+def _moment(at: datetime) -> str:
+    return f"TIMESTAMP '{at:%Y-%m-%d %H:%M:%S.%f}'"
 
-def _faults(as_of: datetime) -> dict[str, Column]:
-    """Every rule but the duplicate one, as a condition on the raw text."""
-    now = F.lit(as_of).cast("timestamp")
+
+def _faults(as_of: datetime) -> dict[str, str]:
+    """SQL per rule over raw columns and their typed values, ``v.<name>``."""
     return {
-        "R1_ID_MISSING": _text("transaction_id").isNull(),
-        "R2_PRODUCT_MISSING": _text("product_id").isNull(),
-        "R3_QUANTITY_NOT_POSITIVE": _value("quantity") <= 0,
-        "R4_PRICE_NEGATIVE": _value("unit_price") < 0,
-        "R5_TIME_IN_FUTURE": _value("transaction_time") > now,
-        "R7_STORE_MISSING": _text("store_id").isNull(),
-        **_unusable("quantity", "R8_QUANTITY_MISSING", "R11_QUANTITY_UNREADABLE"),
-        **_unusable("unit_price", "R9_PRICE_MISSING", "R12_PRICE_UNREADABLE"),
-        **_unusable("transaction_time", "R10_TIME_MISSING", "R13_TIME_UNREADABLE"),
+        "R1_ID_MISSING": "v.transaction_id IS NULL",
+        "R2_PRODUCT_MISSING": "v.product_id IS NULL",
+        "R3_QUANTITY_NOT_POSITIVE": "v.quantity <= 0",
+        "R4_PRICE_NEGATIVE": "v.unit_price < 0",
+        "R5_TIME_IN_FUTURE": f"v.transaction_time > {_moment(as_of)}",
+        DUPLICATE: "_extra",
+        "R7_STORE_MISSING": "v.store_id IS NULL",
+        "R8_QUANTITY_MISSING": _lacks("quantity"),
+        "R9_PRICE_MISSING": _lacks("unit_price"),
+        "R10_TIME_MISSING": _lacks("transaction_time"),
+        "R11_QUANTITY_UNREADABLE": f"v.quantity IS NULL AND NOT ({_lacks('quantity')})",
+        "R12_PRICE_UNREADABLE": f"v.unit_price IS NULL AND NOT ({_lacks('unit_price')})",
+        "R13_TIME_UNREADABLE": (
+            f"v.transaction_time IS NULL AND NOT ({_lacks('transaction_time')})"
+        ),
     }
 
 
-def _unusable(name: str, missing: str, unreadable: str) -> dict[str, Column]:
-    text = _text(name)
-    return {missing: text.isNull(), unreadable: text.isNotNull() & _value(name).isNull()}
+def _lacks(name: str) -> str:
+    return f"{without_null_text(name)} IS NULL"
 
 
-def _is_faulty(as_of: datetime) -> Column:
-    some = F.lit(False)
-    for fault in _faults(as_of).values():
-        some = some | F.coalesce(fault, F.lit(False))
-    return some
+def typed_clean_sales(bronze: DataFrame) -> DataFrame:
+    """The sale columns of bronze cleansed and in their types."""
+    return bronze.selectExpr(*[f"{_value(name)} AS {name}" for name in RAW])
 
 
-def _kept_copies(bronze: DataFrame, as_of: datetime) -> DataFrame:
-    """Per transaction id the copy that stays, as ``_kept``.
+def accepted_sales(bronze: DataFrame, as_of: datetime) -> DataFrame:
+    """The sales without fault, typed, one per transaction id.
 
-    Copies combine before the shuffle, so an id with very many of them costs
-    one row per map task. The whole row is in the order: equal copies are the
-    same row, whichever is kept.
+    Copies combine before the shuffle, so an id with very many of them costs one
+    row per map task. All values are in the order: copies that tie are the same
+    sale. Faults are part of the order and filtered afterwards, so that the
+    values are read from the text once; pushed below the typing, the filter
+    would read them all again.
     """
-    order = [_is_faulty(as_of).alias("_faulty"), _value("transaction_time").alias("_at")]
-    rest = [F.col(name) for name in bronze.columns]
+    row = f"struct(NOT {_usable(as_of)} AS _faulty, {', '.join(ORDER)}) AS _row"
     return (
-        bronze.withColumn("_id", _text("transaction_id"))
-        .where(F.col("_id").isNotNull())
+        typed_clean_sales(bronze)
+        .selectExpr("transaction_id AS _id", row)
+        .where("_id IS NOT NULL")
         .groupBy("_id")
-        .agg(F.min(F.struct(*order, *rest)).alias("_kept"))
+        .agg(F.min("_row").alias("_kept"))
+        .where("NOT _kept._faulty")
+        .selectExpr(*[f"_kept.{name}" for name in RAW])
     )
 
 
-def _kept_row(columns: list[str]) -> list[Column]:
-    return [F.col(f"_kept.{name}").alias(name) for name in columns]
-
-
-def accepted_rows(bronze: DataFrame, as_of: datetime) -> DataFrame:
-    """The bronze rows without fault, one per transaction id, still as text."""
-    kept = _kept_copies(bronze, as_of).where(~F.col("_kept._faulty"))
-    return kept.select(*_kept_row(bronze.columns))
-
-
 def rejected_rows(bronze: DataFrame, as_of: datetime) -> DataFrame:
     """The bronze rows with a fault or a repeated id, with ``reasons``.
 
@@ -111,64 +119,66 @@ def rejected_rows(bronze: DataFrame, as_of: datetime) -> DataFrame:
     ids are looked at together.
     """
     columns = bronze.columns
-    rows = bronze.withColumn("_id", _text("transaction_id"))
-    named = rows.where(F.col("_id").isNotNull())
-    repeated = (
-        named.groupBy("_id").agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select("_id")
+    ids = bronze.selectExpr(f"{_value('transaction_id')} AS _id").where("_id IS NOT NULL")
+    repeated = ids.groupBy("_id").agg(F.count("*").alias("_n")).where("_n > 1").select("_id")
+
+    values = ", ".join(f"{_value(name)} AS {name}" for name in RAW)
+    judged = bronze.selectExpr("*", f"struct({values}) AS v").selectExpr(
+        "*", "v.transaction_id AS _id"
     )
-    nameless = rows.where(F.col("_id").isNull()).select(*columns)
-    faulty = (
-        named.where(_is_faulty(as_of)).join(repeated, "_id", "left_anti").select(*columns)
+    usable = _usable(as_of, "v.")
+    faulty = judged.where(f"NOT {usable}")
+    single = faulty.join(repeated, "_id", "left_anti").selectExpr(*columns)
+    named = judged.where("_id IS NOT NULL")
+    copies = named.join(repeated, "_id", "left_semi")
+    rejected = single.selectExpr("*", "false AS _extra").unionByName(
+        _rejected_copies(copies, columns, usable)
     )
-    copies = named.join(repeated, "_id", "left_semi").select(*columns)
-    rejected = (
-        nameless.unionByName(faulty)
-        .withColumn("_extra", F.lit(False))
-        .unionByName(_rejected_copies(copies, as_of))
+    cases = [f"CASE WHEN {rule} THEN '{name}' END" for name, rule in _faults(as_of).items()]
+    return rejected.selectExpr("*", f"struct({values}) AS v").selectExpr(
+        *columns, f"array_compact(array({', '.join(cases)})) AS reasons"
     )
-    conditions = {**_faults(as_of), DUPLICATE: F.col("_extra")}
-    reasons = F.array_compact(F.array(*[F.when(conditions[r], F.lit(r)) for r in RULES]))
-    return rejected.withColumn("reasons", reasons).drop("_extra")
 
 
-def _rejected_copies(copies: DataFrame, as_of: datetime) -> DataFrame:
+def _rejected_copies(copies: DataFrame, columns: list[str], usable: str) -> DataFrame:
     """Of rows with repeated ids: all but the kept ones, and kept ones with a fault.
 
     Equal copies are counted and the kept one is counted off. The rest is
     written out in parts of bounded size, so no task holds all copies of an id.
     ``_extra`` tells surplus copies from kept ones.
     """
-    columns = copies.columns
-    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    kept = _kept_copies(copies, as_of)
-    kept = kept.select(
-        *_kept_row(columns),
-        (-one).alias("_surplus"),
-        F.when(F.col("_kept._faulty"), one).otherwise(none).alias("_faulty"),
+    order = [f"NOT {usable} AS _faulty", *[f"v.{name} AS _{name}" for name in ORDER]]
+    row = ", ".join([*order, *[f"`{name}`" for name in columns]])
+    kept = (
+        copies.selectExpr("_id", f"struct({row}) AS _row")
+        .groupBy("_id")
+        .agg(F.min("_row").alias("_kept"))
+        .selectExpr(
+            *[f"_kept.`{name}`" for name in columns],
+            "-1L AS _surplus", "if(_kept._faulty, 1L, 0L) AS _faulty",
+        )
     )
     counted = (
-        copies.select(*columns, one.alias("_surplus"), none.alias("_faulty"))
+        copies.selectExpr(*columns, "1L AS _surplus", "0L AS _faulty")
         .unionByName(kept)
         .groupBy(*columns)
         .agg(F.sum("_surplus").alias("_surplus"), F.sum("_faulty").alias("_faulty"))
     )
-    kinds = F.array(
-        F.struct(F.lit(True).alias("_extra"), F.col("_surplus").alias("_n")),
-        F.struct(F.lit(False).alias("_extra"), F.col("_faulty").alias("_n")),
+    kinds = (
+        "inline(array(struct(true AS _extra, _surplus AS _n),"
+        " struct(false AS _extra, _faulty AS _n)))"
     )
-    return repeat_rows(counted.select(*columns, F.inline(kinds)).where(F.col("_n") > 0), "_n")
+    return repeat_rows(counted.selectExpr(*columns, kinds).where("_n > 0"), "_n")
 
 
 def repeat_rows(df: DataFrame, times: str, per_task: int = COPIES_PER_TASK) -> DataFrame:
     """Each row ``times`` times, large numbers divided among tasks."""
     columns = [name for name in df.columns if name != times]
-    last = F.floor((F.col(times) - 1) / per_task)
-    parts = df.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    share = F.least(F.lit(per_task), F.col(times) - F.col("_part") * per_task)
-    spread = parts.repartition(F.xxhash64(*columns), F.col("_part"))
-    return spread.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), share))
-    ).select(*columns)
+    part = f"explode(sequence(0L, ({times} - 1) DIV {per_task})) AS _part"
+    share = f"explode(sequence(1L, least({per_task}L, {times} - _part * {per_task}L))) AS _copy"
+    parts = df.selectExpr("*", part)
+    spread = parts.repartition(F.expr(f"xxhash64({', '.join(columns)})"), F.col("_part"))
+    return spread.selectExpr(*columns, share).drop("_copy")
 
 
 def reject_records(
@@ -182,22 +192,24 @@ def reject_records(
 
     Text that does not fit its type is E003, any other quality fault E004.
     """
-    first = F.col("reasons")[0]
-    category = F.create_map(*[F.lit(x) for r, (c, _) in RULES.items() for x in (r, c)])
-    wording = F.create_map(*[F.lit(x) for r, (_, w) in RULES.items() for x in (r, w)])
-    source = F.col("_source_file") if "_source_file" in rejected.columns else F.lit(None)
-    raw = F.to_json(F.struct(*RAW), {"ignoreNullFields": "false"})
-    unreadable = F.element_at(category, first) == "INVALID_FORMAT"
-    return rejected.select(
-        _text("transaction_id").alias("transaction_id"),
-        raw.alias("raw_data"),
-        F.element_at(wording, first).alias("rejection_reason"),
-        F.element_at(category, first).alias("rejection_category"),
-        F.when(unreadable, F.lit("E003")).otherwise(F.lit("E004")).alias("error_code"),
+    category = " ".join(f"WHEN '{r}' THEN '{kind}'" for r, (kind, _) in RULES.items())
+    wording = " ".join(f"WHEN '{r}' THEN '{text}'" for r, (_, text) in RULES.items())
+    source = "_source_file" if "_source_file" in rejected.columns else "CAST(NULL AS STRING)"
+    return rejected.selectExpr(
+        f"{_value('transaction_id')} AS transaction_id",
+        f"to_json(struct({', '.join(RAW)}), map('ignoreNullFields', 'false')) AS raw_data",
+        f"CASE reasons[0] {wording} END AS rejection_reason",
+        f"CASE reasons[0] {category} END AS rejection_category",
         "reasons",
-        source.cast("string").alias("source_file"),
-        F.lit(batch_id).alias("batch_id"),
-        moment(at).alias("rejected_timestamp"),
-        F.lit(source_system).alias("source_system"),
-        F.lit(job_date).alias("job_date"),
+        f"{source} AS source_file",
+    ).withColumns(
+        {
+            "error_code": F.expr(
+                "if(rejection_category = 'INVALID_FORMAT', 'E003', 'E004')"
+            ),
+            "batch_id": F.lit(batch_id),
+            "rejected_timestamp": moment(at),
+            "source_system": F.lit(source_system),
+            "job_date": F.lit(job_date),
+        }
     )

@@ -10,11 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from tillflow.functions.lineage import add_audit
 from tillflow.functions.sales import conform_amounts, derive_sales
 from tillflow.functions.text import cleanse, standardise
-from tillflow.functions.typing import typed_master, typed_sales
+from tillflow.functions.typing import typed_master
 from tillflow.operators.batches import choose_batch
 from tillflow.operators.enrich import enrich
-from tillflow.operators.masters import BROADCAST_BYTES, current_rows, hot_keys, planned_bytes
-from tillflow.operators.rejects import accepted_rows, reject_records, rejected_rows
+from tillflow.operators.masters import current_rows, fits_broadcast, hot_keys
+from tillflow.operators.rejects import (
+    accepted_sales,
+    reject_records,
+    rejected_rows,
+    typed_clean_sales,
+)
 from tillflow.plans.layers import Lake
 from tillflow.schemas import FACT_SALES, MASTER_KEYS, MASTER_TYPES
 from tillflow.sinks.tables import append, counted, replace_partitions, with_retry
@@ -23,25 +28,33 @@ from tillflow.sources.tables import rows_of
 SOURCE_SYSTEM = "tillflow"
 
 
-def prepare_masters(bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Typed, cleansed masters with one row per key, the latest landed."""
+def prepare_masters(
+    bronze: Mapping[str, DataFrame], unique: bool = False
+) -> dict[str, DataFrame]:
+    """Typed, cleansed masters with one row per key, the latest landed.
+
+    ``unique`` says that no key repeats in any of them, which saves the check.
+    """
     prepared = {}
     for name, rows in bronze.items():
-        latest = [c for c in ("_ingestion_timestamp",) if c in rows.columns]
-        newest = current_rows(rows, MASTER_KEYS[name], latest)
-        prepared[name] = cleanse(typed_master(newest, name))
+        master = cleanse(typed_master(rows, name))
+        if not unique:
+            stamped = "_ingestion_timestamp" in rows.columns
+            latest = ["_ingestion_timestamp"] if stamped else []
+            newest = current_rows(rows, MASTER_KEYS[name], latest)
+            master = cleanse(typed_master(newest, name))
+        prepared[name] = master
     return prepared
 
 
 def enriched_sales(
-    text_rows: DataFrame,
+    typed: DataFrame,
     masters: Mapping[str, DataFrame],
     hot: Mapping[str, DataFrame] | None = None,
     sizes: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Sales as text to sales with types, dates, money and master attributes."""
-    sales = derive_sales(typed_sales(cleanse(text_rows)))
-    return conform_amounts(enrich(sales, masters, hot, sizes))
+    """Typed sales with dates, money and master attributes."""
+    return conform_amounts(enrich(derive_sales(typed), masters, hot, sizes))
 
 
 def fact_rows(
@@ -80,11 +93,13 @@ def build_silver(
     sales = choose_batch(day, batch_id)
     tables = {name: spark.table(lake.bronze(name)) for name in MASTER_TYPES}
     hot = {
-        name: hot_keys(cleanse(sales), key)
+        name: hot_keys(typed_clean_sales(sales), key)
         for name, key in MASTER_KEYS.items()
-        if key in sales.columns and planned_bytes(tables[name]) > BROADCAST_BYTES
+        if key in sales.columns and not fits_broadcast(tables[name])
     }
-    enriched = enriched_sales(accepted_rows(sales, as_of), prepare_masters(tables), hot, tables)
+    enriched = enriched_sales(
+        accepted_sales(sales, as_of), prepare_masters(tables), hot, tables
+    )
     fact, accepted = counted(
         fact_rows(enriched, batch_id, job_date, source_system, at), "accepted"
     )

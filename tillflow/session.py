@@ -13,7 +13,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.ui.enabled": "false",
+    # Without this every column call also records where in Python it was made.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -77,9 +77,9 @@ def read_files(spark: SparkSession, feed: Feed, path: str) -> DataFrame:
     and long ones cut. JSON goes by the feed's contract, so that numbers stay
     the text they are in the file and no extra pass guesses types.
     """
-    reader = spark.read.option("mode", "PERMISSIVE").option("encoding", "UTF-8")
+    reader = spark.read.option("mode", "PERMISSIVE")
     if feed.kind == "csv":
-        files = reader.option("header", True).option("inferSchema", False).csv(path)
+        files = reader.csv(path, header=True, inferSchema=False, encoding="UTF-8")
     elif feed.kind == "json":
         files = reader.schema(feed_schema(feed.name)).json(path)
     elif feed.kind == "text":

@@ -22,6 +22,25 @@ def rows_of(
     return rows
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's size estimate of a DataFrame."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread_small(df: DataFrame, *by: str) -> DataFrame:
+    """A scan too small to occupy all cores, dealt out to them by hash.
+
+    Scans of at least one full split per core, so all large ones, stay as they
+    are and are not shuffled.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = 128 * 1024 * 1024
+    if planned_bytes(df) >= cores * split:
+        return df
+    return df.repartition(cores, *by)
+
+
 def query(spark: SparkSession, statement: str, **inputs: DataFrame) -> DataFrame:
     """Spark SQL in which each ``{name}`` stands for the DataFrame of that name."""
     return spark.sql(statement, **inputs)

@@ -7,57 +7,92 @@ so every rule of the library has rows to find.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillflow.sources.tables import spread_small
+
 # Sales after this moment count as future ones in the flawed sales.
 AS_OF = datetime(2001, 8, 1)
 
 
+# Stated so that opening a table reads no file.
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": (
+        "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+    ),
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": (
+        "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT,"
+        " p_retailprice DOUBLE"
+    ),
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+        " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,"
+        " l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,"
+        " l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE,"
+        " props STRING"
+    ),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _text(value: str) -> Column:
-    return F.expr(value).cast("string")
+def _texts(df: DataFrame, **columns: str) -> DataFrame:
+    """The named SQL expressions, each as text."""
+    return df.selectExpr(*[f"CAST({e} AS STRING) AS {name}" for name, e in columns.items()])
 
 
 def _sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with the customer of their order and the price of their part."""
-    lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority"
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS l_orderkey", "o_custkey", "o_orderpriority"
     )
-    parts = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
+    parts = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS l_partkey", "CAST(p_retailprice AS DECIMAL(10,2)) AS price"
     )
     return (
-        lines.join(parts, "l_partkey")
+        spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+        .join(parts, "l_partkey")
         .join(orders, "l_orderkey")
-        .withColumns(
-            {
-                "units": F.col("l_quantity").cast("int"),
-                "rate": F.col("l_discount").cast("decimal(4,2)"),
-                "tax": F.col("l_tax").cast("decimal(4,2)"),
-            }
+        .selectExpr(
+            "*",
+            "l_orderkey || '-' || l_linenumber AS line_id",
+            "CAST(l_quantity AS INT) AS units",
+            "CAST(l_discount AS DECIMAL(4,2)) AS rate",
+            "CAST(l_tax AS DECIMAL(4,2)) AS tax",
         )
     )
 
 
+DISCOUNT = "CAST(units * price * rate AS DECIMAL(10,2))"
+
+
 def pos_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean sales; a line's order and number make the transaction id."""
-    return _sale_lines(spark, sf_dir).select(
-        _text("l_orderkey || '-' || l_linenumber").alias("transaction_id"),
-        _text("o_custkey").alias("customer_id"),
-        _text("l_partkey").alias("product_id"),
-        _text("l_suppkey").alias("store_id"),
-        _text("units").alias("quantity"),
-        _text("price").alias("unit_price"),
-        _text("CAST(units * price * rate AS DECIMAL(10,2))").alias("discount_amount"),
-        _text("l_shipdate").alias("transaction_time"),
+    return _texts(
+        _sale_lines(spark, sf_dir),
+        transaction_id="line_id",
+        customer_id="o_custkey",
+        product_id="l_partkey",
+        store_id="l_suppkey",
+        quantity="units",
+        unit_price="price",
+        discount_amount=DISCOUNT,
+        transaction_time="l_shipdate",
     )
 
 
@@ -66,60 +101,61 @@ def flawed_pos_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Low-priority orders are guests: a fifth of all rows without a customer.
     """
-    return _sale_lines(spark, sf_dir).select(
-        _text(
-            "CASE WHEN tax = 0.08 AND rate = 0.10 THEN NULL"
-            " ELSE l_orderkey || '-' || l_linenumber END"
-        ).alias("transaction_id"),
-        _text(
+
+    def where(rate: str, tax: str, value: str) -> str:
+        return f"WHEN tax = {tax} AND rate = {rate} THEN {value}"
+
+    def otherwise(value: str) -> str:
+        return f"ELSE CAST({value} AS STRING) END"
+
+    return _texts(
+        _sale_lines(spark, sf_dir),
+        transaction_id=f"CASE {where('0.10', '0.08', 'NULL')} {otherwise('line_id')}",
+        customer_id=(
             "CASE WHEN o_orderpriority = '5-LOW' THEN NULL"
-            " WHEN tax = 0.01 AND rate = 0.10 THEN ' null ' ELSE o_custkey || ' ' END"
-        ).alias("customer_id"),
-        _text(
-            "CASE WHEN tax = 0.07 AND rate = 0.10 THEN 'Null' ELSE CAST(l_partkey AS STRING) END"
-        ).alias("product_id"),
-        _text("CASE WHEN tax = 0.02 AND rate = 0.10 THEN NULL ELSE l_suppkey END").alias(
-            "store_id"
+            f" {where('0.10', '0.01', repr(' null '))} ELSE o_custkey || ' ' END"
+        ),
+        product_id=f"CASE {where('0.10', '0.07', repr('Null'))} {otherwise('l_partkey')}",
+        store_id=f"CASE {where('0.10', '0.02', 'NULL')} {otherwise('l_suppkey')}",
+        quantity=(
+            f"CASE {where('0.10', '0.06', repr('0'))} {where('0.09', '0.06', repr('-1'))}"
+            f" {where('0.10', '0.05', repr('abc'))} {where('0.09', '0.05', 'NULL')}"
+            f" {otherwise('units')}"
         ),
-        _text(
-            "CASE WHEN tax = 0.06 AND rate = 0.10 THEN '0' WHEN tax = 0.06 AND rate = 0.09"
-            " THEN '-1' WHEN tax = 0.05 AND rate = 0.10 THEN 'abc'"
-            " WHEN tax = 0.05 AND rate = 0.09 THEN NULL ELSE CAST(units AS STRING) END"
-        ).alias("quantity"),
-        _text(
-            "CASE WHEN tax = 0.04 AND rate = 0.10 THEN '-0.01' WHEN tax = 0.04 AND rate = 0.09"
-            " THEN '0.00' ELSE CAST(price AS STRING) END"
-        ).alias("unit_price"),
-        _text(
-            "CASE WHEN rate = 0.00 THEN NULL ELSE CAST(units * price * rate AS DECIMAL(10,2)) END"
-        ).alias("discount_amount"),
-        _text(
-            "CASE WHEN tax = 0.03 AND rate = 0.10 THEN '2026-13-01'"
-            " WHEN tax = 0.03 AND rate = 0.09 THEN NULL ELSE CAST(l_shipdate AS STRING) END"
-        ).alias("transaction_time"),
-    )
-
-
-def product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        _text("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category_id"),
-        _text("CAST(p_retailprice AS DECIMAL(10,2))").alias("unit_price"),
-        F.lit(None).cast("string").alias("cost_price"),
-        F.col("p_brand").alias("supplier_id"),
+        unit_price=(
+            f"CASE {where('0.10', '0.04', repr('-0.01'))} {where('0.09', '0.04', repr('0.00'))}"
+            f" {otherwise('price')}"
+        ),
+        discount_amount=f"CASE WHEN rate = 0.00 THEN NULL {otherwise(DISCOUNT)}",
+        transaction_time=(
+            f"CASE {where('0.10', '0.03', repr('2026-13-01'))} {where('0.09', '0.03', 'NULL')}"
+            f" {otherwise('l_shipdate')}"
+        ),
+    )
+
+
+def product_master(spark: SparkSession, sf_dir: str, but_brand: str | None = None) -> DataFrame:
+    parts = table(spark, sf_dir, "part")
+    if but_brand:
+        parts = parts.where(F.col("p_brand") != but_brand)
+    return _texts(
+        parts,
+        product_id="p_partkey",
+        product_name="p_name",
+        category_id="p_type",
+        unit_price="CAST(p_retailprice AS DECIMAL(10,2))",
+        cost_price="NULL",
+        supplier_id="p_brand",
     )
 
 
 def category_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "part").select("p_type").distinct()
-        .select(
-            F.col("p_type").alias("category_id"),
-            _text("'Category ' || lower(p_type)").alias("category_name"),
-            F.lit("ALL").alias("parent_category_id"),
-            F.lit("1").alias("category_level"),
-        )
+    return _texts(
+        table(spark, sf_dir, "part").select("p_type").distinct(),
+        category_id="p_type",
+        category_name="'Category ' || lower(p_type)",
+        parent_category_id="'ALL'",
+        category_level="1",
     )
 
 
@@ -129,34 +165,34 @@ def customer_master(
     customers = table(spark, sf_dir, "customer")
     if but_segment:
         customers = customers.where(F.col("c_mktsegment") != but_segment)
-    return customers.select(
-        _text("c_custkey").alias("customer_id"),
-        _text("' ' || c_name || ' '").alias("customer_name"),
-        _text("c_name || '@Example.COM'").alias("email"),
-        _text("'090-' || c_nationkey || '-' || c_custkey").alias("phone"),
-        _text("CASE WHEN c_acctbal < 0 THEN 'unknown' ELSE (1950 + c_nationkey) || '-01-15' END")
-        .alias("birth_date"),
-        _text("CASE WHEN c_acctbal < 0 THEN 'NULL' ELSE 'f' END").alias("gender"),
-        F.lit("1994-12-31").alias("registration_date"),
+    return _texts(
+        customers,
+        customer_id="c_custkey",
+        customer_name="' ' || c_name || ' '",
+        email="c_name || '@Example.COM'",
+        phone="'090-' || c_nationkey || '-' || c_custkey",
+        birth_date=(
+            "CASE WHEN c_acctbal < 0 THEN 'unknown' ELSE (1950 + c_nationkey) || '-01-15' END"
+        ),
+        gender="CASE WHEN c_acctbal < 0 THEN 'NULL' ELSE 'f' END",
+        registration_date="'1994-12-31'",
     )
 
 
 def store_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation")
-    regions = table(spark, sf_dir, "region")
-    suppliers = table(spark, sf_dir, "supplier")
-    return (
-        suppliers.join(nations, suppliers.s_nationkey == nations.n_nationkey)
-        .join(regions, nations.n_regionkey == regions.r_regionkey)
-        .select(
-            _text("s_suppkey").alias("store_id"),
-            F.col("s_name").alias("store_name"),
-            F.col("r_name").alias("region"),
-            _text("CASE WHEN s_acctbal < 0 THEN 'unknown' ELSE '1990-06-01' END")
-            .alias("open_date"),
-            F.lit("street").alias("store_type"),
-            F.lit(None).cast("string").alias("manager_name"),
-        )
+    suppliers, nations, regions = (
+        table(spark, sf_dir, name) for name in ("supplier", "nation", "region")
+    )
+    return _texts(
+        suppliers.join(nations, F.expr("s_nationkey = n_nationkey")).join(
+            regions, F.expr("n_regionkey = r_regionkey")
+        ),
+        store_id="s_suppkey",
+        store_name="s_name",
+        region="r_name",
+        open_date="CASE WHEN s_acctbal < 0 THEN 'unknown' ELSE '1990-06-01' END",
+        store_type="'street'",
+        manager_name="NULL",
     )
 
 
@@ -167,84 +203,86 @@ def store_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def retail_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order date; ship dates run past the last of them."""
-    days = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
-    return days.select(
-        _text("d").alias("date"),
-        _text("year(d)").alias("year"),
-        _text("month(d)").alias("month"),
-        _text("day(d)").alias("day"),
-        _text("dayofweek(d)").alias("day_of_week"),
-        _text("CASE WHEN month(d) < 4 THEN year(d) - 1 ELSE year(d) END").alias("fiscal_year"),
-        F.lit("Q1").alias("fiscal_quarter"),
-        _text("month(d) >= 11").alias("is_retail_peak"),
+    return _texts(
+        table(spark, sf_dir, "orders").selectExpr("to_date(o_orderdate) AS d").distinct(),
+        date="d",
+        year="year(d)",
+        month="month(d)",
+        day="day(d)",
+        day_of_week="dayofweek(d)",
+        fiscal_year="CASE WHEN month(d) < 4 THEN year(d) - 1 ELSE year(d) END",
+        fiscal_quarter="quarter(add_months(d, -3))",
+        is_retail_peak="month(d) >= 11",
     )
 
 
 def inventory_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed stock per product and store."""
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("store_id"))
-        .agg(
-            F.sum(F.col("l_quantity").cast("bigint")).alias("quantity_on_hand"),
-            F.count("*").alias("quantity_reserved"),
-            F.to_date(F.max("l_shipdate")).alias("last_updated"),
-        )
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_partkey AS product_id", "l_suppkey AS store_id",
+        "CAST(l_quantity AS BIGINT) AS units", "to_date(l_shipdate) AS shipped",
+    )
+    return lines.groupBy("product_id", "store_id").agg(
+        F.sum("units").alias("quantity_on_hand"),
+        F.count("*").alias("quantity_reserved"),
+        F.max("shipped").alias("last_updated"),
     )
 
 
 def online_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with real numbers, as the JSON extract writes them."""
-    lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderpriority"
-    )
-    return lines.join(orders, "l_orderkey").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
-        F.col("l_discount").cast("decimal(4,2)").alias("discount"),
-        F.to_date("o_orderdate").alias("order_timestamp"),
-        F.col("o_orderpriority").alias("payment_method"),
-        F.lit(None).cast("string").alias("shipping_address"),
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    return table(spark, sf_dir, "lineitem").join(orders, "l_orderkey").selectExpr(
+        "l_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "l_partkey AS product_id",
+        "CAST(l_quantity AS INT) AS quantity",
+        "CAST(l_extendedprice AS DECIMAL(12,2)) AS price",
+        "CAST(l_discount AS DECIMAL(4,2)) AS discount",
+        "to_date(o_orderdate) AS order_timestamp",
+        "o_orderpriority AS payment_method",
+        "CAST(NULL AS STRING) AS shipping_address",
     )
 
 
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as log lines: errors have no page, sign-ups only a timestamp."""
-    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
-    ip = F.concat(F.lit(" ip=10.0.0."), F.col("user_id"), F.lit(" user_id="), F.col("user_id"))
-    action = F.concat(F.lit(" action="), F.col("event_type"))
-    line = (
-        F.when(F.col("event_type") == "signup", stamp)
-        .when(F.col("event_type") == "error", F.concat(stamp, F.lit(" ERROR"), ip, action))
-        .otherwise(
-            F.concat(
-                stamp, F.lit(" INFO"), ip, F.lit(" page=/shop/"), F.col("event_type"), action
-            )
-        )
+    who = "' ip=10.0.0.' || user_id || ' user_id=' || user_id"
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_type", f"{who} AS who",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") AS stamp",
+    )
+    return _texts(
+        events,
+        value=(
+            "CASE WHEN event_type = 'signup' THEN stamp"
+            " WHEN event_type = 'error' THEN stamp || ' ERROR' || who || ' action=error'"
+            " ELSE stamp || ' INFO' || who || ' page=/shop/' || event_type"
+            " || ' action=' || event_type END"
+        ),
     )
-    return table(spark, sf_dir, "events").select(line.alias("value"))
 
 
-def flawed_masters(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Masters that lack one brand, one market segment, one region and one category."""
-    return {
-        "product_master": product_master(spark, sf_dir).where(F.col("supplier_id") != "Brand#7"),
-        "category_master": category_master(spark, sf_dir).where(F.col("category_id") != "PROMO"),
-        "customer_master": customer_master(spark, sf_dir, but_segment="MACHINERY"),
-        "store_master": store_master(spark, sf_dir).where(F.col("region") != "ASIA"),
-        "retail_calendar": retail_calendar(spark, sf_dir),
+def clean_masters(
+    spark: SparkSession, sf_dir: str, needed: Iterable[str] = ()
+) -> dict[str, DataFrame]:
+    """The masters needed, or all."""
+    masters = {
+        "product_master": product_master,
+        "category_master": category_master,
+        "customer_master": customer_master,
+        "store_master": store_master,
+        "retail_calendar": retail_calendar,
     }
+    return {name: masters[name](spark, sf_dir) for name in needed or masters}
 
 
-def clean_masters(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def flawed_masters(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Masters that lack one brand, one market segment, one region and one category."""
     return {
-        "product_master": product_master(spark, sf_dir),
-        "category_master": category_master(spark, sf_dir),
-        "customer_master": customer_master(spark, sf_dir),
-        "store_master": store_master(spark, sf_dir),
+        "product_master": product_master(spark, sf_dir, but_brand="Brand#7"),
+        "category_master": category_master(spark, sf_dir).where("category_id <> 'PROMO'"),
+        "customer_master": customer_master(spark, sf_dir, but_segment="MACHINERY"),
+        "store_master": store_master(spark, sf_dir).where("region <> 'ASIA'"),
         "retail_calendar": retail_calendar(spark, sf_dir),
     }

@@ -221,12 +221,17 @@ def _reasons(but: str | None = None) -> str:
 
 
 _RAW_ORDER = ", ".join(f"raw_{c} NULLS FIRST" for c in _POS_COLUMNS)
+_VALUE_ORDER = """
+customer_id NULLS FIRST, product_id NULLS FIRST, store_id NULLS FIRST,
+TRY_CAST(quantity AS INTEGER) NULLS FIRST, TRY_CAST(unit_price AS DECIMAL(10,2)) NULLS FIRST,
+TRY_CAST(discount_amount AS DECIMAL(10,2)) NULLS FIRST"""
 PARTS["judged"] = f"""
 SELECT *, {_reasons()} AS reasons
 FROM (
   SELECT *, row_number() OVER (
     PARTITION BY transaction_id
-    ORDER BY faults <> '', TRY_CAST(transaction_time AS TIMESTAMP) NULLS FIRST, {_RAW_ORDER}
+    ORDER BY faults <> '', TRY_CAST(transaction_time AS TIMESTAMP) NULLS FIRST,
+             {_VALUE_ORDER}, {_RAW_ORDER}
   ) AS copy
   FROM (SELECT *, {_reasons("R6_DUPLICATE_ID")} AS faults FROM cleansed)
 )

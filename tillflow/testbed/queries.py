@@ -19,7 +19,7 @@ from tillflow.operators.audit import audit_row, batch_counts
 from tillflow.operators.batches import choose_batch
 from tillflow.operators.enrich import enrich
 from tillflow.operators.masters import current_rows, hot_keys
-from tillflow.operators.rejects import accepted_rows, reject_records, rejected_rows
+from tillflow.operators.rejects import accepted_sales, reject_records, rejected_rows
 from tillflow.plans.silver import enriched_sales, fact_rows, prepare_masters
 from tillflow.schemas import MASTER_KEYS, SALES_TYPES
 from tillflow.session import workspace
@@ -324,12 +324,15 @@ def columns_as_text(spark, sf_dir):
 # ---- silver: joins -----------------------------------------------------------
 
 
-def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All clean sales with all masters, repeated ids included."""
-    masters = prepare_masters(I.clean_masters(spark, sf_dir))
-    return enriched_sales(
-        I.pos_transactions(spark, sf_dir), masters, sizes=_sizes(spark, sf_dir)
-    )
+def _fact(spark: SparkSession, sf_dir: str, *needed: str) -> DataFrame:
+    """All clean sales, repeated ids included, with all masters or those needed.
+
+    Spark cannot know that a left join with unique keys may be left out when
+    none of its columns are used, so summaries name the masters they read.
+    """
+    masters = prepare_masters(I.clean_masters(spark, sf_dir, needed), unique=True)
+    sales = typed_sales(I.pos_transactions(spark, sf_dir))
+    return enriched_sales(sales, masters, sizes=_sizes(spark, sf_dir))
 
 
 def _sizes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -339,8 +342,8 @@ def _sizes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def _accepted_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flawed sales after rejection, with masters that lack some keys."""
     masters = prepare_masters(I.flawed_masters(spark, sf_dir))
-    text = accepted_rows(I.flawed_pos_transactions(spark, sf_dir), I.AS_OF)
-    return enriched_sales(text, masters, sizes=_sizes(spark, sf_dir))
+    sales = accepted_sales(I.flawed_pos_transactions(spark, sf_dir), I.AS_OF)
+    return enriched_sales(sales, masters, sizes=_sizes(spark, sf_dir))
 
 
 _FACT_COLUMNS = """
@@ -357,7 +360,8 @@ def sales_enriched(spark, sf_dir):
 
 
 @registered("""
-SELECT d.transaction_id, d.customer_id, c.customer_name, s.store_name, s.region AS store_region
+SELECT d.transaction_id, d.customer_id, c.customer_name, d.store_id, s.store_name,
+       s.region AS store_region
 FROM (SELECT transaction_id, customer_id, store_id FROM cleansed) d
 LEFT JOIN some_customers c ON c.customer_id = d.customer_id
 LEFT JOIN stores s ON s.store_id = d.store_id
@@ -494,9 +498,10 @@ def sales_one_per_id(spark, sf_dir):
     return Q.one_per_key(I.flawed_pos_transactions(spark, sf_dir), "transaction_id")
 
 
-@registered(f"SELECT {', '.join(f'raw_{c} AS {c}' for c in SALES_TYPES)} FROM accepted_text")
+@registered("SELECT * FROM accepted_typed")
 def sales_accepted(spark, sf_dir):
-    return accepted_rows(I.flawed_pos_transactions(spark, sf_dir), I.AS_OF)
+    sales = accepted_sales(I.flawed_pos_transactions(spark, sf_dir), I.AS_OF)
+    return _wall_clock(sales, "transaction_time")
 
 
 _WORDING = """
@@ -584,7 +589,7 @@ def audit_counts(spark, sf_dir):
     text = I.flawed_pos_transactions(spark, sf_dir)
     batch = F.lit("b1").alias("batch_id")
     counts = batch_counts(
-        accepted_rows(text, I.AS_OF).select(batch), rejected_rows(text, I.AS_OF).select(batch)
+        accepted_sales(text, I.AS_OF).select(batch), rejected_rows(text, I.AS_OF).select(batch)
     )
     row = audit_row(
         counts, "2001-08-01", "daily_sales", "test",
@@ -598,17 +603,17 @@ def audit_counts(spark, sf_dir):
 
 @registered("SELECT * FROM daily_summary")
 def gold_daily_sales(spark, sf_dir):
-    return G.daily_sales(_fact(spark, sf_dir))
+    return G.daily_sales(_fact(spark, sf_dir, "retail_calendar"))
 
 
 @registered("SELECT * FROM customer_summary")
 def gold_customer_metrics(spark, sf_dir):
-    return G.customer_metrics(_fact(spark, sf_dir))
+    return G.customer_metrics(_fact(spark, sf_dir, "customer_master"))
 
 
 @registered("SELECT * FROM product_summary")
 def gold_product_metrics(spark, sf_dir):
-    return G.product_metrics(_fact(spark, sf_dir))
+    return G.product_metrics(_fact(spark, sf_dir, "product_master"))
 
 
 @registered("SELECT * FROM category_summary")
@@ -617,7 +622,7 @@ def gold_category_metrics(spark, sf_dir):
 
 
 def _categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = _fact(spark, sf_dir)
+    fact = _fact(spark, sf_dir, "product_master")
     return G.revenue_share(G.category_metrics(fact), fact)
 
 
@@ -628,7 +633,7 @@ SELECT CAST(SUM(amount) AS DECIMAL(28,2)) AS total_sales,
 FROM fact
 """)
 def gold_totals(spark, sf_dir):
-    return G.grand_totals(_fact(spark, sf_dir))
+    return G.grand_totals(_fact(spark, sf_dir, "retail_calendar"))
 
 
 @registered("SELECT COUNT(*) AS row_count FROM fact")
@@ -668,22 +673,22 @@ FROM daily_products
 WINDOW w AS (PARTITION BY product_id ORDER BY transaction_date)
 """)
 def product_demand_features(spark, sf_dir):
-    return G.demand_features(_fact(spark, sf_dir))
+    return G.demand_features(_fact(spark, sf_dir, "product_master"))
 
 
 # ---- dashboard ---------------------------------------------------------------
 
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.daily_sales(_fact(spark, sf_dir))
+    return G.daily_sales(_fact(spark, sf_dir, "retail_calendar"))
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.customer_metrics(_fact(spark, sf_dir))
+    return G.customer_metrics(_fact(spark, sf_dir, "customer_master"))
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.product_metrics(_fact(spark, sf_dir))
+    return G.product_metrics(_fact(spark, sf_dir, "product_master"))
 
 
 _TOTAL = "SELECT CAST(SUM(total_sales) AS DECIMAL(38,2)) AS total_sales FROM daily_summary"
@@ -836,7 +841,7 @@ GROUP BY job_date
 def sink_silver_evolving(spark, sf_dir):
     """A column the first write did not have; its old rows read as NULL."""
     table = f"{_layer(spark, 'silver')}.fact"
-    rows = _fact(spark, sf_dir).select(
+    rows = _fact(spark, sf_dir, "retail_calendar").select(
         "transaction_id", "amount", "customer_id",
         F.col("transaction_year").cast("string").alias("job_date"),
     )
@@ -865,7 +870,7 @@ def sink_append(spark, sf_dir):
     table = f"{_layer(spark, 'appended')}.daily"
     rows = _daily(spark, sf_dir)
     replace_table(rows, table)
-    append(spark.table(table), table) if False else append(rows, table)
+    append(rows, table)
     return spark.table(table)
 
 
