@@ -22,7 +22,7 @@ from tillflow.operators.rejects import (
 )
 from tillflow.plans.layers import Lake
 from tillflow.schemas import FACT_SALES, MASTER_KEYS, MASTER_TYPES
-from tillflow.sinks.tables import append, counted, replace_partitions, with_retry
+from tillflow.sinks.tables import append, counted, replace_partitions, rows_seen, with_retry
 from tillflow.sources.tables import rows_of
 
 SOURCE_SYSTEM = "tillflow"
@@ -107,7 +107,7 @@ def build_silver(
     bad, rejected = counted(bad, "rejected")
     replace_day(fact, lake.fact, job_date)
     replace_day(bad, lake.rejects, job_date)
-    return accepted.get["rows"], rejected.get["rows"]
+    return rows_seen(accepted), rows_seen(rejected)
 
 
 def replace_day(rows: DataFrame, table: str, job_date: str) -> None:

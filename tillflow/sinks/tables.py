@@ -98,6 +98,15 @@ def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def rows_seen(seen: Observation) -> int:
+    """The count after a successful write."""
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:
+        # Adaptive execution drops a plan it finds empty, and the count with it.
+        return 0
+
+
 def with_retry(write: Callable[[], None], attempts: int = 3, wait: float = 1.0) -> None:
     """Repeat a failed write; only for writes that may safely run again."""
     for attempt in range(1, attempts + 1):
