@@ -1,10 +1,12 @@
 import random
+from datetime import datetime
 
 from conftest import rows
 
 from tillflow.operators.batches import choose_batch
 from tillflow.operators.enrich import enrich
 from tillflow.operators.masters import attach, current_rows, hot_keys
+from tillflow.plans.silver import prepare_masters
 
 
 def sales(spark, n=900):
@@ -54,6 +56,17 @@ def test_current_rows(spark):
     assert rows(current_rows(df, "k", ["at"])) == [("a", 2, "y"), ("b", 1, None)]
 
 
+def test_keys_that_differ_in_blanks_are_one(spark):
+    products = spark.createDataFrame(
+        [("p1", "Old", "g", "1", datetime(2026, 1, 1)), (" p1 ", "New", "g", "1", datetime(2026, 2, 1))],
+        "product_id STRING, product_name STRING, category_id STRING, unit_price STRING,"
+        " _ingestion_timestamp TIMESTAMP",
+    )
+    found = prepare_masters({"product_master": products})["product_master"]
+    assert [(r.product_id, r.product_name) for r in found.collect()] == [("p1", "New")]
+    assert "_ingestion_timestamp" not in found.columns
+
+
 def test_unknown_keys_are_kept_and_flagged(spark):
     left = spark.createDataFrame(
         [("t1", "p1", "c1"), ("t2", "p9", None), ("t3", "p1", "c9")],

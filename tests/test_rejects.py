@@ -4,6 +4,7 @@ from datetime import datetime
 
 from conftest import pos, rows, sale
 
+from tillflow.operators import masters as M
 from tillflow.operators.audit import audit_row, batch_counts, recent_runs
 from tillflow.operators.quality import (
     field_checks,
@@ -18,8 +19,10 @@ from tillflow.operators.rejects import (
     reject_records,
     rejected_rows,
     repeat_rows,
+    repeated_ids,
     typed_clean_sales,
 )
+from tillflow.sinks.tables import written
 
 AS_OF = datetime(2026, 7, 11)
 
@@ -88,7 +91,7 @@ def test_all_copies_faulty(spark):
     }
 
 
-def test_every_row_ends_in_one_side_with_one_id_holding_a_third(spark):
+def test_every_row_ends_in_one_side_with_one_id_holding_a_third(spark, tmp_path, monkeypatch):
     draw = random.Random(7)
     lines = [sale("hot", price="5")] * 400
     lines += [sale("hot", price=str(draw.randint(1, 50))) for _ in range(100)]
@@ -105,6 +108,14 @@ def test_every_row_ends_in_one_side_with_one_id_holding_a_third(spark):
     bronze = pos(spark, *lines)
     accepted = accepted_sales(bronze, AS_OF).collect()
     rejected = rejected_rows(bronze, AS_OF)
+    listed = written(repeated_ids(bronze), str(tmp_path / "ids"))
+    assert rows(accepted_sales(bronze, AS_OF, listed)) == rows(accepted_sales(bronze, AS_OF))
+    settled = rejected_rows(
+        bronze, AS_OF, listed, lambda df: written(df, str(tmp_path / "suspects"))
+    )
+    assert rows(settled) == rows(rejected)
+    monkeypatch.setattr(M, "fits_broadcast", lambda *_: False)
+    assert rows(rejected_rows(bronze, AS_OF, listed)) == rows(settled)
     bad = [tuple(row)[:8] for row in rejected.collect()]
     assert len(accepted) + len(bad) == len(lines)
     assert not Counter(bad) - Counter(lines)

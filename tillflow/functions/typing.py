@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -22,9 +22,11 @@ def typed_sales(bronze: DataFrame) -> DataFrame:
     return bronze.selectExpr(*typed_columns(SALES_TYPES))
 
 
-def typed_master(bronze: DataFrame, master: str) -> DataFrame:
-    """The columns of one master that silver uses, in their real types."""
-    return with_current_names(bronze, master).selectExpr(*typed_columns(MASTER_TYPES[master]))
+def typed_master(bronze: DataFrame, master: str, kept: Iterable[str] = ()) -> DataFrame:
+    """The columns of one master that silver uses, in their real types, and those kept."""
+    return with_current_names(bronze, master).selectExpr(
+        *typed_columns(MASTER_TYPES[master]), *kept
+    )
 
 
 def with_current_names(df: DataFrame, feed: str) -> DataFrame:

@@ -91,23 +91,29 @@ def orphans(rows: DataFrame, master: DataFrame, key: str, skip_null: bool = Fals
 
 
 def orphan_counts(sales: DataFrame, masters: Mapping[str, DataFrame]) -> DataFrame:
-    """Unknown key values per reference, guests not counted as unknown customers."""
-    found = [
-        orphans(sales, masters[name], key, skip_null=key == "customer_id")
-        .agg(F.count("*").alias("failed_rows"))
-        .select(F.lit("orphan").alias("check"), F.lit(key).alias("field"), "failed_rows")
-        for key, name in SALES_REFERENCES.items()
-        if name in masters
-    ]
+    """Unknown key values per reference, guests not counted as unknown customers.
+
+    All keys of the sales are taken in one pass and made distinct before the
+    join; the key values of all masters are joined at once.
+    """
+    references = {key: name for key, name in SALES_REFERENCES.items() if name in masters}
+    pairs = ", ".join(f"'{key}', {key}" for key in references)
+    used = sales.selectExpr(f"stack({len(references)}, {pairs}) AS (field, key)")
+    used = used.where("field <> 'customer_id' OR key IS NOT NULL")
     if "product_master" in masters and "category_master" in masters:
-        found.append(
-            orphans(masters["product_master"], masters["category_master"], "category_id")
-            .agg(F.count("*").alias("failed_rows"))
-            .select(
-                F.lit("orphan").alias("check"), F.lit("category_id").alias("field"), "failed_rows"
-            )
+        references["category_id"] = "category_master"
+        used = used.unionByName(
+            masters["product_master"].selectExpr("'category_id' AS field", "category_id AS key")
         )
-    return reduce(DataFrame.unionByName, found)
+    known = [
+        masters[name].selectExpr(f"'{key}' AS field", f"{key} AS key")
+        for key, name in references.items()
+    ]
+    unknown = used.distinct().join(
+        reduce(DataFrame.unionByName, known), ["field", "key"], "left_anti"
+    )
+    counts = unknown.agg(*[F.count_if(F.col("field") == key).alias(key) for key in references])
+    return _report(counts, [("orphan", key, key) for key in references])
 
 
 def quality_report(sales: DataFrame, masters: Mapping[str, DataFrame]) -> DataFrame:

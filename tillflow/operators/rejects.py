@@ -7,6 +7,7 @@ without another fault first, then the earliest, then the least by all values.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tillflow.functions.lineage import moment
 from tillflow.functions.text import without_null_text
+from tillflow.operators.masters import attach, fits_broadcast
 from tillflow.schemas import FEED_COLUMNS, SALES_TYPES
 
 # Rule, category and wording, in order of precedence.
@@ -90,19 +92,58 @@ def typed_clean_sales(bronze: DataFrame) -> DataFrame:
     return bronze.selectExpr(*[f"{_value(name)} AS {name}" for name in RAW])
 
 
-def accepted_sales(bronze: DataFrame, as_of: datetime) -> DataFrame:
+def repeated_ids(bronze: DataFrame) -> DataFrame:
+    """The transaction ids, as ``_id``, that more than one row has.
+
+    Only ids are shuffled, combined beforehand.
+    """
+    ids = bronze.selectExpr(f"{_value('transaction_id')} AS _id").where("_id IS NOT NULL")
+    return ids.groupBy("_id").agg(F.count("*").alias("_n")).where("_n > 1").select("_id")
+
+
+def _flag_repeated(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows with an ``_id``, and ``_repeats`` telling whether it is a repeated one.
+
+    A long list is joined by shuffle, rows without an id spread by their other
+    values. Adaptive execution divides the partition of an id with very many
+    rows, as it may for the larger side of a left join.
+    """
+    others = ", ".join(name for name in RAW if name != "transaction_id")
+    return attach(rows, repeated, "_id", {}, spread_by=others, found="_repeats")
+
+
+def accepted_sales(
+    bronze: DataFrame, as_of: datetime, repeated: DataFrame | None = None
+) -> DataFrame:
     """The sales without fault, typed, one per transaction id.
 
+    ``repeated``, the written result of ``repeated_ids``, saves the shuffle of
+    all rows when it is small enough to broadcast: then only rows of repeated
+    ids are grouped. Without it, or beyond that size, all rows are.
+    """
+    faulty = f"NOT {_usable(as_of)}"
+    sales = typed_clean_sales(bronze)
+    if repeated is None or not fits_broadcast(repeated):
+        return _one_per_id(sales, faulty)
+    flagged = _flag_repeated(sales.selectExpr("*", "transaction_id AS _id"), repeated)
+    # As one condition over both sides of the join, it is judged once, after it.
+    fit = f"CASE WHEN _repeats THEN false ELSE NOT {faulty} END"
+    single = flagged.where(fit).select(*RAW)
+    return single.unionByName(_one_per_id(flagged.where("_repeats").select(*RAW), faulty))
+
+
+def _one_per_id(sales: DataFrame, faulty: str) -> DataFrame:
+    """The usable sale of each id that has one.
+
     Copies combine before the shuffle, so an id with very many of them costs one
     row per map task. All values are in the order: copies that tie are the same
     sale. Faults are part of the order and filtered afterwards, so that the
     values are read from the text once; pushed below the typing, the filter
     would read them all again.
     """
-    row = f"struct(NOT {_usable(as_of)} AS _faulty, {', '.join(ORDER)}) AS _row"
+    row = f"struct({faulty} AS _faulty, {', '.join(ORDER)}) AS _row"
     return (
-        typed_clean_sales(bronze)
-        .selectExpr("transaction_id AS _id", row)
+        sales.selectExpr("transaction_id AS _id", row)
         .where("_id IS NOT NULL")
         .groupBy("_id")
         .agg(F.min("_row").alias("_kept"))
@@ -111,43 +152,47 @@ def accepted_sales(bronze: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def rejected_rows(bronze: DataFrame, as_of: datetime) -> DataFrame:
+def rejected_rows(
+    bronze: DataFrame,
+    as_of: datetime,
+    repeated: DataFrame | None = None,
+    settle: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
     """The bronze rows with a fault or a repeated id, with ``reasons``.
 
-    Only the ids of all rows are shuffled, to find the repeated ones. Faulty
-    rows with an id of their own, or none, are a filter; only rows of repeated
-    ids are looked at together.
+    ``repeated`` is the result of ``repeated_ids``; written to a table first, its
+    size is known and it is broadcast when small, so that only the rows in
+    question are shuffled. These are read three times: ``settle``, which writes
+    them to a table, saves two more passes over the bronze rows.
     """
     columns = bronze.columns
-    ids = bronze.selectExpr(f"{_value('transaction_id')} AS _id").where("_id IS NOT NULL")
-    repeated = ids.groupBy("_id").agg(F.count("*").alias("_n")).where("_n > 1").select("_id")
-
     values = ", ".join(f"{_value(name)} AS {name}" for name in RAW)
     judged = bronze.selectExpr("*", f"struct({values}) AS v").selectExpr(
-        "*", "v.transaction_id AS _id"
+        *columns, "v.transaction_id AS _id", f"{_usable(as_of, 'v.')} AS _usable"
     )
-    usable = _usable(as_of, "v.")
-    faulty = judged.where(f"NOT {usable}")
-    single = faulty.join(repeated, "_id", "left_anti").selectExpr(*columns)
-    named = judged.where("_id IS NOT NULL")
-    copies = named.join(repeated, "_id", "left_semi")
-    rejected = single.selectExpr("*", "false AS _extra").unionByName(
-        _rejected_copies(copies, columns, usable)
+    listed = repeated_ids(bronze) if repeated is None else repeated
+    suspects = settle(
+        _flag_repeated(judged, listed)
+        .where("_repeats OR NOT _usable")
+        .select(*columns, "_id", "_usable", "_repeats")
     )
+    single = suspects.where("NOT _repeats").selectExpr(*columns, "false AS _extra")
+    copies = suspects.where("_repeats")
+    rejected = single.unionByName(_rejected_copies(copies, columns))
     cases = [f"CASE WHEN {rule} THEN '{name}' END" for name, rule in _faults(as_of).items()]
     return rejected.selectExpr("*", f"struct({values}) AS v").selectExpr(
         *columns, f"array_compact(array({', '.join(cases)})) AS reasons"
     )
 
 
-def _rejected_copies(copies: DataFrame, columns: list[str], usable: str) -> DataFrame:
+def _rejected_copies(copies: DataFrame, columns: list[str]) -> DataFrame:
     """Of rows with repeated ids: all but the kept ones, and kept ones with a fault.
 
     Equal copies are counted and the kept one is counted off. The rest is
     written out in parts of bounded size, so no task holds all copies of an id.
     ``_extra`` tells surplus copies from kept ones.
     """
-    order = [f"NOT {usable} AS _faulty", *[f"v.{name} AS _{name}" for name in ORDER]]
+    order = ["NOT _usable AS _faulty", *[f"{_value(name)} AS _{name}" for name in ORDER]]
     row = ", ".join([*order, *[f"`{name}`" for name in columns]])
     kept = (
         copies.selectExpr("_id", f"struct({row}) AS _row")

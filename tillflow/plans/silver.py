@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tillflow.functions.lineage import add_audit
 from tillflow.functions.sales import conform_amounts, derive_sales
@@ -18,11 +18,20 @@ from tillflow.operators.rejects import (
     accepted_sales,
     reject_records,
     rejected_rows,
+    repeated_ids,
     typed_clean_sales,
 )
 from tillflow.plans.layers import Lake
 from tillflow.schemas import FACT_SALES, MASTER_KEYS, MASTER_TYPES
-from tillflow.sinks.tables import append, counted, replace_partitions, rows_seen, with_retry
+from tillflow.session import workspace
+from tillflow.sinks.tables import (
+    append,
+    counted,
+    replace_partitions,
+    rows_seen,
+    with_retry,
+    written,
+)
 from tillflow.sources.tables import rows_of
 
 SOURCE_SYSTEM = "tillflow"
@@ -37,12 +46,11 @@ def prepare_masters(
     """
     prepared = {}
     for name, rows in bronze.items():
-        master = cleanse(typed_master(rows, name))
+        stamp = [c for c in ("_ingestion_timestamp",) if c in rows.columns and not unique]
+        master = cleanse(typed_master(rows, name, stamp))
         if not unique:
-            stamped = "_ingestion_timestamp" in rows.columns
-            latest = ["_ingestion_timestamp"] if stamped else []
-            newest = current_rows(rows, MASTER_KEYS[name], latest)
-            master = cleanse(typed_master(newest, name))
+            # Keys are compared as cleansed, and only the columns in use are moved.
+            master = current_rows(master, MASTER_KEYS[name], stamp).drop(*stamp)
         prepared[name] = master
     return prepared
 
@@ -97,24 +105,36 @@ def build_silver(
         for name, key in MASTER_KEYS.items()
         if key in sales.columns and not fits_broadcast(tables[name])
     }
+    def settle(rows: DataFrame) -> DataFrame:
+        return written(rows, workspace(spark, "silver") + "/rows")
+
+    repeated = settle(repeated_ids(sales))
     enriched = enriched_sales(
-        accepted_sales(sales, as_of), prepare_masters(tables), hot, tables
+        accepted_sales(sales, as_of, repeated), prepare_masters(tables), hot, tables
     )
     fact, accepted = counted(
         fact_rows(enriched, batch_id, job_date, source_system, at), "accepted"
     )
-    bad = reject_records(rejected_rows(sales, as_of), batch_id, job_date, source_system, at)
+    bad = rejected_rows(sales, as_of, repeated, settle)
+    bad = reject_records(bad, batch_id, job_date, source_system, at)
     bad, rejected = counted(bad, "rejected")
-    replace_day(fact, lake.fact, job_date)
-    replace_day(bad, lake.rejects, job_date)
-    return rows_seen(accepted), rows_seen(rejected)
+    return (
+        replace_day(fact, accepted, lake.fact, job_date),
+        replace_day(bad, rejected, lake.rejects, job_date),
+    )
 
 
-def replace_day(rows: DataFrame, table: str, job_date: str) -> None:
-    """Overwrite one day of a table, also when the new day has no rows."""
-    spark = rows.sparkSession
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (job_date = '{job_date}')")
+def replace_day(rows: DataFrame, seen: Observation, table: str, job_date: str) -> int:
+    """Overwrite one day of a table, also when the new day has no rows.
+
+    An overwrite without rows names no partition, so the old day is dropped then.
+    """
     with_retry(lambda: replace_partitions(rows, table, evolve=True))
+    count = rows_seen(seen)
+    if not count:
+        day = f"ALTER TABLE {table} DROP IF EXISTS PARTITION (job_date = '{job_date}')"
+        rows.sparkSession.sql(day)
+    return count
 
 
 def log_run(row: DataFrame, lake: Lake) -> None:

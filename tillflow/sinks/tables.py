@@ -92,6 +92,15 @@ def replace_table(df: DataFrame, table: str) -> None:
     df.hint("rebalance").write.mode("overwrite").format(FORMAT).saveAsTable(table)
 
 
+def written(df: DataFrame, folder: str) -> DataFrame:
+    """``df`` written to a shared folder and read from there.
+
+    Cuts the lineage, survives lost executors, and tells the planner the size.
+    """
+    df.write.format(FORMAT).save(folder)
+    return df.sparkSession.read.schema(df.schema).format(FORMAT).load(folder)
+
+
 def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     """``df`` and its row count, taken during the write that follows."""
     seen = Observation(name)

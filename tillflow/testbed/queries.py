@@ -19,7 +19,12 @@ from tillflow.operators.audit import audit_row, batch_counts
 from tillflow.operators.batches import choose_batch
 from tillflow.operators.enrich import enrich
 from tillflow.operators.masters import current_rows, hot_keys
-from tillflow.operators.rejects import accepted_sales, reject_records, rejected_rows
+from tillflow.operators.rejects import (
+    accepted_sales,
+    reject_records,
+    rejected_rows,
+    repeated_ids,
+)
 from tillflow.plans.silver import enriched_sales, fact_rows, prepare_masters
 from tillflow.schemas import MASTER_KEYS, SALES_TYPES
 from tillflow.session import workspace
@@ -30,9 +35,10 @@ from tillflow.sinks.tables import (
     create_table,
     replace_partitions,
     replace_table,
+    written,
 )
 from tillflow.sources.feeds import FEEDS, open_feed, read_files
-from tillflow.sources.tables import query, rows_of
+from tillflow.sources.tables import query, rows_of, spread_small
 from tillflow.streaming.ingest import land_stream, stream_feed
 from tillflow.testbed import inputs as I
 from tillflow.testbed.oracle import AS_OF, average, quotient, sql
@@ -167,7 +173,8 @@ def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority"
     )
     hour = F.when(F.col("l_returnflag") == "A", 2).when(F.col("l_returnflag") == "N", 3)
-    return I.table(spark, sf_dir, "lineitem").join(orders, "l_orderkey").select(
+    lines = spread_small(I.table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    return lines.join(orders, "l_orderkey").select(
         F.expr("l_orderkey || '-' || l_linenumber").alias("transaction_id"),
         F.to_date("l_shipdate").cast("string").alias("_job_date"),
         F.concat_ws("-", "l_returnflag", "o_orderpriority").alias("_batch_id"),
@@ -341,7 +348,7 @@ def _sizes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def _accepted_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flawed sales after rejection, with masters that lack some keys."""
-    masters = prepare_masters(I.flawed_masters(spark, sf_dir))
+    masters = prepare_masters(I.flawed_masters(spark, sf_dir), unique=True)
     sales = accepted_sales(I.flawed_pos_transactions(spark, sf_dir), I.AS_OF)
     return enriched_sales(sales, masters, sizes=_sizes(spark, sf_dir))
 
@@ -359,6 +366,28 @@ def sales_enriched(spark, sf_dir):
     return _wall_clock(_listed(_fact(spark, sf_dir), "missing_masters"), "transaction_time")
 
 
+@registered("""
+SELECT d.transaction_id, d.product_id, p.product_name, p.category_id,
+       p.product_id IS NULL AS unknown
+FROM (SELECT transaction_id, product_id FROM pos) d
+LEFT JOIN some_products p ON p.product_id = d.product_id
+""")
+def sales_enriched_by_versions(spark, sf_dir):
+    """A product master landed twice, the second time renamed: the latest counts."""
+    product = I.flawed_masters(spark, sf_dir)["product_master"]
+    landings = add_lineage(product, "m2", at=LANDED).unionByName(
+        add_lineage(
+            product.withColumn("product_name", F.lit("former")), "m1", at=datetime(2001, 7, 1)
+        )
+    )
+    masters = prepare_masters({"product_master": landings})
+    rows = enrich(
+        typed_sales(I.pos_transactions(spark, sf_dir)).select("transaction_id", "product_id"),
+        masters,
+    )
+    return rows.selectExpr("* EXCEPT (missing_masters)", "size(missing_masters) > 0 AS unknown")
+
+
 @registered("""
 SELECT d.transaction_id, d.customer_id, c.customer_name, d.store_id, s.store_name,
        s.region AS store_region
@@ -532,6 +561,27 @@ _JSON = (
 )
 
 
+def _settle(rows: DataFrame) -> DataFrame:
+    return written(rows, workspace(rows.sparkSession, "settled") + "/rows")
+
+
+@registered("SELECT * FROM accepted_typed")
+def sales_accepted_by_list(spark, sf_dir):
+    """With the repeated ids written first: only their rows are grouped."""
+    text = I.flawed_pos_transactions(spark, sf_dir)
+    listed = _settle(repeated_ids(text))
+    return _wall_clock(accepted_sales(text, I.AS_OF, listed), "transaction_time")
+
+
+@registered("""
+SELECT transaction_id FROM cleansed WHERE transaction_id IS NOT NULL
+GROUP BY transaction_id HAVING COUNT(*) > 1
+""")
+def sales_repeated_ids(spark, sf_dir):
+    text = I.flawed_pos_transactions(spark, sf_dir)
+    return repeated_ids(text).withColumnRenamed("_id", "transaction_id")
+
+
 @registered(f"""
 SELECT transaction_id, CAST({_JSON} AS VARCHAR) AS raw_data, {_WORDING} AS rejection_reason,
        {_CATEGORY} AS rejection_category,
@@ -541,7 +591,9 @@ SELECT transaction_id, CAST({_JSON} AS VARCHAR) AS raw_data, {_WORDING} AS rejec
 FROM judged WHERE reasons <> ''
 """)
 def sales_rejected(spark, sf_dir):
-    bad = rejected_rows(I.flawed_pos_transactions(spark, sf_dir), I.AS_OF)
+    text = I.flawed_pos_transactions(spark, sf_dir)
+    listed = _settle(repeated_ids(text))
+    bad = rejected_rows(text, I.AS_OF, listed, _settle)
     return _listed(reject_records(bad, **RUN), "reasons").drop("rejected_timestamp")
 
 
