@@ -23,7 +23,8 @@ from tillflow.sinks.tables import (
     with_retry,
 )
 from tillflow.sources.feeds import FEEDS, FeedError, feed_path, open_feed, read_files
-from tillflow.sources.tables import query, rows_of, sample, spread_small
+from tillflow.sources import tables
+from tillflow.sources.tables import fit_shuffles, query, rows_of, sample, spread_small
 from tillflow.streaming.ingest import land_stream, stream_feed
 
 DAY = "2026-07-10"
@@ -301,3 +302,16 @@ def test_spread_small_keeps_rows(spark):
     spread = spread_small(df, "id")
     assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert rows(spread) == rows(df)
+
+
+def test_shuffles_grow_with_the_input_and_never_shrink(spark, monkeypatch):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    assert fit_shuffles(spark, spark.range(10)) == int(before)
+    monkeypatch.setattr(tables, "planned_bytes", lambda df: 100 * tables.SHUFFLE_BYTES)
+    try:
+        assert fit_shuffles(spark, spark.range(10)) == 100 == int(spark.conf.get(key))
+        monkeypatch.setattr(tables, "planned_bytes", lambda df: 10**15)
+        assert fit_shuffles(spark, spark.range(10)) == tables.SHUFFLE_PARTITIONS
+    finally:
+        spark.conf.set(key, before)

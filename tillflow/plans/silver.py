@@ -32,7 +32,7 @@ from tillflow.sinks.tables import (
     with_retry,
     written,
 )
-from tillflow.sources.tables import rows_of
+from tillflow.sources.tables import fit_shuffles, rows_of
 
 SOURCE_SYSTEM = "tillflow"
 
@@ -98,6 +98,7 @@ def build_silver(
     masters too large to broadcast.
     """
     day = rows_of(spark, lake.bronze("pos_transactions"), _job_date=job_date)
+    fit_shuffles(spark, day)
     sales = choose_batch(day, batch_id)
     tables = {name: spark.table(lake.bronze(name)) for name in MASTER_TYPES}
     hot = {

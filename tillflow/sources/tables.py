@@ -41,6 +41,27 @@ def spread_small(df: DataFrame, *by: str) -> DataFrame:
     return df.repartition(cores, *by)
 
 
+# Input per shuffle partition, and the most partitions: beyond it the shuffle's
+# own index files, one entry per map task and partition, cost more than they save.
+SHUFFLE_BYTES = 512 * 1024 * 1024
+SHUFFLE_PARTITIONS = 20_000
+
+
+def fit_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
+    """Raise the session's shuffle partitions to what the inputs need.
+
+    Never lowers them: adaptive execution joins partitions that turn out small,
+    but cannot divide those of an aggregation that turn out too large.
+    """
+    key = "spark.sql.shuffle.partitions"
+    needed = -(-sum(planned_bytes(df) for df in inputs) // SHUFFLE_BYTES)
+    current = int(spark.conf.get(key))
+    if needed > current:
+        current = max(current, min(needed, SHUFFLE_PARTITIONS))
+        spark.conf.set(key, current)
+    return current
+
+
 def query(spark: SparkSession, statement: str, **inputs: DataFrame) -> DataFrame:
     """Spark SQL in which each ``{name}`` stands for the DataFrame of that name."""
     return spark.sql(statement, **inputs)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from tillflow.operators.rejects import (
     repeated_ids,
 )
 from tillflow.plans.silver import enriched_sales, fact_rows, prepare_masters
-from tillflow.schemas import MASTER_KEYS, SALES_TYPES
+from tillflow.schemas import SALES_TYPES
 from tillflow.session import workspace
 from tillflow.sinks.compaction import compact
 from tillflow.sinks.tables import (
@@ -37,11 +38,18 @@ from tillflow.sinks.tables import (
     replace_table,
     written,
 )
-from tillflow.sources.feeds import FEEDS, open_feed, read_files
-from tillflow.sources.tables import query, rows_of, spread_small
+from tillflow.sources.feeds import FEEDS, open_feed
+from tillflow.sources.tables import fit_shuffles, query, rows_of, spread_small
 from tillflow.streaming.ingest import land_stream, stream_feed
 from tillflow.testbed import inputs as I
-from tillflow.testbed.oracle import AS_OF, average, quotient, sql
+from tillflow.testbed.oracle import (
+    average,
+    category_sql,
+    customer_sql,
+    daily,
+    product_sql,
+    sql,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,7 +63,12 @@ def registered(oracle: str | None = None) -> Callable[[Query], Query]:
     """Register a query under its function's name, with the SQL that checks it."""
 
     def add(run: Query) -> Query:
-        QUERIES[run.__name__] = run
+        @wraps(run)
+        def sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+            fit_shuffles(spark, I.table(spark, sf_dir, "lineitem"))
+            return run(spark, sf_dir)
+
+        QUERIES[run.__name__] = sized
         if oracle:
             ORACLE[run.__name__] = sql(oracle)
         return run
@@ -693,25 +706,22 @@ def gold_row_count(spark, sf_dir):
     return G.row_count(_fact(spark, sf_dir))
 
 
-from tillflow.testbed import oracle as _O  # noqa: E402
-
-
-@registered(_O.daily("accepted_fact"))
+@registered(daily("accepted_fact"))
 def accepted_daily_sales(spark, sf_dir):
     return G.daily_sales(_accepted_fact(spark, sf_dir), ids_unique=True)
 
 
-@registered(_O.customer_sql("accepted_fact"))
+@registered(customer_sql("accepted_fact"))
 def accepted_customer_metrics(spark, sf_dir):
     return G.customer_metrics(_accepted_fact(spark, sf_dir), ids_unique=True)
 
 
-@registered(_O.product_sql("accepted_fact"))
+@registered(product_sql("accepted_fact"))
 def accepted_product_metrics(spark, sf_dir):
     return G.product_metrics(_accepted_fact(spark, sf_dir), ids_unique=True)
 
 
-@registered(_O.category_sql("accepted_fact"))
+@registered(category_sql("accepted_fact"))
 def accepted_category_metrics(spark, sf_dir):
     fact = _accepted_fact(spark, sf_dir)
     return G.revenue_share(G.category_metrics(fact, ids_unique=True), fact)
@@ -833,8 +843,6 @@ WHERE customer_tenure_days IN (0, 100, 1000, 2000, 2100, 2200)
 """)
 def dash_cross_filter(spark, sf_dir):
     """Points picked in two tiles, each a filter of its own."""
-    from datetime import date
-
     rows = _customers(spark, sf_dir)
     days = [date(2001, 7, 10), date(2001, 7, 11), date(2001, 7, 12)]
     tenures = [0, 100, 1000, 2000, 2100, 2200]
