@@ -143,6 +143,15 @@ def test_backfill_reads_days_from_names(spark, lake, raw):
     assert rows(table.groupBy("_job_date").count()) == [(DAY, 6), ("2026-07-11", 2)]
 
 
+def test_files_with_columns_in_another_order_are_not_mixed_up(spark, tmp_path):
+    path = str(tmp_path / "pos_transactions_*.csv")
+    write(str(tmp_path / "pos_transactions_20260710.csv"), POS_HEADER, SALES[0])
+    turned = ",".join(reversed(POS_HEADER.split(",")))
+    write(str(tmp_path / "pos_transactions_20260711.csv"), turned, SALES[0])
+    with pytest.raises(Exception, match="CSV header"):
+        read_files(spark, FEEDS["pos_transactions"], path).collect()
+
+
 def test_missing_and_empty_sources(spark, tmp_path):
     feed = FEEDS["pos_transactions"]
     with pytest.raises(FeedError) as missing:
@@ -177,6 +186,9 @@ def test_a_day_from_files_to_gold(spark, lake, raw):
         assert fact["t1"].is_retail_peak is True and fact["t1"].batch_id == batch
         assert fact["t3"].missing_masters == ["E006:product_id"]
         assert spark.table(lake.rejects).count() == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    size = tables.planned_bytes(spark.table(lake.fact).where("job_date IS NOT NULL"))
+    assert 0 < size < tables.UNKNOWN_BYTES
     daily = spark.table(lake.gold("daily_sales_summary")).first()
     assert (daily.transaction_count, str(daily.total_sales)) == (3, "30.00")
     assert spark.table(lake.gold("category_metrics")).agg({"revenue_share_pct": "sum"}).first()[0] == 100

@@ -73,13 +73,16 @@ def date_in_path(path: Column) -> Column:
 def read_files(spark: SparkSession, feed: Feed, path: str) -> DataFrame:
     """The feed as text columns plus ``_source_file``, lazily.
 
-    CSV columns go by the names in the header; short rows are padded with NULL
-    and long ones cut. JSON goes by the feed's contract, so that numbers stay
+    CSV columns go by the names in the header, which must be the same in all
+    files read together; short rows are padded with NULL and long ones cut. JSON goes by the feed's contract, so that numbers stay
     the text they are in the file and no extra pass guesses types.
     """
     reader = spark.read.option("mode", "PERMISSIVE")
     if feed.kind == "csv":
-        files = reader.csv(path, header=True, inferSchema=False, encoding="UTF-8")
+        reader = reader.option("header", True).option("encoding", "UTF-8")
+        names = reader.option("inferSchema", False).csv(path).schema
+        # Every file's own header is checked, as columns are read by position.
+        files = reader.schema(names).option("enforceSchema", False).csv(path)
     elif feed.kind == "json":
         files = reader.schema(feed_schema(feed.name)).json(path)
     elif feed.kind == "text":

@@ -45,6 +45,8 @@ def spread_small(df: DataFrame, *by: str) -> DataFrame:
 # own index files, one entry per map task and partition, cost more than they save.
 SHUFFLE_BYTES = 512 * 1024 * 1024
 SHUFFLE_PARTITIONS = 20_000
+# What the planner says of a table it has not listed is larger than this.
+UNKNOWN_BYTES = 2**60
 
 
 def fit_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
@@ -54,7 +56,8 @@ def fit_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
     but cannot divide those of an aggregation that turn out too large.
     """
     key = "spark.sql.shuffle.partitions"
-    needed = -(-sum(planned_bytes(df) for df in inputs) // SHUFFLE_BYTES)
+    sizes = [planned_bytes(df) for df in inputs]
+    needed = -(-sum(size for size in sizes if size < UNKNOWN_BYTES) // SHUFFLE_BYTES)
     current = int(spark.conf.get(key))
     if needed > current:
         current = max(current, min(needed, SHUFFLE_PARTITIONS))
