@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillflow.llm import secret_scan
 from tillflow.llm.bpe import encode_documents
 from tillflow.llm.decontaminate import match_items
 from tillflow.llm.tables import table
@@ -29,6 +30,27 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of each document; ``n_live`` counts those that look live by their owners."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"] != secret_scan.BARE[0])
+    return secret_scan.secret_spans(docs).select(
+        "doc_id",
+        count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+    )
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of each document and what they decode to, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -42,7 +64,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontaminate": op7_decontaminate,
+    "op8_secrets": op8_secrets,
     "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_secrets": secret_scan.oracle(),
+}

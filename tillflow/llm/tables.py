@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,8 +72,7 @@ def byte_texts(column: pa.Array) -> list[bytes]:
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES):
     """The batches cut to rows whose ``column`` holds about ``limit`` bytes; a longer row stands alone."""
     for batch in batches:
-        sizes = [len(x) if x is not None else 0 for x in batch.column(column).cast(pa.binary())] \
-            if batch.nbytes > limit else [0] * batch.num_rows
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = held = 0
         for row, size in enumerate(sizes):
             if held and held + size > limit:
