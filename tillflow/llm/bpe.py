@@ -26,47 +26,30 @@ encoded alike; an unknown base byte cannot occur, as all 256 are in the vocabula
 
 from __future__ import annotations
 
-import re
-import struct
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
-from tokenizers import Tokenizer
 
+from tillflow.llm.pieces import PieceEncoder
 from tillflow.llm.tables import byte_texts, map_arrow, slices
 
-CACHE_PIECES = 150_000
-CACHE_WORDS = 400_000
-SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
-# Letters and signs for which the pattern above agrees with the vocabulary's:
-# ASCII and Latin letters with marks, composed, without the dotted capital I.
-PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-įıĲ-ž]*")
 
-
-class TokenAutomaton:
+class TokenAutomaton(PieceEncoder):
     """The compiled merges of one vocabulary file."""
 
     def __init__(self, file: str) -> None:
-        import json
-
+        super().__init__(file)
         with open(file, encoding="utf-8") as source:
-            content = json.load(source)
-        model = content["model"]
-        self.tokenizer = Tokenizer.from_file(file)
+            model = json.load(source)["model"]
         self.suffix = model["end_of_word_suffix"] or ""
-        self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
-        self.marks = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.labels = {**{i: t for t, i in model["vocab"].items()},
                        **{i: t for t, i in self.special.items()}}
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self._compile(model["vocab"], merges)
-        self.byte_signs = _byte_signs()
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
 
     def _compile(self, vocabulary: dict[str, int], merges: list[list[str]]) -> None:
         """The gadgets in the order of the merges.
@@ -121,12 +104,13 @@ class TokenAutomaton:
             limit, before = min(limit, made[before]), self.right[before]
         return True
 
-    def encode_word(self, signs: list[str]) -> list[int]:
-        """The accepted path over ``signs`` (the last one carries the end mark).
+    def encode_word(self, word: str) -> list[int]:
+        """The accepted path over the signs of ``word``, the last of which carries the end mark.
 
         Every prefix has one accepted path at most, so a place from which no arc
         leads to the end is left for good.
         """
+        signs = [*word[:-1], word[-1] + self.suffix]
         arcs, size = self.arcs, len(signs)
         path: list[int] = []
         open_arcs: list[list[tuple[int, int]]] = []
@@ -167,65 +151,11 @@ class TokenAutomaton:
                 break
         return path
 
-    def _words(self, part: str) -> list[str]:
-        """The words of a part, spelt in byte signs."""
-        if PLAIN.fullmatch(part):
-            words = SPLIT.findall(part.lower())
-            if part.isascii():
-                return words
-            return [w if w.isascii() else "".join([self.byte_signs[b] for b in w.encode()])
-                    for w in words]
-        text = self.tokenizer.normalizer.normalize_str(part)
-        return [w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text) if w]
-
-    def encode_piece(self, piece: bytes) -> bytes:
-        """The ids of a piece without ASCII white space, as little-endian 32-bit integers."""
-        out: list[bytes] = []
-        for part in self.marks.split(piece.decode()):
-            if part in self.special:
-                out.append(struct.pack("<I", self.special[part]))
-                continue
-            for word in self._words(part):
-                ids = self.words.get(word)
-                if ids is None:
-                    path = self.encode_word([*word[:-1], word[-1] + self.suffix])
-                    ids = struct.pack(f"<{len(path)}I", *path)
-                    if len(self.words) >= CACHE_WORDS:
-                        self.words.clear()
-                    if len(word) < 100:
-                        self.words[word] = ids
-                out.append(ids)
-        return b"".join(out)
-
-    def encode(self, text: bytes) -> bytes:
-        """The ids of a text. Two bounded generations of pieces are cached."""
-        young, old, out = self.young, self.old, []
-        for piece in text.split():
-            ids = young.get(piece)
-            if ids is None:
-                ids = old.get(piece)
-                if ids is None:
-                    ids = self.encode_piece(piece)
-                if len(young) >= CACHE_PIECES:
-                    self.old = old = young
-                    self.young = young = {}
-                if len(piece) < 100:
-                    young[piece] = ids
-            out.append(ids)
-        return b"".join(out)
-
     def decode(self, ids: np.ndarray) -> str:
         """The labels of the arcs, joined as the library joins tokens of a file without decoder."""
         return " ".join([self.labels[i] for i in ids.tolist()])
 
 
-def _byte_signs() -> list[str]:
-    """The printable sign of each byte: itself if printable Latin-1, else the next code point from 256 on."""
-    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = iter(range(256, 512))
-    return [chr(byte if byte in plain else next(others)) for byte in range(256)]
-
-
 _AUTOMATA: dict[str, TokenAutomaton] = {}
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -11,11 +12,19 @@ from pyspark.sql import functions as F
 from tillflow.llm import secret_scan
 from tillflow.llm.bpe import encode_documents
 from tillflow.llm.decontaminate import match_items
-from tillflow.llm.tables import table
+from tillflow.llm.tables import scratch_folder, table
+from tillflow.llm.token_files import read_token_files, write_token_files
 
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids written to token files and read back."""
+    path = scratch_folder(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE))
+    return read_token_files(spark, path, per_document=zlib.crc32).withColumnRenamed("digest", "ids_crc32")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside a benchmark window."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -63,6 +72,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_files": op2_token_files,
     "op7_decontaminate": op7_decontaminate,
     "op8_secrets": op8_secrets,
     "op10_bpe": op10_bpe,

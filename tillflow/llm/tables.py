@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -20,6 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+_LOCAL: dict[str, str] = {}
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -42,20 +46,33 @@ def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``. Only a local session may go without: executors share nothing else."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL.get(spark.sparkContext.applicationId)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = _LOCAL[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="tillflow-shared-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
+    return shared.rstrip("/")
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder for written tables below the shared one; it goes when the application ends."""
+    path = f"{shared_folder(spark)}/tillflow/{name}-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` written to the cluster's shared checkpoint folder: computed once, lineage cut.
+    """``df`` written to the shared checkpoint folder: computed once, lineage cut.
 
-    The folder is ``spark.checkpoint.dir``. Only a local session may go without
-    it; a cluster session must name one, since executors share nothing else.
+    Spark removes it when nothing refers to it, if its cleaner is told to clean checkpoints.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            shared = tempfile.mkdtemp(prefix="tillflow-checkpoint-")
-        context.setCheckpointDir(shared)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
