@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from tillflow.llm import secret_scan
 from tillflow.llm.bpe import encode_documents
 from tillflow.llm.decontaminate import match_items
+from tillflow.llm.labelled import crc_fold
+from tillflow.llm.quality import fit_quality, score_quality
 from tillflow.llm.tables import scratch_folder, table
 from tillflow.llm.token_files import read_token_files, write_token_files
+from tillflow.llm.toxicity import fit_toxicity, score_toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -25,6 +28,35 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path, per_document=zlib.crc32).withColumnRenamed("digest", "ids_crc32")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of each document, from labels of two folds of three."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), crc_fold("doc_id") != 1)
+    return score_quality(docs, model).select(
+        "doc_id",
+        F.coalesce(crc_fold("doc_id") == 1, F.lit(False)).alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain low quality, toxic, severely toxic, from labels of two folds of three."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select(
+        "doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    chain = fit_toxicity(
+        docs, labels, ["low_quality", "toxic"], severe_of="toxic", allowed=crc_fold("doc_id") != 1)
+    return score_toxicity(docs, chain).select(
+        "doc_id",
+        F.coalesce(crc_fold("doc_id") == 1, F.lit(False)).alias("held_out"),
+        F.col("_scores")[0].alias("low_quality"),
+        F.col("_scores")[1].alias("score"),
+        F.col("_scores")[2].alias("severe"),
+        (F.col("_scores")[1] >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside a benchmark window."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -73,6 +105,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
+    "op3_quality": op3_quality,
+    "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate,
     "op8_secrets": op8_secrets,
     "op10_bpe": op10_bpe,
