@@ -16,6 +16,7 @@ from tillflow.llm.labelled import crc_fold
 from tillflow.llm.quality import fit_quality, score_quality
 from tillflow.llm.tables import scratch_folder, table
 from tillflow.llm.token_files import read_token_files, write_token_files
+from tillflow.llm.topk import top_k
 from tillflow.llm.toxicity import fit_toxicity, score_toxicity
 
 WORD_BPE = "word_bpe_49k.json"
@@ -40,6 +41,15 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every twentieth vector among all, components in 64ths."""
+    whole = F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("double"))
+    sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(sound, whole).alias("embedding"))
+    return top_k(rows, 20, F.col("vec_id") % 20 == 0)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chain low quality, toxic, severely toxic, from labels of two folds of three."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -106,12 +116,28 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op3_quality": op3_quality,
+    "op5_topk": op5_topk,
     "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate,
     "op8_secrets": op8_secrets,
     "op10_bpe": op10_bpe,
 }
 
+OP5_SQL = """
+    WITH whole AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    each AS (SELECT vec_id, min(v) AS v FROM whole GROUP BY vec_id),
+    scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+      FROM each q JOIN each c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+      FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
 ORACLE: dict[str, str] = {
+    "op5_topk": OP5_SQL,
     "op8_secrets": secret_scan.oracle(),
 }
