@@ -14,6 +14,7 @@ from tillflow.llm.bpe import encode_documents
 from tillflow.llm.decontaminate import match_items
 from tillflow.llm.labelled import crc_fold
 from tillflow.llm.quality import fit_quality, score_quality
+from tillflow.llm.simhash import near_duplicate_components
 from tillflow.llm.tables import scratch_folder, table
 from tillflow.llm.token_files import read_token_files, write_token_files
 from tillflow.llm.topk import top_k
@@ -102,6 +103,13 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of three-word SimHash fingerprints within two bits."""
+    found = near_duplicate_components(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of each document and what they decode to, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -120,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate,
     "op8_secrets": op8_secrets,
+    "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
 }
 
