@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tillflow.llm import secret_scan
 from tillflow.llm.bpe import encode_documents
 from tillflow.llm.decontaminate import match_items
+from tillflow.llm.debruijn import drop_repeated_words
 from tillflow.llm.labelled import crc_fold
 from tillflow.llm.quality import fit_quality, score_quality
 from tillflow.llm.simhash import near_duplicate_components
@@ -42,6 +43,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of any 35-word window that occurs twice in the corpus."""
+    return drop_repeated_words(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best inner products of every twentieth vector among all, components in 64ths."""
     whole = F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("double"))
@@ -124,6 +130,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op3_quality": op3_quality,
+    "op4_debruijn": op4_debruijn,
     "op5_topk": op5_topk,
     "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate,
