@@ -16,6 +16,7 @@ from tillflow.llm.debruijn import drop_repeated_words
 from tillflow.llm.labelled import crc_fold
 from tillflow.llm.quality import fit_quality, score_quality
 from tillflow.llm.simhash import near_duplicate_components
+from tillflow.llm.suffix_dedup import drop_repeated_bytes
 from tillflow.llm.tables import scratch_folder, table
 from tillflow.llm.token_files import read_token_files, write_token_files
 from tillflow.llm.topk import top_k
@@ -24,6 +25,11 @@ from tillflow.llm.toxicity import fit_toxicity, score_toxicity
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of any 100-byte string that also starts earlier."""
+    return drop_repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids written to token files and read back."""
     path = scratch_folder(spark, "token-files")
@@ -128,6 +134,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_files": op2_token_files,
     "op3_quality": op3_quality,
     "op4_debruijn": op4_debruijn,

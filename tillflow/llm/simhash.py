@@ -163,7 +163,7 @@ def link_points(points: DataFrame, radius: int, similarity: float | None = None,
     dealt = spread(home.unionByName(visit), *keys).sortWithinPartitions(*keys)
 
     def compare(batches: Iterator[pa.RecordBatch]):
-        for table, bounds in whole_groups(batches, keys):
+        for table, bounds, _ in whole_groups(batches, keys):
             node = table["node"].to_numpy()
             prints = table["fingerprint"].to_numpy().view(np.uint64)
             is_home = table["home"].to_numpy()
