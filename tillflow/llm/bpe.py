@@ -170,8 +170,10 @@ def encode_documents(docs: DataFrame, file: str, text: str = "text", decoded: bo
     """``docs`` with ``_ids`` (little-endian unsigned 32-bit integers) and ``_decoded`` (their decoded text).
 
     ``file`` is a vocabulary file of the tokenizers library at a path that every
-    executor has. Every text is encoded whole, in the task that reads it.
+    executor has. Every text is encoded whole, in the task that reads it. Columns
+    of those names are replaced.
     """
+    docs = docs.drop("_ids", "_decoded")
     names = docs.columns
     schema = T.StructType([
         *docs.schema.fields,

@@ -184,9 +184,10 @@ def match_items(
 ) -> DataFrame:
     """``docs`` with a struct column ``_match``: its words, hit spans and items with occurring windows.
 
-    ``_match`` holds ``words`` (long), ``spans`` (array of word ranges, end
+    A column of that name is replaced. It holds ``words`` (long), ``spans`` (array of word ranges, end
     exclusive, not touching) and ``items`` (array of item ids, sorted as strings).
     """
+    docs = docs.drop("_match")
     names = docs.columns
     kind = T.StructType([
         T.StructField("words", T.LongType()),
@@ -253,8 +254,9 @@ def decontaminate(
 
     Hit spans longer than ``max_span`` words are cut from the text. A document
     of whose words more than ``max_coverage`` are hit goes as a whole. Others
-    keep every byte, and null texts stay null.
+    keep every byte, and null texts stay null. Columns ``_match`` and ``_cut`` are dropped.
     """
+    docs = docs.drop("_match", "_cut")
     matched = match_items(docs, items, text=text, **options)
     spans = F.filter("_match.spans", lambda s: s["end"] - s["start"] > max_span)
     hit = F.aggregate("_match.spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])

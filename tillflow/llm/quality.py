@@ -137,7 +137,8 @@ def fit_quality(
 
 
 def score_quality(docs: DataFrame, model: CompressionClassifier, text: str = "text") -> DataFrame:
-    """``docs`` with ``_score``: the probability that the text is good."""
+    """``docs`` with ``_score``, the probability that the text is good, in place of a column of that name."""
+    docs = docs.drop("_score")
     names = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -124,8 +124,10 @@ def redact_live(
 ) -> DataFrame:
     """``docs`` with the value of every live-looking credential replaced by ``mark``.
 
-    Widely copied examples and all other text stay; so do null texts.
+    Widely copied examples and all other text stay; so do null texts. Columns
+    ``_doc``, ``_key`` and ``_live`` are dropped.
     """
+    docs = docs.drop("_doc", "_key", "_live")
     live = (
         secret_spans(docs, id, text, **options)
         .select("doc_id", "text_key", F.filter("spans", lambda s: s["live"]).alias("_live"))

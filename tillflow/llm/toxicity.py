@@ -150,6 +150,8 @@ def fit_toxicity(
 ) -> ToxicityChain:
     """The chain over ``columns`` in their order, then ``severe`` if ``severe_of`` names one of them."""
     usable = F.lit(True) if allowed is None else allowed
+    for column in columns:
+        usable = usable & F.col(column).isin(0, 1)
     sample, counts = labelled_sample(docs, labels, columns, per_class, usable, id, text)
     chain = ToxicityChain([*columns, "severe"] if severe_of else list(columns))
     texts = [body for body, _ in sample]
@@ -174,7 +176,11 @@ def fit_toxicity(
 
 
 def score_toxicity(docs: DataFrame, chain: ToxicityChain, text: str = "text") -> DataFrame:
-    """``docs`` with ``_scores``: the probability of each category, in the chain's order."""
+    """``docs`` with ``_scores``: the probability of each category, in the chain's order.
+
+    A column of that name is replaced.
+    """
+    docs = docs.drop("_scores")
     names = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
