@@ -62,7 +62,7 @@ def test_cleansing(spark):
         "name STRING, email STRING, phone STRING, n INT",
     )
     assert rows(cleanse(df)) == sorted(
-        [("a", "ann@x.com", "0901234", 1), (None, None, None, 2), ("", "b", "", 3)], key=repr
+        [("a", "ann@x.com", "0901234", 1), (None, None, None, 2), (None, "b", "", 3)], key=repr
     )
 
 

@@ -6,25 +6,30 @@ from datetime import date, datetime
 
 import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 
 from tillflow.functions.lineage import add_lineage
 from tillflow.plans.day import run_day
 from tillflow.plans.landing import backfill, land_all, land_feed
 from tillflow.plans.layers import Lake, create_lake
+from tillflow.plans.silver import build_silver
 from tillflow.schemas import FEED_COLUMNS
+from tillflow.session import temporary_workspace, workspace
+from tillflow.sinks import tables as sinks
 from tillflow.sinks.compaction import compact, file_sizes
 from tillflow.sinks.tables import (
     append,
     create_layer,
     create_table,
     describe,
+    replace_day,
     replace_partitions,
     replace_table,
     with_retry,
 )
 from tillflow.sources.feeds import FEEDS, FeedError, feed_path, open_feed, read_files
 from tillflow.sources import tables
-from tillflow.sources.tables import fit_shuffles, query, rows_of, sample, spread_small
+from tillflow.sources.tables import fit_shuffles, fitted_shuffles, query, rows_of, sample
 from tillflow.streaming.ingest import land_stream, stream_feed
 
 DAY = "2026-07-10"
@@ -172,10 +177,26 @@ def test_short_and_long_csv_rows(spark, tmp_path):
     write(path, "date,holiday_name,holiday_type,country", "2026-01-01,New Year", "a,b,c,d,e,f")
     found = read_files(spark, FEEDS["holiday_calendar"], path).drop("_source_file")
     assert rows(found) == sorted(
-        [("2026-01-01", "New Year", None, None), ("a", "b", "c", "d")], key=repr
+        [("2026-01-01", "New Year", None, None, "2026-01-01,New Year"), ("a", "b", "c", "d", "a,b,c,d,e,f")],
+        key=repr,
     )
 
 
+def test_json_keeps_what_the_contract_does_not_name(spark, tmp_path):
+    path = str(tmp_path / "online_orders_20260710.json")
+    write(path, '{"order_id": 1.50, "gift": {"a": 1}}', "no json", "", '{"order_id": null}')
+    found = read_files(spark, FEEDS["online_orders"], path)
+    assert rows(found.select("order_id", "_corrupt_record", "_extra_fields")) == sorted(
+        [("1.50", None, '{"gift":"{\\"a\\":1}"}'), (None, "no json", None), (None, None, None)], key=repr)
+
+
+def test_a_file_without_a_day_is_not_backfilled(spark, lake, raw):
+    write(feed_path(FEEDS["pos_transactions"], raw, DAY).replace("20260710", "latest"), POS_HEADER, SALES[0])
+    with pytest.raises(FeedError, match="E003"):
+        backfill(spark, lake, "pos_transactions", raw, "all")
+    assert spark.table(lake.bronze("pos_transactions")).isEmpty()
+
+
 def test_a_day_from_files_to_gold(spark, lake, raw):
     for batch in ("b1", "b2", "b2"):
         run_day(spark, lake, raw, DAY, batch, AS_OF)
@@ -270,50 +291,110 @@ def test_retry(spark, tmp_path):
     def flaky():
         calls.append(1)
         if len(calls) < 3:
-            spark.read.parquet(str(tmp_path / "none"))
+            spark.sql("SELECT raise_error('lost')").collect()
+        return "done"
 
-    with_retry(flaky, wait=0)
-    assert len(calls) == 3
+    assert with_retry(flaky, wait=0) == "done" and len(calls) == 3
     with pytest.raises(RuntimeError, match="E005"):
-        with_retry(lambda: spark.read.parquet(str(tmp_path / "none")), attempts=2, wait=0)
+        with_retry(lambda: spark.sql("SELECT raise_error('lost')").collect(), attempts=2, wait=0)
+    calls.clear()
+
+    def wrong():
+        calls.append(1)
+        spark.read.parquet(str(tmp_path / "none"))
+
+    with pytest.raises(AnalysisException):
+        with_retry(wrong, wait=0)
+    assert len(calls) == 1
+
+
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_a_write_that_fails_once_keeps_every_row(spark, layer, monkeypatch, when):
+    table = f"{layer}.d"
+    df = spark.range(1000).selectExpr("id AS v", "'d1' AS job_date")
+    create_table(spark, table, df.schema, ["job_date"])
+    replace_day(df.limit(10), table, "job_date", "d1")
+    real, calls = sinks.replace_partitions, []
+
+    def flaky(rows, name, evolve=False):
+        calls.append(1)
+        if when == "after" or len(calls) > 1:
+            real(rows, name, evolve)
+        if len(calls) == 1:
+            spark.sql("SELECT raise_error('lost')").collect()
+
+    monkeypatch.setattr(sinks, "replace_partitions", flaky)
+    assert replace_day(df, table, "job_date", "d1") == 1000 and len(calls) == 2
+    assert spark.table(table).count() == 1000
+    assert replace_day(df.where("v < 0"), table, "job_date", "d1") == 0
+    assert spark.table(table).isEmpty()
 
 
-def test_stream_equals_batch_and_reads_each_file_once(spark, raw, tmp_path):
+def test_a_failed_refresh_keeps_the_table(spark, layer):
+    table = f"{layer}.r"
+    replace_table(spark.range(3), table)
+    with pytest.raises(Exception, match="lost"):
+        replace_table(spark.sql("SELECT CAST(raise_error('lost') AS BIGINT) AS id"), table)
+    assert spark.table(table).count() == 3
+    replace_table(spark.range(5), table)
+    assert spark.table(table).count() == 5
+
+
+def test_a_day_that_was_not_landed_leaves_the_fact_alone(spark, lake, raw):
+    run_day(spark, lake, raw, DAY, "b1", AS_OF)
+    before = rows(spark.table(lake.fact))
+    with pytest.raises(FeedError, match="E002"):
+        build_silver(spark, lake, "2026-07-12", "b1", AS_OF)
+    assert rows(spark.table(lake.fact)) == before
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    class Cluster:
+        conf = {}
+
+        class sparkContext:
+            master = "local-cluster[2,1,1024]"
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        workspace(Cluster, "x")
+    with temporary_workspace(spark, "t") as folder:
+        first, second = folder(), folder()
+        spark.range(3).write.parquet(first)
+        assert first != second and os.path.isdir(first)
+    assert not os.path.exists(first)
+
+
+def test_stream_equals_batch_and_reads_each_file_once(spark, lake, raw, tmp_path):
     feed = FEEDS["pos_transactions"]
-    folder = os.path.dirname(feed_path(feed, raw, DAY))
-    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    folder, table = os.path.dirname(feed_path(feed, raw, DAY)), lake.bronze("pos_transactions")
 
-    def run():
+    def run(state="state"):
         stream = stream_feed(spark, feed, folder, "s1", files_per_trigger=1)
-        land_stream(stream, out, state).awaitTermination()
-        schema = stream.schema
-        return spark.read.schema(schema).parquet(out)
+        land_stream(stream, table, str(tmp_path / state)).awaitTermination()
+        return spark.table(table)
 
-    columns = [*FEED_COLUMNS["pos_transactions"], "_job_date", "_batch_id"]
+    columns = [*FEED_COLUMNS["pos_transactions"], "_job_date"]
     batch = add_lineage(read_files(spark, feed, feed_path(feed, raw, DAY)), "s1", DAY)
     assert rows(run().select(columns)) == rows(batch.select(columns))
     write(feed_path(feed, raw, "2026-07-11"), POS_HEADER, SALES[0])
     assert run().count() == 7
-    assert run().where("_job_date = '2026-07-11'").count() == 1
+    assert rows(run().select("_job_date", "_batch_id").distinct()) == [
+        (DAY, "s1-000000000"), ("2026-07-11", "s1-000000001")]
+    # A stream that forgot what it did lands the same batches again, in the same order.
+    assert run("fresh").count() == 7
+    land_all(spark, lake, raw, DAY, "b", [n for n in FEEDS if not FEEDS[n].dated])
+    assert build_silver(spark, lake, DAY, "s1", AS_OF) == (6, 3, 3)
 
 
 @pytest.mark.parametrize("name", ["web_clickstream", "online_orders", "store_master"])
-def test_streams_of_other_formats(spark, raw, tmp_path, name):
+def test_streams_of_other_formats(spark, lake, raw, tmp_path, name):
     feed = FEEDS[name]
     folder = os.path.dirname(feed_path(feed, raw, DAY))
     stream = stream_feed(spark, feed, folder, "s1")
-    land_stream(stream, str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
-    landed = spark.read.schema(stream.schema).parquet(str(tmp_path / "o"))
+    land_stream(stream, lake.bronze(name), str(tmp_path / "c")).awaitTermination()
     batch = read_files(spark, feed, feed_path(feed, raw, DAY))
     columns = FEED_COLUMNS[name]
-    assert rows(landed.select(columns)) == rows(batch.select(columns))
-
-
-def test_spread_small_keeps_rows(spark):
-    df = spark.range(100)
-    spread = spread_small(df, "id")
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert rows(spread) == rows(df)
+    assert rows(spark.table(lake.bronze(name)).select(columns)) == rows(batch.select(columns))
 
 
 def test_shuffles_grow_with_the_input_and_never_shrink(spark, monkeypatch):
@@ -324,6 +405,12 @@ def test_shuffles_grow_with_the_input_and_never_shrink(spark, monkeypatch):
     try:
         assert fit_shuffles(spark, spark.range(10)) == 100 == int(spark.conf.get(key))
         monkeypatch.setattr(tables, "planned_bytes", lambda df: 10**15)
-        assert fit_shuffles(spark, spark.range(10)) == tables.SHUFFLE_PARTITIONS
+        assert fit_shuffles(spark, spark.range(10), at_most=500) == 500
+        with fitted_shuffles(spark, spark.range(10)) as wanted:
+            assert wanted == -(-(10**15) // tables.SHUFFLE_BYTES) == int(spark.conf.get(key))
+        assert int(spark.conf.get(key)) == 500
+        monkeypatch.setattr(tables, "planned_bytes", lambda df: tables.UNKNOWN_BYTES)
+        with pytest.raises(ValueError, match="size"):
+            fit_shuffles(spark, spark.range(10))
     finally:
         spark.conf.set(key, before)

@@ -8,8 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def moment_sql(at: datetime) -> str:
+    """SQL for a moment: one with a zone is that instant, one without is in the session's zone."""
+    return f"TIMESTAMP '{at.isoformat(sep=' ', timespec='microseconds')}'"
+
+
 def moment(at: datetime | None) -> Column:
-    return F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    return F.current_timestamp() if at is None else F.expr(moment_sql(at))
 
 
 def add_lineage(

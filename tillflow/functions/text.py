@@ -26,8 +26,8 @@ def standardise(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
 
 
 def without_null_text(name: str) -> str:
-    """SQL for trimmed text, with the word NULL in any case read as missing."""
-    return f"CASE WHEN upper(trim(`{name}`)) <> 'NULL' THEN trim(`{name}`) END"
+    """SQL for trimmed text; blank text and the word NULL in any case are missing."""
+    return f"CASE WHEN upper(trim(`{name}`)) NOT IN ('NULL', '') THEN trim(`{name}`) END"
 
 
 def cleanse(

@@ -11,11 +11,8 @@ from tillflow.sources.tables import planned_bytes
 
 # Largest side that may be sent to every executor, as estimated by the planner.
 BROADCAST_BYTES = 32 * 1024 * 1024
-# Tasks over which the rows without a key are spread.
-GUEST_SLOTS = 512
-# Rows of one key that make it worth splitting, and how many such keys are split.
+# Rows of one key that make it worth splitting.
 HOT_ROWS = 5_000_000
-HOT_KEYS = 1_000
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
@@ -38,21 +35,17 @@ def current_rows(master: DataFrame, key: str, latest_by: Iterable[str] = ()) ->
     )
 
 
-def hot_keys(
-    rows: DataFrame, key: str, min_rows: int = HOT_ROWS, at_most: int = HOT_KEYS
-) -> DataFrame:
-    """The heaviest keys and into how many parts to split each.
+def hot_keys(rows: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys with ``min_rows`` rows or more, and into how many parts to split each.
 
-    At most ``at_most`` rows, so it is safe to broadcast. Leaving a key out only
-    leaves it unsplit; results do not change.
+    There is one such key at most for each ``min_rows`` rows. Write the list
+    before joining with it: both sides of the join must see the same one.
     """
     return (
         rows.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("_hot_key"))
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") >= min_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(at_most)
         .select("_hot_key", F.ceil(F.col("_rows") / min_rows).cast("int").alias("_parts"))
     )
 
@@ -102,20 +95,21 @@ def _split_keys(
     sales: DataFrame, side: DataFrame, on: str, spread_by: str, hot: DataFrame | None
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides with a second join column that divides keyless and hot rows."""
-    slot = f"CASE WHEN {on} IS NULL THEN pmod(xxhash64({spread_by}), {GUEST_SLOTS})"
+    # A row without a key finds no partner, so any slot will do.
+    slot = f"CASE WHEN {on} IS NULL THEN xxhash64({spread_by})"
     right = side.where("_key IS NOT NULL")
     if hot is None:
         # An exploded part, unlike a constant, is not folded into a filter.
         return (
-            sales.selectExpr("*", f"CAST({slot} ELSE 0 END AS INT) AS _slot"),
-            right.selectExpr("*", "explode(array(0)) AS _part"),
+            sales.selectExpr("*", f"{slot} ELSE 0L END AS _slot"),
+            right.selectExpr("*", "explode(array(0L)) AS _part"),
         )
-    listed = F.broadcast(hot)
+    listed = F.broadcast(hot) if fits_broadcast(hot) else hot
     left = sales.join(listed, F.expr(f"{on} = _hot_key"), "left")
     right = right.join(listed, F.expr("_key = _hot_key"), "left")
-    slot += f" WHEN _parts IS NOT NULL THEN pmod(xxhash64({spread_by}), _parts) ELSE 0 END"
-    parts = "explode(sequence(0, coalesce(_parts, 1) - 1)) AS _part"
+    slot += f" WHEN _parts IS NOT NULL THEN pmod(xxhash64({spread_by}), _parts) ELSE 0L END"
+    parts = "explode(sequence(0L, CAST(coalesce(_parts, 1) - 1 AS BIGINT))) AS _part"
     return (
-        left.selectExpr(*sales.columns, f"CAST({slot} AS INT) AS _slot"),
+        left.selectExpr(*sales.columns, f"{slot} AS _slot"),
         right.selectExpr(*side.columns, parts),
     )

@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.functions.lineage import moment
+from tillflow.functions.lineage import moment, moment_sql
 from tillflow.functions.text import without_null_text
 from tillflow.operators.masters import attach, fits_broadcast
 from tillflow.schemas import FEED_COLUMNS, SALES_TYPES
@@ -54,14 +54,10 @@ def _usable(as_of: datetime, of: str = "") -> str:
     return (
         f"coalesce({of}transaction_id IS NOT NULL AND {of}product_id IS NOT NULL"
         f" AND {of}store_id IS NOT NULL AND {of}quantity > 0 AND {of}unit_price >= 0"
-        f" AND {of}transaction_time <= {_moment(as_of)}, false)"
+        f" AND {of}transaction_time <= {moment_sql(as_of)}, false)"
     )
 
 
-def _moment(at: datetime) -> str:
-    return f"TIMESTAMP '{at:%Y-%m-%d %H:%M:%S.%f}'"
-
-
 def _faults(as_of: datetime) -> dict[str, str]:
     """SQL per rule over raw columns and their typed values, ``v.<name>``."""
     return {
@@ -69,7 +65,7 @@ def _faults(as_of: datetime) -> dict[str, str]:
         "R2_PRODUCT_MISSING": "v.product_id IS NULL",
         "R3_QUANTITY_NOT_POSITIVE": "v.quantity <= 0",
         "R4_PRICE_NEGATIVE": "v.unit_price < 0",
-        "R5_TIME_IN_FUTURE": f"v.transaction_time > {_moment(as_of)}",
+        "R5_TIME_IN_FUTURE": f"v.transaction_time > {moment_sql(as_of)}",
         DUPLICATE: "_extra",
         "R7_STORE_MISSING": "v.store_id IS NULL",
         "R8_QUANTITY_MISSING": _lacks("quantity"),

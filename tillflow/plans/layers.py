@@ -50,7 +50,7 @@ def create_lake(spark: SparkSession, lake: Lake, root: str | None = None) -> Non
         create_layer(spark, f"{lake.prefix}{layer}", place)
     for name, feed in FEEDS.items():
         parts = ("_job_date", "_batch_id") if feed.dated else ()
-        create_table(spark, lake.bronze(name), S.bronze_schema(name, feed.dated), parts)
+        create_table(spark, lake.bronze(name), S.bronze_schema(name, feed.dated, feed.kind), parts)
     create_table(spark, lake.fact, S.FACT_SALES, ("job_date",))
     create_table(spark, lake.rejects, S.REJECT_SALES, ("job_date",))
     create_table(spark, lake.job_log, S.JOB_LOG)

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillflow.functions.lineage import add_audit
 from tillflow.functions.sales import conform_amounts, derive_sales
 from tillflow.functions.text import cleanse, standardise
 from tillflow.functions.typing import typed_master
-from tillflow.operators.batches import choose_batch
+from tillflow.operators.batches import batch_of_day
 from tillflow.operators.enrich import enrich
 from tillflow.operators.masters import current_rows, fits_broadcast, hot_keys
 from tillflow.operators.rejects import (
@@ -23,20 +25,22 @@ from tillflow.operators.rejects import (
 )
 from tillflow.plans.layers import Lake
 from tillflow.schemas import FACT_SALES, MASTER_KEYS, MASTER_TYPES
-from tillflow.session import workspace
-from tillflow.sinks.tables import (
-    append,
-    counted,
-    replace_partitions,
-    rows_seen,
-    with_retry,
-    written,
-)
-from tillflow.sources.tables import fit_shuffles, rows_of
+from tillflow.session import temporary_workspace
+from tillflow.sinks.tables import append, replace_day, with_retry, written
+from tillflow.sources.feeds import FeedError
+from tillflow.sources.tables import fitted_shuffles, rows_of
 
 SOURCE_SYSTEM = "tillflow"
 
 
+class DayCounts(NamedTuple):
+    """Rows of one day: read from bronze, accepted into the fact, rejected."""
+
+    read: int
+    accepted: int
+    rejected: int
+
+
 def prepare_masters(
     bronze: Mapping[str, DataFrame], unique: bool = False
 ) -> dict[str, DataFrame]:
@@ -90,53 +94,46 @@ def build_silver(
     as_of: datetime,
     source_system: str = SOURCE_SYSTEM,
     at: datetime | None = None,
-) -> tuple[int, int]:
-    """Write one day's accepted and rejected sales; returns both row counts.
+) -> DayCounts:
+    """Write one day's accepted and rejected sales; returns the day's row counts.
 
-    Both overwrite the day's partition, so the latest run of a day stands. Keys
+    Both overwrite the day's partition, so the latest run of a day stands. A day
+    that bronze has no rows of is an E002 error, before anything is written, and
+    a run that accepts and rejects other than what it read is an E005 error. Keys
     that fill more than one task are looked up in the bronze day, and only for
     masters too large to broadcast.
     """
     day = rows_of(spark, lake.bronze("pos_transactions"), _job_date=job_date)
-    fit_shuffles(spark, day)
-    sales = choose_batch(day, batch_id)
+    batch = batch_of_day(day, batch_id)
+    if batch is None:
+        raise FeedError("E002", f"pos_transactions: no rows landed for {job_date}")
+    sales = day.where(F.col("_batch_id") == batch)
     tables = {name: spark.table(lake.bronze(name)) for name in MASTER_TYPES}
-    hot = {
-        name: hot_keys(typed_clean_sales(sales), key)
-        for name, key in MASTER_KEYS.items()
-        if key in sales.columns and not fits_broadcast(tables[name])
-    }
-    def settle(rows: DataFrame) -> DataFrame:
-        return written(rows, workspace(spark, "silver") + "/rows")
-
-    repeated = settle(repeated_ids(sales))
-    enriched = enriched_sales(
-        accepted_sales(sales, as_of, repeated), prepare_masters(tables), hot, tables
-    )
-    fact, accepted = counted(
-        fact_rows(enriched, batch_id, job_date, source_system, at), "accepted"
-    )
-    bad = rejected_rows(sales, as_of, repeated, settle)
-    bad = reject_records(bad, batch_id, job_date, source_system, at)
-    bad, rejected = counted(bad, "rejected")
-    return (
-        replace_day(fact, accepted, lake.fact, job_date),
-        replace_day(bad, rejected, lake.rejects, job_date),
-    )
-
-
-def replace_day(rows: DataFrame, seen: Observation, table: str, job_date: str) -> int:
-    """Overwrite one day of a table, also when the new day has no rows.
-
-    An overwrite without rows names no partition, so the old day is dropped then.
-    """
-    with_retry(lambda: replace_partitions(rows, table, evolve=True))
-    count = rows_seen(seen)
-    if not count:
-        day = f"ALTER TABLE {table} DROP IF EXISTS PARTITION (job_date = '{job_date}')"
-        rows.sparkSession.sql(day)
-    return count
+    with fitted_shuffles(spark, day), temporary_workspace(spark, "silver") as settle_folder:
+        def settle(rows: DataFrame) -> DataFrame:
+            return written(rows, settle_folder())
+
+        hot = {
+            name: settle(hot_keys(typed_clean_sales(sales), key))
+            for name, key in MASTER_KEYS.items()
+            if key in sales.columns and not fits_broadcast(tables[name])
+        }
+        repeated = settle(repeated_ids(sales))
+        enriched = enriched_sales(
+            accepted_sales(sales, as_of, repeated), prepare_masters(tables), hot, tables
+        )
+        fact = fact_rows(enriched, batch_id, job_date, source_system, at)
+        bad = rejected_rows(sales, as_of, repeated, settle)
+        bad = reject_records(bad, batch_id, job_date, source_system, at)
+        counts = DayCounts(
+            sales.count(),
+            replace_day(fact, lake.fact, "job_date", job_date),
+            replace_day(bad, lake.rejects, "job_date", job_date),
+        )
+    if counts.read != counts.accepted + counts.rejected:
+        raise RuntimeError(f"E005: rows of {job_date} do not add up: {counts}")
+    return counts
 
 
 def log_run(row: DataFrame, lake: Lake) -> None:
-    append(row, lake.job_log, evolve=True)
+    with_retry(lambda: append(row, lake.job_log, evolve=True))

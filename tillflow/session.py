@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from itertools import count
 
 from pyspark.sql import SparkSession
 
@@ -29,15 +33,33 @@ def session(app: str = "tillflow", master: str | None = None, **conf: str) -> Sp
     return builder.getOrCreate()
 
 
+@contextmanager
+def temporary_workspace(spark: SparkSession, name: str) -> Iterator[Callable[[], str]]:
+    """Gives fresh folders below the shared one, and removes them afterwards."""
+    root = workspace(spark, name)
+    numbers = count()
+    try:
+        yield lambda: f"{root}/{next(numbers)}"
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def workspace(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
+    """A fresh folder under the cluster's shared checkpoint folder; it goes when the application ends.
 
-    Only a session without ``spark.checkpoint.dir`` (tests, local runs) gets a
-    temporary folder of this machine, which goes away with the process.
+    Only a local session may go without ``spark.checkpoint.dir``: it gets a
+    temporary folder of this machine, which goes away with the process. On a
+    cluster the executors would not see each other's files there.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/tillflow/{name}-{uuid.uuid4().hex}"
+        folder = f"{shared.rstrip('/')}/tillflow/{name}-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+        return folder
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix=f"tillflow-{name}-")
     atexit.register(shutil.rmtree, local, ignore_errors=True)
     return local

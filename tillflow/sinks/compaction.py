@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.sinks.tables import _only_written_partitions, describe
+from tillflow.sinks.tables import _only_written_partitions, describe, remove_folder
 
 TARGET_BYTES = 128 * 1024 * 1024
 
@@ -46,7 +46,7 @@ def compact(
     with _only_written_partitions(spark):
         # One task per staged file: file sizes were settled by the first write.
         copy.coalesce(files).write.insertInto(table, overwrite=True)
-    _remove(spark, staged)
+    remove_folder(spark, staged)
     return files
 
 
@@ -54,8 +54,3 @@ def _digest(rows: DataFrame) -> tuple:
     """Row count and an order-free sum over all values."""
     total = F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))
     return tuple(rows.agg(F.count("*"), total).first())
-
-
-def _remove(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from time import sleep
+from typing import TypeVar
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FORMAT = "parquet"
+Result = TypeVar("Result")
 
 
 def create_layer(spark: SparkSession, layer: str, location: str | None = None) -> None:
@@ -46,17 +49,19 @@ def add_columns(df: DataFrame, table: str) -> None:
 def _aligned(df: DataFrame, table: str) -> DataFrame:
     """The table's columns in its order and types, absent ones as NULL.
 
-    The rebalance lets adaptive execution write files of even size: small
-    partitions are joined and a partition with very many rows is divided.
+    The rebalance brings the rows of a partition together, so a write of many
+    partitions makes few files in each. Adaptive execution divides a partition
+    with very many rows.
     """
-    fields = df.sparkSession.table(table).schema.fields
+    spark = df.sparkSession
+    fields = spark.table(table).schema.fields
     present = set(df.columns)
     return df.select(
         *[
             (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in fields
         ]
-    ).hint("rebalance")
+    ).hint("rebalance", *partition_columns(spark, table))
 
 
 @contextmanager
@@ -88,8 +93,42 @@ def append(df: DataFrame, table: str, evolve: bool = False) -> None:
 
 
 def replace_table(df: DataFrame, table: str) -> None:
-    """Full refresh; columns of ``df`` replace those of the table."""
-    df.hint("rebalance").write.mode("overwrite").format(FORMAT).saveAsTable(table)
+    """Full refresh; columns of ``df`` replace those of the table.
+
+    The rows are written to a folder of their own first. The table then points
+    to it, so a failed write leaves the old table and its files as they were.
+    """
+    spark = df.sparkSession
+    known = spark.catalog.tableExists(table)
+    old = describe(spark, table).first()["location"] if known else None
+    folder = f"{_place(spark, table)}-{uuid.uuid4().hex}"
+    df.hint("rebalance").write.format(FORMAT).save(folder)
+    same = known and [(f.name, f.dataType) for f in spark.table(table).schema.fields] == [
+        (f.name, f.dataType) for f in df.schema.fields
+    ]
+    if same and not partition_columns(spark, table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    else:
+        if known:
+            # Declared anew below: without its files, whichever folder they are in.
+            spark.sql(f"DROP TABLE {table}")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING {FORMAT} LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+    if old:
+        remove_folder(spark, old)
+
+
+def _place(spark: SparkSession, table: str) -> str:
+    """The folder a table has by default: its name in its layer's folder."""
+    layer, _, name = table.rpartition(".")
+    database = spark.catalog.getDatabase(layer or spark.catalog.currentDatabase())
+    return f"{database.locationUri.rstrip('/')}/{name}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, folder: str) -> DataFrame:
@@ -107,24 +146,52 @@ def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def rows_seen(seen: Observation) -> int:
-    """The count after a successful write."""
+def rows_seen(seen: Observation) -> int | None:
+    """The count after a successful write; None if the plan took none.
+
+    Adaptive execution drops a plan it finds empty, and the count with it. A count
+    is for reporting: stages that run again may be counted again.
+    """
     try:
         return seen.get["rows"]
     except Py4JJavaError:
-        # Adaptive execution drops a plan it finds empty, and the count with it.
+        return None
+
+
+def replace_day(rows: DataFrame, table: str, column: str, day: str) -> int:
+    """Overwrite one day's partition of a table; returns the rows it then has.
+
+    An overwrite without rows names no partition, so the old day is dropped then:
+    if neither the write of the attempt that succeeded saw a row nor the rows
+    themselves have one. The count is of what the table holds afterwards.
+    """
+    def attempt() -> int | None:
+        watched, seen = counted(rows, f"rows_{uuid.uuid4().hex}")
+        replace_partitions(watched, table, evolve=True)
+        return rows_seen(seen)
+
+    spark = rows.sparkSession
+    if not with_retry(attempt) and rows.isEmpty():
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = '{day}')")
         return 0
+    return spark.table(table).where(F.col(column) == day).count()
+
 
+def with_retry(write: Callable[[], Result], attempts: int = 3, wait: float = 1.0) -> Result:
+    """Repeat a write that failed at run time; only for writes that may safely run again.
 
-def with_retry(write: Callable[[], None], attempts: int = 3, wait: float = 1.0) -> None:
-    """Repeat a failed write; only for writes that may safely run again."""
+    A plan that cannot be made, say of a missing column, fails at once.
+    """
     for attempt in range(1, attempts + 1):
         try:
             return write()
+        except AnalysisException:
+            raise
         except (PySparkException, Py4JJavaError) as error:
             if attempt == attempts:
                 raise RuntimeError(f"E005: write failed {attempts} times") from error
             sleep(wait * attempt)
+    raise ValueError("attempts must be one or more")
 
 
 def describe(spark: SparkSession, table: str) -> DataFrame:

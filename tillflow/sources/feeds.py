@@ -8,10 +8,11 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillflow.functions.accesslog import parse_access_log
 from tillflow.functions.typing import all_text, with_current_names
-from tillflow.schemas import FEED_COLUMNS, feed_schema
+from tillflow.schemas import COLUMN_ALIASES, CORRUPT, EXTRA, FEED_COLUMNS, feed_schema
 
 
 class FeedError(ValueError):
@@ -74,30 +75,71 @@ def read_files(spark: SparkSession, feed: Feed, path: str) -> DataFrame:
     """The feed as text columns plus ``_source_file``, lazily.
 
     CSV columns go by the names in the header, which must be the same in all
-    files read together; short rows are padded with NULL and long ones cut. JSON goes by the feed's contract, so that numbers stay
-    the text they are in the file and no extra pass guesses types.
+    files read together. Short rows are padded with NULL and long ones cut, and
+    ``_corrupt_record`` keeps such a row's whole text. JSON lines see ``json_fields``.
     """
-    reader = spark.read.option("mode", "PERMISSIVE")
+    reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if feed.kind == "csv":
         reader = reader.option("header", True).option("encoding", "UTF-8")
         names = reader.option("inferSchema", False).csv(path).schema
         # Every file's own header is checked, as columns are read by position.
-        files = reader.schema(names).option("enforceSchema", False).csv(path)
-    elif feed.kind == "json":
-        files = reader.schema(feed_schema(feed.name)).json(path)
-    elif feed.kind == "text":
+        files = reader.schema(with_corrupt(names)).option("enforceSchema", False).csv(path)
+    elif feed.kind in ("json", "text"):
         files = reader.text(path)
     else:
         files = reader.parquet(path)
     return to_text_columns(files, feed)
 
 
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def json_fields(lines: DataFrame, feed: Feed) -> DataFrame:
+    """The contract's fields of JSON lines (column ``value``) as the text they are in the file.
+
+    A line that is no JSON object is kept in ``_corrupt_record``; fields that the
+    contract does not name are kept as a JSON map in ``_extra_fields``. Blank
+    lines hold nothing.
+    """
+    schema = feed_schema(feed.name)
+    old = COLUMN_ALIASES.get(feed.name, {})
+    schema = T.StructType([*schema.fields, *(T.StructField(n, T.StringType()) for n in old)])
+    known = F.array(*[F.lit(f.name) for f in schema.fields])
+    options = {"columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json("value", with_corrupt(schema), options)
+    others = F.map_filter(
+        F.from_json("value", T.MapType(T.StringType(), T.StringType())),
+        lambda name, _: ~F.array_contains(known, name),
+    )
+    rows = lines.where(F.trim("value") != "").withColumns({"_parsed": parsed, "_others": others})
+    fields = {f.name: _as_written(f.name, F.col("_parsed")[f.name]) for f in schema.fields}
+    for before, now in old.items():
+        fields[now] = F.coalesce(fields[now], fields.pop(before))
+    kept = [name for name in lines.columns if name != "value"]
+    return rows.select(
+        *[column.alias(name) for name, column in fields.items()],
+        F.col("_parsed")[CORRUPT].alias(CORRUPT),
+        F.when(F.size("_others") > 0, F.to_json("_others")).alias(EXTRA),
+        *kept,
+    )
+
+
+def _as_written(name: str, value: Column) -> Column:
+    """A number as the line has it: parsing drops zeros at its end."""
+    written = F.regexp_extract("value", f'"{name}"\\s*:\\s*(-?[0-9][0-9.eE+-]*)', 1)
+    same = written.try_cast("double") == value.try_cast("double")
+    return F.when(same, written).otherwise(value)
+
+
 def to_text_columns(files: DataFrame, feed: Feed) -> DataFrame:
     """Text columns of a scanned feed; also used on streams."""
     source = F.col("_metadata.file_path").alias("_source_file")
     rows = files.select("*", source)
     if feed.kind == "text":
         return parse_access_log(rows)
+    if feed.kind == "json":
+        return json_fields(rows, feed)
     return with_current_names(all_text(rows), feed.name)
 
 

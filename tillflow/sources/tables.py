@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SHUFFLES = "spark.sql.shuffle.partitions"
+
 
 def rows_of(
     spark: SparkSession, table: str, batch_id: str | None = None, **partition: str
@@ -27,42 +32,40 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def spread_small(df: DataFrame, *by: str) -> DataFrame:
-    """A scan too small to occupy all cores, dealt out to them by hash.
-
-    Scans of at least one full split per core, so all large ones, stay as they
-    are and are not shuffled.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = 128 * 1024 * 1024
-    if planned_bytes(df) >= cores * split:
-        return df
-    return df.repartition(cores, *by)
-
-
-# Input per shuffle partition, and the most partitions: beyond it the shuffle's
-# own index files, one entry per map task and partition, cost more than they save.
+# Input per shuffle partition. What the planner says of a table it has not listed
+# is larger than UNKNOWN_BYTES.
 SHUFFLE_BYTES = 512 * 1024 * 1024
-SHUFFLE_PARTITIONS = 20_000
-# What the planner says of a table it has not listed is larger than this.
 UNKNOWN_BYTES = 2**60
 
 
-def fit_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
+def fit_shuffles(spark: SparkSession, *inputs: DataFrame, at_most: int | None = None) -> int:
     """Raise the session's shuffle partitions to what the inputs need.
 
     Never lowers them: adaptive execution joins partitions that turn out small,
-    but cannot divide those of an aggregation that turn out too large.
+    but cannot divide those of an aggregation that turn out too large. Inputs
+    whose size the planner does not know are an error: filter a partitioned table
+    by its partitions first. ``at_most`` is the most partitions wanted, if any.
     """
-    key = "spark.sql.shuffle.partitions"
     sizes = [planned_bytes(df) for df in inputs]
-    needed = -(-sum(size for size in sizes if size < UNKNOWN_BYTES) // SHUFFLE_BYTES)
-    current = int(spark.conf.get(key))
+    if any(size >= UNKNOWN_BYTES for size in sizes):
+        raise ValueError("the planner does not know the size of an input")
+    needed = -(-sum(sizes) // SHUFFLE_BYTES)
+    if at_most is not None:
+        needed = min(needed, at_most)
+    current = int(spark.conf.get(SHUFFLES))
     if needed > current:
-        current = max(current, min(needed, SHUFFLE_PARTITIONS))
-        spark.conf.set(key, current)
-    return current
+        spark.conf.set(SHUFFLES, needed)
+    return max(current, needed)
+
+
+@contextmanager
+def fitted_shuffles(spark: SparkSession, *inputs: DataFrame) -> Iterator[int]:
+    """As ``fit_shuffles``, for the plans run inside; the setting is put back afterwards."""
+    before = spark.conf.get(SHUFFLES)
+    try:
+        yield fit_shuffles(spark, *inputs)
+    finally:
+        spark.conf.set(SHUFFLES, before)
 
 
 def query(spark: SparkSession, statement: str, **inputs: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.functions.lineage import add_lineage
-from tillflow.schemas import feed_schema
-from tillflow.sources.feeds import Feed, date_in_path, to_text_columns
+from tillflow.schemas import CORRUPT, feed_schema
+from tillflow.sinks.tables import replace_partitions, replace_table
+from tillflow.sources.feeds import Feed, date_in_path, to_text_columns, with_corrupt
 
 
 def stream_feed(
@@ -29,20 +30,37 @@ def stream_feed(
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if feed.kind == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
-    if feed.kind != "text":
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+        reader = reader.schema(with_corrupt(feed_schema(feed.name)))
+    elif feed.kind == "parquet":
         reader = reader.schema(feed_schema(feed.name))
-    rows = to_text_columns(reader.format(feed.kind).load(folder), feed)
+    # JSON is read as lines, so that what the contract does not name is kept.
+    kind = "text" if feed.kind == "json" else feed.kind
+    rows = to_text_columns(reader.format(kind).load(folder), feed)
     job_date = date_in_path(F.col("_source_file")) if feed.dated else None
     return add_lineage(rows, batch_id, job_date)
 
 
-def land_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write all files waiting now to Parquet, then stop.
+def land_stream(rows: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Land all files waiting now in the feed's bronze table, then stop.
 
-    The checkpoint remembers which files are done, and the file sink commits
-    each micro-batch whole, so a restart neither loses nor repeats rows.
+    The checkpoint remembers which files are done. A micro-batch of a dated feed
+    is a batch of its own, named by the stream's batch and the micro-batch's
+    number, and overwrites its partitions, so one that runs again after a failure
+    neither loses nor repeats rows. A master feed is refreshed by each micro-batch.
     """
-    writer = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-    if "_job_date" in rows.columns:
-        writer = writer.partitionBy("_job_date", "_batch_id")
-    return writer.trigger(availableNow=True).start(path)
+    catalog = rows.sparkSession.catalog
+
+    def land(batch: DataFrame, number: int) -> None:
+        if batch.isEmpty():
+            return
+        if "_job_date" in batch.columns:
+            own = F.format_string(f"%s-{number:09d}", F.col("_batch_id"))
+            replace_partitions(batch.withColumn("_batch_id", own), table, evolve=True)
+        else:
+            replace_table(batch, table)
+        # The batch has a session of its own; this one may have listed the table before.
+        catalog.refreshTable(table)
+
+    writer = rows.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()

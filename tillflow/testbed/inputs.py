@@ -13,8 +13,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.sources.tables import spread_small
-
 # Sales after this moment count as future ones in the flawed sales.
 AS_OF = datetime(2001, 8, 1)
 
@@ -65,7 +63,7 @@ def _sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey AS l_partkey", "CAST(p_retailprice AS DECIMAL(10,2)) AS price"
     )
     return (
-        spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+        table(spark, sf_dir, "lineitem")
         .join(parts, "l_partkey")
         .join(orders, "l_orderkey")
         .selectExpr(
@@ -110,25 +108,28 @@ def flawed_pos_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return _texts(
         _sale_lines(spark, sf_dir),
-        transaction_id=f"CASE {where('0.10', '0.08', 'NULL')} {otherwise('line_id')}",
+        transaction_id=f"CASE {where('0.10', '0.08', 'NULL')} {where('0.09', '0.08', repr('  '))} {otherwise('line_id')}",
         customer_id=(
             "CASE WHEN o_orderpriority = '5-LOW' THEN NULL"
-            f" {where('0.10', '0.01', repr(' null '))} ELSE o_custkey || ' ' END"
+            f" {where('0.10', '0.01', repr(' null '))} {where('0.09', '0.01', repr(' '))} ELSE o_custkey || ' ' END"
         ),
-        product_id=f"CASE {where('0.10', '0.07', repr('Null'))} {otherwise('l_partkey')}",
-        store_id=f"CASE {where('0.10', '0.02', 'NULL')} {otherwise('l_suppkey')}",
+        product_id=f"CASE {where('0.10', '0.07', repr('Null'))} {where('0.09', '0.07', repr(''))} {otherwise('l_partkey')}",
+        store_id=f"CASE {where('0.10', '0.02', 'NULL')} {where('0.09', '0.02', repr(' '))} {otherwise('l_suppkey')}",
         quantity=(
             f"CASE {where('0.10', '0.06', repr('0'))} {where('0.09', '0.06', repr('-1'))}"
             f" {where('0.10', '0.05', repr('abc'))} {where('0.09', '0.05', 'NULL')}"
+            f" {where('0.08', '0.06', repr(' '))}"
             f" {otherwise('units')}"
         ),
         unit_price=(
             f"CASE {where('0.10', '0.04', repr('-0.01'))} {where('0.09', '0.04', repr('0.00'))}"
+            f" {where('0.08', '0.04', repr(''))}"
             f" {otherwise('price')}"
         ),
         discount_amount=f"CASE WHEN rate = 0.00 THEN NULL {otherwise(DISCOUNT)}",
         transaction_time=(
             f"CASE {where('0.10', '0.03', repr('2026-13-01'))} {where('0.09', '0.03', 'NULL')}"
+            f" {where('0.08', '0.03', repr('  '))}"
             f" {otherwise('l_shipdate')}"
         ),
     )
@@ -264,9 +265,9 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_masters(
-    spark: SparkSession, sf_dir: str, needed: Iterable[str] = ()
+    spark: SparkSession, sf_dir: str, needed: Iterable[str] | None = None
 ) -> dict[str, DataFrame]:
-    """The masters needed, or all."""
+    """The masters needed; all if that is not said."""
     masters = {
         "product_master": product_master,
         "category_master": category_master,
@@ -274,7 +275,7 @@ def clean_masters(
         "store_master": store_master,
         "retail_calendar": retail_calendar,
     }
-    return {name: masters[name](spark, sf_dir) for name in needed or masters}
+    return {name: masters[name](spark, sf_dir) for name in (masters if needed is None else needed)}
 
 
 def flawed_masters(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -50,24 +50,26 @@ FROM sale_lines
 """
 
 PARTS["flawed"] = """
-SELECT CASE WHEN tax = 0.08 AND rate = 0.10 THEN NULL
+SELECT CASE WHEN tax = 0.08 AND rate = 0.10 THEN NULL WHEN tax = 0.08 AND rate = 0.09 THEN '  '
             ELSE l_orderkey || '-' || l_linenumber END AS transaction_id,
        CASE WHEN o_orderpriority = '5-LOW' THEN NULL
-            WHEN tax = 0.01 AND rate = 0.10 THEN ' null ' ELSE o_custkey || ' ' END AS customer_id,
-       CASE WHEN tax = 0.07 AND rate = 0.10 THEN 'Null'
+            WHEN tax = 0.01 AND rate = 0.10 THEN ' null '
+            WHEN tax = 0.01 AND rate = 0.09 THEN ' ' ELSE o_custkey || ' ' END AS customer_id,
+       CASE WHEN tax = 0.07 AND rate = 0.10 THEN 'Null' WHEN tax = 0.07 AND rate = 0.09 THEN ''
             ELSE CAST(l_partkey AS VARCHAR) END AS product_id,
-       CASE WHEN tax = 0.02 AND rate = 0.10 THEN NULL
+       CASE WHEN tax = 0.02 AND rate = 0.10 THEN NULL WHEN tax = 0.02 AND rate = 0.09 THEN ' '
             ELSE CAST(l_suppkey AS VARCHAR) END AS store_id,
        CASE WHEN tax = 0.06 AND rate = 0.10 THEN '0' WHEN tax = 0.06 AND rate = 0.09 THEN '-1'
             WHEN tax = 0.05 AND rate = 0.10 THEN 'abc' WHEN tax = 0.05 AND rate = 0.09 THEN NULL
+            WHEN tax = 0.06 AND rate = 0.08 THEN ' '
             ELSE CAST(units AS VARCHAR) END AS quantity,
        CASE WHEN tax = 0.04 AND rate = 0.10 THEN '-0.01'
-            WHEN tax = 0.04 AND rate = 0.09 THEN '0.00'
+            WHEN tax = 0.04 AND rate = 0.09 THEN '0.00' WHEN tax = 0.04 AND rate = 0.08 THEN ''
             ELSE CAST(price AS VARCHAR) END AS unit_price,
        CASE WHEN rate = 0.00 THEN NULL
             ELSE CAST(CAST(units * price * rate AS DECIMAL(10,2)) AS VARCHAR) END AS discount_amount,
        CASE WHEN tax = 0.03 AND rate = 0.10 THEN '2026-13-01'
-            WHEN tax = 0.03 AND rate = 0.09 THEN NULL
+            WHEN tax = 0.03 AND rate = 0.09 THEN NULL WHEN tax = 0.03 AND rate = 0.08 THEN '  '
             ELSE CAST(l_shipdate AS VARCHAR) END AS transaction_time
 FROM sale_lines
 """
@@ -85,7 +87,7 @@ PARTS["flawed_typed"] = f"SELECT {_IDS}, {_SALE_TYPES} FROM flawed"
 
 
 def _clean(name: str) -> str:
-    return f"CASE WHEN upper(trim({name})) <> 'NULL' THEN trim({name}) END"
+    return f"CASE WHEN upper(trim({name})) NOT IN ('NULL', '') THEN trim({name}) END"
 
 
 _POS_COLUMNS = (

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterable
 from datetime import date, datetime
 from functools import wraps
 
@@ -26,8 +27,11 @@ from tillflow.operators.rejects import (
     rejected_rows,
     repeated_ids,
 )
+from tillflow.plans.day import run_day
+from tillflow.plans.landing import land_all, land_feed
+from tillflow.plans.layers import Lake, create_lake
 from tillflow.plans.silver import enriched_sales, fact_rows, prepare_masters
-from tillflow.schemas import SALES_TYPES
+from tillflow.schemas import CORRUPT, EXTRA, MASTER_KEYS, SALES_TYPES
 from tillflow.session import workspace
 from tillflow.sinks.compaction import compact
 from tillflow.sinks.tables import (
@@ -38,8 +42,8 @@ from tillflow.sinks.tables import (
     replace_table,
     written,
 )
-from tillflow.sources.feeds import FEEDS, open_feed
-from tillflow.sources.tables import fit_shuffles, query, rows_of, spread_small
+from tillflow.sources.feeds import FEEDS, feed_path, open_feed
+from tillflow.sources.tables import fit_shuffles, query, rows_of
 from tillflow.streaming.ingest import land_stream, stream_feed
 from tillflow.testbed import inputs as I
 from tillflow.testbed.oracle import (
@@ -94,7 +98,7 @@ def _landed(spark: SparkSession, feed: str, rows: DataFrame) -> DataFrame:
     kind, folder = FEEDS[feed].kind, workspace(spark, feed) + "/raw"
     writer = rows.write.option("header", True) if kind == "csv" else rows.write
     writer.format(kind).save(folder)
-    return open_feed(spark, FEEDS[feed], folder)
+    return open_feed(spark, FEEDS[feed], folder).drop(CORRUPT, EXTRA)
 
 
 _POS = """
@@ -165,16 +169,90 @@ def bronze_master_json(spark, sf_dir):
     return add_lineage(files, "m1").drop("_ingestion_timestamp", "_source_file")
 
 
-@registered(_POS + ", 's1' AS _batch_id, CAST(NULL AS VARCHAR) AS _job_date FROM pos")
+def _as_file(rows: DataFrame, feed: str, raw: str, job_date: str | None = None) -> None:
+    """Rows as the feed's file: a folder of that name, so that every task writes its part."""
+    kind = FEEDS[feed].kind
+    writer = rows.write.mode("overwrite")
+    if kind == "csv":
+        # Blanks at either end of a text are part of it.
+        writer = writer.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False)
+    writer.format(kind).save(feed_path(FEEDS[feed], raw, job_date))
+
+
+def _new_lake(spark: SparkSession, name: str) -> tuple[Lake, str]:
+    """An empty lake, and a folder for its raw files."""
+    place = workspace(spark, name)
+    lake = Lake(f"tillflow_{name}_{place[-8:].lower()}_")
+    create_lake(spark, lake, place + "/lake")
+    return lake, place + "/raw"
+
+
+@registered("""
+SELECT CASE WHEN o_orderkey % 50 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS order_id,
+       CASE WHEN o_orderkey % 50 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
+       CASE WHEN o_orderkey % 50 = 0 THEN 'order ' || o_orderkey END AS _corrupt_record,
+       CASE WHEN o_orderkey % 50 <> 0 AND o_orderpriority = '1-URGENT'
+            THEN '{"coupon":"X' || o_custkey || '"}' END AS _extra_fields
+FROM orders
+""")
+def bronze_json_broken(spark, sf_dir):
+    """Lines that are no JSON, and fields that the contract does not name, are kept."""
+    lines = I.table(spark, sf_dir, "orders").selectExpr(
+        "CASE WHEN o_orderkey % 50 = 0 THEN 'order ' || o_orderkey"
+        " ELSE '{\"order_id\": ' || o_orderkey || ', \"customer_id\": \"' || o_custkey || '\"'"
+        " || CASE WHEN o_orderpriority = '1-URGENT' THEN ', \"coupon\": \"X' || o_custkey || '\"'"
+        " ELSE '' END || '}' END AS value"
+    )
+    folder = workspace(spark, "broken") + "/raw"
+    lines.write.text(folder)
+    return open_feed(spark, FEEDS["online_orders"], folder).select(
+        "order_id", "customer_id", CORRUPT, EXTRA)
+
+
+_DAYS = "CASE WHEN transaction_time < '1998' THEN '1997-12-31' ELSE '2001-12-31' END"
+
+
+@registered(f"""
+SELECT transaction_id, store_id, {_DAYS} AS _job_date, 'b1' AS _batch_id,
+       CASE WHEN transaction_time >= '1998' THEN 'till ' || store_id END AS channel
+FROM pos
+""")
+def bronze_new_columns(spark, sf_dir):
+    """A day whose files have one column more: the table gets it, older days read NULL."""
+    lake, raw = _new_lake(spark, "columns")
+    rows = I.pos_transactions(spark, sf_dir)
+    early = F.col("transaction_time") < "1998"
+    _as_file(rows.where(early), "pos_transactions", raw, "1997-12-31")
+    wider = rows.where(~early).withColumn("channel", F.concat(F.lit("till "), "store_id"))
+    _as_file(wider, "pos_transactions", raw, "2001-12-31")
+    for day in ("1997-12-31", "2001-12-31"):
+        land_feed(spark, lake, "pos_transactions", raw, day, "b1")
+    return spark.table(lake.bronze("pos_transactions")).select(
+        "transaction_id", "store_id", "_job_date", "_batch_id", "channel")
+
+
+@registered(_POS + """,
+       transaction_time[1:4] || '-01-01' AS _job_date, transaction_time[1:4] || '0101' AS file_day,
+       'stream' AS batch
+FROM pos""")
 def stream_ingest(spark, sf_dir):
-    place = workspace(spark, "stream")
-    raw = f"{place}/raw"
-    I.pos_transactions(spark, sf_dir).write.option("header", True).csv(raw)
-    rows = stream_feed(spark, FEEDS["pos_transactions"], raw, "s1", pattern="part-*.csv")
-    rows = rows.drop("_ingestion_timestamp", "_source_file")
-    land_stream(rows.drop("_job_date"), f"{place}/bronze", f"{place}/state").awaitTermination()
-    landed = spark.read.schema(rows.drop("_job_date").schema).parquet(f"{place}/bronze")
-    return landed.withColumn("_job_date", F.lit(None).cast("string"))
+    """Files named by the year of shipping; a second run reads only the one that is new."""
+    lake, raw = _new_lake(spark, "stream")
+    place, feed = workspace(spark, "stream-state"), FEEDS["pos_transactions"]
+    rows = I.pos_transactions(spark, sf_dir)
+    years = sorted(r[0] for r in rows.select(F.substring("transaction_time", 1, 4)).distinct().collect())
+    files = feed_path(feed, raw)
+    for part in (years[:-1], years[-1:]):
+        for year in part:
+            _as_file(rows.where(F.col("transaction_time").startswith(year)), feed.name, raw, f"{year}-01-01")
+        stream = stream_feed(spark, feed, files, "stream", pattern="part-*.csv")
+        land_stream(stream, lake.bronze(feed.name), place).awaitTermination()
+    return spark.table(lake.bronze(feed.name)).select(
+        *SALES_TYPES, "_job_date",
+        F.regexp_extract("_source_file", r"_(\d{8})\.csv", 1).alias("file_day"),
+        F.regexp_extract("_batch_id", r"^(.*)-\d{9}$", 1).alias("batch"),
+    )
 
 
 # ---- bronze: batches and table scans -----------------------------------------
@@ -186,8 +264,7 @@ def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority"
     )
     hour = F.when(F.col("l_returnflag") == "A", 2).when(F.col("l_returnflag") == "N", 3)
-    lines = spread_small(I.table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
-    return lines.join(orders, "l_orderkey").select(
+    return I.table(spark, sf_dir, "lineitem").join(orders, "l_orderkey").select(
         F.expr("l_orderkey || '-' || l_linenumber").alias("transaction_id"),
         F.to_date("l_shipdate").cast("string").alias("_job_date"),
         F.concat_ws("-", "l_returnflag", "o_orderpriority").alias("_batch_id"),
@@ -213,8 +290,10 @@ SELECT _job_date, COUNT(*) AS rows_landed FROM batches
 WHERE _batch_id = 'R-2-HIGH' GROUP BY _job_date
 """)
 def batch_exact(spark, sf_dir):
-    _batches(spark, sf_dir).createOrReplaceTempView("tillflow_batches")
-    rows = rows_of(spark, "tillflow_batches", batch_id="R-2-HIGH")
+    view = f"tillflow_batches_{uuid.uuid4().hex}"
+    _batches(spark, sf_dir).createOrReplaceTempView(view)
+    rows = rows_of(spark, view, batch_id="R-2-HIGH")
+    spark.catalog.dropTempView(view)
     return rows.groupBy("_job_date").agg(F.count("*").alias("rows_landed"))
 
 
@@ -344,13 +423,13 @@ def columns_as_text(spark, sf_dir):
 # ---- silver: joins -----------------------------------------------------------
 
 
-def _fact(spark: SparkSession, sf_dir: str, *needed: str) -> DataFrame:
+def _fact(spark: SparkSession, sf_dir: str, needed: Iterable[str] | None = None) -> DataFrame:
     """All clean sales, repeated ids included, with all masters or those needed.
 
     Spark cannot know that a left join with unique keys may be left out when
     none of its columns are used, so summaries name the masters they read.
     """
-    masters = prepare_masters(I.clean_masters(spark, sf_dir, needed), unique=True)
+    masters = prepare_masters(_small_first(I.clean_masters(spark, sf_dir, needed)), unique=True)
     sales = typed_sales(I.pos_transactions(spark, sf_dir))
     return enriched_sales(sales, masters, sizes=_sizes(spark, sf_dir))
 
@@ -359,10 +438,17 @@ def _sizes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"store_master": I.store_size(spark, sf_dir)}
 
 
+def _small_first(masters: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The masters of one row per type and per day written first: their plans hide how small they are."""
+    small = ("category_master", "retail_calendar")
+    return {n: _settle(rows) if n in small else rows for n, rows in masters.items()}
+
+
 def _accepted_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flawed sales after rejection, with masters that lack some keys."""
-    masters = prepare_masters(I.flawed_masters(spark, sf_dir), unique=True)
-    sales = accepted_sales(I.flawed_pos_transactions(spark, sf_dir), I.AS_OF)
+    masters = prepare_masters(_small_first(I.flawed_masters(spark, sf_dir)), unique=True)
+    text = I.flawed_pos_transactions(spark, sf_dir)
+    sales = accepted_sales(text, I.AS_OF, _settle(repeated_ids(text)))
     return enriched_sales(sales, masters, sizes=_sizes(spark, sf_dir))
 
 
@@ -616,7 +702,8 @@ FROM (SELECT unnest(string_split(reasons, ',')) AS reason FROM judged WHERE reas
 GROUP BY reason
 """)
 def rejects_by_reason(spark, sf_dir):
-    bad = rejected_rows(I.flawed_pos_transactions(spark, sf_dir), I.AS_OF)
+    text = I.flawed_pos_transactions(spark, sf_dir)
+    bad = rejected_rows(text, I.AS_OF, _settle(repeated_ids(text)), _settle)
     return bad.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(
         F.count("*").alias("failed_rows")
     )
@@ -653,8 +740,10 @@ FROM judged
 def audit_counts(spark, sf_dir):
     text = I.flawed_pos_transactions(spark, sf_dir)
     batch = F.lit("b1").alias("batch_id")
+    listed = _settle(repeated_ids(text))
     counts = batch_counts(
-        accepted_sales(text, I.AS_OF).select(batch), rejected_rows(text, I.AS_OF).select(batch)
+        accepted_sales(text, I.AS_OF, listed).select(batch),
+        rejected_rows(text, I.AS_OF, listed, _settle).select(batch),
     )
     row = audit_row(
         counts, "2001-08-01", "daily_sales", "test",
@@ -663,22 +752,87 @@ def audit_counts(spark, sf_dir):
     return row.drop("start_timestamp", "end_timestamp")
 
 
+# ---- whole days: files to tables ---------------------------------------------
+
+
+def _run_lake(spark: SparkSession, sf_dir: str, name: str) -> Lake:
+    """One day landed from files, twice, and run to gold: first a batch that the second replaces."""
+    lake, raw = _new_lake(spark, name)
+    text = I.flawed_pos_transactions(spark, sf_dir)
+    _as_file(text.where("discount_amount IS NULL"), "pos_transactions", raw, RUN["job_date"])
+    for master, rows in I.clean_masters(spark, sf_dir).items():
+        _as_file(rows, master, raw)
+    land_all(spark, lake, raw, RUN["job_date"], "b0", ["pos_transactions", *MASTER_KEYS])
+    _as_file(text, "pos_transactions", raw, RUN["job_date"])
+    for master, rows in I.flawed_masters(spark, sf_dir).items():
+        _as_file(rows, master, raw)
+    run_day(
+        spark, lake, raw, RUN["job_date"], RUN["batch_id"], I.AS_OF, environment="test",
+        feeds=("pos_transactions", *MASTER_KEYS),
+    )
+    return lake
+
+
+@registered(
+    "SELECT * REPLACE ("
+    + ", ".join(f"upper({c}) AS {c}" for c in _UPPER)
+    + "), 'b1' AS batch_id, 'tillflow' AS source_system, '2001-08-01' AS job_date"
+    + f" FROM (SELECT {_FACT_COLUMNS} FROM accepted_fact)"
+)
+def lake_fact(spark, sf_dir):
+    rows = spark.table(_run_lake(spark, sf_dir, "fact").fact).drop("processed_timestamp")
+    return _wall_clock(_listed(rows, "missing_masters"), "transaction_time")
+
+
+@registered(f"""
+SELECT transaction_id, CAST({_JSON} AS VARCHAR) AS raw_data, {_CATEGORY} AS rejection_category,
+       reasons, 'pos_transactions_20010801.csv' AS source_file, 'b1' AS batch_id,
+       '2001-08-01' AS job_date
+FROM judged WHERE reasons <> ''
+""")
+def lake_rejects(spark, sf_dir):
+    rows = spark.table(_run_lake(spark, sf_dir, "rejects").rejects)
+    return _listed(rows, "reasons").select(
+        "transaction_id", "raw_data", "rejection_category", "reasons",
+        F.regexp_extract("source_file", "pos_transactions_[0-9]+.csv", 0).alias("source_file"),
+        "batch_id", "job_date",
+    )
+
+
+@registered("""
+SELECT 'b1' AS batch_id, '2001-08-01' AS job_date, 'daily_sales' AS job_name,
+       'test' AS environment, 'SUCCESS' AS status, COUNT(*) AS records_read,
+       COUNT(*) FILTER (WHERE reasons = '') AS records_processed,
+       COUNT(*) FILTER (WHERE reasons <> '') AS records_rejected,
+       CAST(NULL AS VARCHAR) AS error_message
+FROM judged
+""")
+def lake_audit(spark, sf_dir):
+    log = spark.table(_run_lake(spark, sf_dir, "audit").job_log)
+    return log.drop("start_timestamp", "end_timestamp", "execution_duration_seconds")
+
+
+@registered(daily("accepted_fact"))
+def lake_gold_daily(spark, sf_dir):
+    return spark.table(_run_lake(spark, sf_dir, "gold").gold("daily_sales_summary"))
+
+
 # ---- gold --------------------------------------------------------------------
 
 
 @registered("SELECT * FROM daily_summary")
 def gold_daily_sales(spark, sf_dir):
-    return G.daily_sales(_fact(spark, sf_dir, "retail_calendar"))
+    return G.daily_sales(_fact(spark, sf_dir, ()))
 
 
 @registered("SELECT * FROM customer_summary")
 def gold_customer_metrics(spark, sf_dir):
-    return G.customer_metrics(_fact(spark, sf_dir, "customer_master"))
+    return G.customer_metrics(_fact(spark, sf_dir, ()))
 
 
 @registered("SELECT * FROM product_summary")
 def gold_product_metrics(spark, sf_dir):
-    return G.product_metrics(_fact(spark, sf_dir, "product_master"))
+    return G.product_metrics(_fact(spark, sf_dir, ["product_master"]))
 
 
 @registered("SELECT * FROM category_summary")
@@ -687,8 +841,8 @@ def gold_category_metrics(spark, sf_dir):
 
 
 def _categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = _fact(spark, sf_dir, "product_master")
-    return G.revenue_share(G.category_metrics(fact), fact)
+    fact = _fact(spark, sf_dir, ["product_master"])
+    return G.revenue_share(_settle(G.category_metrics(fact)))
 
 
 @registered("""
@@ -698,12 +852,12 @@ SELECT CAST(SUM(amount) AS DECIMAL(28,2)) AS total_sales,
 FROM fact
 """)
 def gold_totals(spark, sf_dir):
-    return G.grand_totals(_fact(spark, sf_dir, "retail_calendar"))
+    return G.grand_totals(_fact(spark, sf_dir, ()))
 
 
 @registered("SELECT COUNT(*) AS row_count FROM fact")
 def gold_row_count(spark, sf_dir):
-    return G.row_count(_fact(spark, sf_dir))
+    return G.row_count(_fact(spark, sf_dir, ()))
 
 
 @registered(daily("accepted_fact"))
@@ -723,8 +877,8 @@ def accepted_product_metrics(spark, sf_dir):
 
 @registered(category_sql("accepted_fact"))
 def accepted_category_metrics(spark, sf_dir):
-    fact = _accepted_fact(spark, sf_dir)
-    return G.revenue_share(G.category_metrics(fact, ids_unique=True), fact)
+    rows = G.category_metrics(_accepted_fact(spark, sf_dir), ids_unique=True)
+    return G.revenue_share(_settle(rows))
 
 
 @registered("""
@@ -735,22 +889,22 @@ FROM daily_products
 WINDOW w AS (PARTITION BY product_id ORDER BY transaction_date)
 """)
 def product_demand_features(spark, sf_dir):
-    return G.demand_features(_fact(spark, sf_dir, "product_master"))
+    return G.demand_features(_fact(spark, sf_dir, ()))
 
 
 # ---- dashboard ---------------------------------------------------------------
 
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.daily_sales(_fact(spark, sf_dir, "retail_calendar"))
+    return G.daily_sales(_fact(spark, sf_dir, ()))
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.customer_metrics(_fact(spark, sf_dir, "customer_master"))
+    return G.customer_metrics(_fact(spark, sf_dir, ()))
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.product_metrics(_fact(spark, sf_dir, "product_master"))
+    return G.product_metrics(_fact(spark, sf_dir, ["product_master"]))
 
 
 _TOTAL = "SELECT CAST(SUM(total_sales) AS DECIMAL(38,2)) AS total_sales FROM daily_summary"
@@ -901,7 +1055,7 @@ GROUP BY job_date
 def sink_silver_evolving(spark, sf_dir):
     """A column the first write did not have; its old rows read as NULL."""
     table = f"{_layer(spark, 'silver')}.fact"
-    rows = _fact(spark, sf_dir, "retail_calendar").select(
+    rows = _fact(spark, sf_dir, ()).select(
         "transaction_id", "amount", "customer_id",
         F.col("transaction_year").cast("string").alias("job_date"),
     )
