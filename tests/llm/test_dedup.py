@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from tillflow.llm import anchors
 from tillflow.llm.components import Forest, components, whole_groups
 from tillflow.llm.debruijn import drop_repeated_words
 from tillflow.llm.deep_shallow import deep_shallow_order, padded
@@ -62,8 +63,16 @@ def bytes_removed(rows, window):
     return out
 
 
+@pytest.fixture(params=[False, True], ids=["", "everything hot"])
+def hot(request, monkeypatch):
+    """With every anchor and path taken for a hot one, too."""
+    if request.param:
+        for name, value in (("SAMPLE", 1), ("LEAST_HOT", 1), ("SHARES", 10**9)):
+            monkeypatch.setattr(anchors, name, value)
+
+
 @pytest.mark.parametrize("most", [16_384, 3])
-def test_suffix_dedup_equals_brute_force(spark, most):
+def test_suffix_dedup_equals_brute_force(spark, most, hot):
     rows = corpus()
     result = drop_repeated_bytes(frame(spark, rows), window=40, core=12, most=most)
     found = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in result.collect())
@@ -110,9 +119,10 @@ def words_removed(rows, window):
 
 
 @pytest.mark.parametrize("repeated_ids", [False, True])
-def test_debruijn_equals_brute_force(spark, repeated_ids):
+@pytest.mark.parametrize("most", [16_384, 2])
+def test_debruijn_equals_brute_force(spark, repeated_ids, most, hot):
     rows = corpus(5, repeated_ids)
-    result = drop_repeated_words(frame(spark, rows), window=12, core=4)
+    result = drop_repeated_words(frame(spark, rows), window=12, core=4, most=most)
     found = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in result.collect()]
     assert sorted(found, key=repr) == words_removed(rows, 12)
 
@@ -200,20 +210,16 @@ def test_whole_groups_of_any_batches():
     import pyarrow as pa
 
     rng = random.Random(6)
-    for most in (None, 4):
-        for _ in range(200):
-            keys = sorted(rng.randint(0, 4) for _ in range(rng.randint(0, 25)))
-            cuts = sorted(rng.randint(0, len(keys)) for _ in range(4))
-            parts = [keys[a:b] for a, b in zip([0, *cuts], [*cuts, len(keys)])]
-            batches = [pa.RecordBatch.from_pydict({"k": pa.array(p, pa.int64())}) for p in parts]
-            groups = Counter()
-            rows = []
-            for table, bounds, cut in whole_groups(iter(batches), ["k"], most):
-                values = table["k"].to_pylist()
-                rows += values
-                for a, b in zip(bounds[:-1], bounds[1:]):
-                    assert len(set(values[a:b])) == 1 and b > a
-                    groups[values[a], cut] += 1
-            assert rows == keys
-            assert all(n == 1 for (_, cut), n in groups.items() if not cut)
-            assert not {k for k, cut in groups if cut} & {k for k, cut in groups if not cut}
+    for _ in range(300):
+        keys = sorted(rng.randint(0, 4) for _ in range(rng.randint(0, 25)))
+        cuts = sorted(rng.randint(0, len(keys)) for _ in range(4))
+        parts = [keys[a:b] for a, b in zip([0, *cuts], [*cuts, len(keys)])]
+        batches = [pa.RecordBatch.from_pydict({"k": pa.array(p, pa.int64())}) for p in parts]
+        groups, rows = [], []
+        for table, bounds in whole_groups(iter(batches), ["k"]):
+            values = table["k"].to_pylist()
+            rows += values
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                assert len(set(values[a:b])) == 1
+                groups.append(values[a])
+        assert rows == keys and groups == sorted(set(keys))

@@ -12,7 +12,7 @@ only be equal if the anchors are.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tillflow.llm.tables import settled, spread, text_column
 
 CHUNK = 1 << 19
+SAMPLE, SHARES, LEAST_HOT = 64, 20, 16
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 RUN = "anchor bigint, path bigint, doc bigint, start bigint, windows int, lead int"
 
@@ -147,25 +148,93 @@ def numbered(docs: DataFrame, id: str, text: str) -> DataFrame:
     return settled(ordered.select(F.monotonically_increasing_id().alias("doc"), "doc_id", "text"))
 
 
-def repeated_runs(runs: DataFrame, is_repeat: Column) -> DataFrame:
-    """The runs that matter, settled: ``repeat`` (equal to another run as a whole) and ``open`` ones.
+def hot_lists(runs_of: Callable[[DataFrame], DataFrame], docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Anchors and runs (anchor, path) that many rows have, from one in ``SAMPLE`` documents.
+
+    They only decide where rows are dealt to. A listed one has at least
+    ``1 / (SHARES * partitions)`` of the sampled rows, so the lists have at most
+    ``SHARES * partitions`` rows each and may be broadcast.
+    """
+    drawn = docs.where(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0)
+    held = settled(runs_of(drawn).groupBy("anchor", "path").agg(F.count("*").alias("n")))
+    total = held.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = max(LEAST_HOT, -(-total // (SHARES * partitions)))
+    anchors = held.groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    paths = held.where(F.col("n") >= least)
+    return (
+        anchors.select("anchor", F.lit(True).alias("hot")),
+        paths.select("anchor", "path", F.ceil(F.col("n") / least).alias("parts")),
+    )
+
+
+def repeated_runs(
+    runs_of: Callable[[DataFrame], DataFrame], docs: DataFrame, is_repeat: Column
+) -> DataFrame:
+    """The runs that matter of ``docs``: ``repeat`` (equal to another run as a whole) and ``open`` ones.
 
     ``is_repeat`` judges a run by ``before`` and ``after``: whether an equal run
     comes before or after it in document order. A run is open if it is the first of
     its equals and its anchor has different runs, so that single windows of it may
-    be repeated. Windows over spilling buffers: no group is held in memory.
+    be repeated.
+
+    Runs meet by anchor; those of a hot anchor by anchor and path, and those of a hot
+    path in as many parts as it needs. The first of each path in each part then
+    meet once more. Windows read spilling buffers: no group is held in memory.
     """
-    order = Window.partitionBy("anchor").orderBy("path", "doc", "start")
-    whole = Window.partitionBy("anchor")
-    judged = spread(runs, "anchor").select(
+    anchors, paths = hot_lists(runs_of, docs)
+    dealt = runs_of(docs).join(F.broadcast(anchors), "anchor", "left").join(
+        F.broadcast(paths), ["anchor", "path"], "left"
+    ).select(
+        "anchor", "path", "doc", "start", "windows", "lead", F.col("hot").isNotNull().alias("hot"),
+        F.when(F.col("hot"), F.col("path")).otherwise(0).alias("own"),
+        F.when(F.col("parts").isNull(), 0).otherwise(
+            F.pmod(F.xxhash64("doc", "start"), F.col("parts"))).alias("part"),
+    )
+    keys = ["anchor", "own", "part"]
+    order = Window.partitionBy(*keys).orderBy("path", "doc", "start")
+    whole = Window.partitionBy(*keys)
+    before, after, varied = F.col("before"), F.col("after"), F.col("varied")
+    judged = spread(dealt, *keys).select(
         "*",
         F.coalesce(F.lag("path").over(order) == F.col("path"), F.lit(False)).alias("before"),
         F.coalesce(F.lead("path").over(order) == F.col("path"), F.lit(False)).alias("after"),
         (F.min("path").over(whole) != F.max("path").over(whole)).alias("varied"),
     )
-    repeat, open_ = is_repeat, ~F.col("before") & F.col("varied")
-    return settled(judged.where(repeat | open_).select(
-        "anchor", "doc", "start", "windows", "lead", repeat.alias("repeat"), open_.alias("open")))
+    known = settled(judged.where(F.col("hot") | is_repeat | (~before & varied)).select(
+        "anchor", "path", "doc", "start",
+        (F.col("windows") * 1024 + F.col("lead")).alias("shape"),
+        (F.col("hot").cast("int") * 8 + before.cast("int") * 4 + after.cast("int") * 2
+         + varied.cast("int")).alias("flags"),
+    )).select(
+        "anchor", "path", "doc", "start",
+        F.expr("shape div 1024").cast("int").alias("windows"), (F.col("shape") % 1024).alias("lead"),
+        (F.col("flags") >= 8).alias("hot"), (F.col("flags") % 8 >= 4).alias("before"),
+        (F.col("flags") % 4 >= 2).alias("after"), (F.col("flags") % 2 == 1).alias("varied"),
+    )
+    firsts = known.where(F.col("hot") & ~before)
+    again = Window.partitionBy("anchor", "path").orderBy("doc", "start")
+    # As many rows as there are hot anchors.
+    variety = firsts.groupBy("anchor").agg((F.min("path") != F.max("path")).alias("varied"))
+    firsts = firsts.drop("varied").join(F.broadcast(variety), "anchor").withColumns({
+        "before": F.lag("doc").over(again).isNotNull(),
+        "after": after | F.lead("doc").over(again).isNotNull(),
+    })
+    merged = known.where(~F.col("hot") | before).unionByName(firsts)
+    return merged.select(
+        "anchor", "doc", "start", "windows", "lead", is_repeat.alias("repeat"),
+        (~before & varied).alias("open"),
+    ).where("repeat or open")
+
+
+def in_parts(opened: DataFrame, most: int) -> DataFrame:
+    """Open runs with ``part`` and ``parts``: those of an anchor with more than ``most`` in several parts."""
+    large = opened.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > most).select(
+        "anchor", F.ceil(F.col("n") / most).cast("int").alias("parts"))
+    # One row at most for each ``most`` open runs.
+    parts = F.coalesce("parts", F.lit(1))
+    return opened.join(large, "anchor", "left").withColumn("parts", parts).withColumn(
+        "part", F.pmod(F.xxhash64("doc", "start"), F.col("parts")).cast("int"))
 
 
 def spans_by_document(spans: DataFrame) -> DataFrame:

@@ -12,18 +12,14 @@ from pyspark.sql import functions as F
 from tillflow.llm.tables import settled
 
 
-def whole_groups(
-    batches: Iterator[pa.RecordBatch], keys: list[str], most: int | None = None
-) -> Iterator[tuple[pa.Table, np.ndarray, bool]]:
-    """Tables of whole groups, where each group starts (and the last one ends), and False.
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups, and where each group starts (and the last one ends).
 
     The rows must be sorted by the (integer) key columns. Only the rows of the last,
-    unfinished group are carried from batch to batch. With ``most``, a group of
-    more rows than that comes as several tables of its own, with True.
+    unfinished group are carried from batch to batch, so groups must be of bounded size.
     """
     carried: list[pa.RecordBatch] = []
     last: tuple | None = None
-    cut = False
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -35,30 +31,17 @@ def whole_groups(
         if last is not None and tuple(column[0] for column in columns) != last:
             starts = np.concatenate([[0], starts])
         last = tuple(column[-1] for column in columns)
-        if len(starts) and cut:
-            table = pa.Table.from_batches([*carried, batch.slice(0, int(starts[0]))])
-            if table.num_rows:
-                yield table, np.array([0, table.num_rows]), True
-            carried, cut = [], False
-            batch, starts = batch.slice(int(starts[0])), starts - starts[0]
         if len(starts):
             before = sum(b.num_rows for b in carried)
             if before + int(starts[-1]):
                 table = pa.Table.from_batches([*carried, batch.slice(0, int(starts[-1]))])
-                bounds = np.unique(np.concatenate([[0], before + starts])).astype(np.int64)
-                yield table, bounds, False
+                yield table, np.unique(np.concatenate([[0], before + starts])).astype(np.int64)
             carried = [batch.slice(int(starts[-1]))]
         else:
             carried.append(batch)
-        if most is not None and sum(b.num_rows for b in carried) > most:
-            table = pa.Table.from_batches(carried)
-            for start in range(0, table.num_rows, most):
-                part = table.slice(start, most)
-                yield part, np.array([0, part.num_rows]), True
-            carried, cut = [], True
-    table = pa.Table.from_batches(carried) if carried else None
-    if table is not None and table.num_rows:
-        yield table, np.array([0, table.num_rows]), cut
+    if carried:
+        table = pa.Table.from_batches(carried)
+        yield table, np.array([0, table.num_rows])
 
 
 class Forest:

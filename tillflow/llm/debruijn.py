@@ -30,12 +30,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm.anchors import (
-    BASES, RUN, Hashes, anchored_runs, covered, numbered, pieces, repeated_runs, run_batch, spans_by_document,
+    BASES, RUN, Hashes, anchored_runs, covered, in_parts, numbered, pieces, repeated_runs, run_batch,
+    spans_by_document,
 )
-from tillflow.llm.tables import byte_texts, map_arrow, slices
+from tillflow.llm.tables import byte_texts, map_arrow, settled, slices
 
 WINDOW = 35
 CORE = 12
+MOST = 16_384
 
 
 def word_values(words: list[bytes]) -> np.ndarray:
@@ -56,9 +58,14 @@ def paths(docs: DataFrame, window: int, core: int) -> DataFrame:
     return map_arrow(docs, find, RUN)
 
 
-def repeated_edges(docs: DataFrame, opened: DataFrame, window: int) -> DataFrame:
-    """``doc, start, end`` of the edges of opened paths that occur more than once among them."""
-    wanted = opened.groupBy("doc").agg(F.collect_list(F.struct("start", "windows")).alias("wanted"))
+def repeated_edges(docs: DataFrame, opened: DataFrame, window: int, most: int) -> DataFrame:
+    """``doc, start, end`` of the edges of opened paths that occur more than once among them.
+
+    Edges meet by their hashes; those of an anchor with more than ``most`` opened
+    paths do so in parts first, and the first of each part once more.
+    """
+    wanted = in_parts(opened, most).groupBy("doc").agg(
+        F.collect_list(F.struct("start", "windows", "part", "parts")).alias("wanted"))
 
     def list_edges(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches, "text"):
@@ -68,39 +75,51 @@ def repeated_edges(docs: DataFrame, opened: DataFrame, window: int) -> DataFrame
             ):
                 values = word_values(body.split())
                 start = np.concatenate([np.arange(p["start"], p["start"] + p["windows"]) for p in places])
-                pair = []
-                for base in BASES:
-                    # Whole texts may be longer than the table of powers; hash from each path's own start.
-                    pair.append(np.concatenate([
+                count = [p["windows"] for p in places]
+                pair = [
+                    np.concatenate([
                         Hashes(values[p["start"]:p["start"] + p["windows"] + window - 1], base).all(window)
-                        for p in places]).view(np.int64))
+                        for p in places]).view(np.int64)
+                    for base in BASES
+                ]
+                part = [np.repeat(np.array([p[n] for p in places], np.int32), count) for n in ("part", "parts")]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(start), number)), pa.array(start), *map(pa.array, pair)],
-                    names=["doc", "start", "one", "two"])
+                    [pa.array(x) for x in (np.full(len(start), number), start, *pair, *part)],
+                    names=["doc", "start", "one", "two", "part", "parts"])
 
     edges = map_arrow(docs.select("doc", "text").join(wanted, "doc"), list_edges,
-                      "doc bigint, start bigint, one bigint, two bigint")
-    order = Window.partitionBy("one", "two").orderBy("doc", "start")
-    return edges.select(
-        "doc", "start", F.lag("doc").over(order).alias("before"), F.lead("doc").over(order).alias("after"),
-    ).where("before is not null or after is not null").select(
-        "doc", "start", (F.col("start") + window).alias("end"))
-
-
-def repeated_spans(docs: DataFrame, window: int = WINDOW, core: int = CORE) -> DataFrame:
+                      "doc bigint, start bigint, one bigint, two bigint, part int, parts int")
+    order = Window.partitionBy("one", "two", "part").orderBy("doc", "start")
+    met = settled(edges.select(
+        "*", F.lag("doc").over(order).isNotNull().alias("before"),
+        F.lead("doc").over(order).isNotNull().alias("after"),
+    ).where("before or after or parts > 1"))
+    again = Window.partitionBy("one", "two").orderBy("doc", "start")
+    firsts = met.where("parts > 1 and not before").select(
+        "doc", "start", "after", F.lag("doc").over(again).isNotNull().alias("before"),
+        F.lead("doc").over(again).isNotNull().alias("other"),
+    ).where("before or after or other")
+    return met.where("parts = 1 or before").select("doc", "start").unionByName(
+        firsts.select("doc", "start")).withColumn("end", F.col("start") + window)
+
+
+def repeated_spans(docs: DataFrame, window: int = WINDOW, core: int = CORE, most: int = MOST) -> DataFrame:
     """``doc, spans``: the word ranges of documents (``doc, text``) that lie in repeated windows."""
-    known = repeated_runs(paths(docs.select("doc", "text"), window, core), F.col("before") | F.col("after"))
+    docs = docs.select("doc", "text")
+    known = repeated_runs(lambda some: paths(some, window, core), docs, F.col("before") | F.col("after"))
     whole = known.where("repeat").select(
         "doc", "start", (F.col("start") + F.col("windows") + (window - 1)).alias("end"))
-    return spans_by_document(whole.unionByName(repeated_edges(docs, known.where("open"), window)))
+    edges = repeated_edges(docs, known.where("open"), window, most)
+    return spans_by_document(whole.unionByName(edges))
 
 
 def drop_repeated_words(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW, core: int = CORE
+    docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW, core: int = CORE,
+    most: int = MOST,
 ) -> DataFrame:
     """``doc_id, n_words, n_removed, kept, kept_sha256`` per row; ``kept`` joins the kept words by blanks."""
     rows = numbered(docs, id, text)
-    joined = rows.join(repeated_spans(rows, window, core), "doc", "left").select("doc_id", "text", "spans")
+    joined = rows.join(repeated_spans(rows, window, core, most), "doc", "left").select("doc_id", "text", "spans")
 
     def drop(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches, "text"):

@@ -11,8 +11,8 @@ windows that start ``o`` bytes before their anchors are equal if the left texts
 share ``o`` bytes and the right texts the rest, so windows are equal exactly if they
 lie in one range of either order; the first of a class stays.
 
-An anchor with more than ``GROUP`` different runs is sorted in parts of that size;
-the first window of each class in each part is then merged over the parts by a
+An anchor with more than ``GROUP`` different runs is dealt in parts of about that
+size; the first window of each class in each part is then merged over the parts by a
 128-bit hash, so no task holds an unbounded group.
 
 Defined results: a null text is empty; a text shorter than a window keeps all;
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm.anchors import (
-    BASES, RUN, Hashes, anchored_runs, covered, mix, numbered, pieces, repeated_runs, run_batch,
+    BASES, RUN, Hashes, anchored_runs, covered, in_parts, mix, numbered, pieces, repeated_runs, run_batch,
     spans_by_document,
 )
 from tillflow.llm.components import whole_groups
@@ -42,6 +42,7 @@ from tillflow.llm.tables import byte_texts, map_arrow, settled, slices, spread
 WINDOW = 100
 CORE = 32
 GROUP = 16_384
+NUMBERS = ("anchor", "start", "windows", "lead", "part", "parts")
 VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASES[0]))
 
 
@@ -66,26 +67,27 @@ def runs(docs: DataFrame, window: int, core: int) -> DataFrame:
 def with_bodies(docs: DataFrame, opened: DataFrame, window: int) -> DataFrame:
     """The opened runs with ``body``, the bytes of all their windows."""
     wanted = opened.groupBy("doc").agg(
-        F.collect_list(F.struct("anchor", "start", "windows", "lead")).alias("wanted"))
+        F.collect_list(F.struct(*NUMBERS)).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches, "text"):
-            out: dict[str, list] = {n: [] for n in ("anchor", "doc", "start", "windows", "lead", "body")}
+            out: dict[str, list] = {name: [] for name in (*NUMBERS, "doc", "body")}
             for number, body, places in zip(
                 batch.column("doc").to_pylist(), byte_texts(batch.column("text")),
                 batch.column("wanted").to_pylist(),
             ):
                 for p in places:
-                    for name in ("anchor", "start", "windows", "lead"):
+                    for name in NUMBERS:
                         out[name].append(p[name])
                     out["doc"].append(number)
                     out["body"].append(body[p["start"]:p["start"] + p["windows"] - 1 + window])
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+            kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out))
 
     return map_arrow(docs.select("doc", "text").join(wanted, "doc"), cut,
-                     "anchor bigint, doc bigint, start bigint, windows int, lead int, body binary")
+                     "anchor bigint, start bigint, windows int, lead int, part int, parts int,"
+                     " doc bigint, body binary")
 
 
 def later_windows(group: np.ndarray, lead: np.ndarray, count: np.ndarray, bodies: list[bytes],
@@ -119,16 +121,17 @@ def later_windows(group: np.ndarray, lead: np.ndarray, count: np.ndarray, bodies
 
 def duplicate_windows(opened: DataFrame, window: int, core: int, most: int) -> DataFrame:
     """``doc, start, end`` of windows of opened runs (with ``body``) that also start earlier."""
-    dealt = spread(opened, "anchor").sortWithinPartitions("anchor", "doc", "start")
+    dealt = spread(opened, "anchor", "part").sortWithinPartitions("anchor", "part", "doc", "start")
 
     def sort(batches: Iterator[pa.RecordBatch]):
-        for table, bounds, cut in whole_groups(batches, ["anchor"], most):
-            for first, last in _parts(bounds, most):
+        for table, bounds in whole_groups(batches, ["anchor", "part"]):
+            for first, last in _stretches(bounds, most):
                 part = table.slice(first, last - first)
                 bodies = part["body"].to_pylist()
                 doc, start = part["doc"].to_numpy(), part["start"].to_numpy()
                 lead, count = (part[n].to_numpy().astype(np.int64) for n in ("lead", "windows"))
-                later = later_windows(part["anchor"].to_numpy(), lead, count, bodies, window, core)
+                group = np.searchsorted(bounds, np.arange(first, last), side="right")
+                later = later_windows(group, lead, count, bodies, window, core)
                 edge = np.zeros((len(bodies), later.shape[1] + 2), np.int8)
                 edge[:, 1:-1] = later
                 change = np.diff(edge, axis=1)
@@ -137,11 +140,13 @@ def duplicate_windows(opened: DataFrame, window: int, core: int, most: int) -> D
                 out = [doc[row], start[row] + begin, start[row] + until - 1 + window]
                 none = np.zeros(len(row), bool)
                 hashes = [np.zeros(len(row), np.int64)] * 2
-                if cut:
-                    row, at = np.nonzero(~later & (np.arange(later.shape[1]) < count[:, None]))
-                    per_row = [[Hashes(byte_values(b), base).all(window) for b in bodies] for base in BASES]
-                    more = [np.array([h[r][a] for r, a in zip(row, at)], np.uint64).view(np.int64)
-                            for h in per_row]
+                cut = part["parts"].to_numpy() > 1
+                if cut.any():
+                    row, at = np.nonzero(
+                        cut[:, None] & ~later & (np.arange(later.shape[1]) < count[:, None]))
+                    more = [np.concatenate([
+                        Hashes(byte_values(bodies[r]), base).all(window)[at[row == r]]
+                        for r in np.unique(row).tolist()]).view(np.int64) for base in BASES]
                     out = [np.concatenate([old, new]) for old, new in zip(
                         out, (doc[row], start[row] + at, start[row] + at + window))]
                     hashes = [np.concatenate([old, new]) for old, new in zip(hashes, more)]
@@ -159,7 +164,7 @@ def duplicate_windows(opened: DataFrame, window: int, core: int, most: int) -> D
     return found.where("not first").unionByName(merged.drop("before")).select("doc", "start", "end")
 
 
-def _parts(bounds: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+def _stretches(bounds: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Stretches of whole groups of about ``most`` rows."""
     start = 0
     for at, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
@@ -172,10 +177,11 @@ def _parts(bounds: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 def duplicate_spans(docs: DataFrame, window: int = WINDOW, core: int = CORE, most: int = GROUP) -> DataFrame:
     """``doc, spans``: the byte ranges of documents (``doc, text``) in windows that also start earlier."""
-    known = repeated_runs(runs(docs.select("doc", "text"), window, core), F.col("before"))
+    docs = docs.select("doc", "text")
+    known = repeated_runs(lambda some: runs(some, window, core), docs, F.col("before"))
     whole = known.where("repeat").select(
         "doc", "start", (F.col("start") + F.col("windows") + (window - 1)).alias("end"))
-    opened = with_bodies(docs, known.where("open"), window)
+    opened = with_bodies(docs, in_parts(known.where("open"), most), window)
     return spans_by_document(whole.unionByName(duplicate_windows(opened, window, core, most)))
 
 
