@@ -21,10 +21,10 @@ judged alike.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -173,6 +173,21 @@ def _merged(*span_lists: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+MATCH = T.StructType([
+    T.StructField("words", T.LongType()),
+    T.StructField("spans", T.ArrayType(T.StructType([
+        T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
+    ]))),
+    T.StructField("items", T.ArrayType(T.StringType())),
+])
+MATCH_ARROW = pa.struct([
+    ("words", pa.int64()),
+    ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+    ("items", pa.list_(pa.string())),
+])
+Batches = Iterator[pa.RecordBatch]
+
+
 def match_items(
     docs: DataFrame,
     items: DataFrame,
@@ -181,33 +196,26 @@ def match_items(
     item_text: str = "text",
     window: int = WINDOW,
     shard_words: int = SHARD_WORDS,
+    finish: Callable[[Batches], Batches] | None = None,
+    finished: T.StructType | None = None,
 ) -> DataFrame:
     """``docs`` with a struct column ``_match``: its words, hit spans and items with occurring windows.
 
     A column of that name is replaced. It holds ``words`` (long), ``spans`` (array of word ranges, end
     exclusive, not touching) and ``items`` (array of item ids, sorted as strings).
+    ``finish``, with the schema ``finished``, works on the matched batches in the same task.
     """
     docs = docs.drop("_match")
     names = docs.columns
-    kind = T.StructType([
-        T.StructField("words", T.LongType()),
-        T.StructField("spans", T.ArrayType(T.StructType([
-            T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
-        ]))),
-        T.StructField("items", T.ArrayType(T.StringType())),
-    ])
-    schema = T.StructType([*docs.schema.fields, T.StructField("_match", kind)])
-    arrow = pa.struct([
-        ("words", pa.int64()),
-        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-        ("items", pa.list_(pa.string())),
-    ])
-    result = None
-    for automaton in _shards(items, item_id, item_text, window, shard_words):
+    schema = T.StructType([*docs.schema.fields, T.StructField("_match", MATCH)])
+    shards = iter(_shards(items, item_id, item_text, window, shard_words))
+    result, automaton = docs, next(shards)
+    while automaton is not None:
+        following = next(shards, None)
         shared = docs.sparkSession.sparkContext.broadcast(automaton)
-        again = result is not None
+        again, last = result is not docs, following is None
 
-        def judge(batches: Iterator[pa.RecordBatch], shared=shared, again=again):
+        def judge(batches: Batches, shared=shared, again=again) -> Batches:
             scan = shared.value.scan
             for batch in slices(batches, text):
                 before = batch.column("_match").to_pylist() if again else [None] * batch.num_rows
@@ -224,22 +232,30 @@ def match_items(
                         "items": sorted(hit),
                     })
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(name) for name in names), pa.array(found, arrow)],
+                    [*(batch.column(name) for name in names), pa.array(found, MATCH_ARROW)],
                     names=[*names, "_match"],
                 )
 
-        result = map_arrow(settled(result) if again else docs, judge, schema)
+        def judge_and_finish(batches: Batches, judge=judge) -> Batches:
+            return finish(judge(batches))
+
+        source = settled(result) if again else result
+        if last and finish is not None:
+            result = map_arrow(source, judge_and_finish, finished)
+        else:
+            result = map_arrow(source, judge, schema)
+        automaton = following
     return result
 
 
-def _without(body: bytes, spans: list[Row]) -> str:
+def _without(body: bytes, spans: list[dict]) -> bytes:
     """``body`` without the given word ranges, nor what stands between their words."""
     places = [(m.start(), m.end()) for m in WORD.finditer(body.translate(FOLD))]
     kept, at = [], 0
     for span in spans:
         kept.append(body[at:places[span["start"]][0]])
         at = places[span["end"] - 1][1]
-    return b"".join([*kept, body[at:]]).decode()
+    return b"".join([*kept, body[at:]])
 
 
 def decontaminate(
@@ -254,24 +270,25 @@ def decontaminate(
 
     Hit spans longer than ``max_span`` words are cut from the text. A document
     of whose words more than ``max_coverage`` are hit goes as a whole. Others
-    keep every byte, and null texts stay null. Columns ``_match`` and ``_cut`` are dropped.
+    keep every byte, and null texts stay null. A column ``_match`` is dropped.
     """
-    docs = docs.drop("_match", "_cut")
-    matched = match_items(docs, items, text=text, **options)
-    spans = F.filter("_match.spans", lambda s: s["end"] - s["start"] > max_span)
-    hit = F.aggregate("_match.spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    kept = matched.where(hit <= F.col("_match.words") * max_coverage).withColumn("_cut", spans)
-    names, schema = docs.columns, docs.schema
-
-    def cut(batches: Iterator[pa.RecordBatch]):
+    docs = docs.drop("_match")
+    names = docs.columns
+
+    def cut(batches: Batches) -> Batches:
         for batch in batches:
-            texts, found = batch.column(text), batch.column("_cut").to_pylist()
-            if any(found):
-                bodies = texts.cast(pa.binary()).to_pylist()
-                texts = pa.array(
-                    [_without(b, s) if s else None if b is None else b.decode()
-                     for b, s in zip(bodies, found)], texts.type)
+            found = batch.column("_match").to_pylist()
+            keep, bodies = [], []
+            for body, match in zip(batch.column(text).cast(pa.binary()).to_pylist(), found):
+                hit = sum(s["end"] - s["start"] for s in match["spans"])
+                keep.append(hit <= match["words"] * max_coverage)
+                spans = [s for s in match["spans"] if s["end"] - s["start"] > max_span]
+                bodies.append(_without(body, spans) if spans else body)
+            kind = batch.column(text).type
+            texts = pa.array(bodies, pa.binary()).cast(kind) if any(m["spans"] for m in found) else None
             yield pa.RecordBatch.from_arrays(
-                [texts if name == text else batch.column(name) for name in names], names=names)
+                [texts if name == text and texts is not None else batch.column(name) for name in names],
+                names=names,
+            ).filter(pa.array(keep, pa.bool_()))
 
-    return map_arrow(kept.select(*[f"`{name}`" for name in names], "_cut"), cut, schema)
+    return match_items(docs, items, text=text, finish=cut, finished=docs.schema, **options)
