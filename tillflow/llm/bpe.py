@@ -83,6 +83,10 @@ class TokenAutomaton(PieceEncoder):
             return [*body[:-1], body[-1] + self.suffix]
         return list(label)
 
+    def forget(self) -> None:
+        super().forget()
+        self.arcs = {}
+
     def has_arc(self, before: int, token: int) -> bool:
         """Whether the state that ``before`` leads to has an arc ``token``.
 
@@ -183,12 +187,16 @@ def encode_documents(docs: DataFrame, file: str, text: str = "text", decoded: bo
 
     def encode(batches: Iterator[pa.RecordBatch]):
         tokens = automaton(file)
-        for batch in slices(batches, text):
-            ids = [tokens.encode(body) for body in byte_texts(batch.column(text))]
-            columns = [*(batch.column(name) for name in names), pa.array(ids, pa.binary())]
-            if decoded:
-                spelt = [tokens.decode(np.frombuffer(i, "<u4")) for i in ids]
-                columns.append(pa.array(spelt, pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        try:
+            for batch in slices(batches, text):
+                ids = [tokens.encode(body) for body in byte_texts(batch.column(text))]
+                columns = [*(batch.column(name) for name in names), pa.array(ids, pa.binary())]
+                if decoded:
+                    spelt = [tokens.decode(np.frombuffer(i, "<u4")) for i in ids]
+                    columns.append(pa.array(spelt, pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        finally:
+            # The process may wait for other work: it keeps the automaton, not the cache.
+            tokens.forget()
 
     return map_arrow(docs, encode, schema)

@@ -12,8 +12,8 @@ from collections.abc import Sequence
 
 from tokenizers import Tokenizer
 
-CACHE_PIECES = 150_000
-CACHE_WORDS = 300_000
+CACHE_PIECES = 100_000
+CACHE_WORDS = 200_000
 LONGEST_CACHED = 100
 SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 # Letters and signs for which the pattern above agrees with the vocabulary's:
@@ -77,6 +77,10 @@ class PieceEncoder:
                 out.append(ids)
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Drops what was cached."""
+        self.young, self.old, self.words = {}, {}, {}
+
     def encode(self, text: bytes) -> bytes:
         young, old, out = self.young, self.old, []
         for piece in text.split():
