@@ -659,6 +659,9 @@ _JSON = (
     + "})"
 )
 
+# A CSV file does not tell empty text from no text.
+_CSV_JSON = "to_json({" + ", ".join(f"'{c}': nullif(raw_{c}, '')" for c in SALES_TYPES) + "})"
+
 
 def _settle(rows: DataFrame) -> DataFrame:
     return written(rows, workspace(rows.sparkSession, "settled") + "/rows")
@@ -785,8 +788,8 @@ def lake_fact(spark, sf_dir):
 
 
 @registered(f"""
-SELECT transaction_id, CAST({_JSON} AS VARCHAR) AS raw_data, {_CATEGORY} AS rejection_category,
-       reasons, 'pos_transactions_20010801.csv' AS source_file, 'b1' AS batch_id,
+SELECT transaction_id, CAST({_CSV_JSON} AS VARCHAR) AS raw_data,
+       {_CATEGORY} AS rejection_category, reasons, 'pos_transactions_20010801.csv' AS source_file, 'b1' AS batch_id,
        '2001-08-01' AS job_date
 FROM judged WHERE reasons <> ''
 """)
