@@ -160,7 +160,85 @@ OP5_SQL = """
       FROM scored)
     SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+OP1_SQL = """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    starts AS (
+      SELECT doc_id, p, md5_number(substr(h, 2 * p - 1, 200)) AS k
+      FROM (SELECT doc_id, h, unnest(range(1, length(h) // 2 - 98)) AS p FROM d WHERE length(h) >= 200)),
+    later AS (
+      SELECT doc_id, p FROM (
+        SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS n FROM starts)
+      WHERE n > 1),
+    grouped AS (
+      SELECT doc_id, p, count(*) FILTER (fresh) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM (
+        SELECT doc_id, p, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100, true) AS fresh
+        FROM later)),
+    spans AS (
+      SELECT doc_id, span, min(p) AS s, max(p) + 100 AS e FROM grouped GROUP BY doc_id, span),
+    cuts AS (
+      SELECT doc_id, s, e, lag(e, 1, 1) OVER (PARTITION BY doc_id ORDER BY s) AS until FROM spans),
+    sums AS (
+      SELECT doc_id, sum(e - s)::BIGINT AS n_removed, count(*) AS n_spans, max(e) AS last,
+        string_agg(substr(h, 2 * until - 1, 2 * (s - until)), '' ORDER BY s) AS kept
+      FROM cuts JOIN d USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+      coalesce(n_spans, 0) AS n_spans,
+      sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 1) - 1))) AS kept_sha256
+    FROM d LEFT JOIN sums USING (doc_id)"""
+
+OP4_SQL = r"""
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    edges AS (
+      SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+    repeated AS (SELECT s FROM edges GROUP BY s HAVING count(*) > 1),
+    gone AS (
+      SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM edges JOIN repeated USING (s)),
+    words AS (
+      SELECT doc_id, p, w[p] AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+    sums AS (
+      SELECT doc_id, count(g.p) AS n_removed, string_agg(x, ' ' ORDER BY p) FILTER (g.p IS NULL) AS kept
+      FROM words LEFT JOIN (SELECT doc_id, p FROM gone) g USING (doc_id, p) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
+      sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN sums USING (doc_id)"""
+
+OP7_SQL = rf"""
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM documents),
+    b AS (
+      SELECT coalesce(item_id::VARCHAR, 'null') AS item, regexp_extract_all(
+        translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM benchmark),
+    windows AS (
+      SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM (
+        SELECT item, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+        FROM b WHERE len(w) > 0)),
+    places AS (
+      SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS s FROM (
+        SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM d JOIN (SELECT DISTINCT k FROM windows) ON len(w) >= k)),
+    hits AS (SELECT doc_id, i, k, item FROM places JOIN windows USING (s, k)),
+    words AS (
+      SELECT doc_id, count(DISTINCT p) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+    items AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS held
+      FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+      sha256(coalesce(held, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
 ORACLE: dict[str, str] = {
+    "op1_suffix_dedup": OP1_SQL,
+    "op4_debruijn": OP4_SQL,
+    "op7_decontaminate": OP7_SQL,
     "op5_topk": OP5_SQL,
     "op8_secrets": secret_scan.oracle(),
 }
