@@ -502,8 +502,10 @@ def sales_enriched_by_shuffle(spark, sf_dir):
     masters = I.flawed_masters(spark, sf_dir)
     masters["store_master"] = I.store_master(spark, sf_dir)
     picked = {name: masters[name] for name in ("customer_master", "store_master")}
-    hot = {"store_master": hot_keys(sales, "store_id", min_rows=200)}
-    rows = enrich(sales, prepare_masters(picked), hot=hot, limit=-1)
+    hot = {"store_master": _settle(hot_keys(sales, "store_id", min_rows=200))}
+    # The hint keeps the planner from broadcasting what is small here.
+    large = {name: rows.hint("merge") for name, rows in prepare_masters(picked).items()}
+    rows = enrich(sales, large, hot=hot, limit=-1)
     return rows.drop("missing_masters")
 
 
