@@ -13,6 +13,7 @@ only be equal if the anchors are.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,10 @@ from tillflow.llm.tables import settled, spread, text_column
 CHUNK = 1 << 19
 SAMPLE, SHARES, LEAST_HOT = 64, 20, 16
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-RUN = "anchor bigint, path bigint, doc bigint, start bigint, windows int, lead int"
+RUN = (
+    "anchor bigint, path bigint, doc bigint, start bigint, windows int, lead int,"
+    " own bigint, part int"
+)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -119,17 +123,48 @@ def anchored_runs(values: np.ndarray, edges: np.ndarray, window: int, core: int)
     return first, count, at, cores[at], path_hash.of(first, first + count - 1 + window)
 
 
-def run_batch(row_docs: np.ndarray, cut: list[tuple[int, int, int]], found, edges: np.ndarray) -> pa.RecordBatch:
-    """The runs of one batch of pieces as rows of ``RUN``."""
+class Hot(NamedTuple):
+    """Sorted anchors, and runs (sorted by path) with their numbers of parts, that many rows have."""
+
+    anchors: np.ndarray
+    paths: np.ndarray
+    path_anchors: np.ndarray
+    parts: np.ndarray
+
+
+NONE_HOT = Hot(*[np.zeros(0, np.int64)] * 4)
+
+
+def _found(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each value would stand among the sorted keys, and whether it does."""
+    at = np.minimum(np.searchsorted(keys, values), max(0, len(keys) - 1))
+    return at, keys[at] == values if len(keys) else np.zeros(len(values), bool)
+
+
+def run_batch(
+    row_docs: np.ndarray, cut: list[tuple[int, int, int]], found, edges: np.ndarray, hot: Hot
+) -> pa.RecordBatch:
+    """The runs of one batch of pieces as rows of ``RUN``.
+
+    ``own`` and ``part`` say where a hot run is dealt to: that of a hot anchor by
+    its path (not zero then), that of a hot path to one of its parts.
+    """
     first, count, at, anchor, path = found
+    anchor, path = anchor.view(np.int64), path.view(np.int64)
     piece = np.searchsorted(edges, first, side="right") - 1
-    rows = np.array([p[0] for p in cut])[piece]
-    offsets = np.array([p[1] for p in cut])[piece]
-    return pa.RecordBatch.from_arrays([
-        pa.array(anchor.view(np.int64)), pa.array(path.view(np.int64)), pa.array(row_docs[rows]),
-        pa.array(first - edges[piece] + offsets), pa.array(count.astype(np.int32)),
-        pa.array((at - first).astype(np.int32)),
-    ], names=["anchor", "path", "doc", "start", "windows", "lead"])
+    docs = row_docs[np.array([p[0] for p in cut])[piece]]
+    start = first - edges[piece] + np.array([p[1] for p in cut])[piece]
+    _, is_hot = _found(hot.anchors, anchor)
+    place, listed = _found(hot.paths, path)
+    part = np.zeros(len(path), np.int64)
+    if listed.any():
+        listed &= hot.path_anchors[place] == anchor
+        spot = mix(docs.astype(np.uint64) * np.uint64(BASES[0]) + start.astype(np.uint64))
+        part = np.where(listed, spot % hot.parts[place].astype(np.uint64), 0).astype(np.int64)
+    columns = [anchor, path, docs, start, count.astype(np.int32), (at - first).astype(np.int32),
+               np.where(is_hot, path | 1, 0), part.astype(np.int32)]
+    names = ["anchor", "path", "doc", "start", "windows", "lead", "own", "part"]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
 def numbered(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -148,28 +183,31 @@ def numbered(docs: DataFrame, id: str, text: str) -> DataFrame:
     return settled(ordered.select(F.monotonically_increasing_id().alias("doc"), "doc_id", "text"))
 
 
-def hot_lists(runs_of: Callable[[DataFrame], DataFrame], docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Anchors and runs (anchor, path) that many rows have, from one in ``SAMPLE`` documents.
+def hot_runs(runs_of: Callable[[DataFrame, Hot], DataFrame], docs: DataFrame) -> Hot:
+    """Anchors and runs that many rows have, from one in ``SAMPLE`` documents.
 
     They only decide where rows are dealt to. A listed one has at least
-    ``1 / (SHARES * partitions)`` of the sampled rows, so the lists have at most
-    ``SHARES * partitions`` rows each and may be broadcast.
+    ``1 / (SHARES * partitions)`` of the sampled rows, so each list has at most
+    ``SHARES * partitions`` entries, whatever the data.
     """
     drawn = docs.where(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0)
-    held = settled(runs_of(drawn).groupBy("anchor", "path").agg(F.count("*").alias("n")))
+    held = settled(runs_of(drawn, NONE_HOT).groupBy("anchor", "path").agg(F.count("*").alias("n")))
     total = held.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     least = max(LEAST_HOT, -(-total // (SHARES * partitions)))
     anchors = held.groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    paths = held.where(F.col("n") >= least)
-    return (
-        anchors.select("anchor", F.lit(True).alias("hot")),
-        paths.select("anchor", "path", F.ceil(F.col("n") / least).alias("parts")),
+    anchors = [row["anchor"] for row in anchors.collect()]
+    paths = held.where(F.col("n") >= least).orderBy("path").collect()
+    return Hot(
+        np.sort(np.array(anchors, np.int64)),
+        np.array([row["path"] for row in paths], np.int64),
+        np.array([row["anchor"] for row in paths], np.int64),
+        np.array([-(-row["n"] // least) for row in paths], np.int64),
     )
 
 
 def repeated_runs(
-    runs_of: Callable[[DataFrame], DataFrame], docs: DataFrame, is_repeat: Column
+    runs_of: Callable[[DataFrame, Hot], DataFrame], docs: DataFrame, is_repeat: Column
 ) -> DataFrame:
     """The runs that matter of ``docs``: ``repeat`` (equal to another run as a whole) and ``open`` ones.
 
@@ -182,20 +220,12 @@ def repeated_runs(
     path in as many parts as it needs. The first of each path in each part then
     meet once more. Windows read spilling buffers: no group is held in memory.
     """
-    anchors, paths = hot_lists(runs_of, docs)
-    dealt = runs_of(docs).join(F.broadcast(anchors), "anchor", "left").join(
-        F.broadcast(paths), ["anchor", "path"], "left"
-    ).select(
-        "anchor", "path", "doc", "start", "windows", "lead", F.col("hot").isNotNull().alias("hot"),
-        F.when(F.col("hot"), F.col("path")).otherwise(0).alias("own"),
-        F.when(F.col("parts").isNull(), 0).otherwise(
-            F.pmod(F.xxhash64("doc", "start"), F.col("parts"))).alias("part"),
-    )
+    dealt = runs_of(docs, hot_runs(runs_of, docs))
     keys = ["anchor", "own", "part"]
     order = Window.partitionBy(*keys).orderBy("path", "doc", "start")
     whole = Window.partitionBy(*keys)
     before, after, varied = F.col("before"), F.col("after"), F.col("varied")
-    judged = spread(dealt, *keys).select(
+    judged = spread(dealt, *keys).withColumn("hot", F.col("own") != 0).select(
         "*",
         F.coalesce(F.lag("path").over(order) == F.col("path"), F.lit(False)).alias("before"),
         F.coalesce(F.lead("path").over(order) == F.col("path"), F.lit(False)).alias("after"),

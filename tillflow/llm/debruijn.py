@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm.anchors import (
-    BASES, RUN, Hashes, anchored_runs, covered, in_parts, numbered, pieces, repeated_runs, run_batch,
+    BASES, RUN, Hashes, Hot, anchored_runs, covered, in_parts, numbered, pieces, repeated_runs, run_batch,
     spans_by_document,
 )
 from tillflow.llm.tables import byte_texts, map_arrow, settled, slices
@@ -44,8 +44,10 @@ def word_values(words: list[bytes]) -> np.ndarray:
     return np.array([*map(xxhash.xxh3_64_intdigest, words)], np.uint64)
 
 
-def paths(docs: DataFrame, window: int, core: int) -> DataFrame:
+def paths(docs: DataFrame, hot: Hot, window: int, core: int) -> DataFrame:
     """The paths of every document (``doc, text``) as rows of ``RUN``."""
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
+
     def find(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches, "text"):
             numbers = batch.column("doc").to_numpy()
@@ -53,7 +55,7 @@ def paths(docs: DataFrame, window: int, core: int) -> DataFrame:
             for cut in pieces(np.array([len(w) for w in words]), window):
                 values = word_values([w for row, first, last in cut for w in words[row][first:last]])
                 edges = np.cumsum([0, *(last - first for _, first, last in cut)])
-                yield run_batch(numbers, cut, anchored_runs(values, edges, window, core), edges)
+                yield run_batch(numbers, cut, anchored_runs(values, edges, window, core), edges, shared.value)
 
     return map_arrow(docs, find, RUN)
 
@@ -106,7 +108,7 @@ def repeated_edges(docs: DataFrame, opened: DataFrame, window: int, most: int) -
 def repeated_spans(docs: DataFrame, window: int = WINDOW, core: int = CORE, most: int = MOST) -> DataFrame:
     """``doc, spans``: the word ranges of documents (``doc, text``) that lie in repeated windows."""
     docs = docs.select("doc", "text")
-    known = repeated_runs(lambda some: paths(some, window, core), docs, F.col("before") | F.col("after"))
+    known = repeated_runs(lambda some, hot: paths(some, hot, window, core), docs, F.col("before") | F.col("after"))
     whole = known.where("repeat").select(
         "doc", "start", (F.col("start") + F.col("windows") + (window - 1)).alias("end"))
     edges = repeated_edges(docs, known.where("open"), window, most)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm.anchors import (
-    BASES, RUN, Hashes, anchored_runs, covered, in_parts, mix, numbered, pieces, repeated_runs, run_batch,
+    BASES, RUN, Hashes, Hot, anchored_runs, covered, in_parts, mix, numbered, pieces, repeated_runs, run_batch,
     spans_by_document,
 )
 from tillflow.llm.components import whole_groups
@@ -50,8 +50,10 @@ def byte_values(text: bytes) -> np.ndarray:
     return VALUES[np.frombuffer(text, np.uint8)]
 
 
-def runs(docs: DataFrame, window: int, core: int) -> DataFrame:
+def runs(docs: DataFrame, hot: Hot, window: int, core: int) -> DataFrame:
     """The runs of windows of every document (``doc, text``) as rows of ``RUN``."""
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
+
     def find(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches, "text"):
             numbers = batch.column("doc").to_numpy()
@@ -59,7 +61,7 @@ def runs(docs: DataFrame, window: int, core: int) -> DataFrame:
             for cut in pieces(np.array([len(b) for b in bodies]), window):
                 values = byte_values(b"".join([bodies[row][first:last] for row, first, last in cut]))
                 edges = np.cumsum([0, *(last - first for _, first, last in cut)])
-                yield run_batch(numbers, cut, anchored_runs(values, edges, window, core), edges)
+                yield run_batch(numbers, cut, anchored_runs(values, edges, window, core), edges, shared.value)
 
     return map_arrow(docs, find, RUN)
 
@@ -178,7 +180,7 @@ def _stretches(bounds: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 def duplicate_spans(docs: DataFrame, window: int = WINDOW, core: int = CORE, most: int = GROUP) -> DataFrame:
     """``doc, spans``: the byte ranges of documents (``doc, text``) in windows that also start earlier."""
     docs = docs.select("doc", "text")
-    known = repeated_runs(lambda some: runs(some, window, core), docs, F.col("before"))
+    known = repeated_runs(lambda some, hot: runs(some, hot, window, core), docs, F.col("before"))
     whole = known.where("repeat").select(
         "doc", "start", (F.col("start") + F.col("windows") + (window - 1)).alias("end"))
     opened = with_bodies(docs, in_parts(known.where("open"), most), window)
