@@ -42,7 +42,8 @@ class TokenAutomaton(PieceEncoder):
     """The compiled merges of one vocabulary file."""
 
     def __init__(self, file: str) -> None:
-        super().__init__(file)
+        # The automaton's own tables take the room of some pieces.
+        super().__init__(file, cache_pieces=100_000, cache_words=200_000)
         with open(file, encoding="utf-8") as source:
             model = json.load(source)["model"]
         self.suffix = model["end_of_word_suffix"] or ""

@@ -12,8 +12,8 @@ from collections.abc import Sequence
 
 from tokenizers import Tokenizer
 
-CACHE_PIECES = 100_000
-CACHE_WORDS = 200_000
+CACHE_PIECES = 150_000
+CACHE_WORDS = 300_000
 LONGEST_CACHED = 100
 SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 # Letters and signs for which the pattern above agrees with the vocabulary's:
@@ -31,10 +31,14 @@ def byte_signs() -> list[str]:
 class PieceEncoder:
     """Token ids of texts as little-endian unsigned 32-bit integers; ``encode_word`` does one word.
 
-    Two generations of pieces are kept, so what is frequent stays.
+    Two generations of ``cache_pieces`` pieces are kept, so what is frequent
+    stays, and ``cache_words`` words.
     """
 
-    def __init__(self, file: str) -> None:
+    def __init__(
+        self, file: str, cache_pieces: int = CACHE_PIECES, cache_words: int = CACHE_WORDS
+    ) -> None:
+        self.cache_pieces, self.cache_words = cache_pieces, cache_words
         self.tokenizer = Tokenizer.from_file(file)
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = {token.content: id for id, token in added.items()}
@@ -70,7 +74,7 @@ class PieceEncoder:
                 if ids is None:
                     path = self.encode_word(word)
                     ids = struct.pack(f"<{len(path)}I", *path)
-                    if len(self.words) >= CACHE_WORDS:
+                    if len(self.words) >= self.cache_words:
                         self.words.clear()
                     if len(word) < LONGEST_CACHED:
                         self.words[word] = ids
@@ -89,7 +93,7 @@ class PieceEncoder:
                 ids = old.get(piece)
                 if ids is None:
                     ids = self.encode_piece(piece)
-                if len(young) >= CACHE_PIECES:
+                if len(young) >= self.cache_pieces:
                     self.old = old = young
                     self.young = young = {}
                 if len(piece) < LONGEST_CACHED:
