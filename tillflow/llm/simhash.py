@@ -13,7 +13,9 @@ one has less than that share of the other's shingles cannot be that similar), ro
 within a tile are ordered by population count to skip what differs beyond the
 radius, and a pair of fingerprints within the radius counts only if the Jaccard
 similarity of the shingles reaches it, as estimated from 1,024 one-bit minimum
-hashes (standard error 0.019 at 0.8, more for texts of fewer shingles). Points are then distinct texts.
+hashes (standard error 0.019 at 0.8, more for texts of fewer shingles). Points are
+then distinct texts. ``drop_near_duplicates`` estimates with a margin below and
+compares the shingles of each link that it gets exactly.
 
 A comparison emits a spanning forest of its links, so a group of near copies
 gives as many rows as it has members, not as many as it has pairs.
@@ -44,6 +46,7 @@ TILE = 4_096
 BINS = 1_024
 QUARTERS = 4
 ROWS = 256
+MARGIN = 0.03
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
@@ -237,6 +240,42 @@ def near_duplicate_components(
         "doc_id", "fingerprint", "component_id")
 
 
+def exact_links(
+    docs: DataFrame, points: DataFrame, edges: DataFrame, words: int, similarity: float, id: str, text: str
+) -> DataFrame:
+    """The edges between points whose sets of shingles are similar enough, compared whole.
+
+    Two texts without words are.
+
+    Of each text with an edge one row is taken, the one of the least id.
+    """
+    edges = settled(edges.distinct())
+    ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = points.join(ends, "node").select(
+        "node", "fingerprint", F.col("least").alias("doc"), F.col("text_key").alias("key"))
+    bodies = docs.select(F.col(id).cast("long").alias("doc_id"), text_column(text).alias("text"))
+    chosen = bodies.join(
+        wanted, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.xxhash64("text") == F.col("key"))
+    ).dropDuplicates(["node"])
+
+    def collect(batches: Iterator[pa.RecordBatch]):
+        for batch in slices(batches, "text"):
+            hashes = [shingle_hashes(body, words) for body in byte_texts(batch.column("text"))]
+            same = [fingerprint(h) == f for h, f in zip(hashes, batch.column("fingerprint").to_pylist())]
+            sets = pa.array([np.unique(h).view(np.int64) for h in hashes], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), sets], names=["node", "held"]).filter(pa.array(same))
+
+    sets = map_arrow(chosen, collect, "node bigint, held array<bigint>")
+    both = F.size(F.array_intersect("held_a", "held_b"))
+    return (
+        edges.join(sets.select(F.col("node").alias("a"), F.col("held").alias("held_a")), "a")
+        .join(sets.select(F.col("node").alias("b"), F.col("held").alias("held_b")), "b")
+        .where(both >= similarity * (F.size("held_a") + F.size("held_b") - both))
+        .select("a", "b")
+    )
+
+
 def drop_near_duplicates(
     docs: DataFrame,
     words: int = 5,
@@ -258,7 +297,8 @@ def drop_near_duplicates(
         prints.groupBy("text_key", "fingerprint").agg(
             F.min("doc_id").alias("least"), F.first("shingles").alias("shingles"), F.first("bits").alias("bits"))
         .withColumn("node", F.xxhash64("text_key", "fingerprint")))
-    roots = components(link_points(points, radius, similarity, tile))
+    edges = link_points(points, radius, similarity - MARGIN, tile)
+    roots = components(exact_links(docs, points, edges, words, similarity, id, text))
     named = points.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = named.groupBy("root").agg(F.min_by(
         F.struct("least", "text_key"), F.struct(F.col("least").isNull(), "least", "text_key")).alias("kept"))
