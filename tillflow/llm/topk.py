@@ -6,8 +6,8 @@ largest norm, a query q gets 0 there, and |q' - x'|^2 = |q|^2 + M^2 - 2 q.x. The
 distances of every point to the pivots are computed once. By the triangle
 inequality the largest difference of two points' distances to any pivot is a lower
 bound of their distance, and so gives an upper bound of the score. A query's
-candidates are evaluated in the order of these bounds, and evaluation stops where
-the bound falls below the k-th best score found: no later one can be better.
+candidates are evaluated in the order of these bounds, in strides, and evaluation
+stops where the bound falls below the k-th best score found: no later one can be better.
 
 Candidates and queries are dealt by hash into groups of bounded size; each pair
 of a candidate group and a query group is one small search, and a query's results
@@ -33,6 +33,8 @@ from tillflow.llm.tables import map_arrow, settled, ship_code
 
 PIVOTS = 32
 SAMPLE = 1_024
+FIRST = 256
+BLOCK = 16
 CANDIDATES = 8_192
 QUERIES = 4_096
 
@@ -76,34 +78,53 @@ def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return x.astype(np.int64) @ q.astype(np.int64)
 
 
+def score_limits(far: np.ndarray, table: np.ndarray, square: np.ndarray, largest: float) -> np.ndarray:
+    """Per query (row of ``far``) and candidate (column of ``table``) a score that it cannot exceed."""
+    bound = np.zeros((len(far), table.shape[1]), np.float32)
+    for query, pivot in zip(far.T, table):
+        np.maximum(bound, np.abs(query[:, None] - pivot), out=bound)
+    # Distances were rounded to single precision; scores are whole numbers.
+    rounding = 4 * np.finfo(np.float32).eps * max(far.max(initial=0), table.max(initial=0))
+    near = np.maximum(0.0, bound.astype(np.float64) - rounding)
+    return 0.5 + (square[:, None] + largest - near * near) / 2
+
+
 def search(
     ids: np.ndarray, x: np.ndarray, table: np.ndarray,
     query_ids: np.ndarray, queries: np.ndarray, query_table: np.ndarray, largest: float, k: int,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each query's k best candidates here: query id, candidate id, score."""
+    """Each query's k best candidates here: query id, candidate id, score.
+
+    The candidates of the ``FIRST`` highest limits are evaluated first; then, in one
+    stride, those whose limit reaches the k-th best score of these. The others cannot
+    be among the k best.
+    """
     found = []
-    for query, q, far in zip(query_ids, queries, query_table):
-        bound = np.abs(table - far).max(axis=1) if table.shape[1] else np.zeros(len(ids))
-        # Rounding is far below a half, and scores are whole numbers.
-        best_score = 0.5 + (q @ q + largest - bound * bound) / 2
-        order = np.argsort(-best_score)
-        limits = best_score[order]
-        scores, names = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        start, size = 0, 256
-        while start < len(order):
-            if len(scores) == k and limits[start] < scores[-1]:
-                break
-            part = order[start:start + size]
-            part = part[ids[part] != query]
-            scores = np.concatenate([scores, products(x[part], q)])
-            names = np.concatenate([names, ids[part]])
+    pivots = np.ascontiguousarray(table.T, np.float32)
+    for at in range(0, len(query_ids), BLOCK):
+        part = queries[at:at + BLOCK]
+        limits = score_limits(
+            query_table[at:at + BLOCK].astype(np.float32), pivots, (part * part).sum(axis=1), largest)
+        for query, q, limit in zip(query_ids[at:at + BLOCK], part, limits):
+            first = np.argpartition(-limit, FIRST)[:FIRST] if len(ids) > FIRST else np.arange(len(ids))
+            first = first[ids[first] != query]
+            scores, names = products(x[first], q), ids[first]
+            if len(ids) > FIRST:
+                worst = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else None
+                open_ = limit >= worst if worst is not None else np.ones(len(ids), bool)
+                open_[first] = False
+                rest = np.flatnonzero(open_)
+                rest = rest[ids[rest] != query]
+                more = products(x, q)[rest] if 8 * len(rest) > len(ids) else products(x[rest], q)
+                scores, names = np.concatenate([scores, more]), np.concatenate([names, ids[rest]])
+                if worst is not None:
+                    good = scores >= worst
+                    scores, names = scores[good], names[good]
             top = np.lexsort((names, -scores))[:k]
-            scores, names = scores[top], names[top]
-            start, size = start + size, size * 2
-        found.append((np.full(len(names), query), names, scores))
+            found.append((np.full(len(top), query), names[top], scores[top]))
     if not found:
         return (np.zeros(0, np.int64),) * 3
-    return tuple(np.concatenate(part) for part in zip(*found))
+    return tuple(np.concatenate(column) for column in zip(*found))
 
 
 def top_k(
