@@ -179,6 +179,35 @@ def test_near_duplicates_leave_one_of_each_group(spark):
     assert drop_near_duplicates(frame(spark, [])).count() == 0
 
 
+def shingle_set(text, words=5):
+    parts = text.lower().split()
+    return {tuple(parts[i:i + words]) for i in range(max(1, len(parts) - words + 1))}
+
+
+def jaccard(one, other):
+    return len(one & other) / len(one | other)
+
+
+def test_near_duplicates_of_any_length_are_found(spark):
+    """Planted pairs at 0.8 to 0.88: every one loses its copy, and no text without partner goes."""
+    rng = random.Random(6)
+    rows, copies = [], set()
+    for size, changes, appended in [(30, 0, 6), (50, 1, 0), (60, 1, 0), (100, 2, 0), (200, 4, 0), (500, 11, 0)]:
+        made = 0
+        while made < 150:
+            words = [f"w{rng.randrange(50_000)}" for _ in range(size)]
+            other = list(words)
+            for at in rng.sample(range(size), changes):
+                other[at] = f"x{rng.randrange(50_000)}"
+            other += [f"y{rng.randrange(50_000)}" for _ in range(appended)]
+            if 0.8 <= jaccard(shingle_set(" ".join(words)), shingle_set(" ".join(other))) <= 0.88:
+                rows += [(2 * len(copies), " ".join(words)), (2 * len(copies) + 1, " ".join(other))]
+                copies.add(2 * len(copies) + 1)
+                made += 1
+    kept = {r.doc_id for r in drop_near_duplicates(frame(spark, rows)).collect()}
+    assert kept == {doc for doc, _ in rows} - copies
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     found = {r.node: r.root for r in components(edges).collect()}

@@ -12,10 +12,13 @@ With ``similarity`` the tiles are ranges of shingle numbers instead (texts of wh
 one has less than that share of the other's shingles cannot be that similar), rows
 within a tile are ordered by population count to skip what differs beyond the
 radius, and a pair of fingerprints within the radius counts only if the Jaccard
-similarity of the shingles reaches it, as estimated from 1,024 one-bit minimum
-hashes (standard error 0.019 at 0.8, more for texts of fewer shingles). Points are
-then distinct texts. ``drop_near_duplicates`` estimates with a margin below and
-compares the shingles of each link that it gets exactly.
+similarity of the shingles may reach it: not if its estimate from 1,024 one-bit
+minimum hashes is more than ``SIGMAS`` standard deviations below. The deviation is
+that of the pair's numbers of shingles (``cut``), so very short texts are not cut at
+all. Fingerprints are then of the distinct shingles, whose similarity is meant, and
+points are distinct texts. ``drop_near_duplicates`` compares the shingles of each
+link that it gets exactly. Two texts at 0.8 differ in 24 bits or fewer but for one
+pair in 100,000 (in 8,000 where they have four and five shingles).
 
 A comparison emits a spanning forest of its links, so a group of near copies
 gives as many rows as it has members, not as many as it has pairs.
@@ -46,7 +49,7 @@ TILE = 4_096
 BINS = 1_024
 QUARTERS = 4
 ROWS = 256
-MARGIN = 0.03
+SIGMAS = 5.0
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
@@ -87,10 +90,24 @@ def minimum_bits(hashes: np.ndarray) -> bytes:
     return np.packbits((values >> np.uint64(40)) & np.uint64(1) == 1).tobytes()
 
 
+def cut(small: np.ndarray, large: np.ndarray, similarity: float) -> np.ndarray:
+    """The least estimate, by their numbers of shingles, at which texts of that similarity are expected.
+
+    The part of the bins whose minimum two texts share has a beta distribution by the
+    shingles of both, as empty bins take their neighbours' values; besides, the bins and
+    the bits of those that differ are 1,024 draws.
+    """
+    both = (small + large) / (1 + similarity)
+    rest = 1 - similarity
+    spread_ = similarity * rest * (1 / (both + 1) + 1 / BINS) + rest / BINS
+    return similarity - SIGMAS * np.sqrt(spread_)
+
+
 def fingerprints(
     docs: DataFrame, words: int, id: str = "doc_id", text: str = "text", sketch: bool = False
 ) -> DataFrame:
-    """``doc_id, fingerprint`` (signed) per row; with ``sketch`` also ``text_key``, ``shingles`` and ``bits``."""
+    """``doc_id, fingerprint`` (signed) per row; with ``sketch``, which is of distinct shingles, also
+    ``text_key``, ``shingles`` and ``bits``."""
     chosen = docs.select(F.col(id).cast("long").alias("doc_id"), text_column(text).alias("text"))
     if sketch:
         chosen = chosen.withColumn("text_key", F.xxhash64("text"))
@@ -99,13 +116,14 @@ def fingerprints(
     def make(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches, "text"):
             hashes = [shingle_hashes(body, words) for body in byte_texts(batch.column("text"))]
+            if sketch:
+                hashes = [np.unique(h) for h in hashes]
             columns = [*(batch.column(name) for name in kept),
                        pa.array([fingerprint(h) for h in hashes], pa.int64())]
             names = [*kept, "fingerprint"]
             if sketch:
-                unique = [np.unique(h) for h in hashes]
-                columns += [pa.array([len(h) for h in unique], pa.int64()),
-                            pa.array([minimum_bits(h) for h in unique], pa.binary())]
+                columns += [pa.array([len(h) for h in hashes], pa.int64()),
+                            pa.array([minimum_bits(h) for h in hashes], pa.binary())]
                 names += ["shingles", "bits"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -132,7 +150,7 @@ def _cell(radius: int, similarity: float | None) -> tuple[Column, list[int]]:
 
 def link_points(points: DataFrame, radius: int, similarity: float | None = None, tile: int = TILE) -> DataFrame:
     """Edges ``a, b`` that connect the points (``node, fingerprint``, with ``similarity`` also ``shingles,
-    bits``) whose fingerprints differ in ``radius`` bits or fewer and which are similar enough."""
+    bits``) whose fingerprints differ in ``radius`` bits or fewer and which may be similar enough."""
     cell, moves = _cell(radius, similarity)
     placed = points.withColumn("cell", cell)
     # There are at most 17**4 cells of counts, or one per ratio of shingle numbers: a bounded table.
@@ -217,9 +235,9 @@ def _compare(rows, prints, is_home, bits, sizes, radius, similarity, among_homes
                     left, right = left[apart], right[apart]
                     small, large = np.minimum(sizes[left], sizes[right]), np.maximum(sizes[left], sizes[right])
                     fits = small >= similarity * large
-                    left, right = left[fits], right[fits]
+                    left, right, least = left[fits], right[fits], cut(small[fits], large[fits], similarity)
                     differ = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int64)
-                    alike = differ <= BINS * (1 - similarity) / 2
+                    alike = differ <= BINS * (1 - least) / 2
                     left, right = left[alike], right[alike]
                 if len(left):
                     forest.join(place[left - low], place[right - low])
@@ -260,9 +278,9 @@ def exact_links(
 
     def collect(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches, "text"):
-            hashes = [shingle_hashes(body, words) for body in byte_texts(batch.column("text"))]
+            hashes = [np.unique(shingle_hashes(body, words)) for body in byte_texts(batch.column("text"))]
             same = [fingerprint(h) == f for h, f in zip(hashes, batch.column("fingerprint").to_pylist())]
-            sets = pa.array([np.unique(h).view(np.int64) for h in hashes], pa.list_(pa.int64()))
+            sets = pa.array([h.view(np.int64) for h in hashes], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), sets], names=["node", "held"]).filter(pa.array(same))
 
@@ -279,7 +297,7 @@ def exact_links(
 def drop_near_duplicates(
     docs: DataFrame,
     words: int = 5,
-    radius: int = 16,
+    radius: int = 24,
     similarity: float = 0.8,
     id: str = "doc_id",
     text: str = "text",
@@ -297,7 +315,7 @@ def drop_near_duplicates(
         prints.groupBy("text_key", "fingerprint").agg(
             F.min("doc_id").alias("least"), F.first("shingles").alias("shingles"), F.first("bits").alias("bits"))
         .withColumn("node", F.xxhash64("text_key", "fingerprint")))
-    edges = link_points(points, radius, similarity - MARGIN, tile)
+    edges = link_points(points, radius, similarity, tile)
     roots = components(exact_links(docs, points, edges, words, similarity, id, text))
     named = points.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = named.groupBy("root").agg(F.min_by(
