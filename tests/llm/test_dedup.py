@@ -1,6 +1,7 @@
 """Substring and near-duplicate operators against brute force."""
 
 import hashlib
+import itertools
 import random
 from collections import Counter
 
@@ -208,6 +209,31 @@ def test_near_duplicates_of_any_length_are_found(spark):
     assert kept == {doc for doc, _ in rows} - copies
 
 
+@pytest.mark.parametrize("tile, part", [(16_384, 1 << 19), (40, 3_000)])
+def test_families_of_doubtful_links_equal_brute_force(spark, tile, part):
+    """Copies of copies, most pairs of a family near 0.8 on either side."""
+    rng = random.Random(8)
+    texts = []
+    for _ in range(12):
+        family = [[f"w{rng.randrange(50_000)}" for _ in range(rng.randint(60, 200))]]
+        for _ in range(40):
+            words = list(rng.choice(family))
+            for _ in range(max(1, len(words) // rng.choice([40, 50, 60]))):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(50_000)}"
+            family.append(words)
+        texts += [" ".join(words) for words in family]
+    rng.shuffle(texts)
+    sets = [shingle_set(text) for text in texts]
+    pairs = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2)
+             if not sets[i].isdisjoint(sets[j]) and jaccard(sets[i], sets[j]) >= 0.8]
+    forest = Forest(len(texts))
+    forest.join(*np.array(pairs).T)
+    expected = {min(np.flatnonzero(forest.label == label).tolist()) for label in set(forest.label.tolist())}
+    kept = {r.doc_id for r in drop_near_duplicates(
+        frame(spark, list(enumerate(texts))), tile=tile, part=part).collect()}
+    assert 12 < len(expected) < len(texts) / 2 and kept == expected
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     found = {r.node: r.root for r in components(edges).collect()}

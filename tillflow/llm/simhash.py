@@ -16,12 +16,15 @@ similarity of the shingles may reach it: not if its estimate from 1,024 one-bit
 minimum hashes is more than ``SIGMAS`` standard deviations below. The deviation is
 that of the pair's numbers of shingles (``cut``), so very short texts are not cut at
 all. Fingerprints are then of the distinct shingles, whose similarity is meant, and
-points are distinct texts. ``drop_near_duplicates`` compares the shingles of each
-link that it gets exactly. Two texts at 0.8 differ in 24 bits or fewer but for one
+points are distinct texts. Two texts at 0.8 differ in 24 bits or fewer but for one
 pair in 100,000 (in 8,000 where they have four and five shingles).
 
 A comparison emits a spanning forest of its links, so a group of near copies
-gives as many rows as it has members, not as many as it has pairs.
+gives as many rows as it has members, not as many as it has pairs. With
+``similarity`` it emits the members of each tree instead, and ``exact_links``
+compares them once more with their shingles at hand: a pair of one tree is passed
+over only if exact links join it already, so no doubtful link stands for another. A
+tree of many shingles is cut, and each two of its cuts are compared apart.
 
 Defined results: a null or empty text has no words and fingerprint zero, which is
 linked like any other; fewer words than a shingle are one shingle; repeated rows
@@ -37,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +54,7 @@ BINS = 1_024
 QUARTERS = 4
 ROWS = 256
 SIGMAS = 5.0
+PART = 1 << 19
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
@@ -148,9 +153,15 @@ def _cell(radius: int, similarity: float | None) -> tuple[Column, list[int]]:
     return cell, sorted(m for m in moves if m >= 0)
 
 
-def link_points(points: DataFrame, radius: int, similarity: float | None = None, tile: int = TILE) -> DataFrame:
-    """Edges ``a, b`` that connect the points (``node, fingerprint``, with ``similarity`` also ``shingles,
-    bits``) whose fingerprints differ in ``radius`` bits or fewer and which may be similar enough."""
+def link_points(
+    points: DataFrame, radius: int, similarity: float | None = None, tile: int = TILE, part: int = PART
+) -> DataFrame:
+    """Edges ``a, b`` that connect the points (``node, fingerprint``) whose fingerprints differ in ``radius``
+    bits or fewer.
+
+    With ``similarity`` (and ``shingles, bits`` of the points) ``meeting, side, node`` instead: any two such
+    points that may be similar enough are in one meeting, on different sides if it has two.
+    """
     cell, moves = _cell(radius, similarity)
     placed = points.withColumn("cell", cell)
     # There are at most 17**4 cells of counts, or one per ratio of shingle numbers: a bounded table.
@@ -193,21 +204,50 @@ def link_points(points: DataFrame, radius: int, similarity: float | None = None,
             if similarity is not None:
                 bits = np.frombuffer(b"".join(table["bits"].to_pylist()), "<u8").reshape(len(node), -1)
                 sizes = table["shingles"].to_numpy()
-            links = []
+            key = [table[name].to_numpy() for name in keys]
+            links, met = [], [(np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64))]
             for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 if end - start > 1:
-                    links += _compare(
+                    rows, forest = _compare(
                         np.arange(start, end), prints, is_home, bits, sizes, radius, similarity,
                         first_visit[start] == 0)
+                    if similarity is None:
+                        links += [(int(rows[i]), int(rows[j])) for i, j in forest.links]
+                    else:
+                        met += _meetings(rows, forest.label, sizes[rows], [int(k[start]) for k in key], part)
+            if similarity is not None:
+                meeting, side, row = (np.concatenate(column) for column in zip(*met))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(meeting), pa.array(side), pa.array(node[row])], names=["meeting", "side", "node"])
+                continue
             pairs = np.array(links, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], names=["a", "b"])
 
-    return map_arrow(dealt, compare, "a bigint, b bigint")
-
-
-def _compare(rows, prints, is_home, bits, sizes, radius, similarity, among_homes) -> list[tuple[int, int]]:
-    """Links of the home rows with the visiting rows, and among the home rows if asked for."""
+    return map_arrow(
+        dealt, compare, "a bigint, b bigint" if similarity is None else "meeting bigint, side boolean, node bigint")
+
+
+def _meetings(rows, label, sizes, key, part) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Number, side and row of the members of each tree of two rows or more, in cuts of about ``part`` shingles."""
+    at = np.flatnonzero(np.bincount(label, minlength=len(label))[label] > 1)
+    at = at[np.argsort(label[at], kind="stable")]
+    met = []
+    for members in np.split(at, np.flatnonzero(np.diff(label[at])) + 1) if len(at) else []:
+        weight = sizes[members] + BINS // 16
+        _, cut_ = np.unique((np.cumsum(weight) - weight) // part, return_inverse=True)
+        cuts = [rows[members[cut_ == i]] for i in range(int(cut_.max()) + 1)]
+        for i, j in itertools.combinations_with_replacement(range(len(cuts)), 2):
+            both = cuts[i] if i == j else np.concatenate([cuts[i], cuts[j]])
+            name = np.array([*key, label[members[0]], i, j], np.int64).tobytes()
+            number = np.array([xxhash.xxh3_64_intdigest(name)], np.uint64).view(np.int64)
+            met.append((np.repeat(number, len(both)), np.arange(len(both)) >= len(cuts[i]), both))
+    return met
+
+
+def _compare(rows, prints, is_home, bits, sizes, radius, similarity, among_homes) -> tuple[np.ndarray, Forest]:
+    """The rows in an order, and the forest that links the home rows with the visiting rows, and among
+    themselves if asked for."""
     counts = np.bitwise_count(prints[rows])
     rows = rows[np.argsort(counts, kind="stable")]
     homes, visitors = rows[is_home[rows]], rows[~is_home[rows]]
@@ -241,7 +281,7 @@ def _compare(rows, prints, is_home, bits, sizes, radius, similarity, among_homes
                     left, right = left[alike], right[alike]
                 if len(left):
                     forest.join(place[left - low], place[right - low])
-    return [(int(rows[i]), int(rows[j])) for i, j in forest.links]
+    return rows, forest
 
 
 def near_duplicate_components(
@@ -258,18 +298,49 @@ def near_duplicate_components(
         "doc_id", "fingerprint", "component_id")
 
 
+def _exact_forest(held, ends, side, prints, radius, similarity) -> list[tuple[int, int]]:
+    """A spanning forest of the exact links of a meeting; ``held`` has the shingles of its rows, ``ends`` where
+    each row's lie."""
+    sizes = np.diff(ends)
+    values, at = np.unique(held, return_inverse=True)
+    mark = np.zeros(len(values), bool)
+    forest = Forest(len(side))
+    across = np.flatnonzero(side)
+    for i in np.flatnonzero(~side).tolist():
+        others = across if len(across) else np.arange(i + 1, len(side))
+        others = others[forest.label[others] != forest.label[i]]
+        small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
+        others = others[
+            (small >= similarity * large) & (np.bitwise_count(prints[others] ^ prints[i]) <= radius)]
+        if len(others) == 0:
+            continue
+        mark[at[ends[i]:ends[i + 1]]] = True
+        if 4 * sizes[others].sum() > len(at):
+            first, last, shared = ends[others], ends[others + 1], mark[at]
+        else:
+            last = np.cumsum(sizes[others])
+            first = last - sizes[others]
+            shared = mark[at[np.arange(last[-1]) + np.repeat(ends[others] - first, sizes[others])]]
+        before = np.concatenate([[0], np.cumsum(shared)])
+        both = before[last] - before[first]
+        mark[at[ends[i]:ends[i + 1]]] = False
+        others = others[both >= similarity * (sizes[i] + sizes[others] - both)]
+        forest.join(np.full(len(others), i), others)
+    return forest.links
+
+
 def exact_links(
-    docs: DataFrame, points: DataFrame, edges: DataFrame, words: int, similarity: float, id: str, text: str
+    docs: DataFrame, points: DataFrame, meetings: DataFrame, words: int, radius: int, similarity: float,
+    id: str, text: str,
 ) -> DataFrame:
-    """The edges between points whose sets of shingles are similar enough, compared whole.
-
-    Two texts without words are.
+    """Edges ``a, b`` that connect the points of each meeting whose sets of shingles are similar enough,
+    compared whole.
 
-    Of each text with an edge one row is taken, the one of the least id.
+    Two texts without words are. Of each text that meets another one row is taken,
+    the one of the least id.
     """
-    edges = settled(edges.distinct())
-    ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = points.join(ends, "node").select(
+    meetings = settled(meetings)
+    wanted = points.join(meetings.select("node").distinct(), "node").select(
         "node", "fingerprint", F.col("least").alias("doc"), F.col("text_key").alias("key"))
     bodies = docs.select(F.col(id).cast("long").alias("doc_id"), text_column(text).alias("text"))
     chosen = bodies.join(
@@ -282,16 +353,28 @@ def exact_links(
             same = [fingerprint(h) == f for h, f in zip(hashes, batch.column("fingerprint").to_pylist())]
             sets = pa.array([h.view(np.int64) for h in hashes], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), sets], names=["node", "held"]).filter(pa.array(same))
-
-    sets = map_arrow(chosen, collect, "node bigint, held array<bigint>")
-    both = F.size(F.array_intersect("held_a", "held_b"))
-    return (
-        edges.join(sets.select(F.col("node").alias("a"), F.col("held").alias("held_a")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("held").alias("held_b")), "b")
-        .where(both >= similarity * (F.size("held_a") + F.size("held_b") - both))
-        .select("a", "b")
-    )
+                [batch.column("node"), batch.column("fingerprint"), sets],
+                names=["node", "fingerprint", "held"]).filter(pa.array(same))
+
+    sets = map_arrow(chosen, collect, "node bigint, fingerprint bigint, held array<bigint>")
+    dealt = spread(meetings.join(sets, "node"), "meeting").sortWithinPartitions("meeting")
+
+    def compare(batches: Iterator[pa.RecordBatch]):
+        for table, bounds in whole_groups(batches, ["meeting"]):
+            node, side = table["node"].to_numpy(), table["side"].to_numpy()
+            prints = table["fingerprint"].to_numpy().view(np.uint64)
+            ends = np.cumsum(np.concatenate([[0], pc.list_value_length(table["held"]).to_numpy()]), dtype=np.int64)
+            held = pc.list_flatten(table["held"]).to_numpy()
+            links = []
+            for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                here = ends[start:end + 1]
+                links += [(start + i, start + j) for i, j in _exact_forest(
+                    held[here[0]:here[-1]], here - here[0], side[start:end], prints[start:end], radius, similarity)]
+            pairs = np.array(links, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], names=["a", "b"])
+
+    return map_arrow(dealt, compare, "a bigint, b bigint")
 
 
 def drop_near_duplicates(
@@ -302,6 +385,7 @@ def drop_near_duplicates(
     id: str = "doc_id",
     text: str = "text",
     tile: int = 4 * TILE,
+    part: int = PART,
 ) -> DataFrame:
     """``docs`` with one row of each group of near copies: the one with the least id (a null id is last).
 
@@ -315,8 +399,8 @@ def drop_near_duplicates(
         prints.groupBy("text_key", "fingerprint").agg(
             F.min("doc_id").alias("least"), F.first("shingles").alias("shingles"), F.first("bits").alias("bits"))
         .withColumn("node", F.xxhash64("text_key", "fingerprint")))
-    edges = link_points(points, radius, similarity, tile)
-    roots = components(exact_links(docs, points, edges, words, similarity, id, text))
+    meetings = link_points(points, radius, similarity, tile, part)
+    roots = components(exact_links(docs, points, meetings, words, radius, similarity, id, text))
     named = points.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = named.groupBy("root").agg(F.min_by(
         F.struct("least", "text_key"), F.struct(F.col("least").isNull(), "least", "text_key")).alias("kept"))
