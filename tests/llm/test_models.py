@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tillflow.llm.labelled import labelled_sample
 from tillflow.llm.quality import fit_quality, score_quality
 from tillflow.llm.tables import scratch_folder
 from tillflow.llm.toxicity import fit_toxicity, score_toxicity
@@ -61,6 +62,26 @@ def test_quality_without_labels_of_both_kinds(spark, labelled):
     assert score_quality(docs, few).count() == 300
 
 
+def test_sample_draws_short_texts_first_and_long_ones_where_they_lack(spark):
+    docs = frame(spark, ["long " * 20 if i % 2 or i >= 40 else f"short {i}" for i in range(60)])
+    labels = spark.createDataFrame([(i, int(i < 40)) for i in range(62)], "doc_id long, quality int")
+    sample, counts = labelled_sample(docs, labels, ["quality"], 20, F.lit(True), longest=50)
+    kinds = {kind: [body for body, values in sample if values == (kind,)] for kind in (0, 1)}
+    assert counts == {(1,): 40, (0,): 22}
+    assert sorted(kinds[1]) == sorted(f"short {i}".encode() for i in range(0, 40, 2))
+    assert kinds[0] == [b"long " * 20] * 10
+    alone, _ = labelled_sample(docs, labels, ["quality"], 1, F.lit(True), longest=50)
+    assert len(alone) == 2
+
+
+def test_quality_where_texts_of_a_label_are_long(spark):
+    rng = random.Random(9)
+    docs = frame(spark, [junk(rng, 80) if i % 3 == 0 else prose(rng, 8_000) for i in range(60)])
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(40)], "doc_id long, quality int")
+    scores = {r.doc_id: r._score for r in score_quality(docs, fit_quality(docs, labels)).where("doc_id >= 40").collect()}
+    assert all((score >= 0.5) == (i % 3 > 0) for i, score in scores.items())
+
+
 def test_toxicity_on_held_out_texts(spark, labelled):
     docs, labels = labelled
     chain = fit_toxicity(docs, labels.withColumn("junk", 1 - F.col("quality")), ["junk", "toxic"],

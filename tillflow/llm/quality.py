@@ -7,8 +7,8 @@ a logistic calibration, fitted on other labelled texts, turns it into the
 probability that the text is good. The calibration also sees the compressed size
 relative to the text, as text that repeats itself compresses well with either.
 
-Fitting uses a sample of at most ``per_class`` texts of each label
-(``labelled_sample``), weighted by the labels' counts over all labelled rows.
+Fitting uses a sample of at most ``per_class`` texts of each label, long ones
+where short ones lack (``labelled_sample``), weighted by the labels' counts over all labelled rows.
 
 Defined results: a null text counts as empty; an empty text gets the calibrated
 score of no evidence; if only one label is known every score is 1 or 0, and 0.5
