@@ -6,8 +6,9 @@ largest norm, a query q gets 0 there, and |q' - x'|^2 = |q|^2 + M^2 - 2 q.x. The
 distances of every point to the pivots are computed once. By the triangle
 inequality the largest difference of two points' distances to any pivot is a lower
 bound of their distance, and so gives an upper bound of the score. A query's
-candidates are evaluated in the order of these bounds, in strides, and evaluation
-stops where the bound falls below the k-th best score found: no later one can be better.
+candidates with the ``FIRST`` best bounds are evaluated first, then at once all whose
+bound reaches the k-th best score of these: no other can be better. Where that is over
+an eighth of a group, the whole group is evaluated, which is brute force.
 
 Candidates and queries are dealt by hash into groups of bounded size; each pair
 of a candidate group and a query group is one small search, and a query's results
