@@ -11,7 +11,8 @@ source coordinates, their edges are listed one by one, and edges that occur twic
 are repeated. Repeated paths and edges that follow each other in a document are
 compacted into maximal spans, and every word in a span goes.
 
-Edges are known by two independent 64-bit hashes of their words.
+Edges are known by two independent 64-bit hashes of their words; spans are not
+compared with the words of their other occurrences.
 
 Defined results: a null text has no words; a text of fewer words than a window
 keeps all; every copy goes, the first as well, repeated rows like any others; rows
