@@ -8,13 +8,15 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tillflow.llm import batch_encoding
+from tillflow.llm.batch_encoding import BatchEncoder
 from tillflow.llm.bpe import automaton, encode_documents
 from tillflow.llm.decontaminate import decontaminate, match_items, words_of
-from tillflow.llm.pieces import LibraryEncoder
 from tillflow.llm.secret_scan import ASSIGN, redact_live, secret_spans
 from tillflow.llm.tables import scratch_folder
 from tillflow.llm.token_files import (
@@ -37,9 +39,8 @@ def docs(spark, texts, ids=None):
         rows, "doc_id long, text string, source string, lang string, _score double, _match string")
 
 
-@pytest.mark.parametrize("make", [automaton, LibraryEncoder])
-def test_encoders_equal_the_library(make):
-    library, encoder = Tokenizer.from_file(FILE), make(FILE)
+def test_automaton_equals_the_library():
+    library, encoder = Tokenizer.from_file(FILE), automaton(FILE)
     rng = random.Random(1)
     texts = HARD + ["".join(rng.choice("abcdefghst 'lré!0\n<|") for _ in range(rng.randint(0, 80)))
                     for _ in range(500)]
@@ -48,6 +49,25 @@ def test_encoders_equal_the_library(make):
         assert encoder.encode(text.encode()) == struct.pack(f"<{len(ids)}I", *ids), text
 
 
+@pytest.mark.parametrize("window", [40, 8_000_000])
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_batches_encode_as_the_library_does(monkeypatch, name, window):
+    monkeypatch.setattr(batch_encoding, "WINDOW", window)
+    library, encoder = Tokenizer.from_file(public_tokenizers.path(name)), BatchEncoder(public_tokenizers.path(name))
+    rng = random.Random(2)
+    texts = [*HARD, None, "don't A'Σ", " lead", "trail \n\n "] + [
+        "".join(rng.choice("abcST 't  ,.\n\t!0é<|àΣ' \u0301-\u00a0") for _ in range(rng.randint(0, 80)))
+        for _ in range(1500)]
+    for first in range(0, len(texts), 250):
+        part = texts[first:first + 250]
+        ids, counts = encoder.encode(pa.array(part, pa.string()))
+        expected = [library.encode(text or "", add_special_tokens=False).ids for text in part]
+        assert counts.tolist() == [len(each) for each in expected]
+        assert ids.tolist() == [id for each in expected for id in each]
+    assert [x.tolist() for x in encoder.encode(pa.array([], pa.string()))] == [[], []]
+    assert encoder.encode(pa.array([None, ""], pa.string()))[1].tolist() == [0, 0]
+
+
 def test_encoded_documents_decode_as_the_library_does(spark):
     library = Tokenizer.from_file(FILE)
     texts = [*HARD, None, HARD[2]]

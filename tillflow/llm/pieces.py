@@ -100,14 +100,3 @@ class PieceEncoder:
                     young[piece] = ids
             out.append(ids)
         return b"".join(out)
-
-
-class LibraryEncoder(PieceEncoder):
-    """Words encoded by the tokenizers library's own model."""
-
-    def __init__(self, file: str) -> None:
-        super().__init__(file)
-        self.model = self.tokenizer.model
-
-    def encode_word(self, word: str) -> Sequence[int]:
-        return [token.id for token in self.model.tokenize(word)]

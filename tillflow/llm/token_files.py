@@ -30,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.pieces import LibraryEncoder
-from tillflow.llm.tables import byte_texts, map_arrow, slices
+from tillflow.llm.batch_encoding import batch_encoder
+from tillflow.llm.tables import map_arrow, slices
 
 LANES = 64
 STEPS = 1_024
@@ -140,29 +140,31 @@ def write_token_files(
     ordered = chosen.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
 
     def write(batches: Iterator[pa.RecordBatch]):
-        encoder = LibraryEncoder(file)
+        encoder = batch_encoder(file)
         part, segment = TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], np.uint32)
         doc_ids: list[int | None] = []
-        bodies: list[bytes] = []
-        held = 0
+        sizes: list[int] = []
+        bodies: list[np.ndarray] = []
 
         def row():
-            coded = encode_segment(np.frombuffer(b"".join(bodies), "<u4"))
-            coded |= {"part": part, "segment": segment, "doc_ids": doc_ids,
-                      "doc_sizes": [len(b) // 4 for b in bodies]}
+            coded = encode_segment(np.concatenate(bodies))
+            coded |= {"part": part, "segment": segment, "doc_ids": doc_ids, "doc_sizes": sizes}
             return pa.RecordBatch.from_pylist([coded], ARROW)
 
         for batch in slices(batches, "text"):
-            for doc_id, body in zip(batch.column("doc_id").to_pylist(), byte_texts(batch.column("text"))):
-                ids = encoder.encode(body) + end
-                if held and held + len(ids) > 4 * SEGMENT_IDS:
+            ids, counts = encoder.encode(batch.column("text"))
+            at, held = 0, sum(sizes)
+            for doc_id, count in zip(batch.column("doc_id").to_pylist(), counts.tolist()):
+                if held and held + count + 1 > SEGMENT_IDS:
                     yield row()
-                    doc_ids, bodies, held, segment = [], [], 0, segment + 1
+                    doc_ids, sizes, bodies, held, segment = [], [], [], 0, segment + 1
                 doc_ids.append(doc_id)
-                bodies.append(ids)
-                held += len(ids)
-        if held:
+                sizes.append(count + 1)
+                bodies += [ids[at:at + count], end]
+                at += count
+                held += count + 1
+        if sizes:
             yield row()
 
     map_arrow(ordered, write, SCHEMA).write.option("compression", "none").parquet(path)
