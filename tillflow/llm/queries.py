@@ -14,6 +14,7 @@ from tillflow.llm.bpe import encode_documents
 from tillflow.llm.decontaminate import match_items
 from tillflow.llm.debruijn import drop_repeated_words
 from tillflow.llm.labelled import crc_fold
+from tillflow.llm.packing import pack_documents
 from tillflow.llm.quality import fit_quality, score_quality
 from tillflow.llm.simhash import near_duplicate_components
 from tillflow.llm.suffix_dedup import drop_repeated_bytes
@@ -23,6 +24,7 @@ from tillflow.llm.topk import top_k
 from tillflow.llm.toxicity import fit_toxicity, score_toxicity
 
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,6 +135,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids packed into sequences of 2,048."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack_documents(docs, public_tokenizers.path(BYTE_BPE), per_piece=zlib.crc32).withColumnRenamed(
+        "digest", "ids_crc32")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_files": op2_token_files,
@@ -144,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
+    "op12_packing": op12_packing,
 }
 
 OP5_SQL = """
