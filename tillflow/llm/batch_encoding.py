@@ -38,6 +38,8 @@ LETTER = _among(bytes([*range(0x41, 0x5B), *range(0x61, 0x7B)]))
 SIGN = PRINTABLE & ~LETTER & ~_among(b"0123456789")
 # First bytes of the Latin letters U+00C0 to U+024F, none of which is white space.
 LATIN = _among(bytes(range(0xC3, 0xCA)))
+# What a vocabulary that lower-cases and ignores the kind of white space does not tell apart.
+FOLDED = np.frombuffer(bytes(range(256)).lower().translate(bytes.maketrans(b"\t\n\x0b\x0c\r", b" " * 5)), np.uint8)
 
 
 def cuts(data: np.ndarray) -> np.ndarray:
@@ -59,6 +61,8 @@ class BatchEncoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        normalizer = self.tokenizer.normalizer
+        self.folds = normalizer is not None and normalizer.normalize_str("A\tB\n\x0b\x0c\r") == "a b "
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -84,6 +88,8 @@ class BatchEncoder:
 
     def _window(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the pieces of ``data`` that begin at ``starts``, and how many each has."""
+        if self.folds:
+            data = FOLDED[data]
         bounds = np.append(starts, len(data)).astype(np.int64)
         pieces = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import secret_scan
 from tillflow.llm.bpe import encode_documents
+from tillflow.llm.conversation_trie import conversation_trie
 from tillflow.llm.decontaminate import match_items
 from tillflow.llm.debruijn import drop_repeated_words
 from tillflow.llm.labelled import crc_fold
@@ -142,6 +143,13 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "digest", "ids_crc32")
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefixes that conversations share once their heads are taken from every fifth one."""
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    return conversation_trie(
+        table(spark, sf_dir, "conversations"), head.cast("int"), F.expr("conv_id - conv_id % 5"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_files": op2_token_files,
@@ -154,6 +162,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
     "op12_packing": op12_packing,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 OP5_SQL = """
@@ -245,10 +254,54 @@ OP7_SQL = rf"""
       sha256(coalesce(held, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
+# DuckDB has no CRC-32: eight steps per byte over the decimal digits, as a fold.
+CRC32_SQL = """list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+        lambda crc, byte: list_reduce(
+          list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+          lambda y, zero: xor(y >> 1, (y & 1) * 3988292384)))"""
+
+OP13_SQL = f"""
+    WITH own AS (
+      SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place,
+        coalesce(role, '') AS role, coalesce(text, '') AS text
+      FROM conversations WHERE conv_id IS NOT NULL),
+    ids AS (
+      SELECT conv_id, conv_id - conv_id % 5 AS base, xor({CRC32_SQL}, 4294967295) % 9 AS h
+      FROM (SELECT DISTINCT conv_id FROM own)),
+    joined AS (
+      SELECT i.conv_id, 0 AS part, o.place, o.role, o.text
+      FROM ids i JOIN own o ON o.conv_id = i.base AND o.place <= i.h
+      UNION ALL
+      SELECT i.conv_id, 1, o.place, o.role, o.text FROM ids i JOIN own o USING (conv_id) WHERE o.place > i.h),
+    whole AS (
+      SELECT i.conv_id, coalesce(list(sha256(length(role) || ':' || role || text) ORDER BY part, place)
+          FILTER (j.conv_id IS NOT NULL), []) AS path,
+        coalesce(list(strlen(text) ORDER BY part, place) FILTER (j.conv_id IS NOT NULL), []) AS sizes
+      FROM ids i LEFT JOIN joined j USING (conv_id) GROUP BY i.conv_id),
+    members AS (
+      SELECT conv_id, d AS depth, path[:d] AS node, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS bytes,
+        d = len(path) AS ends
+      FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM whole)),
+    nodes AS (
+      SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(bytes) AS saved,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+      FROM members GROUP BY node, depth),
+    kids AS (SELECT node[:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+    counted AS (SELECT *, coalesce(n_children, 0) AS children FROM nodes LEFT JOIN kids USING (node)),
+    below AS (
+      SELECT node[:d] AS node, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (children = 0) AS n_leaves
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM counted) GROUP BY 1)
+    SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.children AS n_children, b.n_leaves,
+      b.saved_tokens, c.ends_sha256
+    FROM counted c JOIN below b USING (node)
+      LEFT JOIN nodes p ON c.depth > 0 AND p.node = c.node[:c.depth - 1]"""
+
 ORACLE: dict[str, str] = {
     "op1_suffix_dedup": OP1_SQL,
     "op4_debruijn": OP4_SQL,
     "op7_decontaminate": OP7_SQL,
     "op5_topk": OP5_SQL,
     "op8_secrets": secret_scan.oracle(),
+    "op13_conversation_trie": OP13_SQL,
 }

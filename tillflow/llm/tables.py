@@ -65,6 +65,19 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Removes a scratch folder that no plan reads any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a scratch folder and read again: computed once, lineage cut."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder: computed once, lineage cut.
 
