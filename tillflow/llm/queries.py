@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import secret_scan
 from tillflow.llm.bpe import encode_documents
+from tillflow.llm.collocations import best_collocations, collocations
 from tillflow.llm.conversation_trie import conversation_trie
 from tillflow.llm.decontaminate import match_items
 from tillflow.llm.debruijn import drop_repeated_words
@@ -136,6 +137,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of two and three words of each language."""
+    found = best_collocations(collocations(table(spark, sf_dir, "documents")), 2_000)
+    return found.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids packed into sequences of 2,048."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -161,6 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
+    "op11_collocations": op11_collocations,
     "op12_packing": op12_packing,
     "op13_conversation_trie": op13_conversation_trie,
 }
@@ -254,6 +262,41 @@ OP7_SQL = rf"""
       sha256(coalesce(held, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
+OP11_SQL = rf"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, p FROM (
+        SELECT lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[.,;:!?
+-]')) AS p
+        FROM documents)),
+    words AS (SELECT lang, regexp_extract_all(p, '[^ 	]+') AS w FROM pieces),
+    totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+    phrases AS (
+      SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM (
+        SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM words JOIN (SELECT unnest([1, 2, 3]) AS k) ON len(w) >= k)
+      GROUP BY ALL HAVING count(*) >= 10),
+    cuts AS (
+      SELECT lang, k, phrase, a, c, array_to_string(w[:c], ' ') AS p, array_to_string(w[c + 1:], ' ') AS q
+      FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS c FROM phrases WHERE k > 1)),
+    scored AS (
+      SELECT s.lang, s.phrase, s.a, s.c, x.a AS l, y.a AS r,
+        ((1000000::HUGEINT * s.a * s.a) // (x.a::HUGEINT * y.a))::BIGINT AS score
+      FROM cuts s JOIN phrases x ON x.lang = s.lang AND x.phrase = s.p
+        JOIN phrases y ON y.lang = s.lang AND y.phrase = s.q),
+    weakest AS (
+      SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS o FROM scored),
+    longer AS (
+      SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS most FROM (
+        SELECT lang, a, string_split(phrase, ' ') AS w, unnest([1, 2]) AS i FROM phrases WHERE k = 3)
+      GROUP BY ALL),
+    ranked AS (
+      SELECT lang, phrase, a, l, r, n, score,
+        row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+      FROM weakest LEFT JOIN longer USING (lang, phrase) JOIN totals USING (lang)
+      WHERE o = 1 AND (most IS NULL OR 100 * most < 50 * a))
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000"""
+
 # DuckDB has no CRC-32: eight steps per byte over the decimal digits, as a fold.
 CRC32_SQL = """list_reduce(
         list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
@@ -303,5 +346,6 @@ ORACLE: dict[str, str] = {
     "op7_decontaminate": OP7_SQL,
     "op5_topk": OP5_SQL,
     "op8_secrets": secret_scan.oracle(),
+    "op11_collocations": OP11_SQL,
     "op13_conversation_trie": OP13_SQL,
 }
