@@ -8,39 +8,22 @@ only tiles within that distance meet, and every pair of those is compared with
 numpy's exclusive-or and bit counts. A full tile is cut by hash, so no task holds
 more than a tile and its neighbours.
 
-With ``similarity`` the tiles are ranges of shingle numbers instead (texts of which
-one has less than that share of the other's shingles cannot be that similar), rows
-within a tile are ordered by population count to skip what differs beyond the
-radius, and a pair of fingerprints within the radius counts only if the Jaccard
-similarity of the shingles may reach it: not if its estimate from 1,024 one-bit
-minimum hashes is more than ``SIGMAS`` standard deviations below. The deviation is
-that of the pair's numbers of shingles (``cut``), so very short texts are not cut at
-all. Fingerprints are then of the distinct shingles, whose similarity is meant, and
-points are distinct texts. Two texts at 0.8 differ in 24 bits or fewer but for one
-pair in 100,000 (in 8,000 where they have four and five shingles).
-
 A comparison emits a spanning forest of its links, so a group of near copies
-gives as many rows as it has members, not as many as it has pairs. With
-``similarity`` it emits the members of each tree instead, and ``exact_links``
-compares them once more with their shingles at hand: a pair of one tree is passed
-over only if exact links join it already, so no doubtful link stands for another. A
-tree of many shingles is cut, and each two of its cuts are compared apart.
+gives as many rows as it has members, not as many as it has pairs.
 
 Defined results: a null or empty text has no words and fingerprint zero, which is
 linked like any other; fewer words than a shingle are one shingle; repeated rows
 are equal points; a null id takes part but is no component's id unless all are null;
-an empty table gives no rows.
+an empty table gives no rows. A very long text's shingles are added up in blocks.
 """
 
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,11 +33,9 @@ from tillflow.llm.tables import byte_texts, map_arrow, settled, slices, spread,
 
 SEED = 42
 TILE = 4_096
-BINS = 1_024
 QUARTERS = 4
 ROWS = 256
-SIGMAS = 5.0
-PART = 1 << 19
+BLOCK = 1 << 18
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
@@ -77,70 +58,30 @@ def fingerprint(hashes: np.ndarray) -> int:
     """The bits set in over half the hashes, as a signed 64-bit integer."""
     if len(hashes) == 0:
         return 0
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8), bitorder="little").reshape(-1, 64)
-    majority = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
-    return int(np.packbits(majority, bitorder="little").view("<i8")[0])
-
-
-def minimum_bits(hashes: np.ndarray) -> bytes:
-    """One-bit minimum hashes: the least value of each bin; an empty bin takes the next one's."""
-    if len(hashes) == 0:
-        return bytes(BINS // 8)
-    mixed = np.sort(hashes * np.uint64(0x9E3779B97F4A7C15))
-    bins = (mixed >> np.uint64(65 - BINS.bit_length())).astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], bins[1:] != bins[:-1]]))
-    at = np.searchsorted(bins[first], np.arange(BINS)) % len(first)
-    away = (bins[first][at] - np.arange(BINS)) % BINS
-    values = (mixed[first][at] ^ away.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
-    return np.packbits((values >> np.uint64(40)) & np.uint64(1) == 1).tobytes()
-
-
-def cut(small: np.ndarray, large: np.ndarray, similarity: float) -> np.ndarray:
-    """The least estimate, by their numbers of shingles, at which texts of that similarity are expected.
+    counts = np.zeros(64, np.int64)
+    for first in range(0, len(hashes), BLOCK):
+        part = hashes[first:first + BLOCK].astype("<u8").view(np.uint8)
+        counts += np.unpackbits(part, bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<i8")[0])
 
-    The part of the bins whose minimum two texts share has a beta distribution by the
-    shingles of both, as empty bins take their neighbours' values; besides, the bins and
-    the bits of those that differ are 1,024 draws.
-    """
-    both = (small + large) / (1 + similarity)
-    rest = 1 - similarity
-    spread_ = similarity * rest * (1 / (both + 1) + 1 / BINS) + rest / BINS
-    return similarity - SIGMAS * np.sqrt(spread_)
 
-
-def fingerprints(
-    docs: DataFrame, words: int, id: str = "doc_id", text: str = "text", sketch: bool = False
-) -> DataFrame:
-    """``doc_id, fingerprint`` (signed) per row; with ``sketch``, which is of distinct shingles, also
-    ``text_key``, ``shingles`` and ``bits``."""
-    chosen = docs.select(F.col(id).cast("long").alias("doc_id"), text_column(text).alias("text"))
-    if sketch:
-        chosen = chosen.withColumn("text_key", F.xxhash64("text"))
-    kept = [name for name in chosen.columns if name != "text"]
+def fingerprints(docs: DataFrame, words: int, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, text_key, fingerprint`` (signed) per row; the key is the text's SHA-256."""
+    chosen = docs.select(F.col(id).cast("long").alias("doc_id"), text_column(text).alias("text")).withColumn(
+        "text_key", F.unhex(F.sha2("text", 256)))
 
     def make(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches, "text"):
-            hashes = [shingle_hashes(body, words) for body in byte_texts(batch.column("text"))]
-            if sketch:
-                hashes = [np.unique(h) for h in hashes]
-            columns = [*(batch.column(name) for name in kept),
-                       pa.array([fingerprint(h) for h in hashes], pa.int64())]
-            names = [*kept, "fingerprint"]
-            if sketch:
-                columns += [pa.array([len(h) for h in hashes], pa.int64()),
-                            pa.array([minimum_bits(h) for h in hashes], pa.binary())]
-                names += ["shingles", "bits"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            prints = [fingerprint(shingle_hashes(body, words)) for body in byte_texts(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(prints, pa.int64())],
+                names=["doc_id", "text_key", "fingerprint"])
 
-    schema = "doc_id bigint, " + ("text_key bigint, " if sketch else "") + "fingerprint bigint"
-    return map_arrow(chosen, make, schema + (", shingles bigint, bits binary" if sketch else ""))
+    return map_arrow(chosen, make, "doc_id bigint, text_key binary, fingerprint bigint")
 
 
-def _cell(radius: int, similarity: float | None) -> tuple[Column, list[int]]:
+def _cell(radius: int) -> tuple[Column, list[int]]:
     """A point's cell, and by how much the cells that it must meet differ (one of each two directions)."""
-    if similarity is not None:
-        size = F.floor(F.log(F.greatest("shingles", F.lit(1))) / math.log(1 / similarity) + 1e-9)
-        return size, [0, 1]
     quarter = 64 // QUARTERS
     counts = [
         F.bit_count(F.shiftrightunsigned("fingerprint", quarter * k).bitwiseAND((1 << quarter) - 1))
@@ -153,18 +94,12 @@ def _cell(radius: int, similarity: float | None) -> tuple[Column, list[int]]:
     return cell, sorted(m for m in moves if m >= 0)
 
 
-def link_points(
-    points: DataFrame, radius: int, similarity: float | None = None, tile: int = TILE, part: int = PART
-) -> DataFrame:
+def link_points(points: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     """Edges ``a, b`` that connect the points (``node, fingerprint``) whose fingerprints differ in ``radius``
-    bits or fewer.
-
-    With ``similarity`` (and ``shingles, bits`` of the points) ``meeting, side, node`` instead: any two such
-    points that may be similar enough are in one meeting, on different sides if it has two.
-    """
-    cell, moves = _cell(radius, similarity)
+    bits or fewer."""
+    cell, moves = _cell(radius)
     placed = points.withColumn("cell", cell)
-    # There are at most 17**4 cells of counts, or one per ratio of shingle numbers: a bounded table.
+    # There are at most 17**4 cells of counts: a bounded table.
     cells = settled(placed.groupBy("cell").agg(
         F.ceil(F.count("*") / tile).cast("long").alias("chunks")))
     meets = cells.select(F.col("cell").alias("other"), F.col("chunks").alias("other_chunks"))
@@ -179,7 +114,7 @@ def link_points(
         visits.select(F.col("other").alias("cell"), "visits"), "cell")
     known = placed.join(F.broadcast(plan), "cell").withColumn(
         "chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
-    carried = ["node", "fingerprint", *(["shingles", "bits"] if similarity is not None else [])]
+    carried = ["node", "fingerprint"]
     home = known.select(
         F.lit(True).alias("home"), F.col("cell").alias("home_cell"), F.col("chunk").alias("home_chunk"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("widest") - 1)).alias("visit_chunk"),
@@ -200,61 +135,24 @@ def link_points(
             prints = table["fingerprint"].to_numpy().view(np.uint64)
             is_home = table["home"].to_numpy()
             first_visit = table["visit_chunk"].to_numpy()
-            bits = sizes = None
-            if similarity is not None:
-                bits = np.frombuffer(b"".join(table["bits"].to_pylist()), "<u8").reshape(len(node), -1)
-                sizes = table["shingles"].to_numpy()
-            key = [table[name].to_numpy() for name in keys]
-            links, met = [], [(np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64))]
+            links = []
             for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 if end - start > 1:
-                    rows, forest = _compare(
-                        np.arange(start, end), prints, is_home, bits, sizes, radius, similarity,
-                        first_visit[start] == 0)
-                    if similarity is None:
-                        links += [(int(rows[i]), int(rows[j])) for i, j in forest.links]
-                    else:
-                        met += _meetings(rows, forest.label, sizes[rows], [int(k[start]) for k in key], part)
-            if similarity is not None:
-                meeting, side, row = (np.concatenate(column) for column in zip(*met))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(meeting), pa.array(side), pa.array(node[row])], names=["meeting", "side", "node"])
-                continue
+                    links += _compare(
+                        np.arange(start, end), prints, is_home, radius, first_visit[start] == 0)
             pairs = np.array(links, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], names=["a", "b"])
 
-    return map_arrow(
-        dealt, compare, "a bigint, b bigint" if similarity is None else "meeting bigint, side boolean, node bigint")
-
-
-def _meetings(rows, label, sizes, key, part) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Number, side and row of the members of each tree of two rows or more, in cuts of about ``part`` shingles."""
-    at = np.flatnonzero(np.bincount(label, minlength=len(label))[label] > 1)
-    at = at[np.argsort(label[at], kind="stable")]
-    met = []
-    for members in np.split(at, np.flatnonzero(np.diff(label[at])) + 1) if len(at) else []:
-        weight = sizes[members] + BINS // 16
-        _, cut_ = np.unique((np.cumsum(weight) - weight) // part, return_inverse=True)
-        cuts = [rows[members[cut_ == i]] for i in range(int(cut_.max()) + 1)]
-        for i, j in itertools.combinations_with_replacement(range(len(cuts)), 2):
-            both = cuts[i] if i == j else np.concatenate([cuts[i], cuts[j]])
-            name = np.array([*key, label[members[0]], i, j], np.int64).tobytes()
-            number = np.array([xxhash.xxh3_64_intdigest(name)], np.uint64).view(np.int64)
-            met.append((np.repeat(number, len(both)), np.arange(len(both)) >= len(cuts[i]), both))
-    return met
+    return map_arrow(dealt, compare, "a bigint, b bigint")
 
 
-def _compare(rows, prints, is_home, bits, sizes, radius, similarity, among_homes) -> tuple[np.ndarray, Forest]:
-    """The rows in an order, and the forest that links the home rows with the visiting rows, and among
-    themselves if asked for."""
+def _compare(rows, prints, is_home, radius, among_homes) -> list[tuple[int, int]]:
+    """Links that join the home rows with the visiting rows, and among themselves if asked for, as a forest."""
     counts = np.bitwise_count(prints[rows])
-    rows = rows[np.argsort(counts, kind="stable")]
+    low, rows = rows.min(), rows[np.argsort(counts, kind="stable")]
     homes, visitors = rows[is_home[rows]], rows[~is_home[rows]]
     forest = Forest(len(rows))
-    place = np.empty(int(rows.max() - rows.min()) + 1, np.int64)
-    low = rows.min()
-    place[rows - low] = np.arange(len(rows))
     for others in (homes, visitors) if among_homes else (visitors,):
         there = np.bitwise_count(prints[others])
         for at in range(0, len(homes), ROWS):
@@ -264,147 +162,46 @@ def _compare(rows, prints, is_home, bits, sizes, radius, similarity, among_homes
             until = np.searchsorted(there, min(64, here[-1] + radius), side="right")
             for first in range(int(begin), int(until), TILE):
                 far = others[first:min(int(until), first + TILE)]
-                near = np.bitwise_count(prints[part][:, None] ^ prints[far]) <= radius
-                left, right = np.nonzero(near)
+                left, right = np.nonzero(np.bitwise_count(prints[part][:, None] ^ prints[far]) <= radius)
                 left, right = part[left], far[right]
                 if others is homes:
                     left, right = left[left < right], right[left < right]
-                if similarity is not None and len(left):
-                    labels = forest.label
-                    apart = labels[place[left - low]] != labels[place[right - low]]
-                    left, right = left[apart], right[apart]
-                    small, large = np.minimum(sizes[left], sizes[right]), np.maximum(sizes[left], sizes[right])
-                    fits = small >= similarity * large
-                    left, right, least = left[fits], right[fits], cut(small[fits], large[fits], similarity)
-                    differ = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int64)
-                    alike = differ <= BINS * (1 - least) / 2
-                    left, right = left[alike], right[alike]
                 if len(left):
-                    forest.join(place[left - low], place[right - low])
-    return rows, forest
+                    forest.join(left - low, right - low)
+    return [(int(i + low), int(j + low)) for i, j in forest.links]
 
 
-def near_duplicate_components(
-    docs: DataFrame, words: int = 3, radius: int = 2, id: str = "doc_id", text: str = "text", tile: int = TILE
-) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` per row: components of fingerprints within ``radius`` bits."""
-    prints = settled(fingerprints(docs, words, id, text))
+def _named_groups(prints: DataFrame, radius: int, tile: int) -> DataFrame:
+    """``fingerprint, root, component_id`` of each fingerprint of ``prints``."""
     points = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     nodes = settled(points.withColumn("node", F.col("fingerprint")))
-    roots = components(link_points(nodes, radius, tile=tile))
+    roots = components(link_points(nodes, radius, tile))
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(named.join(least, "root").select("fingerprint", "component_id"), "fingerprint").select(
-        "doc_id", "fingerprint", "component_id")
-
-
-def _exact_forest(held, ends, side, prints, radius, similarity) -> list[tuple[int, int]]:
-    """A spanning forest of the exact links of a meeting; ``held`` has the shingles of its rows, ``ends`` where
-    each row's lie."""
-    sizes = np.diff(ends)
-    values, at = np.unique(held, return_inverse=True)
-    mark = np.zeros(len(values), bool)
-    forest = Forest(len(side))
-    across = np.flatnonzero(side)
-    for i in np.flatnonzero(~side).tolist():
-        others = across if len(across) else np.arange(i + 1, len(side))
-        others = others[forest.label[others] != forest.label[i]]
-        small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
-        others = others[
-            (small >= similarity * large) & (np.bitwise_count(prints[others] ^ prints[i]) <= radius)]
-        if len(others) == 0:
-            continue
-        mark[at[ends[i]:ends[i + 1]]] = True
-        if 4 * sizes[others].sum() > len(at):
-            first, last, shared = ends[others], ends[others + 1], mark[at]
-        else:
-            last = np.cumsum(sizes[others])
-            first = last - sizes[others]
-            shared = mark[at[np.arange(last[-1]) + np.repeat(ends[others] - first, sizes[others])]]
-        before = np.concatenate([[0], np.cumsum(shared)])
-        both = before[last] - before[first]
-        mark[at[ends[i]:ends[i + 1]]] = False
-        others = others[both >= similarity * (sizes[i] + sizes[others] - both)]
-        forest.join(np.full(len(others), i), others)
-    return forest.links
+    return named.join(least, "root").select("fingerprint", "root", "component_id")
 
 
-def exact_links(
-    docs: DataFrame, points: DataFrame, meetings: DataFrame, words: int, radius: int, similarity: float,
-    id: str, text: str,
+def near_duplicate_components(
+    docs: DataFrame, words: int = 3, radius: int = 2, id: str = "doc_id", text: str = "text", tile: int = TILE
 ) -> DataFrame:
-    """Edges ``a, b`` that connect the points of each meeting whose sets of shingles are similar enough,
-    compared whole.
-
-    Two texts without words are. Of each text that meets another one row is taken,
-    the one of the least id.
-    """
-    meetings = settled(meetings)
-    wanted = points.join(meetings.select("node").distinct(), "node").select(
-        "node", "fingerprint", F.col("least").alias("doc"), F.col("text_key").alias("key"))
-    bodies = docs.select(F.col(id).cast("long").alias("doc_id"), text_column(text).alias("text"))
-    chosen = bodies.join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.xxhash64("text") == F.col("key"))
-    ).dropDuplicates(["node"])
-
-    def collect(batches: Iterator[pa.RecordBatch]):
-        for batch in slices(batches, "text"):
-            hashes = [np.unique(shingle_hashes(body, words)) for body in byte_texts(batch.column("text"))]
-            same = [fingerprint(h) == f for h, f in zip(hashes, batch.column("fingerprint").to_pylist())]
-            sets = pa.array([h.view(np.int64) for h in hashes], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("fingerprint"), sets],
-                names=["node", "fingerprint", "held"]).filter(pa.array(same))
-
-    sets = map_arrow(chosen, collect, "node bigint, fingerprint bigint, held array<bigint>")
-    dealt = spread(meetings.join(sets, "node"), "meeting").sortWithinPartitions("meeting")
-
-    def compare(batches: Iterator[pa.RecordBatch]):
-        for table, bounds in whole_groups(batches, ["meeting"]):
-            node, side = table["node"].to_numpy(), table["side"].to_numpy()
-            prints = table["fingerprint"].to_numpy().view(np.uint64)
-            ends = np.cumsum(np.concatenate([[0], pc.list_value_length(table["held"]).to_numpy()]), dtype=np.int64)
-            held = pc.list_flatten(table["held"]).to_numpy()
-            links = []
-            for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                here = ends[start:end + 1]
-                links += [(start + i, start + j) for i, j in _exact_forest(
-                    held[here[0]:here[-1]], here - here[0], side[start:end], prints[start:end], radius, similarity)]
-            pairs = np.array(links, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], names=["a", "b"])
-
-    return map_arrow(dealt, compare, "a bigint, b bigint")
+    """``doc_id, fingerprint, component_id`` per row: components of fingerprints within ``radius`` bits."""
+    prints = settled(fingerprints(docs, words, id, text))
+    return prints.join(_named_groups(prints, radius, tile), "fingerprint").select(
+        "doc_id", "fingerprint", "component_id")
 
 
 def drop_near_duplicates(
-    docs: DataFrame,
-    words: int = 5,
-    radius: int = 24,
-    similarity: float = 0.8,
-    id: str = "doc_id",
-    text: str = "text",
-    tile: int = 4 * TILE,
-    part: int = PART,
+    docs: DataFrame, words: int = 3, radius: int = 2, id: str = "doc_id", text: str = "text", tile: int = TILE
 ) -> DataFrame:
-    """``docs`` with one row of each group of near copies: the one with the least id (a null id is last).
-
-    Texts without words are near copies of each other. Of rows with one id and one
-    text one stays. A text is known by its 64-bit hash and its fingerprint. A
-    column ``_text_key`` is dropped.
-    """
-    docs = docs.drop("_text_key")
-    prints = settled(fingerprints(docs, words, id, text, sketch=True))
-    points = settled(
-        prints.groupBy("text_key", "fingerprint").agg(
-            F.min("doc_id").alias("least"), F.first("shingles").alias("shingles"), F.first("bits").alias("bits"))
-        .withColumn("node", F.xxhash64("text_key", "fingerprint")))
-    meetings = link_points(points, radius, similarity, tile, part)
-    roots = components(exact_links(docs, points, meetings, words, radius, similarity, id, text))
-    named = points.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = named.groupBy("root").agg(F.min_by(
-        F.struct("least", "text_key"), F.struct(F.col("least").isNull(), "least", "text_key")).alias("kept"))
-    kept = kept.select(F.col("kept.least").alias("_id"), F.col("kept.text_key").alias("_key"))
-    joined = docs.withColumn("_text_key", F.xxhash64(text_column(text))).join(
-        kept, F.col(id).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_semi")
-    return joined.dropDuplicates([id, "_text_key"]).drop("_text_key")
+    """``docs`` with one row of each component: the one with the least id (a null id is last, and of rows
+    with one id the least digest of the text). Columns ``_near_id`` and ``_near_key`` are dropped."""
+    docs = docs.drop("_near_id", "_near_key")
+    prints = settled(fingerprints(docs, words, id, text))
+    kept = prints.join(_named_groups(prints, radius, tile), "fingerprint").groupBy("root").agg(F.min_by(
+        F.struct("doc_id", "text_key"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("kept"))
+    kept = kept.select(F.col("kept.doc_id").alias("_kept_id"), F.col("kept.text_key").alias("_kept_key"))
+    keyed = docs.withColumns({
+        "_near_id": F.col(id).cast("long"), "_near_key": F.unhex(F.sha2(text_column(text), 256))})
+    joined = keyed.join(
+        kept, keyed["_near_id"].eqNullSafe(kept["_kept_id"]) & (keyed["_near_key"] == kept["_kept_key"]), "left_semi")
+    return joined.dropDuplicates(["_near_id", "_near_key"]).drop("_near_id", "_near_key")
