@@ -39,8 +39,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group that shares 0.8 of its five-word shingles."""
-    return drop_near_duplicates(docs.select(*COLUMNS))
+    """The document with the least id of each component of three-word fingerprints within two bits."""
+    return drop_near_duplicates(docs.select(*COLUMNS), words=3, radius=2)
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
