@@ -32,10 +32,8 @@ def daily_sales(fact: DataFrame, ids_unique: bool = False) -> DataFrame:
 
 def customer_metrics(fact: DataFrame, ids_unique: bool = False) -> DataFrame:
     """Per customer; sales to guests form the group without a customer id."""
-    tenure = F.datediff("last_purchase_date", "first_purchase_date")
-    return (
-        fact.groupBy("customer_id")
-        .agg(
+    return with_tenure(
+        fact.groupBy("customer_id").agg(
             _transactions(ids_unique).alias("total_transactions"),
             F.count_distinct("transaction_date").alias("purchase_days"),
             F.sum("amount").alias("lifetime_value"),
@@ -45,21 +43,24 @@ def customer_metrics(fact: DataFrame, ids_unique: bool = False) -> DataFrame:
             F.min("transaction_date").alias("first_purchase_date"),
             F.max("transaction_date").alias("last_purchase_date"),
         )
-        .withColumn("customer_tenure_days", tenure)
-        .withColumn(
-            "purchase_frequency",
-            F.when(
-                F.col("customer_tenure_days") > 0,
-                F.col("total_transactions") / F.col("customer_tenure_days"),
-            ).otherwise(F.col("total_transactions").cast("double")),
-        )
+    )
+
+
+def with_tenure(customers: DataFrame) -> DataFrame:
+    """Adds the days between first and last purchase, and transactions per such day."""
+    tenure = F.datediff("last_purchase_date", "first_purchase_date")
+    return customers.withColumn("customer_tenure_days", tenure).withColumn(
+        "purchase_frequency",
+        F.when(
+            F.col("customer_tenure_days") > 0,
+            F.col("total_transactions") / F.col("customer_tenure_days"),
+        ).otherwise(F.col("total_transactions").cast("double")),
     )
 
 
 def product_metrics(fact: DataFrame, ids_unique: bool = False) -> DataFrame:
-    return (
-        fact.groupBy("product_id", "product_name", "category_id")
-        .agg(
+    return with_revenue_per_transaction(
+        fact.groupBy("product_id", "product_name", "category_id").agg(
             F.sum("quantity").alias("total_units_sold"),
             _transactions(ids_unique).alias("times_purchased"),
             F.sum("amount").alias("total_revenue"),
@@ -68,17 +69,18 @@ def product_metrics(fact: DataFrame, ids_unique: bool = False) -> DataFrame:
             F.min("transaction_date").alias("first_sale_date"),
             F.max("transaction_date").alias("last_sale_date"),
         )
-        .withColumn(
-            "avg_revenue_per_transaction",
-            F.try_divide("total_revenue", "times_purchased"),
-        )
+    )
+
+
+def with_revenue_per_transaction(products: DataFrame) -> DataFrame:
+    return products.withColumn(
+        "avg_revenue_per_transaction", F.try_divide("total_revenue", "times_purchased")
     )
 
 
 def category_metrics(fact: DataFrame, ids_unique: bool = False) -> DataFrame:
-    return (
-        fact.groupBy("category_id")
-        .agg(
+    return with_revenue_per_product(
+        fact.groupBy("category_id").agg(
             F.sum("quantity").alias("total_units_sold"),
             F.count_distinct("product_id").alias("products_in_category"),
             _transactions(ids_unique).alias("transactions"),
@@ -86,9 +88,12 @@ def category_metrics(fact: DataFrame, ids_unique: bool = False) -> DataFrame:
             F.avg("amount").alias("avg_transaction_value"),
             F.count_distinct("customer_id").alias("unique_customers"),
         )
-        .withColumn(
-            "revenue_per_product", F.try_divide("total_revenue", "products_in_category")
-        )
+    )
+
+
+def with_revenue_per_product(categories: DataFrame) -> DataFrame:
+    return categories.withColumn(
+        "revenue_per_product", F.try_divide("total_revenue", "products_in_category")
     )
 
 

@@ -34,6 +34,7 @@ RULES = {
     "R11_QUANTITY_UNREADABLE": ("INVALID_FORMAT", "quantity is not a whole number"),
     "R12_PRICE_UNREADABLE": ("INVALID_FORMAT", "unit_price is not an amount"),
     "R13_TIME_UNREADABLE": ("INVALID_FORMAT", "transaction_time is not a timestamp"),
+    "R14_ID_OF_ANOTHER_DAY": ("DUPLICATE", "transaction_id was accepted on another day"),
 }
 # Most rows one task writes for one group of identical copies.
 COPIES_PER_TASK = 100_000
@@ -76,6 +77,7 @@ def _faults(as_of: datetime) -> dict[str, str]:
         "R13_TIME_UNREADABLE": (
             f"v.transaction_time IS NULL AND NOT ({_lacks('transaction_time')})"
         ),
+        "R14_ID_OF_ANOTHER_DAY": "_known",
     }
 
 
@@ -153,9 +155,12 @@ def rejected_rows(
     as_of: datetime,
     repeated: DataFrame | None = None,
     settle: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """The bronze rows with a fault or a repeated id, with ``reasons``.
 
+    ``known`` lists, as ``_id``, the ids accepted on other days: every row of theirs has a fault.
+
     ``repeated`` is the result of ``repeated_ids``; written to a table first, its
     size is known and it is broadcast when small, so that only the rows in
     question are shuffled. These are read three times: ``settle``, which writes
@@ -166,15 +171,20 @@ def rejected_rows(
     judged = bronze.selectExpr("*", f"struct({values}) AS v").selectExpr(
         *columns, "v.transaction_id AS _id", f"{_usable(as_of, 'v.')} AS _usable"
     )
+    if known is None:
+        judged = judged.withColumn("_known", F.lit(False))
+    else:
+        others = ", ".join(name for name in RAW if name != "transaction_id")
+        judged = attach(judged, known, "_id", {}, spread_by=others, found="_known")
     listed = repeated_ids(bronze) if repeated is None else repeated
     suspects = settle(
         _flag_repeated(judged, listed)
-        .where("_repeats OR NOT _usable")
-        .select(*columns, "_id", "_usable", "_repeats")
+        .where("_repeats OR _known OR NOT _usable")
+        .select(*columns, "_id", "_usable", "_repeats", "_known")
     )
-    single = suspects.where("NOT _repeats").selectExpr(*columns, "false AS _extra")
+    single = suspects.where("NOT _repeats").selectExpr(*columns, "_known", "false AS _extra")
     copies = suspects.where("_repeats")
-    rejected = single.unionByName(_rejected_copies(copies, columns))
+    rejected = single.unionByName(_rejected_copies(copies, [*columns, "_known"]))
     cases = [f"CASE WHEN {rule} THEN '{name}' END" for name, rule in _faults(as_of).items()]
     return rejected.selectExpr("*", f"struct({values}) AS v").selectExpr(
         *columns, f"array_compact(array({', '.join(cases)})) AS reasons"
@@ -196,7 +206,7 @@ def _rejected_copies(copies: DataFrame, columns: list[str]) -> DataFrame:
         .agg(F.min("_row").alias("_kept"))
         .selectExpr(
             *[f"_kept.`{name}`" for name in columns],
-            "-1L AS _surplus", "if(_kept._faulty, 1L, 0L) AS _faulty",
+            "-1L AS _surplus", "if(_kept._faulty OR _kept._known, 1L, 0L) AS _faulty",
         )
     )
     counted = (

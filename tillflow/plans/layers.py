@@ -5,8 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from tillflow import schemas as S
+from tillflow.operators.partials import STATES
 from tillflow.sinks.tables import create_layer, create_table
 from tillflow.sources.feeds import FEEDS
 
@@ -35,6 +37,26 @@ class Lake:
     def rejects(self) -> str:
         return f"{self.prefix}silver.reject_sales"
 
+    @property
+    def sale_ids(self) -> str:
+        return f"{self.prefix}silver.sale_id_filters"
+
+    @property
+    def gold_states(self) -> str:
+        return f"{self.prefix}silver.gold_states"
+
+    @property
+    def gold_totals(self) -> str:
+        return f"{self.prefix}silver.gold_totals"
+
+    @property
+    def member_numbers(self) -> str:
+        return f"{self.prefix}silver.member_numbers"
+
+    @property
+    def merged_days(self) -> str:
+        return f"{self.prefix}silver.merged_days"
+
     @property
     def job_log(self) -> str:
         return f"{self.prefix}audit.etl_job_log"
@@ -53,6 +75,12 @@ def create_lake(spark: SparkSession, lake: Lake, root: str | None = None) -> Non
         create_table(spark, lake.bronze(name), S.bronze_schema(name, feed.dated, feed.kind), parts)
     create_table(spark, lake.fact, S.FACT_SALES, ("job_date",))
     create_table(spark, lake.rejects, S.REJECT_SALES, ("job_date",))
+    create_table(spark, lake.sale_ids, S.SALE_ID_FILTERS, ("job_date",))
+    states = T.StructType.fromDDL(STATES)
+    create_table(spark, lake.gold_states, T.StructType([*states, T.StructField("job_date", T.StringType())]), ("job_date",))
+    create_table(spark, lake.gold_totals, T.StructType([*states, T.StructField("part", T.IntegerType())]), ("part",))
+    create_table(spark, lake.member_numbers, S.MEMBER_NUMBERS, ("job_date",))
+    create_table(spark, lake.merged_days, S.MERGED_DAYS, ("job_date",))
     create_table(spark, lake.job_log, S.JOB_LOG)
     for name, schema in GOLD_TABLES.items():
         create_table(spark, lake.gold(name), schema)

@@ -15,6 +15,7 @@ from tillflow.functions.text import cleanse, standardise
 from tillflow.functions.typing import typed_master
 from tillflow.operators.batches import batch_of_day
 from tillflow.operators.enrich import enrich
+from tillflow.operators.known_ids import id_filter, known_ids, without_known
 from tillflow.operators.masters import current_rows, fits_broadcast, hot_keys
 from tillflow.operators.rejects import (
     accepted_sales,
@@ -99,7 +100,10 @@ def build_silver(
 
     Both overwrite the day's partition, so the latest run of a day stands. A day
     that bronze has no rows of is an E002 error, before anything is written, and
-    a run that accepts and rejects other than what it read is an E005 error. Keys
+    a run that accepts and rejects other than what it read is an E005 error. An id
+    accepted on another day is rejected: filters of the ids of each day tell which
+    days, if any, have to be read for that. The day's own filter is written before
+    its fact, so at worst it names ids that are not there. Keys
     that fill more than one task are looked up in the bronze day, and only for
     masters too large to broadcast.
     """
@@ -119,11 +123,17 @@ def build_silver(
             if key in sales.columns and not fits_broadcast(tables[name])
         }
         repeated = settle(repeated_ids(sales))
-        enriched = enriched_sales(
-            accepted_sales(sales, as_of, repeated), prepare_masters(tables), hot, tables
-        )
+        accepted = settle(accepted_sales(sales, as_of, repeated))
+        other_day = F.col("job_date") != job_date
+        known = settle(known_ids(
+            accepted.selectExpr("transaction_id AS _id"), spark.table(lake.sale_ids).where(other_day),
+            spark.table(lake.fact).where(other_day), settle))
+        accepted = without_known(accepted, known)
+        enriched = enriched_sales(accepted, prepare_masters(tables), hot, tables)
         fact = fact_rows(enriched, batch_id, job_date, source_system, at)
-        bad = rejected_rows(sales, as_of, repeated, settle)
+        filters = id_filter(fact.select("transaction_id")).withColumn("job_date", F.lit(job_date))
+        replace_day(filters, lake.sale_ids, "job_date", job_date)
+        bad = rejected_rows(sales, as_of, repeated, settle, known)
         bad = reject_records(bad, batch_id, job_date, source_system, at)
         counts = DayCounts(
             sales.count(),

@@ -184,6 +184,33 @@ REJECT_SALES = T.StructType(
     ]
 )
 
+# Which bits of an id filter are set, 32,768 of them a row.
+SALE_ID_FILTERS = T.StructType(
+    [
+        T.StructField("bucket", T.LongType()),
+        T.StructField("bits", T.BinaryType()),
+        T.StructField("job_date", T.StringType()),
+    ]
+)
+
+# Customers and products by number, in the partition of the day that first sold to or of them.
+MEMBER_NUMBERS = T.StructType(
+    [
+        T.StructField("kind", T.StringType()),
+        T.StructField("id", T.StringType()),
+        T.StructField("number", T.LongType()),
+        T.StructField("job_date", T.StringType()),
+    ]
+)
+
+# The days whose states the gold totals hold.
+MERGED_DAYS = T.StructType(
+    [
+        T.StructField("batch_id", T.StringType()),
+        T.StructField("job_date", T.StringType()),
+    ]
+)
+
 JOB_LOG = T.StructType(
     [
         T.StructField("batch_id", T.StringType()),

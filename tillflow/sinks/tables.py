@@ -36,6 +36,11 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def partition_values(spark: SparkSession, table: str) -> set[str]:
+    """The values of a table's only partition column, from the catalogue."""
+    return {row["partition"].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+
 def add_columns(df: DataFrame, table: str) -> None:
     """Give the table the columns of ``df`` it does not have yet."""
     spark = df.sparkSession

@@ -227,23 +227,50 @@ _VALUE_ORDER = """
 customer_id NULLS FIRST, product_id NULLS FIRST, store_id NULLS FIRST,
 TRY_CAST(quantity AS INTEGER) NULLS FIRST, TRY_CAST(unit_price AS DECIMAL(10,2)) NULLS FIRST,
 TRY_CAST(discount_amount AS DECIMAL(10,2)) NULLS FIRST"""
-PARTS["judged"] = f"""
-SELECT *, {_reasons()} AS reasons
-FROM (
-  SELECT *, row_number() OVER (
-    PARTITION BY transaction_id
-    ORDER BY faults <> '', TRY_CAST(transaction_time AS TIMESTAMP) NULLS FIRST,
-             {_VALUE_ORDER}, {_RAW_ORDER}
-  ) AS copy
-  FROM (SELECT *, {_reasons("R6_DUPLICATE_ID")} AS faults FROM cleansed)
-)
-"""
+
+
+def judged(rows: str) -> str:
+    return f"""
+    SELECT *, {_reasons()} AS reasons
+    FROM (
+      SELECT *, row_number() OVER (
+        PARTITION BY transaction_id
+        ORDER BY faults <> '', TRY_CAST(transaction_time AS TIMESTAMP) NULLS FIRST,
+                 {_VALUE_ORDER}, {_RAW_ORDER}
+      ) AS copy
+      FROM (SELECT *, {_reasons("R6_DUPLICATE_ID")} AS faults FROM {rows})
+    )
+    """
+
+
+PARTS["judged"] = judged("cleansed")
 PARTS["accepted_text"] = "SELECT * FROM judged WHERE reasons = ''"
 PARTS["accepted_typed"] = f"SELECT {_IDS}, {_SALE_TYPES} FROM accepted_text"
 PARTS["accepted_derived"] = derived("accepted_typed")
 PARTS["accepted_fact"] = enriched("accepted_derived", "some_")
 
 
+# Two days: sales of one before 1998, all others on the other. The first is run without
+# discounted sales, then the second, then the first again with all its sales. An id that the
+# other day has accepted by then is rejected.
+EARLY = "coalesce(raw_transaction_time < '1998', false)"
+PARTS["some_first"] = judged(f"(SELECT * FROM cleansed WHERE {EARLY} AND raw_discount_amount IS NULL)")
+PARTS["second_judged"] = judged(f"(SELECT * FROM cleansed WHERE NOT {EARLY})")
+PARTS["first_judged"] = judged(f"(SELECT * FROM cleansed WHERE {EARLY})")
+PARTS["second_text"] = """
+SELECT * FROM second_judged WHERE reasons = ''
+  AND transaction_id NOT IN (SELECT transaction_id FROM some_first WHERE reasons = '')
+"""
+PARTS["first_text"] = """
+SELECT * FROM first_judged WHERE reasons = ''
+  AND transaction_id NOT IN (SELECT transaction_id FROM second_text)
+"""
+PARTS["days_text"] = "SELECT * FROM first_text UNION ALL SELECT * FROM second_text"
+PARTS["days_typed"] = f"SELECT {_IDS}, {_SALE_TYPES} FROM days_text"
+PARTS["days_derived"] = derived("days_typed")
+PARTS["days_fact"] = enriched("days_derived", "some_")
+
+
 def daily(fact: str) -> str:
     return f"""
     SELECT transaction_date, COUNT(DISTINCT transaction_id) AS transaction_count,

@@ -822,6 +822,81 @@ def lake_gold_daily(spark, sf_dir):
     return spark.table(_run_lake(spark, sf_dir, "gold").gold("daily_sales_summary"))
 
 
+# ---- two days, and the first again -------------------------------------------
+
+FIRST_DAY, SECOND_DAY = "1997-12-31", "2001-08-01"
+_LAKES: dict[tuple[str, str], Lake] = {}
+
+
+def _run_days(spark: SparkSession, sf_dir: str) -> Lake:
+    """The first day without discounted sales, the second, then the first with all: once per session and input."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known in _LAKES:
+        return _LAKES[known]
+    lake, raw = _new_lake(spark, "days")
+    text = I.flawed_pos_transactions(spark, sf_dir)
+    early = F.coalesce(F.col("transaction_time") < "1998", F.lit(False))
+    for master, rows in I.flawed_masters(spark, sf_dir).items():
+        _as_file(rows, master, raw)
+    runs = [
+        (FIRST_DAY, "b1", text.where(early & F.col("discount_amount").isNull())),
+        (SECOND_DAY, "b2", text.where(~early)),
+        (FIRST_DAY, "b3", text.where(early)),
+    ]
+    for day, batch, rows in runs:
+        _as_file(rows, "pos_transactions", raw, day)
+        run_day(
+            spark, lake, raw, day, batch, I.AS_OF, environment="test",
+            feeds=("pos_transactions", *MASTER_KEYS),
+        )
+    _LAKES[known] = lake
+    return lake
+
+
+@registered(f"""
+SELECT transaction_id, quantity, '{FIRST_DAY}' AS job_date FROM first_text
+UNION ALL SELECT transaction_id, quantity, '{SECOND_DAY}' FROM second_text
+""")
+def days_ids_sold_once(spark, sf_dir):
+    """An id accepted on one day is rejected on another, whichever day is run later."""
+    return spark.table(_run_days(spark, sf_dir).fact).select(
+        "transaction_id", F.col("quantity").cast("string").alias("quantity"), "job_date")
+
+
+@registered(f"""
+SELECT '{FIRST_DAY}' AS job_date, COUNT(*) AS rows FROM first_judged
+WHERE reasons = '' AND transaction_id IN (SELECT transaction_id FROM second_text)
+UNION ALL
+SELECT '{SECOND_DAY}', COUNT(*) FROM second_judged
+WHERE reasons = '' AND transaction_id IN (SELECT transaction_id FROM some_first WHERE reasons = '')
+""")
+def days_ids_rejected(spark, sf_dir):
+    """Kept copies that another day's sale bars, by day."""
+    rejects = spark.table(_run_days(spark, sf_dir).rejects)
+    return rejects.where(F.array_join("reasons", ",") == "R14_ID_OF_ANOTHER_DAY").groupBy("job_date").agg(
+        F.count("*").alias("rows"))
+
+
+@registered(daily("days_fact"))
+def days_gold_daily(spark, sf_dir):
+    return spark.table(_run_days(spark, sf_dir).gold("daily_sales_summary"))
+
+
+@registered(customer_sql("days_fact"))
+def days_gold_customers(spark, sf_dir):
+    return spark.table(_run_days(spark, sf_dir).gold("customer_metrics"))
+
+
+@registered(product_sql("days_fact").replace("product_name, category_id,", "upper(product_name) AS product_name, category_id,", 1))
+def days_gold_products(spark, sf_dir):
+    return spark.table(_run_days(spark, sf_dir).gold("product_metrics"))
+
+
+@registered(category_sql("days_fact"))
+def days_gold_categories(spark, sf_dir):
+    return spark.table(_run_days(spark, sf_dir).gold("category_metrics"))
+
+
 # ---- gold --------------------------------------------------------------------
 
 
