@@ -13,7 +13,8 @@ counts). It is all that tasks are sent, and it doesn't grow with the data. A cla
 it lets a phrase be counted that need not be, never the reverse; slots are set once, so
 a phrase's step is the same in every scan and its cycle is whole. Where the table fills
 up, more is counted than need be; ``SLOTS`` is a parameter. The longest phrases have a
-table of their own, as no other phrase waits for them.
+table of their own, as no other phrase waits for them. Counts travel packed, ascending
+hashes and their counts by ranges of hashes, and are added up where a range meets.
 
 Phrases whose hash reached the threshold are then counted once more by their words,
 in one pass over all shards, so clashes of hashes change nothing; that pass gives the
@@ -40,14 +41,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.tables import map_arrow, removed, scratch_folder, slices, written
+from tillflow.llm.tables import map_arrow, removed, scratch_folder, slices, spread, written
 
 SHARDS = 3
 THRESHOLD = 10
 LONGEST = 3
-SLOTS = 1 << 25
+SLOTS = 1 << 24
 CHUNK = 8_000_000
 SALTS = 8
+# Bits of a row of a bitmap, and rows of exact counts that a task adds up.
+BLOCK_BITS = 8 * 4_096
+TOGETHER = 1_500_000
 NEVER = 255
 UNKNOWN = "und"
 SEED = 42
@@ -66,17 +70,15 @@ def mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return value ^ (value >> np.uint64(29))
 
 
-def noted(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """The step at which each hash was noted, ``NEVER`` if it was not."""
-    mask, bits = np.uint64(len(table) - 1), np.uint64(len(table).bit_length() - 1)
-    return np.maximum(table[hashes & mask], table[(hashes >> bits) & mask])
+def slots_of(hashes: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    mask, bits = np.uint64(slots - 1), np.uint64(slots.bit_length() - 1)
+    return hashes & mask, (hashes >> bits) & mask
 
 
-def slot_columns(hash: Column, slots: int) -> Column:
-    """The same two slots, of a long column."""
-    bits = slots.bit_length() - 1
-    return F.array(
-        hash.bitwiseAND(F.lit(slots - 1)), F.shiftrightunsigned(hash, bits).bitwiseAND(F.lit(slots - 1)))
+def noted(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The step at which each hash was noted, ``NEVER`` if it was not."""
+    first, second = slots_of(hashes, len(table))
+    return np.maximum(table[first], table[second])
 
 
 def chunks(text: bytes, context: int, limit: int) -> Iterator[tuple[bytes, int]]:
@@ -171,8 +173,24 @@ def _gathered(
     yield from ((l, b"\n".join(texts), 0) for l, texts in held.items())
 
 
-def scan(texts: DataFrame, table, step: int, shards: int, longest: int, chunk: int) -> DataFrame:
-    """``size, h, n``: counts in ``texts`` of the phrases whose cycle is open at ``step``."""
+# Packed counts: ascending hashes (64 bits), counts (32 bits) and first steps (a byte each) of one size.
+PACKED = "bucket int, size int, reached boolean, hashes binary, counts binary, since binary"
+
+
+def _packed(rows: list[tuple]) -> pa.RecordBatch:
+    bucket, size, reached, *columns = zip(*rows) if rows else ((),) * 6
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket, pa.int32()), pa.array(size, pa.int32()), pa.array(reached, pa.bool_()),
+         *(pa.array([array.tobytes() for array in column], pa.binary()) for column in columns)],
+        names=["bucket", "size", "reached", "hashes", "counts", "since"])
+
+
+def scan(
+    texts: DataFrame, table, step: int, shards: int, longest: int, chunk: int, buckets: int
+) -> DataFrame:
+    """Packed counts in ``texts`` of the phrases whose cycle is open at ``step``, in ``buckets`` ranges of hashes."""
+    limits = np.arange(1, buckets, dtype=np.uint64) * np.uint64((1 << 64) // buckets)
+
     def count(batches: Iterator[pa.RecordBatch]):
         steps = table.value
         for lang, blob, again in _gathered(batches, longest - 1, chunk):
@@ -189,26 +207,64 @@ def scan(texts: DataFrame, table, step: int, shards: int, longest: int, chunk: i
                 hashes = mixed(hashes[:-1], each[words.codes[length - 1:]])
                 open = words.counted(length) & (since <= step) & (since.astype(np.int16) + shards > step)
                 yield rows(length, hashes[open])
-                since = noted(steps, hashes)
+                if length < longest:
+                    since = noted(steps, hashes)
 
     def rows(size: int, hashes: np.ndarray) -> pa.RecordBatch:
         values, counts = np.unique(hashes, return_counts=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(values), size, np.int32)), pa.array(values.view(np.int64)),
-             pa.array(counts.astype(np.int64))], names=["size", "h", "n"])
-
-    return map_arrow(texts, count, "size int, h bigint, n bigint")
+        bounds = [0, *np.searchsorted(values, limits).tolist(), len(values)]
+        return _packed([
+            (bucket, size, False, values[low:high], counts[low:high].astype(np.uint32),
+             np.full(high - low, step, np.uint8))
+            for bucket, (low, high) in enumerate(zip(bounds, bounds[1:])) if low < high])
+
+    return map_arrow(texts, count, PACKED)
+
+
+def added_up(packed: DataFrame, threshold: int, shards: int, step: int) -> DataFrame:
+    """Packed counts with each hash once: those that ``reached`` the threshold, and those that still may."""
+    def add(batches: Iterator[pa.RecordBatch]):
+        current, held = None, {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["bucket"] != current:
+                    yield _packed(list(sums(current, held)))
+                    current, held = row["bucket"], {}
+                held.setdefault(row["size"], []).append((
+                    np.frombuffer(row["hashes"], np.uint64), np.frombuffer(row["counts"], np.uint32),
+                    np.frombuffer(row["since"], np.uint8)))
+        yield _packed(list(sums(current, held)))
+
+    def sums(bucket, held):
+        for size, parts in held.items():
+            hashes, counts, since = (np.concatenate(column) for column in zip(*parts))
+            order = np.argsort(hashes)
+            hashes = hashes[order]
+            first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+            # A count past the threshold need not be exact here.
+            total = np.add.reduceat(np.minimum(counts, threshold)[order], first, dtype=np.uint64)
+            since, hashes = np.minimum.reduceat(since[order], first), hashes[first]
+            done = total >= threshold
+            # What was counted in every shard needs no count any more.
+            more = ~done & (since.astype(np.int16) + shards > step + 1)
+            for reached, chosen in ((True, done), (False, more)):
+                if chosen.any():
+                    yield (bucket, size, reached, hashes[chosen],
+                           np.minimum(total[chosen], threshold).astype(np.uint32), since[chosen])
+
+    return map_arrow(spread(packed, "bucket").sortWithinPartitions("bucket"), add, PACKED)
 
 
 def exact_counts(texts: DataFrame, table, longest_table, longest: int, chunk: int) -> DataFrame:
     """``lang, size, phrase, n`` of all noted phrases, by their words; the number of words has size 0."""
     def count(batches: Iterator[pa.RecordBatch]):
+        held.clear()
         for lang, blob, again in _gathered(batches, longest - 1, chunk):
             words = Words(blob, again)
             each, spelt = words.hashes(lang), pa.array(words.words, pa.binary())
             size = max(1, len(words.words))
             chosen = words.counted(1)
-            yield rows(lang, pa.array([b""]), 0, np.array([chosen.sum()]))
+            yield from rows(lang, pa.array([b""]), 0, np.array([chosen.sum()]))
             hashes, names, begins = each[words.codes], spelt, words.codes
             for length in range(1, longest + 1):
                 if len(words.codes) < length:
@@ -230,15 +286,30 @@ def exact_counts(texts: DataFrame, table, longest_table, longest: int, chunk: in
                 begins[at] = numbers
                 counted = begins[words.counted(length)]
                 found, counts = np.unique(counted[counted >= 0], return_counts=True)
-                yield rows(lang, names.take(pa.array(found)), length, counts)
-
-    def rows(lang: str, names: pa.Array, size: int, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(names), pa.string()), names.cast(pa.string()),
-             pa.array(np.full(len(names), size, np.int32)), pa.array(counts.astype(np.int64))],
-            names=["lang", "phrase", "size", "n"])
-
-    found = map_arrow(texts, count, "lang string, phrase string, size int, n bigint")
+                yield from rows(lang, names.take(pa.array(found)), length, counts)
+        yield from added()
+
+    # By language and size, what some batches of a task have of each phrase.
+    held: dict[tuple[str, int], list[pa.Table]] = {}
+
+    def rows(lang: str, names: pa.Array, size: int, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        held.setdefault((lang, size), []).append(
+            pa.table({"phrase": names.cast(pa.string()), "n": pa.array(counts.astype(np.int64))}))
+        if sum(part.num_rows for parts in held.values() for part in parts) > TOGETHER:
+            yield from added()
+
+    def added() -> Iterator[pa.RecordBatch]:
+        for (lang, size), parts in held.items():
+            whole = pa.concat_tables(parts)
+            if len(parts) > 1:
+                whole = whole.group_by("phrase").aggregate([("n", "sum")]).rename_columns(["phrase", "n"])
+            count = whole.num_rows
+            yield from pa.table({
+                "lang": pa.array([lang] * count, pa.string()), "size": pa.array(np.full(count, size, np.int32)),
+                "phrase": whole["phrase"], "n": whole["n"]}).combine_chunks().to_batches()
+        held.clear()
+
+    found = map_arrow(texts, count, "lang string, size int, phrase string, n bigint")
     return found.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
 
 
@@ -263,24 +334,24 @@ def phrase_counts(
     table = np.full(slots, NEVER, np.uint8)
     longest_table = np.full(slots, NEVER, np.uint8)
     counts, path, newest, step = None, None, 0, 0
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     while step < shards or step < newest + shards:
         sent = spark.sparkContext.broadcast(table)
-        found = scan(whole.where(F.col("shard") == step % shards), sent, step, shards, longest, chunk)
-        found = found.withColumn("since", F.lit(step))
+        found = scan(
+            whole.where(F.col("shard") == step % shards), sent, step, shards, longest, chunk, buckets)
         both = found if counts is None else found.unionByName(counts)
         now = scratch_folder(spark, "phrase-counts")
-        both.groupBy("size", "h").agg(F.sum("n").alias("n"), F.min("since").alias("since")).write.parquet(now)
+        added_up(both, threshold, shards, step).write.parquet(now)
         sent.destroy()
         if path:
             removed(spark, path)
-        held, path = spark.read.schema("size int, h bigint, n bigint, since int").parquet(now), now
-        reached = held.where(F.col("n") >= threshold)
+        held, path = spark.read.schema(PACKED).parquet(now), now
+        reached = held.where("reached")
         if _note(reached.where(F.col("size") < longest), table, step + 1):
             newest = step + 1
         _note(reached.where(F.col("size") == longest), longest_table, step + 1)
-        # What is noted needs no count any more, nor what was counted in every shard.
-        counts = held.where((F.col("n") < threshold) & (F.col("since") + shards > step + 1)).select(
-            "size", "h", "n", "since")
+        # What is noted needs no count any more.
+        counts = held.where("not reached")
         step += 1
     if path:
         removed(spark, path)
@@ -296,14 +367,29 @@ def _note(reached: DataFrame, table: np.ndarray, step: int) -> bool:
 
     The slots come as bitmaps, at most one bit per slot of the table.
     """
-    slots = reached.select(F.explode(slot_columns(F.col("h"), len(table))).alias("slot"))
-    bits = slots.groupBy(F.bitmap_bucket_number(F.col("slot") + 1).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(F.col("slot") + 1)).alias("bits"))
-    size, new = 8 * 4_096, False
+    slots = len(table)
+
+    def mark(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for packed in batch.column("hashes").to_pylist():
+                found = np.unique(np.concatenate(slots_of(np.frombuffer(packed, np.uint64), slots)))
+                blocks = found // BLOCK_BITS
+                starts = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
+                bits = []
+                for part in np.split(found, starts[1:]):
+                    held = np.zeros(BLOCK_BITS, bool)
+                    held[part % BLOCK_BITS] = True
+                    bits.append(np.packbits(held, bitorder="little").tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(blocks[starts].astype(np.int64)), pa.array(bits, pa.binary())], names=["block", "bits"])
+
+    bits = map_arrow(reached.select("hashes"), mark, "block bigint, bits binary").groupBy("block").agg(
+        F.bitmap_or_agg("bits").alias("bits"))
+    new = False
     for row in bits.toLocalIterator():
-        first = (row["bucket"] - 1) * size
+        first = row["block"] * BLOCK_BITS
         marked = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little")
-        part = table[first:first + size]
+        part = table[first:first + BLOCK_BITS]
         fresh = (marked[:len(part)] == 1) & (part == NEVER)
         part[fresh] = step
         new |= bool(fresh.any())
