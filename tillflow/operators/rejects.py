@@ -50,7 +50,7 @@ def _value(name: str) -> str:
     return text if kind == "string" else f"try_cast({text} AS {kind})"
 
 
-def _usable(as_of: datetime, of: str = "") -> str:
+def usable(as_of: datetime, of: str = "") -> str:
     """SQL over typed sales: no fault, leaving repeated ids aside."""
     return (
         f"coalesce({of}transaction_id IS NOT NULL AND {of}product_id IS NOT NULL"
@@ -85,9 +85,9 @@ def _lacks(name: str) -> str:
     return f"{without_null_text(name)} IS NULL"
 
 
-def typed_clean_sales(bronze: DataFrame) -> DataFrame:
-    """The sale columns of bronze cleansed and in their types."""
-    return bronze.selectExpr(*[f"{_value(name)} AS {name}" for name in RAW])
+def typed_clean_sales(bronze: DataFrame, *others: str) -> DataFrame:
+    """The sale columns of bronze cleansed and in their types, and the columns ``others`` as they are."""
+    return bronze.selectExpr(*[f"{_value(name)} AS {name}" for name in RAW], *others)
 
 
 def repeated_ids(bronze: DataFrame) -> DataFrame:
@@ -119,7 +119,7 @@ def accepted_sales(
     all rows when it is small enough to broadcast: then only rows of repeated
     ids are grouped. Without it, or beyond that size, all rows are.
     """
-    faulty = f"NOT {_usable(as_of)}"
+    faulty = f"NOT {usable(as_of)}"
     sales = typed_clean_sales(bronze)
     if repeated is None or not fits_broadcast(repeated):
         return _one_per_id(sales, faulty)
@@ -169,7 +169,7 @@ def rejected_rows(
     columns = bronze.columns
     values = ", ".join(f"{_value(name)} AS {name}" for name in RAW)
     judged = bronze.selectExpr("*", f"struct({values}) AS v").selectExpr(
-        *columns, "v.transaction_id AS _id", f"{_usable(as_of, 'v.')} AS _usable"
+        *columns, "v.transaction_id AS _id", f"{usable(as_of, 'v.')} AS _usable"
     )
     if known is None:
         judged = judged.withColumn("_known", F.lit(False))

@@ -193,6 +193,23 @@ SALE_ID_FILTERS = T.StructType(
     ]
 )
 
+# Sales accepted from a stream, before the day's run.
+LIVE_SALES = T.StructType(
+    [
+        T.StructField("transaction_id", T.StringType()),
+        T.StructField("customer_id", T.StringType()),
+        T.StructField("product_id", T.StringType()),
+        T.StructField("store_id", T.StringType()),
+        T.StructField("quantity", T.IntegerType()),
+        T.StructField("unit_price", T.DecimalType(10, 2)),
+        T.StructField("discount_amount", T.DecimalType(10, 2)),
+        T.StructField("transaction_time", T.TimestampType()),
+        T.StructField("_source_file", T.StringType()),
+        T.StructField("_job_date", T.StringType()),
+        T.StructField("micro_batch", T.LongType()),
+    ]
+)
+
 # Customers and products by number, in the partition of the day that first sold to or of them.
 MEMBER_NUMBERS = T.StructType(
     [

@@ -250,6 +250,14 @@ PARTS["accepted_derived"] = derived("accepted_typed")
 PARTS["accepted_fact"] = enriched("accepted_derived", "some_")
 
 
+# Usable sales in the order of their arrival, the newest first.
+PARTS["arrived"] = """
+SELECT transaction_id, TRY_CAST(transaction_time AS TIMESTAMP) AS sold,
+       CASE WHEN raw_transaction_time >= '1999' THEN '2001-08-01'
+            WHEN coalesce(length(raw_quantity), 0) > 1 THEN '2001-08-02' ELSE '2001-08-03' END AS _job_date
+FROM judged WHERE faults = ''
+"""
+
 # Two days: sales of one before 1998, all others on the other. The first is run without
 # discounted sales, then the second, then the first again with all its sales. An id that the
 # other day has accepted by then is rejected.

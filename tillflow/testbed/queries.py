@@ -45,6 +45,7 @@ from tillflow.sinks.tables import (
 from tillflow.sources.feeds import FEEDS, feed_path, open_feed
 from tillflow.sources.tables import fit_shuffles, query, rows_of
 from tillflow.streaming.ingest import land_stream, stream_feed
+from tillflow.streaming.sales import accepted_stream, land_sales
 from tillflow.testbed import inputs as I
 from tillflow.testbed.oracle import (
     average,
@@ -255,6 +256,27 @@ def stream_ingest(spark, sf_dir):
     )
 
 
+@registered("""
+SELECT transaction_id, min(_job_date) AS _job_date
+FROM arrived, (SELECT max(sold) - INTERVAL 1400 DAY AS until FROM arrived WHERE _job_date = '2001-08-01')
+WHERE _job_date = '2001-08-01' OR sold > until
+GROUP BY transaction_id
+""")
+def stream_ids_once(spark, sf_dir):
+    """Three arrivals, the newest sales first: an id that came before is not taken again, nor is what is too late."""
+    lake, raw = _new_lake(spark, "live")
+    place, feed = workspace(spark, "live-state"), FEEDS["pos_transactions"]
+    text = I.flawed_pos_transactions(spark, sf_dir)
+    recent = F.coalesce(F.col("transaction_time") >= "1999", F.lit(False))
+    long = F.coalesce(F.length("quantity"), F.lit(0)) > 1
+    arrivals = [("2001-08-01", recent), ("2001-08-02", ~recent & long), ("2001-08-03", ~recent & ~long)]
+    for day, chosen in arrivals:
+        _as_file(text.where(chosen), feed.name, raw, day)
+        stream = stream_feed(spark, feed, feed_path(feed, raw), "live", pattern="part-*.csv")
+        land_sales(accepted_stream(stream, I.AS_OF, "1400 days"), lake.live_sales, place).awaitTermination()
+    return spark.table(lake.live_sales).select("transaction_id", "_job_date")
+
+
 # ---- bronze: batches and table scans -----------------------------------------
 
 
