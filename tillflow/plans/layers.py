@@ -45,6 +45,10 @@ class Lake:
     def live_sales(self) -> str:
         return f"{self.prefix}silver.live_sales"
 
+    @property
+    def missing_keys(self) -> str:
+        return f"{self.prefix}silver.missing_keys"
+
     @property
     def gold_states(self) -> str:
         return f"{self.prefix}silver.gold_states"
@@ -80,6 +84,7 @@ def create_lake(spark: SparkSession, lake: Lake, root: str | None = None) -> Non
     create_table(spark, lake.fact, S.FACT_SALES, ("job_date",))
     create_table(spark, lake.rejects, S.REJECT_SALES, ("job_date",))
     create_table(spark, lake.sale_ids, S.SALE_ID_FILTERS, ("job_date",))
+    create_table(spark, lake.missing_keys, S.MISSING_KEYS, ("job_date",))
     create_table(spark, lake.live_sales, S.LIVE_SALES, ("micro_batch",))
     states = T.StructType.fromDDL(STATES)
     create_table(spark, lake.gold_states, T.StructType([*states, T.StructField("job_date", T.StringType())]), ("job_date",))

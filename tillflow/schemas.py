@@ -193,6 +193,16 @@ SALE_ID_FILTERS = T.StructType(
     ]
 )
 
+# Keys of a day's sales that no master knew.
+MISSING_KEYS = T.StructType(
+    [
+        T.StructField("sale_column", T.StringType()),
+        T.StructField("key", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("job_date", T.StringType()),
+    ]
+)
+
 # Sales accepted from a stream, before the day's run.
 LIVE_SALES = T.StructType(
     [

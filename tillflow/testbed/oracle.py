@@ -278,6 +278,24 @@ PARTS["days_typed"] = f"SELECT {_IDS}, {_SALE_TYPES} FROM days_text"
 PARTS["days_derived"] = derived("days_typed")
 PARTS["days_fact"] = enriched("days_derived", "some_")
 
+# The same two days run once each. Sales of the first that lacked a checked master row are joined with
+# all masters later; the others keep what they have, so theirs is the category the first day knew.
+PARTS["once_text"] = f"""
+SELECT *, {EARLY} AS early FROM (
+  SELECT * FROM first_judged WHERE reasons = '' UNION ALL
+  SELECT * FROM second_judged WHERE reasons = ''
+    AND transaction_id NOT IN (SELECT transaction_id FROM first_judged WHERE reasons = ''))
+"""
+PARTS["once_typed"] = f"SELECT {_IDS}, {_SALE_TYPES} FROM once_text"
+PARTS["once_derived"] = derived("once_typed")
+PARTS["once_some"] = enriched("once_derived", "some_")
+PARTS["once_all"] = enriched("once_derived")
+PARTS["late_fact"] = """
+SELECT * FROM once_some WHERE missing_masters = '' AND transaction_time < TIMESTAMP '1998-01-01'
+UNION ALL SELECT a.* FROM once_all a JOIN once_some s USING (transaction_id)
+WHERE s.missing_masters <> '' OR s.transaction_time >= TIMESTAMP '1998-01-01'
+"""
+
 
 def daily(fact: str) -> str:
     return f"""

@@ -919,6 +919,34 @@ def days_gold_categories(spark, sf_dir):
     return spark.table(_run_days(spark, sf_dir).gold("category_metrics"))
 
 
+# ---- masters that come late --------------------------------------------------
+
+
+@registered(
+    "SELECT * REPLACE ("
+    + ", ".join(f"upper({c}) AS {c}" for c in _UPPER)
+    + f"), CASE WHEN transaction_time < TIMESTAMP '1998-01-01' THEN 'b1' ELSE 'b2' END AS batch_id FROM (SELECT {_FACT_COLUMNS} FROM late_fact)"
+)
+def late_masters_fact(spark, sf_dir):
+    """The first day's masters have gaps, the second day's have none: the first day is repaired."""
+    lake, raw = _new_lake(spark, "late")
+    text = I.flawed_pos_transactions(spark, sf_dir)
+    early = F.coalesce(F.col("transaction_time") < "1998", F.lit(False))
+    for day, batch, rows, masters in [
+        (FIRST_DAY, "b1", text.where(early), I.flawed_masters(spark, sf_dir)),
+        (SECOND_DAY, "b2", text.where(~early), I.clean_masters(spark, sf_dir)),
+    ]:
+        for master, held in masters.items():
+            _as_file(held, master, raw)
+        _as_file(rows, "pos_transactions", raw, day)
+        run_day(
+            spark, lake, raw, day, batch, I.AS_OF, environment="test",
+            feeds=("pos_transactions", *MASTER_KEYS),
+        )
+    rows = spark.table(lake.fact).drop("processed_timestamp", "source_system", "job_date")
+    return _wall_clock(_listed(rows, "missing_masters"), "transaction_time")
+
+
 # ---- gold --------------------------------------------------------------------
 
 
