@@ -217,6 +217,18 @@ def retail_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def holiday_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates on the first of January and May, and on the days around Christmas."""
+    return _texts(
+        table(spark, sf_dir, "orders").selectExpr("to_date(o_orderdate) AS d").distinct().where(
+            "date_format(d, 'MM-dd') IN ('01-01', '05-01', '12-25', '12-26')"),
+        date="d",
+        holiday_name="'Holiday ' || date_format(d, 'MM-dd')",
+        holiday_type="'public'",
+        country="'XX'",
+    )
+
+
 def inventory_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed stock per product and store."""
     lines = table(spark, sf_dir, "lineitem").selectExpr(

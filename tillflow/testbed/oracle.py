@@ -380,6 +380,45 @@ PARTS["best_customers"] = """
 SELECT * FROM customer_summary ORDER BY lifetime_value DESC, customer_id NULLS FIRST LIMIT 10
 """
 
+
+
+def by_day(rows: str, by: str) -> str:
+    """Demand in days of the calendar: what is missing counts as 0, what was before the first day not at all."""
+    frame = f"OVER (PARTITION BY {by} ORDER BY day RANGE BETWEEN {{}} PRECEDING AND {{}})"
+    return f"""
+    SELECT {by}, transaction_date, units, revenue,
+           CASE WHEN day - first >= 7
+                THEN coalesce(CAST(SUM(units) {frame.format(7, "7 PRECEDING")} AS BIGINT), 0) END AS units_lag_7,
+           CAST(SUM(units) {frame.format(6, "CURRENT ROW")} AS DOUBLE) / least(7, day - first + 1) AS units_avg_7,
+           CAST(SUM(units) {frame.format(27, "CURRENT ROW")} AS DOUBLE) / least(28, day - first + 1) AS units_avg_28
+    FROM (
+      SELECT *, date_diff('day', DATE '1970-01-01', transaction_date) AS day,
+             MIN(date_diff('day', DATE '1970-01-01', transaction_date)) OVER (PARTITION BY {by}) AS first
+      FROM {rows})
+    """
+
+
+PARTS["daily_categories"] = """
+SELECT category_id, transaction_date, CAST(SUM(quantity) AS BIGINT) AS units,
+       CAST(SUM(amount) AS DECIMAL(28,2)) AS revenue
+FROM accepted_fact GROUP BY category_id, transaction_date
+"""
+PARTS["filled_categories"] = """
+SELECT category_id, transaction_date, CAST(SUM(units) AS BIGINT) AS units,
+       CAST(SUM(revenue) AS DECIMAL(28,2)) AS revenue
+FROM (
+  SELECT * FROM daily_categories UNION ALL
+  SELECT category_id, date, 0, 0 FROM (
+    SELECT category_id, MIN(transaction_date) AS a, MAX(transaction_date) AS z
+    FROM daily_categories GROUP BY category_id)
+  JOIN calendar ON date BETWEEN a AND z)
+GROUP BY category_id, transaction_date
+"""
+PARTS["holidays"] = """
+SELECT date, 'Holiday ' || strftime(date, '%m-%d') AS holiday_name FROM calendar
+WHERE strftime(date, '%m-%d') IN ('01-01', '05-01', '12-25', '12-26')
+"""
+
 PARTS["orders_text"] = """
 SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
        CAST(l_partkey AS VARCHAR) AS product_id,

@@ -19,6 +19,7 @@ from tillflow.operators import gold as G
 from tillflow.operators import quality as Q
 from tillflow.operators.audit import audit_row, batch_counts
 from tillflow.operators.batches import choose_batch
+from tillflow.operators.demand import daily_demand, demand_by_day, fill_days, near_holidays
 from tillflow.operators.enrich import enrich
 from tillflow.operators.masters import current_rows, hot_keys
 from tillflow.operators.rejects import (
@@ -49,6 +50,7 @@ from tillflow.streaming.sales import accepted_stream, land_sales
 from tillflow.testbed import inputs as I
 from tillflow.testbed.oracle import (
     average,
+    by_day,
     category_sql,
     customer_sql,
     daily,
@@ -1022,6 +1024,32 @@ def product_demand_features(spark, sf_dir):
     return G.demand_features(_fact(spark, sf_dir, ()))
 
 
+@registered(by_day("daily_products", "product_id"))
+def product_demand_by_day(spark, sf_dir):
+    return demand_by_day(daily_demand(_fact(spark, sf_dir, ()), "product_id"), "product_id")
+
+
+@registered(f"""
+SELECT d.*, h.holiday_name,
+       CAST(date_diff('day', d.transaction_date, h.date) AS INTEGER) AS days_to_holiday
+FROM ({by_day("filled_categories", "category_id")}) d
+LEFT JOIN (
+  SELECT *, row_number() OVER (
+    PARTITION BY near ORDER BY abs(date_diff('day', near, date)), date, holiday_name) AS place
+  FROM (
+    SELECT *, CAST(unnest(generate_series(date - INTERVAL 3 DAY, date + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS near
+    FROM holidays)
+) h ON h.near = d.transaction_date AND h.place = 1
+""")
+def category_demand_near_holidays(spark, sf_dir):
+    """Days without sales filled from the calendar, days near holidays named."""
+    daily = daily_demand(_accepted_fact(spark, sf_dir), "category_id")
+    calendar = typed_master(I.retail_calendar(spark, sf_dir), "retail_calendar")
+    holidays = I.holiday_calendar(spark, sf_dir).select(F.col("date").cast("date").alias("date"), "holiday_name")
+    filled = fill_days(_settle(daily), "category_id", calendar)
+    return near_holidays(demand_by_day(filled, "category_id"), holidays)
+
+
 # ---- dashboard ---------------------------------------------------------------
 
 
