@@ -2,6 +2,7 @@
 
 import json
 import os
+import uuid
 from datetime import date, datetime
 
 import pytest
@@ -25,6 +26,7 @@ from tillflow.sinks.tables import (
     replace_day,
     replace_partitions,
     replace_table,
+    restore_table,
     with_retry,
 )
 from tillflow.sources.feeds import FEEDS, FeedError, feed_path, open_feed, read_files
@@ -340,6 +342,43 @@ def test_a_failed_refresh_keeps_the_table(spark, layer):
     assert spark.table(table).count() == 5
 
 
+@pytest.mark.parametrize("statement", ["CREATE TABLE", "RENAME TO {}__former", "RENAME TO {}", "DROP TABLE {}__former"])
+def test_a_refresh_with_other_columns_never_loses_the_table(spark, layer, monkeypatch, statement):
+    table = f"{layer}.t{uuid.uuid4().hex[:6]}"
+    replace_table(spark.range(3), table)
+    real, stop = spark.sql, statement.format(table)
+
+    def failing(text, *args, **more):
+        if text.endswith(stop) or (stop == "CREATE TABLE" and text.startswith(stop)):
+            raise RuntimeError("lost")
+        return real(text, *args, **more)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(spark, "sql", failing)
+        with pytest.raises(RuntimeError, match="lost"):
+            replace_table(spark.range(5).selectExpr("id", "id AS more"), table)
+    restore_table(spark, table)
+    done = statement.startswith("DROP")
+    assert spark.table(table).count() == (5 if done else 3)
+    replace_table(spark.range(7).selectExpr("id", "id AS other"), table)
+    assert spark.table(table).columns == ["id", "other"] and spark.table(table).count() == 7
+    assert not spark.catalog.tableExists(table + "__former")
+
+
+def test_a_reader_keeps_the_folder_before(spark, layer):
+    table = f"{layer}.kept"
+    replace_table(spark.range(3), table)
+    reading = spark.table(table)
+    replace_table(spark.range(4), table)
+    assert reading.count() in (3, 4)
+    place = os.path.dirname(spark.table(table).select("_metadata.file_path").first()[0].removeprefix("file:"))
+    for _ in range(3):
+        replace_table(spark.range(4), table)
+    assert not os.path.exists(place)
+    folders = [f for f in os.listdir(os.path.dirname(place)) if f.startswith("kept-")]
+    assert len(folders) == 2
+
+
 def test_a_day_that_was_not_landed_leaves_the_fact_alone(spark, lake, raw):
     run_day(spark, lake, raw, DAY, "b1", AS_OF)
     before = rows(spark.table(lake.fact))

@@ -101,12 +101,18 @@ def replace_table(df: DataFrame, table: str) -> None:
     """Full refresh; columns of ``df`` replace those of the table.
 
     The rows are written to a folder of their own first. The table then points
-    to it, so a failed write leaves the old table and its files as they were.
+    to it, so a failed write leaves the old table and its files as they were. Where
+    columns change, a new table takes the old one's name; a failure in between
+    leaves the old one under its name with ``__former``, which the next refresh
+    and ``restore_table`` put back. The folder before stays for plans that still read
+    it, until the next refresh.
     """
     spark = df.sparkSession
+    restore_table(spark, table)
     known = spark.catalog.tableExists(table)
     old = describe(spark, table).first()["location"] if known else None
-    folder = f"{_place(spark, table)}-{uuid.uuid4().hex}"
+    place = _place(spark, table)
+    folder = f"{place}-{uuid.uuid4().hex}"
     df.hint("rebalance").write.format(FORMAT).save(folder)
     same = known and [(f.name, f.dataType) for f in spark.table(table).schema.fields] == [
         (f.name, f.dataType) for f in df.schema.fields
@@ -114,14 +120,42 @@ def replace_table(df: DataFrame, table: str) -> None:
     if same and not partition_columns(spark, table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
     else:
-        if known:
-            # Declared anew below: without its files, whichever folder they are in.
-            spark.sql(f"DROP TABLE {table}")
+        made = table + NEXT if known else table
+        spark.sql(f"DROP TABLE IF EXISTS {made}")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING {FORMAT} LOCATION '{folder}'")
+        spark.sql(f"CREATE TABLE {made} ({columns}) USING {FORMAT} LOCATION '{folder}'")
+        if known:
+            spark.sql(f"ALTER TABLE {table} RENAME TO {table}{FORMER}")
+            spark.sql(f"ALTER TABLE {made} RENAME TO {table}")
+            spark.sql(f"DROP TABLE {table}{FORMER}")
     spark.catalog.refreshTable(table)
-    if old:
-        remove_folder(spark, old)
+    _remove_older(spark, place, {folder, old})
+
+
+NEXT, FORMER = "__next", "__former"
+
+
+def restore_table(spark: SparkSession, table: str) -> None:
+    """Puts right what a refresh that ended between two statements left behind."""
+    if spark.catalog.tableExists(table + FORMER):
+        if spark.catalog.tableExists(table):
+            spark.sql(f"DROP TABLE {table}{FORMER}")
+        else:
+            spark.sql(f"ALTER TABLE {table}{FORMER} RENAME TO {table}")
+
+
+def _remove_older(spark: SparkSession, place: str, but: set[str | None]) -> None:
+    """Removes the folders of earlier refreshes."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(place + "-" + "[0-9a-f]" * 32)
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def bare(path: str) -> str:
+        return spark._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()
+
+    kept = {bare(path) for path in but if path}
+    for found in files.globStatus(pattern) or ():
+        if found.getPath().toUri().getPath() not in kept:
+            files.delete(found.getPath(), True)
 
 
 def _place(spark: SparkSession, table: str) -> str:
