@@ -17,7 +17,7 @@ from tillflow.functions.typing import all_text, typed_master, typed_sales
 from tillflow.operators import dashboard as D
 from tillflow.operators import gold as G
 from tillflow.operators import quality as Q
-from tillflow.operators.audit import audit_row, batch_counts
+from tillflow.operators.audit import audit_row, batch_counts, recent_runs
 from tillflow.operators.batches import choose_batch
 from tillflow.operators.demand import daily_demand, demand_by_day, fill_days, near_holidays
 from tillflow.operators.enrich import enrich
@@ -43,7 +43,7 @@ from tillflow.sinks.tables import (
     replace_table,
     written,
 )
-from tillflow.sources.feeds import FEEDS, feed_path, open_feed
+from tillflow.sources.feeds import FEEDS, FeedError, feed_path, open_feed
 from tillflow.sources.tables import fit_shuffles, query, rows_of
 from tillflow.streaming.ingest import land_stream, stream_feed
 from tillflow.streaming.sales import accepted_stream, land_sales
@@ -814,17 +814,19 @@ def lake_fact(spark, sf_dir):
 
 
 @registered(f"""
-SELECT transaction_id, CAST({_CSV_JSON} AS VARCHAR) AS raw_data,
-       {_CATEGORY} AS rejection_category, reasons, 'pos_transactions_20010801.csv' AS source_file, 'b1' AS batch_id,
-       '2001-08-01' AS job_date
+SELECT transaction_id, CAST({_CSV_JSON} AS VARCHAR) AS raw_data, {_WORDING} AS rejection_reason,
+       {_CATEGORY} AS rejection_category,
+       CASE WHEN regexp_matches(reasons, '^R1(1|2|3)_') THEN 'E003' ELSE 'E004' END AS error_code,
+       reasons, 'pos_transactions_20010801.csv' AS source_file, 'b1' AS batch_id, true AS stamped,
+       'tillflow' AS source_system, '2001-08-01' AS job_date
 FROM judged WHERE reasons <> ''
 """)
 def lake_rejects(spark, sf_dir):
     rows = spark.table(_run_lake(spark, sf_dir, "rejects").rejects)
     return _listed(rows, "reasons").select(
-        "transaction_id", "raw_data", "rejection_category", "reasons",
+        "transaction_id", "raw_data", "rejection_reason", "rejection_category", "error_code", "reasons",
         F.regexp_extract("source_file", "pos_transactions_[0-9]+.csv", 0).alias("source_file"),
-        "batch_id", "job_date",
+        "batch_id", F.col("rejected_timestamp").isNotNull().alias("stamped"), "source_system", "job_date",
     )
 
 
@@ -848,7 +850,7 @@ def lake_gold_daily(spark, sf_dir):
 
 # ---- two days, and the first again -------------------------------------------
 
-FIRST_DAY, SECOND_DAY = "1997-12-31", "2001-08-01"
+FIRST_DAY, SECOND_DAY, MISSING_DAY = "1997-12-31", "2001-08-01", "2001-08-02"
 _LAKES: dict[tuple[str, str], Lake] = {}
 
 
@@ -873,6 +875,11 @@ def _run_days(spark: SparkSession, sf_dir: str) -> Lake:
             spark, lake, raw, day, batch, I.AS_OF, environment="test",
             feeds=("pos_transactions", *MASTER_KEYS),
         )
+    try:
+        # Nothing was delivered for this day.
+        run_day(spark, lake, raw, MISSING_DAY, "b4", I.AS_OF, environment="test", feeds=("pos_transactions",))
+    except FeedError:
+        pass
     _LAKES[known] = lake
     return lake
 
@@ -901,6 +908,24 @@ def days_ids_rejected(spark, sf_dir):
         F.count("*").alias("rows"))
 
 
+@registered(f"""
+SELECT 'b4' AS batch_id, '{MISSING_DAY}' AS job_date, 'FAILED' AS status, CAST(0 AS BIGINT) AS records_read,
+       CAST(0 AS BIGINT) AS records_processed, CAST(0 AS BIGINT) AS records_rejected, 'E002' AS error_code
+UNION ALL
+SELECT 'b3', '{FIRST_DAY}', 'SUCCESS', COUNT(*), (SELECT COUNT(*) FROM first_text),
+       COUNT(*) - (SELECT COUNT(*) FROM first_text), NULL FROM first_judged
+UNION ALL
+SELECT 'b2', '{SECOND_DAY}', 'SUCCESS', COUNT(*), (SELECT COUNT(*) FROM second_text),
+       COUNT(*) - (SELECT COUNT(*) FROM second_text), NULL FROM second_judged
+""")
+def days_recent_runs(spark, sf_dir):
+    """The last three runs; the last of them found no file."""
+    log = recent_runs(spark.table(_run_days(spark, sf_dir).job_log), 3)
+    return log.select(
+        "batch_id", "job_date", "status", "records_read", "records_processed", "records_rejected",
+        F.substring("error_message", 1, 4).alias("error_code"))
+
+
 @registered(daily("days_fact"))
 def days_gold_daily(spark, sf_dir):
     return spark.table(_run_days(spark, sf_dir).gold("daily_sales_summary"))
