@@ -334,7 +334,8 @@ def phrase_counts(
     table = np.full(slots, NEVER, np.uint8)
     longest_table = np.full(slots, NEVER, np.uint8)
     counts, path, newest, step = None, None, 0, 0
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Several ranges of hashes for each task, which makes their shares alike.
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     while step < shards or step < newest + shards:
         sent = spark.sparkContext.broadcast(table)
         found = scan(
@@ -442,6 +443,13 @@ def collocations(
 
 
 def best_collocations(found: DataFrame, most: int) -> DataFrame:
-    """The first ``most`` of each language by score, count and phrase, with their ``rank``."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
+    """The first ``most`` of each language by score, count and phrase, with their ``rank``.
+
+    Each language is ranked in ``SALTS`` parts first, so the last window has ``SALTS``
+    times ``most`` rows of a language at most, however many there are.
+    """
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    salted = found.withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    part, whole = (Window.partitionBy(*by).orderBy(*order) for by in (("lang", "_salt"), ("lang",)))
+    first = salted.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= most)
+    return first.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= most).drop("_salt")
