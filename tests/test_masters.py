@@ -2,7 +2,9 @@ import random
 from datetime import datetime
 
 from conftest import rows
+from pyspark.sql import functions as F
 
+from tillflow.operators import masters as M
 from tillflow.operators.batches import choose_batch
 from tillflow.operators.enrich import enrich
 from tillflow.operators.masters import attach, current_rows, hot_keys
@@ -100,3 +102,20 @@ def test_batch_choice(spark):
     assert chosen == {"x", "v", "q"}
     latest = {r.v for r in choose_batch(bronze, "none").collect()}
     assert latest == {"y", "z", "w", "q"}
+
+
+def test_heavy_keys_are_found_by_sketches_and_split_evenly(spark):
+    sales = spark.range(0, 100_000, 1, 8).selectExpr(
+        "concat('t', id) AS transaction_id", "if(id % 10 < 4, 'big', concat('s', id % 5000)) AS store_id")
+    hot = hot_keys(sales, "store_id", min_rows=2_000)
+    plan = hot._jdf.queryExecution().executedPlan().toString()
+    assert "approx_top_k" in plan and "hashpartitioning" not in plan
+    assert rows(hot) == [("big", 20)]
+    few = hot_keys(sales, "store_id", min_rows=2_000, tracked=100).first()
+    assert few._hot_key == "big" and 18 <= few._parts <= 20
+    assert hot_keys(sales.where("false"), "store_id").isEmpty()
+    side = spark.range(5000).selectExpr("concat('s', id) AS _key").union(spark.sql("SELECT 'big'"))
+    divided, _ = M._split_keys(sales, side, "store_id", "transaction_id", hot.cache())
+    sizes = sorted(r["count"] for r in divided.repartition(16, "store_id", "_slot").groupBy(
+        F.spark_partition_id()).count().collect())
+    assert sizes[-1] <= 3 * sizes[len(sizes) // 2]

@@ -20,6 +20,7 @@ from tillflow.operators import quality as Q
 from tillflow.operators.audit import audit_row, batch_counts, recent_runs
 from tillflow.operators.batches import choose_batch
 from tillflow.operators.demand import daily_demand, demand_by_day, fill_days, near_holidays
+from tillflow.operators.distributions import field_sketches, quantile, shifts
 from tillflow.operators.enrich import enrich
 from tillflow.operators.masters import current_rows, hot_keys
 from tillflow.operators.rejects import (
@@ -758,6 +759,42 @@ def silver_fact_rows(spark, sf_dir):
     return _wall_clock(_listed(rows, "missing_masters"), "transaction_time")
 
 
+_MEASURED = """
+SELECT year(transaction_date) AS year, unnest([
+         {'field': 'quantity', 'v': CAST(CASE WHEN year(transaction_date) = 1998 THEN 2 * quantity ELSE quantity END AS DOUBLE)},
+         {'field': 'discount_amount', 'v': CAST(discount_amount AS DOUBLE)}], recursive := true)
+FROM derived"""
+
+
+@registered(f"""
+SELECT CAST(year AS INTEGER) AS year, field, COUNT(v) AS n, COUNT(*) - COUNT(v) AS nulls, true AS median_fits,
+       true AS highest_fits, field = 'quantity' AND year IN (1998, 1999) AS shifted
+FROM ({_MEASURED}) GROUP BY year, field
+""")
+def dq_distributions(spark, sf_dir):
+    """Medians and 99th percentiles by sketch, held against exact ranks; one year sells twice as much at once."""
+    sales = derive_sales(typed_sales(I.pos_transactions(spark, sf_dir)))
+    year = F.year("transaction_date")
+    rows = _settle(sales.select(
+        year.alias("year"), F.when(year == 1998, 2 * F.col("quantity")).otherwise(F.col("quantity")).alias("quantity"),
+        "discount_amount"))
+    fields = ["quantity", "discount_amount"]
+    found = _settle(shifts(field_sketches(rows, fields, "year"), "year").withColumns(
+        {"median": quantile(0.5), "highest": quantile(0.99)}))
+    values = rows.select("year", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("field"), F.col(name).cast("double").alias("v")) for name in fields])))
+
+    def fits(column: str, rank: float):
+        # Equal values share a span of ranks; the sketch may name any of it.
+        below, upto = (F.avg((F.col("v") < F.col(column)).cast("int")), F.avg((F.col("v") <= F.col(column)).cast("int")))
+        return (below <= rank + 0.02) & (upto >= rank - 0.02)
+
+    ranked = values.join(found.select("year", "field", "median", "highest"), ["year", "field"]).groupBy(
+        "year", "field").agg(fits("median", 0.5).alias("median_fits"), fits("highest", 0.99).alias("highest_fits"))
+    return found.join(ranked, ["year", "field"]).select(
+        "year", "field", "n", "nulls", "median_fits", "highest_fits", "shifted")
+
+
 @registered("""
 SELECT 'b1' AS batch_id, '2001-08-01' AS job_date, 'daily_sales' AS job_name,
        'test' AS environment, 'SUCCESS' AS status, COUNT(*) AS records_read,
