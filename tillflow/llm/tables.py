@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -50,7 +51,7 @@ def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``. Only a local session may go without: executors share nothing else."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL.get(spark.sparkContext.applicationId)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         shared = _LOCAL[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="tillflow-shared-")
         atexit.register(shutil.rmtree, shared, ignore_errors=True)
