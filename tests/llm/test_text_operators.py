@@ -22,7 +22,7 @@ from tillflow.llm.tables import scratch_folder
 from tillflow.llm.token_files import (
     BLOCK_IDS, decode_segment, encode_segment, read_token_files, write_token_files,
 )
-from tillflow.llm.topk import top_k
+from tillflow.llm.topk import FIRST, best_first, top_k
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
 HARD = [
@@ -209,6 +209,23 @@ def test_copied_examples_stay_and_live_secrets_go(spark):
     assert [s.kind for s in spans[7]] == ["bare"]
 
 
+def test_candidates_are_evaluated_in_the_order_of_their_limits():
+    rng = np.random.default_rng(6)
+    scores = rng.permutation(4_000)
+    limits = scores + rng.uniform(0, 300, len(scores))
+    threshold = np.sort(scores)[-5]
+    # What no stride may touch after the stop has a score that would win.
+    hidden = np.argsort(-limits)[8 * FIRST:]
+    assert (limits[hidden] < threshold).all() and len(hidden) > 1_000
+    values = scores.astype(np.float64)[:, None]
+    values[hidden] = 1e9
+    names, found = best_first(np.arange(4_000), values, limits, np.ones(1), 5)
+    assert found.tolist() == [3999, 3998, 3997, 3996, 3995]
+    assert scores[names].tolist() == found.tolist()
+    ties = best_first(np.arange(4_000)[::-1].copy(), np.ones((4_000, 1)), np.ones(4_000), np.ones(1), 3)
+    assert ties[0].tolist() == [0, 1, 2]
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in rng.integers(-9, 9, 6)], "x") for i in range(150)]

@@ -6,9 +6,9 @@ largest norm, a query q gets 0 there, and |q' - x'|^2 = |q|^2 + M^2 - 2 q.x. The
 distances of every point to the pivots are computed once. By the triangle
 inequality the largest difference of two points' distances to any pivot is a lower
 bound of their distance, and so gives an upper bound of the score. A query's
-candidates with the ``FIRST`` best bounds are evaluated first, then at once all whose
-bound reaches the k-th best score of these: no other can be better. Where that is over
-an eighth of a group, the whole group is evaluated, which is brute force.
+candidates are evaluated in the order of these bounds, ``FIRST`` at a time, then
+twice as many, and so on. Each stride raises the k-th best score; the search stops
+exactly where no bound left reaches it.
 
 Candidates and queries are dealt by hash into groups of bounded size; each pair
 of a candidate group and a query group is one small search, and a query's results
@@ -72,11 +72,10 @@ def choose_pivots(points: np.ndarray, count: int) -> np.ndarray:
     return points[chosen]
 
 
-def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole numbers: in doubles where those hold them, else in integers."""
-    if np.abs(x).max(initial=0) * np.abs(q).max(initial=0) * x.shape[1] < 2**53:
-        return (x @ q).astype(np.int64)
-    return x.astype(np.int64) @ q.astype(np.int64)
+def whole_numbers(x: np.ndarray, largest: float) -> np.ndarray:
+    """``x`` in the smallest type that holds its inner products with vectors of at most ``largest`` exactly."""
+    limit = np.abs(x).max(initial=0) * largest * x.shape[1]
+    return x.astype(np.float32 if limit < 2**24 else np.float64 if limit < 2**53 else np.int64)
 
 
 def score_limits(far: np.ndarray, table: np.ndarray, square: np.ndarray, largest: float) -> np.ndarray:
@@ -90,39 +89,56 @@ def score_limits(far: np.ndarray, table: np.ndarray, square: np.ndarray, largest
     return 0.5 + (square[:, None] + largest - near * near) / 2
 
 
+def best_first(ids: np.ndarray, x: np.ndarray, limit: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of the k candidates best for ``q``, which are evaluated in the order of their limits.
+
+    Strides grow, so that few of them are made; after each the k-th best score rises,
+    and the search stops where no further limit reaches it. A limit equal to that
+    score is still evaluated, as its candidate may win by its id.
+    """
+    order = np.argsort(-limit)
+    falling = -limit[order]
+    names, scores = ids[:0], np.zeros(0, np.int64)
+    at, stride = 0, FIRST
+    while at < len(order):
+        end = min(len(order), at + stride)
+        if len(scores) == k:
+            end = min(end, int(np.searchsorted(falling, -scores[-1], side="right")))
+            if end <= at:
+                break
+        part = order[at:end]
+        score = (np.take(x, part, axis=0) @ q).astype(np.int64)
+        if len(scores) == k:
+            good = score >= scores[-1]
+            part, score = part[good], score[good]
+        names, scores = np.concatenate([names, ids[part]]), np.concatenate([scores, score])
+        top = np.lexsort((names, -scores))[:k]
+        names, scores = names[top], scores[top]
+        at, stride = end, 2 * stride
+    return names, scores
+
+
 def search(
     ids: np.ndarray, x: np.ndarray, table: np.ndarray,
     query_ids: np.ndarray, queries: np.ndarray, query_table: np.ndarray, largest: float, k: int,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each query's k best candidates here: query id, candidate id, score.
-
-    The candidates of the ``FIRST`` highest limits are evaluated first; then, in one
-    stride, those whose limit reaches the k-th best score of these. The others cannot
-    be among the k best.
-    """
+    """Each query's k best candidates here: query id, candidate id, score."""
     found = []
     pivots = np.ascontiguousarray(table.T, np.float32)
+    values = whole_numbers(x, np.abs(queries).max(initial=0))
+    own = {name: place for place, name in enumerate(ids.tolist())}
     for at in range(0, len(query_ids), BLOCK):
         part = queries[at:at + BLOCK]
         limits = score_limits(
             query_table[at:at + BLOCK].astype(np.float32), pivots, (part * part).sum(axis=1), largest)
-        for query, q, limit in zip(query_ids[at:at + BLOCK], part, limits):
-            first = np.argpartition(-limit, FIRST)[:FIRST] if len(ids) > FIRST else np.arange(len(ids))
-            first = first[ids[first] != query]
-            scores, names = products(x[first], q), ids[first]
-            if len(ids) > FIRST:
-                worst = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else None
-                open_ = limit >= worst if worst is not None else np.ones(len(ids), bool)
-                open_[first] = False
-                rest = np.flatnonzero(open_)
-                rest = rest[ids[rest] != query]
-                more = products(x, q)[rest] if 8 * len(rest) > len(ids) else products(x[rest], q)
-                scores, names = np.concatenate([scores, more]), np.concatenate([names, ids[rest]])
-                if worst is not None:
-                    good = scores >= worst
-                    scores, names = scores[good], names[good]
-            top = np.lexsort((names, -scores))[:k]
-            found.append((np.full(len(top), query), names[top], scores[top]))
+        for query, q, limit in zip(query_ids[at:at + BLOCK].tolist(), part.astype(values.dtype), limits):
+            place = own.get(query)
+            # Its own row, one at most, is asked for and then left out.
+            names, scores = best_first(ids, values, limit, q, k + (place is not None))
+            if place is not None:
+                other = names != query
+                names, scores = names[other][:k], scores[other][:k]
+            found.append((np.full(len(names), query), names, scores))
     if not found:
         return (np.zeros(0, np.int64),) * 3
     return tuple(np.concatenate(column) for column in zip(*found))
