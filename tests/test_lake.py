@@ -8,6 +8,7 @@ from datetime import date, datetime
 import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tillflow.functions.lineage import add_lineage
 from tillflow.plans.day import run_day
@@ -17,7 +18,8 @@ from tillflow.plans.silver import build_silver
 from tillflow.schemas import FEED_COLUMNS
 from tillflow.session import temporary_workspace, workspace
 from tillflow.sinks import tables as sinks
-from tillflow.sinks.compaction import compact, file_sizes
+from tillflow.sinks import compaction
+from tillflow.sinks.compaction import compact, file_sizes, finish_compaction, interleaved
 from tillflow.sinks.tables import (
     append,
     create_layer,
@@ -287,6 +289,121 @@ def test_compaction(spark, layer):
     assert compact(spark, table, job_date="none") == 0
 
 
+def _names(spark, table, **partition):
+    return {os.path.basename(file) for file in rows_of(spark, table, **partition).inputFiles()}
+
+
+def test_large_files_keep_their_names(spark, layer):
+    table = f"{layer}.files"
+    df = spark.range(40_000).selectExpr("id AS v", "uuid() AS text", "'d 1' AS job_date")
+    create_table(spark, table, df.schema, ["job_date"])
+    append(df, table)
+    large = _names(spark, table)
+    for part in range(5):
+        append(df.where(f"v % 97 = {part}"), table)
+    append(df.limit(3).withColumn("text", F.lit(None)), table)
+    before = rows(spark.table(table).groupBy("v", "job_date").count())
+    size = min(r.bytes for r in file_sizes(spark.table(table)).where("bytes > 100000").collect())
+    assert compact(spark, table, target_bytes=size, job_date="d 1") == 1
+    after = _names(spark, table)
+    assert large < after and len(after) == len(large) + 1
+    assert rows(spark.table(table).groupBy("v", "job_date").count()) == before
+    assert compact(spark, table, target_bytes=size) == 0
+    assert _names(spark, table) == after
+
+
+def test_sorted_compaction_lets_filters_on_any_column_read_fewer_files(spark, layer):
+    table = f"{layer}.z"
+    df = spark.range(20_000).selectExpr(
+        "concat('S', lpad(hash(id) & 63, 3, '0')) AS store", "hash(id, 1) & 63 AS product", "uuid() AS text",
+        "'d1' AS job_date")
+    create_table(spark, table, df.schema, ["job_date"])
+    df.repartition(40).write.insertInto(table)
+    before = spark.table(table).select("store", "product").orderBy("store", "product").collect()
+
+    def read_by(condition):
+        return file_sizes(spark.table(table).where(condition)).count()
+
+    assert read_by("store = 'S007'") == read_by("product = 7") == 40
+    total = file_sizes(spark.table(table)).agg(F.sum("bytes")).first()[0]
+    made = compact(spark, table, target_bytes=total // 16, order_by=["store", "product"], job_date="d1")
+    assert made in (16, 17)
+    assert read_by("store = 'S007'") <= made // 2 and read_by("product = 7") <= made // 2
+    assert spark.table(table).select("store", "product").orderBy("store", "product").collect() == before
+
+
+def test_interleaved_bits(spark):
+    df = spark.createDataFrame(
+        [(a, b) for a in ("a", "b", "c", "d") for b in (1, 2, 3, 4)] + [(None, 4)], "a STRING, `b x` INT")
+    found = {(r[0], r[1]): r.z for r in df.withColumn("z", interleaved(df, ["a", "b x"])).collect()}
+    assert len(set(found.values())) == 17 and found[None, 4] < found["a", 4]
+    quarters = [[found[a, b] for a in stores for b in products]
+                for stores in ("ab", "cd") for products in ((1, 2), (3, 4))]
+    assert all(max(low) < min(high) for low, high in zip(quarters, quarters[1:]))
+    # Few values weigh as much as many.
+    many = spark.range(64).selectExpr("id AS n", "id % 2 AS flag")
+    by_key = [r.flag for r in many.orderBy(interleaved(many, ["n", "flag"]), "n").collect()]
+    assert set(by_key[:16]) == {0} and set(by_key[16:31]) == {1}
+    nothing = df.limit(0)
+    assert nothing.withColumn("z", interleaved(nothing, ["a"])).count() == 0
+
+
+@pytest.mark.parametrize("moved", [0, 1, 2])
+def test_an_interrupted_exchange_of_files_is_finished(spark, layer, monkeypatch, moved):
+    table = f"{layer}.broken"
+    df = spark.range(900).selectExpr("id AS v", "'d1' AS job_date")
+    create_table(spark, table, df.schema, ["job_date"])
+    for part in range(3):
+        append(df.where(f"v % 3 = {part}"), table)
+    before = rows(spark.table(table))
+    whole, old = compaction._exchange, _names(spark, table)
+
+    def broken(spark, folder):
+        if not compaction._files(spark, compaction._path(spark, folder, uri=False)).exists(
+                compaction._path(spark, f"{folder}/{compaction.PLAN}", uri=False)):
+            return whole(spark, folder)
+        place = folder.removeprefix("file:")
+        plan = json.load(open(f"{place}/{compaction.PLAN}"))
+        if moved:
+            for name in plan["new"]:
+                os.rename(f"{place}/{plan['staged']}/{name}", f"{place}/{name}")
+        if moved == 2:
+            os.remove(f"{place}/{plan['old'][0]}")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(compaction, "_exchange", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        compact(spark, table)
+    if not moved:
+        assert rows(spark.table(table)) == before and _names(spark, table) == old
+    monkeypatch.setattr(compaction, "_exchange", whole)
+    spark.catalog.refreshTable(table)
+    assert finish_compaction(spark, table) == 1
+    assert rows(spark.table(table)) == before and len(_names(spark, table)) == 1
+    assert finish_compaction(spark, table) == 0 and compact(spark, table) == 0
+    folder = os.path.dirname(spark.table(table).inputFiles()[0].removeprefix("file://"))
+    assert not [name for name in os.listdir(folder) if name.startswith("_c")]
+
+
+def test_staged_files_without_a_plan_are_removed(spark, layer, monkeypatch):
+    table = f"{layer}.unplanned"
+    df = spark.range(10).selectExpr("id AS v", "'d1' AS job_date")
+    create_table(spark, table, df.schema, ["job_date"])
+    append(df, table)
+    append(df, table)
+    before = rows(spark.table(table))
+    with monkeypatch.context() as patch:
+        digests = iter(((1, 1), (2, 2)))
+        patch.setattr(compaction, "_digest", lambda rows: next(digests))
+        with pytest.raises(RuntimeError, match="differs"):
+            compact(spark, table)
+    assert rows(spark.table(table)) == before
+    assert finish_compaction(spark, table) == 0
+    folder = os.path.dirname(spark.table(table).inputFiles()[0].removeprefix("file://"))
+    assert not [name for name in os.listdir(folder) if name.startswith("_c")]
+    assert compact(spark, table) == 1 and rows(spark.table(table)) == before
+
+
 def test_retry(spark, tmp_path):
     calls = []
 

@@ -35,13 +35,14 @@ from tillflow.plans.layers import Lake, create_lake
 from tillflow.plans.silver import enriched_sales, fact_rows, prepare_masters
 from tillflow.schemas import CORRUPT, EXTRA, MASTER_KEYS, SALES_TYPES
 from tillflow.session import workspace
-from tillflow.sinks.compaction import compact
+from tillflow.sinks.compaction import compact, file_sizes
 from tillflow.sinks.tables import (
     append,
     create_layer,
     create_table,
     replace_partitions,
     replace_table,
+    with_retry,
     written,
 )
 from tillflow.sources.feeds import FEEDS, FeedError, feed_path, open_feed
@@ -1322,3 +1323,37 @@ def sink_compact(spark, sf_dir):
     replace_partitions(rows, table)
     compact(spark, table, job_date="1998")
     return spark.table(table)
+
+
+@registered("""
+SELECT transaction_id, store_id, quantity, strftime(CAST(transaction_time AS TIMESTAMP), '%Y') AS job_date
+FROM pos
+""")
+def sink_compact_files(spark, sf_dir):
+    """Small files beside a large one: only they are merged, ordered by two columns at once."""
+    table = f"{_layer(spark, 'compacted_files')}.fact"
+    rows = I.pos_transactions(spark, sf_dir).select(
+        "transaction_id", "store_id", "quantity", F.substring("transaction_time", 1, 4).alias("job_date")
+    )
+    create_table(spark, table, rows.schema, ["job_date"])
+    late = F.pmod(F.xxhash64("transaction_id"), F.lit(16))
+    for part in (late > 2, late == 0, late == 1, late == 2):
+        append(rows.where(part), table)
+    sizes = file_sizes(spark.table(table)).agg(F.max("bytes").alias("most")).first()
+    compact(spark, table, target_bytes=max(sizes["most"] or 0, 1), order_by=["store_id", "quantity"])
+    return spark.table(table)
+
+
+@registered("SELECT * FROM daily_summary")
+def sink_retry(spark, sf_dir):
+    """A write that fails at run time is made again; what the failed one left is not seen."""
+    table = f"{_layer(spark, 'retried')}.daily"
+    rows, attempts = _daily(spark, sf_dir), []
+
+    def attempt():
+        attempts.append(len(attempts))
+        lost = F.expr("raise_error('lost')") if len(attempts) == 1 else F.lit(True)
+        replace_table(rows.where(F.coalesce(lost.cast("boolean"), F.lit(True))), table)
+
+    with_retry(attempt, wait=0)
+    return spark.table(table)
