@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -55,6 +56,47 @@ def test_quality_on_held_out_texts(spark, labelled):
     assert all(0 <= r._score <= 1 for r in odd) and odd[0]._score == odd[1]._score
 
 
+def test_quality_equals_a_plain_calculation(spark, labelled):
+    docs, labels = labelled
+    allowed = F.col("doc_id") % 4 != 0
+    model = fit_quality(docs, labels, allowed)
+    # Held-out labels are never seen: others in their place make the same model.
+    other = labels.withColumn("quality", F.when(allowed, F.col("quality")).otherwise(1 - F.col("quality")))
+    again = fit_quality(docs, other, allowed)
+    assert (again.good, again.bad, again.weights) == (model.good, model.bad, model.weights)
+
+    def size(text, content, raw):
+        kind = zstandard.DICT_TYPE_RAWCONTENT if raw else zstandard.DICT_TYPE_FULLDICT
+        press = zstandard.ZstdCompressor(
+            level=1, dict_data=zstandard.ZstdCompressionDict(content, dict_type=kind),
+            write_content_size=False, write_dict_id=False)
+        return sum(len(press.compress(text[at:at + 1024])) for at in range(0, len(text), 1024))
+
+    def columns(text):
+        good, bad = size(text, model.good, model.raw[0]), size(text, model.bad, model.raw[1])
+        both, n = max(1, good + bad), max(1, len(text))
+        return np.array([10 * (bad - good) / both, 10 * (bad - good) / n, both / 2 / n, (both / 2 / n) ** 2, 1.0])
+
+    def score(text):
+        return 1 / (1 + np.exp(-np.clip(np.dot(model.weights, columns(text)), -500, 500)))
+
+    odd = ["", "x", "é" * 3_000, "BUY NOW!! " * 500]
+    texts = [r.text for r in docs.orderBy("doc_id").collect()] + odd
+    found = {r.doc_id: r._score for r in score_quality(frame(spark, texts), model).collect()}
+    assert len(found) == len(texts)
+    assert np.allclose([found[i] for i in range(len(texts))], [score(t.encode()) for t in texts], atol=1e-9)
+
+    # The calibration is the optimum: the weighted, penalised likelihood has no slope there.
+    sample, counts = labelled_sample(docs, labels, ["quality"], 3_000, F.col("quality").isin(0, 1) & allowed)
+    slope = 1e-3 * np.array(model.weights)
+    kept = {kind: [body for body, values in sample if values == (kind,)][::3] for kind in (0, 1)}
+    n = sum(map(len, kept.values()))
+    for kind, bodies in kept.items():
+        weight = counts[(kind,)] / sum(counts.values()) / len(bodies) * n
+        slope += sum(weight * (score(body) - kind) * columns(body) for body in bodies)
+    assert np.abs(slope).max() < 1e-3
+
+
 def test_quality_without_labels_of_both_kinds(spark, labelled):
     docs, labels = labelled
     for kept, score in ((labels.limit(0), 0.5), (labels.where("quality = 1"), 1.0), (labels.where("quality = 0"), 0.0)):
