@@ -13,7 +13,7 @@ from tillflow.llm.labelled import labelled_sample
 from tillflow.llm.quality import fit_quality, score_quality
 from tillflow.llm.simhash import shingle_hashes
 from tillflow.llm.tables import scratch_folder
-from tillflow.llm.toxicity import fit_toxicity, score_toxicity
+from tillflow.llm.toxicity import ToxicityChain, fit_toxicity, score_toxicity
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -142,6 +142,56 @@ def test_toxicity_on_held_out_texts(spark, labelled):
     assert {tuple(r._scores) for r in score_toxicity(docs, none).collect()} == {(0.0, 0.0)}
 
 
+def plain_fit(x, extra, y, weight):
+    """Logistic regression as the chain's, on a dense table: telling columns, earlier probabilities, a constant."""
+    inside, outside = x[y == 1].sum(axis=0) + 0.5, x[y == 0].sum(axis=0) + 0.5
+    ratio = np.log(inside / ((y == 1).sum() + 1) / (outside / ((y == 0).sum() + 1)))
+    telling = np.abs(ratio) >= 3 * np.sqrt(1 / inside + 1 / outside)
+    table = np.column_stack([x * telling, extra, np.ones(len(x))])
+    penalty = np.array([1e-4] * x.shape[1] + [0.0] * (table.shape[1] - x.shape[1]))
+    w, first, second = (np.zeros(table.shape[1]) for _ in range(3))
+    for step in range(1, 121):
+        slope = table.T @ (weight * (1 / (1 + np.exp(-table @ w)) - y)) / len(x) + penalty * w
+        first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
+        w = w - 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    return w
+
+
+def test_chain_equals_a_plain_calculation_with_out_of_fold_probabilities():
+    rng = random.Random(8)
+    texts, targets = [], []
+    for _ in range(90):
+        low = rng.random() < 0.4
+        toxic = rng.random() < (0.7 if low else 0.2)
+        words = [rng.choice(["tree", "sea", "sun", "way"]) for _ in range(6)]
+        words += ["junk"] * (low and rng.random() < 0.8) + ["scum"] * (toxic and rng.random() < 0.8)
+        texts.append(" ".join(words).encode())
+        targets.append((float(low), float(toxic), 0.0))
+    targets, weight = np.array(targets), np.array([rng.uniform(0.5, 2) for _ in texts])
+    chain = ToxicityChain(["low", "toxic", "never"])
+    chain.fit(texts, targets, weight)
+
+    def signs(text):
+        return {w for w in text.split()} | {w[:4] + b" " for w in text.split() if len(w) >= 4}
+
+    names = sorted({sign for sign in set().union(*map(signs, texts)) if sum(sign in signs(t) for t in texts) >= 4})
+    x = np.array([[float(name in signs(text)) for name in names] for text in texts])
+    fold, earlier, fitted = np.arange(len(texts)) % 3, np.zeros((len(texts), 0)), []
+    for k in range(2):
+        fitted.append(plain_fit(x, earlier, targets[:, k], weight))
+        outside = np.zeros(len(texts))
+        for f in range(3):
+            w = plain_fit(x[fold != f], earlier[fold != f], targets[fold != f, k], weight[fold != f])
+            rest = fold == f
+            outside[rest] = 1 / (1 + np.exp(-np.column_stack([x, earlier, np.ones(len(x))])[rest] @ w))
+        earlier = np.column_stack([earlier, outside])
+    assert abs(fitted[1][len(names)]) > 0.1
+    for row, text in zip(x, [*texts]):
+        first = 1 / (1 + np.exp(-np.array([*row, 1.0]) @ fitted[0]))
+        second = 1 / (1 + np.exp(-np.array([*row, first, 1.0]) @ fitted[1]))
+        assert np.allclose(chain.score(text), [first, second, 0.0], atol=1e-6)
+
+
 @pytest.fixture(scope="module")
 def planted(spark, labelled):
     """Tables in a folder: prose, junk, copies, a benchmark passage, a secret, a null."""
