@@ -200,7 +200,7 @@ def interleaved(rows: DataFrame, columns: Sequence[str], bits: int = BITS) -> Co
         parts = min(len(values), (1 << bits) - 1)
         bounds = [F.lit(values[part * len(values) // parts]) for part in range(parts)]
         column = F.col(f"`{columns[at]}`")
-        place = F.size(F.filter(F.array(*bounds), lambda bound: bound <= column)) if bounds else F.lit(0)
+        place = _place(column, bounds, 0, parts)
         # Stretched over all bits, so that columns of few values weigh as much.
         place = F.floor(place * ((1 << bits) - 1) / max(parts, 1))
         places.append(F.when(column.isNull(), 0).otherwise(place).cast("long"))
@@ -212,6 +212,15 @@ def interleaved(rows: DataFrame, columns: Sequence[str], bits: int = BITS) -> Co
     return key
 
 
+def _place(column: Column, bounds: Sequence[Column], first: int, last: int) -> Column:
+    """How many of the ascending ``bounds`` are not above the value, if from ``first`` to ``last`` are: by halves."""
+    if first == last:
+        return F.lit(first)
+    middle = (first + last) // 2
+    return F.when(column < bounds[middle], _place(column, bounds, first, middle)).otherwise(
+        _place(column, bounds, middle + 1, last))
+
+
 def _digest(rows: DataFrame) -> tuple:
     """Row count and an order-free sum over all values."""
     total = F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))
