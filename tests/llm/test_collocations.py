@@ -88,6 +88,31 @@ def test_collocations_of_nothing(spark):
     assert collocations(frame(spark, [("en", None), (None, "a b")]), slots=1 << 15).count() == 0
 
 
+def test_a_task_of_a_scan_makes_a_row_for_each_range_whatever_the_languages(spark):
+    """One packed row per size and range of hashes, though texts are of many languages."""
+    texts = spark.createDataFrame(
+        [(f"l{i}", " ".join(f"w{j}" for j in range(i, i + 400))) for i in range(20)],
+        "lang string, text string").coalesce(1)
+    table = spark.sparkContext.broadcast(module.np.zeros(1 << 15, module.np.uint8))
+    found = module.scan(texts, table, 0, 3, 3, 8_000_000, 16).collect()
+    assert len(found) == 3 * 16
+    counts = sum(int(module.np.frombuffer(row["counts"], module.np.uint32).sum()) for row in found)
+    assert counts == 20 * (400 + 399 + 398)
+
+
+def test_ranges_of_hashes_follow_the_text_and_not_the_partitions(spark, monkeypatch):
+    ranges, scan = [], module.scan
+    monkeypatch.setattr(module, "scan", lambda *args: ranges.append(args[-1]) or scan(*args))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in ("2", "9"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            phrase_counts(frame(spark, made(5, 30)), slots=1 << 15).count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert set(ranges) == {1}
+
+
 @pytest.mark.parametrize("limit", [1, 7, 40])
 def test_chunks_lose_no_phrase(limit):
     rng = random.Random(limit)

@@ -22,7 +22,9 @@ words' counts and the number of words as well.
 
 Texts are split at bytes, a batch at once; words of one batch are numbered by
 dictionary encoding, and what a batch has of a phrase is added up before it leaves the
-task. A text longer than ``CHUNK`` bytes is cut behind a sign that ends a piece, or at a
+task. A task's counts of all languages leave it together, so the rows of a scan grow with the
+counts and the ranges of hashes, of which there is one for ``RANGE`` bytes of text, and not
+with the languages or the partitions of a shuffle. A text longer than ``CHUNK`` bytes is cut behind a sign that ends a piece, or at a
 blank, where the two words before the cut are read again as a beginning only.
 
 Defined results: a null text is empty; a null ``lang`` is ``und`` and is one with rows
@@ -52,6 +54,9 @@ SALTS = 8
 # Bits of a row of a bitmap, and rows of exact counts that a task adds up.
 BLOCK_BITS = 8 * 4_096
 TOGETHER = 1_500_000
+# Hashes that a task of a scan adds up, and bytes of text for each range of hashes.
+HELD = 2_000_000
+RANGE = 2_500_000
 NEVER = 255
 UNKNOWN = "und"
 SEED = 42
@@ -185,19 +190,32 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
         names=["bucket", "size", "reached", "hashes", "counts", "since"])
 
 
+def _together(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each hash once, ascending, with the sum of its counts."""
+    if not len(hashes):
+        return hashes, counts
+    order = np.argsort(hashes, kind="stable")
+    hashes = hashes[order]
+    first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+    return hashes[first], np.add.reduceat(counts[order], first)
+
+
 def scan(
     texts: DataFrame, table, step: int, shards: int, longest: int, chunk: int, buckets: int
 ) -> DataFrame:
     """Packed counts in ``texts`` of the phrases whose cycle is open at ``step``, in ``buckets`` ranges of hashes."""
-    limits = np.arange(1, buckets, dtype=np.uint64) * np.uint64((1 << 64) // buckets)
+    limits = np.array([(at << 64) // buckets for at in range(1, buckets)], np.uint64)
 
     def count(batches: Iterator[pa.RecordBatch]):
         steps = table.value
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        total = 0
         for lang, blob, again in _gathered(batches, longest - 1, chunk):
             words = Words(blob, again)
             each = words.hashes(lang)
+            found = []
             if step < shards:
-                yield rows(1, each[words.codes[words.counted(1)]])
+                found.append((1, each[words.codes[words.counted(1)]]))
             # The hash of the phrase that starts at each word, and the step it was noted at.
             hashes, since = each[words.codes], noted(steps, each)[words.codes]
             for length in range(2, longest + 1):
@@ -206,17 +224,26 @@ def scan(
                 since = np.maximum(since[:-1], since[1:])
                 hashes = mixed(hashes[:-1], each[words.codes[length - 1:]])
                 open = words.counted(length) & (since <= step) & (since.astype(np.int16) + shards > step)
-                yield rows(length, hashes[open])
+                found.append((length, hashes[open]))
                 if length < longest:
                     since = noted(steps, hashes)
-
-    def rows(size: int, hashes: np.ndarray) -> pa.RecordBatch:
-        values, counts = np.unique(hashes, return_counts=True)
-        bounds = [0, *np.searchsorted(values, limits).tolist(), len(values)]
-        return _packed([
-            (bucket, size, False, values[low:high], counts[low:high].astype(np.uint32),
-             np.full(high - low, step, np.uint8))
-            for bucket, (low, high) in enumerate(zip(bounds, bounds[1:])) if low < high])
+            for size, chosen in found:
+                values, counts = np.unique(chosen, return_counts=True)
+                held.setdefault(size, []).append((values, counts))
+                total += len(values)
+            if total > HELD:
+                yield from rows(held)
+                held, total = {}, 0
+        yield from rows(held)
+
+    def rows(held: dict[int, list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+        for size, parts in held.items():
+            values, counts = _together(*(np.concatenate(column) for column in zip(*parts)))
+            bounds = [0, *np.searchsorted(values, limits).tolist(), len(values)]
+            yield _packed([
+                (bucket, size, False, values[low:high], counts[low:high].astype(np.uint32),
+                 np.full(high - low, step, np.uint8))
+                for bucket, (low, high) in enumerate(zip(bounds, bounds[1:])) if low < high])
 
     return map_arrow(texts, count, PACKED)
 
@@ -334,8 +361,8 @@ def phrase_counts(
     table = np.full(slots, NEVER, np.uint8)
     longest_table = np.full(slots, NEVER, np.uint8)
     counts, path, newest, step = None, None, 0, 0
-    # Several ranges of hashes for each task, which makes their shares alike.
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = whole.agg(F.sum(F.octet_length("text")).alias("size")).first()["size"] or 0
+    buckets = max(1, -(-size // RANGE))
     while step < shards or step < newest + shards:
         sent = spark.sparkContext.broadcast(table)
         found = scan(
@@ -347,10 +374,10 @@ def phrase_counts(
         if path:
             removed(spark, path)
         held, path = spark.read.schema(PACKED).parquet(now), now
-        reached = held.where("reached")
-        if _note(reached.where(F.col("size") < longest), table, step + 1):
+        fresh = _note(held.where("reached").withColumn("longest", F.col("size") == longest),
+                      {False: table, True: longest_table}, step + 1)
+        if False in fresh:
             newest = step + 1
-        _note(reached.where(F.col("size") == longest), longest_table, step + 1)
         # What is noted needs no count any more.
         counts = held.where("not reached")
         step += 1
@@ -363,16 +390,16 @@ def phrase_counts(
     return exact.where((F.col("size") == 0) | (F.col("n") >= threshold))
 
 
-def _note(reached: DataFrame, table: np.ndarray, step: int) -> bool:
-    """Sets the free slots of the hashes ``reached`` to ``step``; says whether there were any.
+def _note(reached: DataFrame, tables: dict[bool, np.ndarray], step: int) -> set[bool]:
+    """Sets the free slots of the hashes ``reached`` to ``step``, in the table that ``longest`` names.
 
-    The slots come as bitmaps, at most one bit per slot of the table.
+    Returns which tables had any. The slots come as bitmaps, at most one bit per slot of a table.
     """
-    slots = len(table)
+    slots = len(tables[False])
 
     def mark(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for packed in batch.column("hashes").to_pylist():
+            for longest, packed in zip(batch.column("longest").to_pylist(), batch.column("hashes").to_pylist()):
                 found = np.unique(np.concatenate(slots_of(np.frombuffer(packed, np.uint64), slots)))
                 blocks = found // BLOCK_BITS
                 starts = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
@@ -382,18 +409,21 @@ def _note(reached: DataFrame, table: np.ndarray, step: int) -> bool:
                     held[part % BLOCK_BITS] = True
                     bits.append(np.packbits(held, bitorder="little").tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(blocks[starts].astype(np.int64)), pa.array(bits, pa.binary())], names=["block", "bits"])
+                    [pa.array([longest] * len(starts), pa.bool_()), pa.array(blocks[starts].astype(np.int64)),
+                     pa.array(bits, pa.binary())], names=["longest", "block", "bits"])
 
-    bits = map_arrow(reached.select("hashes"), mark, "block bigint, bits binary").groupBy("block").agg(
-        F.bitmap_or_agg("bits").alias("bits"))
-    new = False
+    bits = map_arrow(
+        reached.select("longest", "hashes"), mark, "longest boolean, block bigint, bits binary").groupBy(
+        "longest", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
+    new = set()
     for row in bits.toLocalIterator():
         first = row["block"] * BLOCK_BITS
         marked = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little")
-        part = table[first:first + BLOCK_BITS]
+        part = tables[row["longest"]][first:first + BLOCK_BITS]
         fresh = (marked[:len(part)] == 1) & (part == NEVER)
         part[fresh] = step
-        new |= bool(fresh.any())
+        if fresh.any():
+            new.add(row["longest"])
     return new
 
 
