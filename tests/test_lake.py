@@ -570,3 +570,14 @@ def test_shuffles_grow_with_the_input_and_never_shrink(spark, monkeypatch):
             fit_shuffles(spark, spark.range(10))
     finally:
         spark.conf.set(key, before)
+
+
+def test_a_partition_has_sales_that_fit_a_task(spark, monkeypatch):
+    """A gigabyte of sales, about 57 million rows, is not aggregated in two tasks."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    monkeypatch.setattr(tables, "planned_bytes", lambda df: 1 << 30)
+    try:
+        assert fit_shuffles(spark, spark.range(10)) >= 32
+    finally:
+        spark.conf.set(key, before)
