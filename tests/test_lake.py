@@ -581,3 +581,13 @@ def test_a_partition_has_sales_that_fit_a_task(spark, monkeypatch):
         assert fit_shuffles(spark, spark.range(10)) >= 32
     finally:
         spark.conf.set(key, before)
+
+
+def test_numbers_of_json_lines_stay_as_written(spark, tmp_path):
+    path = str(tmp_path / "online_orders_20260710.json")
+    as_written = ["1.50", "-2.500", "7", "-7", "0", "-0", "0.0", "1e2", "1.20E+3", "12345678901234567890", "00012.50"]
+    write(path, *[f'{{"order_id": {n}, "payment_method": "5-LOW"}}' for n in as_written[:-1]], '{"order_id": "00012.50"}',
+          # Text is no number, and a nested field is another one.
+          '{"customer_id": {"order_id": 1.50}, "order_id": "1.5d"}')
+    read = read_files(spark, FEEDS["online_orders"], path)
+    assert sorted(r.order_id for r in read.collect()) == sorted([*as_written, "1.5d"])

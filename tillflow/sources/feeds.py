@@ -15,6 +15,10 @@ from tillflow.functions.typing import all_text, with_current_names
 from tillflow.schemas import COLUMN_ALIASES, CORRUPT, EXTRA, FEED_COLUMNS, feed_schema
 
 
+# Numbers that parsing may have written otherwise than the line has them.
+CHANGED = r"^(0|-?[0-9]+(\.[0-9]+([eE][+-]?[0-9]+)?|[eE][+-]?[0-9]+))$"
+
+
 class FeedError(ValueError):
     """A feed that cannot be landed; ``code`` tells why."""
 
@@ -126,10 +130,14 @@ def json_fields(lines: DataFrame, feed: Feed) -> DataFrame:
 
 
 def _as_written(name: str, value: Column) -> Column:
-    """A number as the line has it: parsing drops zeros at its end."""
+    """A number as the line has it: parsing drops zeros at its end.
+
+    It leaves whole numbers alone, other than a zero, which may have had a sign; so only for the other
+    numbers is the line searched and text cast, which throws inside where it is none.
+    """
     written = F.regexp_extract("value", f'"{name}"\\s*:\\s*(-?[0-9][0-9.eE+-]*)', 1)
     same = written.try_cast("double") == value.try_cast("double")
-    return F.when(same, written).otherwise(value)
+    return F.when(value.rlike(CHANGED), F.coalesce(F.when(same, written), value)).otherwise(value)
 
 
 def to_text_columns(files: DataFrame, feed: Feed) -> DataFrame:
