@@ -25,6 +25,7 @@ from tillflow.sinks.tables import (
     create_layer,
     create_table,
     describe,
+    partition_columns,
     replace_day,
     replace_partitions,
     replace_table,
@@ -591,3 +592,16 @@ def test_numbers_of_json_lines_stay_as_written(spark, tmp_path):
           '{"customer_id": {"order_id": 1.50}, "order_id": "1.5d"}')
     read = read_files(spark, FEEDS["online_orders"], path)
     assert sorted(r.order_id for r in read.collect()) == sorted([*as_written, "1.5d"])
+
+
+def test_columns_of_a_table_are_listed_without_a_job(spark, lake):
+    context = spark.sparkContext
+    group = uuid.uuid4().hex
+    context.setJobGroup(group, "listing")
+    try:
+        assert partition_columns(spark, lake.fact) == ["job_date"]
+        assert partition_columns(spark, lake.bronze("pos_transactions")) == ["_job_date", "_batch_id"]
+        assert partition_columns(spark, lake.bronze("product_master")) == []
+        assert not context.statusTracker().getJobIdsForGroup(group)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
