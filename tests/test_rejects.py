@@ -5,6 +5,7 @@ from datetime import datetime
 from conftest import pos, rows, sale
 
 from tillflow.operators import masters as M
+from tillflow.operators import rejects as R
 from tillflow.operators.audit import audit_row, batch_counts, recent_runs
 from tillflow.operators.quality import (
     field_checks,
@@ -236,3 +237,28 @@ def test_audit(spark):
     none = counts.selectExpr("batch_id", "0L records_read", "0L records_processed", "0L records_rejected")
     assert audit_row(none, "d", "j", "e", start, end).first().status == "FAILED"
     assert recent_runs(log, 2).count() == 2
+
+
+def test_ids_with_their_numbers_are_shuffled_once(spark, tmp_path, monkeypatch):
+    draw = random.Random(11)
+    lines = [sale("hot", price=str(draw.randint(1, 9))) for _ in range(60)] + [sale("hot", quantity="0")] * 5
+    for _ in range(600):
+        lines.append(sale(
+            draw.choice([None, " ", f"t{draw.randint(1, 150)}"]), customer=draw.choice([None, "c1", " c1"]),
+            quantity=draw.choice(["1", " 1", "0", "x", None]), price=draw.choice(["1", "1.00", "-1"]),
+            time=draw.choice(["2026-07-10 01:00:00", "2027-01-01 00:00:00", None])))
+    bronze = written(pos(spark, *lines), str(tmp_path / "bronze"))
+    known = spark.createDataFrame([("t1",), ("t2",), ("hot",)], "_id STRING")
+    plain = written(repeated_ids(bronze), str(tmp_path / "ids"))
+    counted = written(repeated_ids(bronze, counted=True), str(tmp_path / "counted"))
+
+    def found(listed):
+        return rejected_rows(bronze, AS_OF, listed, known=known)
+
+    # Ids of more rows than a task may have are counted as before.
+    for bound in (100_000, 20, 1):
+        monkeypatch.setattr(R, "COPIES_PER_TASK", bound)
+        assert rows(found(counted)) == rows(found(plain)), bound
+    suspects = bronze.selectExpr("*", "transaction_id AS _id", "true AS _usable", "false AS _known")
+    plan = R._rejected_by_rank(suspects, [*bronze.columns, "_known"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "_w0" not in plan.split("Exchange")[1]
