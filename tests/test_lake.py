@@ -605,3 +605,38 @@ def test_columns_of_a_table_are_listed_without_a_job(spark, lake):
         assert not context.statusTracker().getJobIdsForGroup(group)
     finally:
         context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_rows_of_one_day_are_not_sorted_by_it(spark, lake, monkeypatch):
+    plans, open_files = [], []
+
+    def aligned(df, table, before=sinks._aligned):
+        open_files.append(int(spark.conf.get(sinks.OPEN_FILES)))
+        rows = before(df, table)
+        rows.createOrReplaceTempView("to_write")
+        plans.append(spark.sql(f"EXPLAIN INSERT OVERWRITE TABLE {table} SELECT * FROM to_write").first()[0])
+        return rows
+
+    monkeypatch.setattr(sinks, "_aligned", aligned)
+    rows = spark.range(0, 90, 1, 3).selectExpr("id AS bucket", "CAST(NULL AS BINARY) AS bits", "'d1' AS job_date")
+    assert replace_day(rows, lake.sale_ids, "job_date", "d1") == 90
+    totals = spark.range(0, 90, 1, 3).selectExpr("'daily' AS family", "id AS bucket", "CAST(id % 8 AS INT) AS part")
+    replace_partitions(totals, lake.gold_totals, at_most=8)
+    assert len(plans) == 2 and not any("Sort" in plan for plan in plans)
+    # With as many as there are, all rows after the first of the last partition would be sorted.
+    assert open_files[0] > 1 and open_files[1] > 8
+    assert spark.table(lake.gold_totals).where("part = bucket % 8").count() == 90
+    # More than was said are written all the same, and without the word for it rows are sorted.
+    replace_partitions(totals, lake.gold_totals, at_most=2)
+    assert spark.table(lake.gold_totals).where("part = bucket % 8").count() == 90
+    replace_partitions(totals, lake.gold_totals)
+    assert "Sort" in plans[-1]
+    assert spark.conf.get(sinks.OPEN_FILES) == "0" and spark.conf.get(sinks.OVERWRITE).lower() == "static"
+
+
+def test_files_of_sales_are_compact(spark, lake, tmp_path):
+    rows = spark.range(0, 9, 1, 1).selectExpr("'x' AS transaction_id", "'d1' AS job_date")
+    for table in (lake.fact, lake.rejects):
+        replace_day(rows, table, "job_date", "d1")
+        assert all(name.endswith(".zstd.parquet") for name in spark.table(table).inputFiles())
+    assert sinks.written(rows, str(tmp_path / "rows"), sinks.COMPACT).inputFiles()[0].endswith(".zstd.parquet")
