@@ -20,7 +20,7 @@ from tillflow.llm.decontaminate import decontaminate, match_items, words_of
 from tillflow.llm.secret_scan import ASSIGN, redact_live, secret_spans
 from tillflow.llm.tables import scratch_folder
 from tillflow.llm.token_files import (
-    BLOCK_IDS, decode_segment, encode_segment, read_token_files, write_token_files,
+    BLOCK_IDS, decode_segment, encode_segment, places, read_token_files, write_token_files,
 )
 from tillflow.llm.topk import FIRST, best_first, top_k
 
@@ -68,6 +68,29 @@ def test_batches_encode_as_the_library_does(monkeypatch, name, window):
     assert encoder.encode(pa.array([None, ""], pa.string()))[1].tolist() == [0, 0]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_only_other_pieces_than_words_are_normalised_and_split(monkeypatch, name):
+    file = str(public_tokenizers.path(name))
+    texts = ["the cat hewhonon", "  two  blanks", "don't I'LL 12ab34", "xTHEy\tThe\nend", "é ñandú K ſt aſt", "<|endoftext|> the", "the", " ", ""]
+    encoder, asked = BatchEncoder(file), []
+    whole = encoder._whole
+    monkeypatch.setattr(encoder, "_whole", lambda pieces: asked.extend(pieces) or whole(pieces))
+    ids, counts = encoder.encode(pa.array(texts))
+    found = np.split(ids, np.cumsum(counts)[:-1])
+    assert [x.tolist() for x in found] == [
+        encoder.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert asked and not [piece for piece in asked if piece.strip(" ").isascii() and piece.removeprefix(" ").isalpha()]
+
+
+def test_ids_are_placed_by_table_and_by_search():
+    rng = np.random.default_rng(1)
+    for ids in (rng.integers(0, 50_000, 3_000), rng.integers(0, 2**32, 3_000), np.array([2**32 - 1]), np.array([0, 0])):
+        ids = ids.astype(np.uint32)
+        symbols = np.unique(ids)
+        assert (symbols[places(symbols, ids)] == ids).all()
+        assert (decode_segment(encode_segment(ids)) == ids).all()
+
+
 def test_encoded_documents_decode_as_the_library_does(spark):
     library = Tokenizer.from_file(FILE)
     texts = [*HARD, None, HARD[2]]

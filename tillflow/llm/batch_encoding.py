@@ -34,6 +34,7 @@ def _among(signs: bytes) -> np.ndarray:
 
 WHITE = _among(b" \t\n\x0b\x0c\r")
 PRINTABLE = _among(bytes(range(0x21, 0x7F)))
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LETTER = _among(bytes([*range(0x41, 0x5B), *range(0x61, 0x7B)]))
 SIGN = PRINTABLE & ~LETTER & ~_among(b"0123456789")
 # First bytes of the Latin letters U+00C0 to U+024F, none of which is white space.
@@ -63,9 +64,35 @@ class BatchEncoder:
         self.tokenizer.no_padding()
         normalizer = self.tokenizer.normalizer
         self.folds = normalizer is not None and normalizer.normalize_str("A\tB\n\x0b\x0c\r") == "a b "
+        self.blank = self._blank() if self.folds or normalizer is None else None
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
+    def _blank(self) -> str | None:
+        """What a blank before a word becomes in the model's spelling; None if ASCII letters are not one word, spelt as they are."""
+        split = self.tokenizer.pre_tokenizer
+        if split is None:
+            return None
+        found = ["".join(w if len(words) == 1 else "\n" for w, _ in words) for words in map(split.pre_tokenize_str, (LETTERS, " " + LETTERS))]
+        return found[1].removesuffix(LETTERS) if found[0] == LETTERS and found[1].endswith(LETTERS) else None
+
+    def _words(self, distinct: list[bytes], places: list[int], found: list[bytes | None]) -> list[int]:
+        """Puts the ids of the pieces at ``places`` that are a word of ASCII letters, with a blank before it
+        or none, into ``found``; returns the other places. The model is asked directly, as there is nothing
+        to normalise or to split."""
+        if self.blank is None:
+            return places
+        tokenize, others = self.tokenizer.model.tokenize, []
+        for at in places:
+            piece = distinct[at]
+            word = piece[1:] if piece[:1] == b" " else piece
+            if word.isalpha():
+                spelt = word.decode() if word is piece else self.blank + word.decode()
+                found[at] = array("I", [token.id for token in tokenize(spelt)]).tobytes()
+            else:
+                others.append(at)
+        return others
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
@@ -77,7 +104,7 @@ class BatchEncoder:
         if missing and old:
             for at in missing:
                 found[at] = old.get(distinct[at])
-        unknown = [at for at in missing if found[at] is None]
+        unknown = self._words(distinct, [at for at in missing if found[at] is None], found)
         for at, ids in zip(unknown, self._whole([distinct[at].decode() for at in unknown])):
             found[at] = ids
         if len(young) + len(missing) > CACHE_PIECES:

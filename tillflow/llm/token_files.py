@@ -38,6 +38,8 @@ STEPS = 1_024
 BLOCK_IDS = LANES * STEPS
 SEGMENT_IDS = 2_000_000
 PRECISION = 20
+# Ids up to which a table says where each is among those of a segment.
+DENSE = 1 << 17
 LOWEST = np.uint64(1 << 32)
 HALF = np.uint64(32)
 SCHEMA = (
@@ -64,6 +66,16 @@ def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return symbols, shares
 
 
+def places(symbols: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Where each id is among the ascending ``symbols``: from a table, unless it had far more entries than there are ids."""
+    highest = int(symbols[-1])
+    if highest > max(DENSE, len(ids)):
+        return np.searchsorted(symbols, ids)
+    table = np.zeros(highest + 1, np.int32)
+    table[symbols] = np.arange(len(symbols), dtype=np.int32)
+    return table[ids]
+
+
 def encode_segment(ids: np.ndarray) -> dict:
     """The coded form of ``ids`` (at least one, unsigned 32-bit)."""
     symbols, shares = frequencies(ids)
@@ -72,7 +84,7 @@ def encode_segment(ids: np.ndarray) -> dict:
     steps = -(-len(ids) // (blocks * LANES))
     size = steps * LANES
     index = np.full(blocks * size, np.argmax(shares), np.int64)
-    index[: len(ids)] = np.searchsorted(symbols, ids)
+    index[: len(ids)] = places(symbols, ids)
     index = index.reshape(blocks, steps, LANES)
     share, start = shares.astype(np.uint64), starts.astype(np.uint64)
     state = np.full((blocks, LANES), LOWEST, np.uint64)
