@@ -125,3 +125,34 @@ def test_chunks_lose_no_phrase(limit):
                 for at in part.counted(length).nonzero()[0]:
                     held[tuple(part.words[c] for c in part.codes[at:at + length])] += 1
         assert got == expected
+
+
+def test_words_are_cut_as_brute_force_cuts_them():
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choice("abAB é.,\t\n!\x0b\x85-") for _ in range(rng.randint(0, 30)))
+        words = module.Words(text.encode())
+        pieces = [re.findall(r"[^\x20\x09]+", p) for p in re.split(r"[.,;:!?\x0A-\x0D]", text.translate(UPPER))]
+        assert [words.words[c].decode() for c in words.codes] == [w for p in pieces for w in p], text
+        assert words.joined.tolist() == [
+            same for p in pieces for same in [False, *[True] * (len(p) - 1)][:len(p)]][1:], text
+
+
+def test_noting_a_step_takes_as_many_jobs_for_any_partitions(spark):
+    reached = spark.range(0, 400, 1, 4).selectExpr("id % 2 = 0 AS longest", "unhex(lpad(hex(id * 7919), 16, '0')) AS hashes")
+    jobs, kept, tables = [], {k: spark.conf.get(k) for k in (
+        "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}, []
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for parts in (3, 17):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            spark.sparkContext.setJobGroup(f"noted-{parts}", "")
+            tables.append({longest: module.np.full(1 << 18, module.NEVER, "uint8") for longest in (False, True)})
+            assert module._note(reached, tables[-1], 1) == {False, True}
+            jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"noted-{parts}")))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    assert jobs[0] == jobs[1]
+    assert all((tables[0][longest] == tables[1][longest]).all() for longest in (False, True))

@@ -35,6 +35,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -63,10 +64,13 @@ SEED = 42
 # Odd numbers for mixing hashes: fractions of the golden ratio and of the square root of two.
 FIRST, SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x6A09E667F3BCC909)
 BLANK, BREAK = 1, 2
+BLANKS, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
+BETWEEN = BLANKS + BREAKS
 KIND = np.zeros(256, np.uint8)
-KIND[list(b" \t")] = BLANK
-KIND[list(b".,;:!?\n\x0b\x0c\r")] = BREAK
-LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+KIND[list(BLANKS)] = BLANK
+KIND[list(BREAKS)] = BREAK
+# For whole texts, which bytes translate faster than arrays.
+KINDS, LOWER = KIND.tobytes(), bytes(range(256)).lower()
 
 
 def mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -115,32 +119,35 @@ def chunks(text: bytes, context: int, limit: int) -> Iterator[tuple[bytes, int]]
 
 
 def word_bounds(kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    edges = np.diff((kinds == 0).view(np.int8), prepend=0, append=0)
-    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    inside = np.zeros(len(kinds) + 2, bool)
+    np.equal(kinds, 0, out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
 
 
 class Words:
     """The words of one language's texts, numbered, with where pieces end."""
 
     def __init__(self, blob: bytes, again: int = 0) -> None:
-        data = np.frombuffer(blob, np.uint8)
-        kinds = KIND[data]
+        kinds = np.frombuffer(blob.translate(KINDS), np.uint8)
         starts, ends = word_bounds(kinds)
         sizes = np.append(0, np.cumsum(ends - starts)).astype(np.int64)
-        held = LOWER[data[kinds == 0]]
+        held = blob.translate(LOWER, BETWEEN)
         words = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(sizes), pa.py_buffer(held)])
         coded = words.dictionary_encode()
         self.codes = coded.indices.to_numpy().astype(np.int64)
         self.words = coded.dictionary.to_pylist()
         self.again = again
-        breaks = np.cumsum(kinds == BREAK, dtype=np.int32)[starts]
-        self.joined = breaks[1:] == breaks[:-1]
+        # The word that follows each sign which ends a piece.
+        after = np.searchsorted(starts, np.flatnonzero(kinds == BREAK))
+        self.joined = np.ones(max(0, len(starts) - 1), bool)
+        self.joined[after[(after > 0) & (after < len(starts))] - 1] = False
 
     def hashes(self, lang: str) -> np.ndarray:
         """A hash of each distinct word and its language."""
         seed = xxhash.xxh64_intdigest(lang.encode(), SEED)
-        return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.words), np.uint64, len(self.words))
+        return np.fromiter(map(xxhash.xxh64_intdigest, self.words, repeat(seed)), np.uint64, len(self.words))
 
     def inside(self, length: int) -> np.ndarray:
         """Where phrases of ``length`` words start that lie in a piece."""
@@ -336,7 +343,9 @@ def exact_counts(texts: DataFrame, table, longest_table, longest: int, chunk: in
                 "phrase": whole["phrase"], "n": whole["n"]}).combine_chunks().to_batches()
         held.clear()
 
-    found = map_arrow(texts, count, "lang string, size int, phrase string, n bigint")
+    # A task has added up its own, so rows are not combined once more before the shuffle.
+    found = map_arrow(texts, count, "lang string, size int, phrase string, n bigint").repartition(
+        "lang", "size", "phrase")
     return found.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
 
 
@@ -416,7 +425,8 @@ def _note(reached: DataFrame, tables: dict[bool, np.ndarray], step: int) -> set[
         reached.select("longest", "hashes"), mark, "longest boolean, block bigint, bits binary").groupBy(
         "longest", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
     new = set()
-    for row in bits.toLocalIterator():
+    # In one job: an iterator makes one for each partition, however few bits it has.
+    for row in bits.collect():
         first = row["block"] * BLOCK_BITS
         marked = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little")
         part = tables[row["longest"]][first:first + BLOCK_BITS]
