@@ -1,14 +1,15 @@
 import random
 from datetime import datetime
 
-from conftest import rows
+from conftest import pos, rows, sale
 from pyspark.sql import functions as F
 
+from tillflow.functions.typing import typed_sales
 from tillflow.operators import masters as M
 from tillflow.operators.batches import choose_batch
 from tillflow.operators.enrich import enrich
 from tillflow.operators.masters import attach, current_rows, hot_keys
-from tillflow.plans.silver import prepare_masters
+from tillflow.plans.silver import enriched_sales, prepare_masters
 
 
 def sales(spark, n=900):
@@ -119,3 +120,13 @@ def test_heavy_keys_are_found_by_sketches_and_split_evenly(spark):
     sizes = sorted(r["count"] for r in divided.repartition(16, "store_id", "_slot").groupBy(
         F.spark_partition_id()).count().collect())
     assert sizes[-1] <= 3 * sizes[len(sizes) // 2]
+
+
+def test_dates_and_money_are_worked_out_after_large_masters_are_joined(spark):
+    master = spark.createDataFrame([("c1", "Ann")], "customer_id STRING, customer_name STRING").hint("merge")
+    typed = typed_sales(pos(spark, sale("a", customer="c1"), sale("b", customer=None)))
+    found = enriched_sales(typed, {"customer_master": master}, sizes={"customer_master": spark.range(10**9)})
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" in text and "yyyy-MM" not in text[text.index("Join LeftOuter"):]
+    assert [(r.transaction_id, r.customer_name, r.year_month) for r in found.orderBy("transaction_id").collect()] == [
+        ("a", "Ann", "2026-07"), ("b", None, "2026-07")]

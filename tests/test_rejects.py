@@ -262,3 +262,32 @@ def test_ids_with_their_numbers_are_shuffled_once(spark, tmp_path, monkeypatch):
     suspects = bronze.selectExpr("*", "transaction_id AS _id", "true AS _usable", "false AS _known")
     plan = R._rejected_by_rank(suspects, [*bronze.columns, "_known"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "_w0" not in plan.split("Exchange")[1]
+
+
+def test_a_day_ranked_by_id_gives_the_same_sides(spark, tmp_path, monkeypatch):
+    lines = [sale(f"t{n % 40}" if n % 7 else None, quantity=["2", " 2 ", "abc", None, "0"][n % 5], price=["9.50", "null"][n % 11 == 0],
+                  customer=["c1", " NULL", ""][n % 3]) for n in range(300)]
+    lines += [sale("hot", quantity=["1", "x"][n % 2], store=f"s{n % 3}") for n in range(60)] + [sale(None)] * 5
+    bronze = pos(spark, *lines).repartition(6)
+    known = spark.createDataFrame([("t3",), ("hot",), ("none",)], "_id STRING")
+    numbers = iter(range(100))
+
+    def settle(df):
+        return written(df, f"{tmp_path}/{next(numbers)}")
+
+    listed = settle(repeated_ids(bronze, counted=True))
+    # Ids of more than the limit, one for the second, are counted and do not come together.
+    for most in (100_000, 50):
+        monkeypatch.setattr(R, "COPIES_PER_TASK", most)
+        ranked = settle(R.ranked_rows(bronze, AS_OF, listed, settle))
+        assert ranked.count() == len(lines)
+        assert rows(R.accepted_ranked(ranked)) == rows(accepted_sales(bronze, AS_OF))
+        for barred in (None, known):
+            assert rows(R.rejected_ranked(ranked, AS_OF, barred)) == rows(rejected_rows(bronze, AS_OF, known=barred))
+
+
+def test_a_day_ranked_by_id_shuffles_its_rows_once(spark, tmp_path):
+    bronze = pos(spark, sale("a"), sale("a"), sale("b"), sale(None))
+    listed = written(repeated_ids(bronze, counted=True), f"{tmp_path}/listed")
+    plan = R.ranked_rows(bronze, AS_OF, listed, lambda df: written(df, f"{tmp_path}/many"))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
